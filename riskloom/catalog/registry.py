@@ -35,7 +35,9 @@ def with_views(select: str) -> str:
     if not order:
         return select
     ctes = ",\n".join(f"{n} AS (\n{_view_text(n).strip()}\n)" for n in order)
-    return f"WITH RECURSIVE {ctes}\n{select.strip()}"
+    body = select.strip()
+    joiner = ",\n" if body.upper().startswith("WITH ") else "\n"
+    return f"WITH RECURSIVE {ctes}{joiner}{body[5:] if joiner[0] == ',' else body}"
 
 
 def query(name: str, oracle: str | None = None):

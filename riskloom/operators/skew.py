@@ -18,7 +18,7 @@ _TRACKED = 10_000
 
 def planned_bytes(df: DataFrame) -> int:
     """The optimiser's size estimate."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_limit(df: DataFrame) -> int:

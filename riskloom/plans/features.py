@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.expressions import (at, count_when, day_of, elapsed, mean, moved_more_than, safe_ratio,
+from riskloom.functions.expressions import (ago, at, count_when, day_of, elapsed, mean, moved_more_than, safe_ratio,
                                             since, sum_when, total, verdict)
 from riskloom.operators.latest import keep_latest, top_k
 from riskloom.operators.ranking import exact_percentiles
+from riskloom.plans.gold import OPEN_STATES
 
 FEATURE_COLUMNS = ("member_id", "institution_id", "risk_tier", "account_age_days", "txn_count_30d", "total_spend_30d",
                    "avg_txn_30d", "channels_used_30d", "open_alerts", "business_date", "system_time")
@@ -51,6 +54,36 @@ def offline_features(members: DataFrame, activity: DataFrame, as_of: str) -> Dat
         day_of(as_of).alias("business_date"), at(as_of).alias("system_time"))
 
 
+def backfill_features(members: DataFrame, txns: DataFrame, alerts: DataFrame, moments: Sequence[str],
+                      days: int = 30) -> DataFrame:
+    """Offline features at several past moments from one pass over the inputs; ``system_time`` is the moment.
+
+    A transaction counts for the few moments whose window holds it, so history is aggregated once, not once per moment.
+    """
+    times = F.array(*[at(m) for m in moments])
+    lag = F.expr(f"INTERVAL {days} DAYS")
+    ts = F.col("txn_timestamp")
+    recent = txns.where((ts < at(max(moments))) & (ts >= ago(min(moments), days)))
+    keys = ["member_id", "system_time"]
+    t = recent.withColumn("system_time", F.explode(F.filter(times, lambda m: (ts < m) & (ts >= m - lag)))).groupBy(*keys).agg(
+        F.count("txn_id").alias("txn_count_30d"), total("amount").alias("total_spend_30d"),
+        mean("amount").alias("avg_txn_30d"), F.count_distinct("channel").alias("channels_used_30d"))
+    seen = F.filter(times, lambda m: F.col("alert_timestamp") < m)
+    a = (alerts.where(F.col("status").isin(*OPEN_STATES)).withColumn("system_time", F.explode(seen))
+         .groupBy(*keys).agg(F.count("alert_id").alias("open_alerts")))
+    base = members.select("member_id", "institution_id", "risk_tier", "member_since", F.explode(times).alias("system_time"))
+    day = F.col("system_time").cast("date")
+    zero = F.lit(0)
+    return base.join(t, keys, "left").join(a, keys, "left").select(
+        "member_id", "institution_id", "risk_tier",
+        F.date_diff(day, F.col("member_since")).cast("bigint").alias("account_age_days"),
+        F.coalesce("txn_count_30d", zero).alias("txn_count_30d"),
+        F.coalesce("total_spend_30d", zero).cast("decimal(18,2)").alias("total_spend_30d"),
+        F.coalesce("avg_txn_30d", F.lit(0.0)).alias("avg_txn_30d"),
+        F.coalesce("channels_used_30d", zero).alias("channels_used_30d"),
+        F.coalesce("open_alerts", zero).alias("open_alerts"), day.alias("business_date"), "system_time")
+
+
 # --- point in time ------------------------------------------------------------------------------
 
 def _known(features: DataFrame, decision_date: str, query_ts: str) -> DataFrame:

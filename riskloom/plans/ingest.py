@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import ago, icontains
 from riskloom.operators.merge import apply_defaults, update_by_key
-from riskloom.sources.files import FILE, RECORD, to_utc
+from riskloom.sources.files import FILE, RECORD, parse_time
 from riskloom.sources.formats import Contract, Field
 
 
@@ -35,8 +35,7 @@ def _convert(f: Field, pattern: str) -> Column:
     if f.kind == "string":
         return v
     if f.kind == "timestamp":
-        plain = "yyyy-MM-dd HH:mm:ss"
-        return to_utc(F.coalesce(F.try_to_timestamp(v, F.lit(pattern)), F.try_to_timestamp(v, F.lit(plain))))
+        return parse_time(v, pattern)
     if f.kind == "date":
         return F.try_to_date(v, "yyyy-MM-dd")
     return v.try_cast(f.kind)

@@ -179,7 +179,65 @@ SELECT DISTINCT concat('OBJ', lpad(concat('', o_orderkey), 12, '0')) AS downstre
 FROM {orders} WHERE o_orderkey > 0
 """
 
+# --- landing records: the same rows as text, with faults that every loader must survive ----------
+
+# ``k`` decides the fault of a row; several may meet in one row.
+LANDING_TRANSACTIONS = f"""
+SELECT *, CASE
+    WHEN k % 73 = 0 THEN concat(head, '|', tail12)
+    WHEN k % 79 = 0 THEN concat(head, '|', tail12, '|', tail17, '|surplus')
+    ELSE concat(head, '|', tail12, '|', tail17) END AS line
+FROM (SELECT r.*, CAST(card_last_four AS INT) AS k,
+    concat(CASE WHEN CAST(card_last_four AS INT) % 61 = 0 THEN CASE CAST(card_last_four AS INT) % 4 WHEN 0 THEN '' WHEN 1 THEN 'NULL' WHEN 2 THEN 'null' ELSE concat(chr(92), 'N') END ELSE txn_id END,
+      '|', member_id, '|', institution_id, '|',
+      CASE WHEN CAST(card_last_four AS INT) % 59 = 0 THEN 'yesterday' ELSE concat('', txn_timestamp, '.000 +0000') END, '|',
+      CASE WHEN CAST(card_last_four AS INT) % 53 = 0 THEN 'abc' ELSE concat('', amount) END) AS head,
+    concat(currency_code, '|', txn_type, '|', channel, '|', merchant_category, '|',
+      CASE WHEN CAST(card_last_four AS INT) % 71 = 0 THEN '"a|b"' ELSE merchant_name END, '|', merchant_country, '|', status) AS tail12,
+    concat(auth_code, '|', card_last_four, '|', ip_address, '|', device_fingerprint, '|',
+      CASE WHEN CAST(card_last_four AS INT) % 67 = 0 THEN 'n/a' ELSE coalesce(concat('', risk_score), '') END) AS tail17
+  FROM ({RAW_TRANSACTIONS.strip()}) r) x
+"""
+
+LANDING_MEMBERS = f"""
+SELECT r.*, CAST(substr(member_id, 4) AS BIGINT) - 100000 AS k,
+  concat(rpad(CASE WHEN (CAST(substr(member_id, 4) AS BIGINT)) % 37 = 0 THEN ' ' ELSE member_id END, 20, ' '),
+    rpad(institution_id, 20, ' '), rpad(first_name, 50, ' '), rpad(last_name, 50, ' '),
+    rpad(CASE WHEN (CAST(substr(member_id, 4) AS BIGINT)) % 31 = 0 THEN '31/12/1980' ELSE concat('', date_of_birth) END, 10, ' '),
+    ssn_hash, rpad(email, 100, ' '), rpad(phone, 20, ' '), rpad(address_line1, 100, ' '), rpad(city, 50, ' '),
+    rpad(state_code, 2, ' '), rpad(zip_code, 10, ' '), rpad(coalesce(country_code, ' '), 3, ' '),
+    rpad(concat('', member_since), 10, ' '), rpad(status, 20, ' '), rpad(risk_tier, 10, ' ')) AS line
+FROM ({RAW_MEMBERS.strip()}) r
+"""
+
+LANDING_ALERTS = f"""
+SELECT r.*, CAST(substr(alert_id, 4) AS BIGINT) AS k,
+  concat(alert_id, ',', CASE WHEN CAST(substr(alert_id, 4) AS BIGINT) % 29 = 0 THEN 'SPACES' ELSE member_id END, ',', institution_id, ',',
+    CASE WHEN CAST(substr(alert_id, 4) AS BIGINT) % 31 = 0 THEN '2024-99-99' ELSE concat('', date_trunc('second', alert_timestamp)) END, ',',
+    alert_type, ',', severity, ',', alert_source, ',"', description, ', noted",', coalesce(related_txn_id, '0000000000'), ',', rule_id, ',',
+    CASE WHEN CAST(substr(alert_id, 4) AS BIGINT) % 37 = 0 THEN 'high' ELSE coalesce(concat('', confidence_score), '') END, ',', status, ',', assigned_to) AS line
+FROM ({RAW_ALERTS.strip()}) r
+"""
+
+LANDING_EVENTS = f"""
+SELECT r.*, CAST(substr(event_id, 4) AS BIGINT) AS k,
+  CASE WHEN CAST(substr(event_id, 4) AS BIGINT) % 43 = 0 THEN concat('[', obj, ']') ELSE obj END AS line
+FROM (SELECT q.*,
+    concat('{{{{"event_id":"', event_id, '",',
+      CASE WHEN CAST(substr(event_id, 4) AS BIGINT) % 41 = 0 THEN '"event_id":"again",' ELSE '' END,
+      '"event_time":"', concat('', event_time), '","event_type":"', event_type, '","member_id":"', member_id,
+      '","institution_id":"', institution_id, '","amount":', concat('', amount), ',"channel":"', channel, '",',
+      CASE WHEN CAST(substr(event_id, 4) AS BIGINT) % 47 = 0 THEN ''
+        ELSE concat('"device_id":"', device_id, '","ip_address":"', ip_address, '","geo_lat":', concat('', geo_lat), ',"geo_lon":', concat('', geo_lon), ',') END,
+      '"risk_score":', CASE WHEN risk_score IS NULL THEN 'null' ELSE concat('', risk_score) END, '}}}}') AS obj
+  FROM ({STREAMING_EVENTS.strip()}) q) r
+"""
+
 BRONZE = {
+    "landing_transactions": LANDING_TRANSACTIONS,
+    "landing_members": LANDING_MEMBERS,
+    "landing_alerts": LANDING_ALERTS,
+    "landing_events": LANDING_EVENTS,
     "raw_transactions": RAW_TRANSACTIONS,
     "raw_members": RAW_MEMBERS,
     "raw_institutions": RAW_INSTITUTIONS,

@@ -15,6 +15,13 @@ LINE = "_line"
 RECORD = "_record"
 
 
+def parse_time(text: Column, pattern: str | None = None) -> Column:
+    """Text to wall-clock time in UTC, NULL when it is no time. A text without a zone is taken as UTC."""
+    zoned = to_utc(text.try_cast("timestamp"))
+    plain = F.when(text.rlike(r"([+-]\d{2}:?\d{2}|Z)$"), zoned).otherwise(text.try_cast("timestamp_ntz"))
+    return plain if pattern is None else F.coalesce(to_utc(F.try_to_timestamp(text, F.lit(pattern))), plain)
+
+
 def to_utc(c: Column) -> Column:
     """Instant to wall-clock time in UTC, whatever the session time zone is."""
     return F.convert_timezone(None, F.lit("UTC"), c.cast("timestamp_ntz"))
@@ -106,8 +113,8 @@ def extract_payload(df: DataFrame, payload: str, fields: Sequence[tuple[str, str
                     keep: Sequence[str] = ()) -> DataFrame:
     """Typed columns from a variant payload; a value that does not convert is NULL. The payload stays as it came."""
     def take(name: str, kind: str) -> Column:
-        v = F.try_variant_get(F.col(payload), f"$.{name}", kind)
-        return to_utc(v) if kind == "timestamp" else v
+        v = F.try_variant_get(F.col(payload), f"$.{name}", "string" if kind == "timestamp" else kind)
+        return parse_time(v) if kind == "timestamp" else v
     return df.select(*[take(n, k).alias(n) for n, k in fields], F.col(payload).alias("payload"), *keep)
 
 

@@ -15,17 +15,22 @@ def table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.read.parquet(name_or_path) if "/" in name_or_path else spark.table(name_or_path)
 
 
+def _spread(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Rows of one output partition together, so it gets few files; adaptive execution splits a partition that is large."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    _spread(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def replace(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
+    _spread(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
     """Overwrite only the partitions that ``df`` has rows for."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    _spread(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def _key(ts: str) -> str:
@@ -38,6 +43,12 @@ def snapshot(df: DataFrame, path: str, ts: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(f"{path}/{SNAPSHOT}={_key(ts)}")
 
 
+def snapshot_each(df: DataFrame, path: str, time: str) -> None:
+    """Several snapshots in one write, one per value of the column ``time``."""
+    keyed = df.withColumn(SNAPSHOT, F.date_format(time, "yyyy-MM-dd'T'HH-mm-ss"))
+    replace_partitions(keyed, path, (SNAPSHOT,))
+
+
 def snapshots(spark: SparkSession, path: str) -> list[str]:
     """Snapshot keys of a table, oldest first: a folder listing, one entry per snapshot."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

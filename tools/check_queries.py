@@ -75,7 +75,7 @@ def main() -> int:
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
-    spark = build_session("check", "local[8]", 8)
+    spark = build_session("check", "local[8]", 8, {"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.sf)
     names = [n for n in QUERIES if not args.names or any(n.startswith(a) for a in args.names)]
