@@ -170,9 +170,9 @@ post AS (SELECT alert_id, term, n, count(*) AS tf FROM (SELECT alert_id, n, unne
   WHERE term IN (SELECT term FROM asked) GROUP BY alert_id, term, n),
 df AS (SELECT term, count(*) AS df FROM post GROUP BY term),
 scored AS (SELECT a.query_id, p.alert_id,
-    sum(CAST(ln(1.0::DOUBLE + (docs - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * n / avg_len)) AS DECIMAL(20,10))) AS s
+    CAST(sum(CAST(round(ln(1.0::DOUBLE + (docs - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * n / avg_len)) * 1e9::DOUBLE) AS BIGINT)) AS BIGINT) AS s
   FROM post p JOIN df USING (term) JOIN asked a USING (term) CROSS JOIN tot GROUP BY a.query_id, p.alert_id)
-SELECT query_id, alert_id, round(CAST(s AS DOUBLE), 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, alert_id) AS rank
+SELECT query_id, alert_id, round(CAST(s AS DOUBLE) / 1e9::DOUBLE, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, alert_id) AS rank
 FROM scored QUALIFY rank <= 5""")
 def text_topk(lake: Lake):
     """The five best alert notes for every benchmark passage."""

@@ -64,7 +64,7 @@ REJECTS = " UNION ALL ".join((
 
 def _dead(lake: Lake) -> DataFrame:
     load = transaction_load(lake, transaction_files(lake))
-    return ingest.dead_letter(ingest.number_lines(load.rejects), fm.TRANSACTIONS.table, at(lake.as_of))
+    return ingest.dead_letter(load.rejects, fm.TRANSACTIONS.table, at(lake.as_of))
 
 
 @query("ingest_rejects", REJECTS)

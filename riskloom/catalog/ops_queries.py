@@ -13,7 +13,6 @@ from riskloom.plans.lake import Lake
 from riskloom.plans.silver import cleanse_transactions
 from riskloom.session import new_path
 from riskloom.sources.files import align_by_name
-from riskloom.sources.tables import replace
 
 AT = "TIMESTAMP '2024-01-31 00:00:00'"
 SEC = "date_sub('second', refresh_start_time, refresh_end_time)"
@@ -217,9 +216,9 @@ def incremental_equals_full(lake: Lake):
     raw = lake.raw("raw_transactions")
     late = F.col("_loaded_at") >= at("2022-01-01 00:00:00")
     silver, gold = new_path(lake.spark, "silver-txn"), new_path(lake.spark, "gold-daily")
-    medallion.write_by_day(cleanse_transactions(raw.where(~late)), silver)
-    replace(daily_member_summary(lake.spark.read.parquet(silver)), gold, (medallion.DAY,))
-    medallion.refresh_daily(lake.spark, silver, gold, raw.where(late))
+    medallion.write_parts(cleanse_transactions(raw.where(~late)), silver, "txn_timestamp", "month")
+    medallion.write_parts(daily_member_summary(lake.spark.read.parquet(silver)), gold, "txn_date", "month")
+    medallion.refresh_daily(lake.spark, silver, gold, raw.where(late), "month")
     out = lake.spark.read.parquet(gold)
     return out.select(*daily_member_summary(cleanse_transactions(raw)).columns)
 

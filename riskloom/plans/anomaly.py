@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import day_of, total
+from riskloom.session import cut
 
 # Normal quantile of a two-sided 95 % interval.
 Z_95 = 1.959963984540054
@@ -28,8 +29,8 @@ def daily_series(daily: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def split_series(daily: DataFrame, as_of: str, days: int = 7, by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Training days before ``as_of - days``, and the days to test."""
     series = daily_series(daily, by)
-    cut = F.date_sub(day_of(as_of), days)
-    return series.where(F.col("txn_date") < cut), series.where(F.col("txn_date") >= cut)
+    border = F.date_sub(day_of(as_of), days)
+    return series.where(F.col("txn_date") < border), series.where(F.col("txn_date") >= border)
 
 
 def normal_cdf(z: Column) -> Column:
@@ -47,17 +48,17 @@ def detect(daily: DataFrame, as_of: str, days: int = 7, by: Sequence[str] = (),
     """
     keys = list(by)
     part = keys if keys else [F.lit(1)]
-    cut = F.date_sub(day_of(as_of), days)
+    border = F.date_sub(day_of(as_of), days)
     y = F.col("total_daily_spend").cast("double")
     s = daily_series(daily, by).select(*keys, F.col("txn_date").alias("ts"), y.alias("y"))
     s = s.withColumn("prev", F.lag("y").over(Window.partitionBy(*part).orderBy("ts")))
-    s = s.withColumn("step", F.when(F.col("ts") < cut, F.col("y") - F.col("prev")))
+    s = s.withColumn("step", F.when(F.col("ts") < border, F.col("y") - F.col("prev")))
     whole = Window.partitionBy(*part)
     s = s.withColumns({"mu": F.avg("step").over(whole), "sd": F.stddev_samp("step").over(whole)})
     forecast = F.col("prev") + F.col("mu")
     dist = (F.col("y") - forecast) / F.nullif(F.col("sd"), F.lit(0.0))
     half = F.lit(z) * F.col("sd")
-    return s.where(F.col("ts") >= cut).select(
+    return s.where(F.col("ts") >= border).select(
         *keys, "ts", F.round("y", 2).alias("y"), F.round(forecast, 2).alias("forecast"),
         F.round(forecast - half, 2).alias("lower_bound"), F.round(forecast + half, 2).alias("upper_bound"),
         (F.abs(F.col("y") - forecast) > half).alias("is_anomaly"),
@@ -84,16 +85,17 @@ def detect_boosted(daily: DataFrame, as_of: str, days: int = 7, key: str = "inst
     s = s.withColumns({f"lag{i}": F.lag("step", i).over(w) for i in range(1, lags + 1)})
     s = s.withColumn("weekday", F.dayofweek("ts").cast("double")).dropna()
     inputs = [f"lag{i}" for i in range(1, lags + 1)] + ["weekday"]
-    panel = VectorAssembler(inputCols=inputs, outputCol="x").transform(s)
-    cut = F.date_sub(day_of(as_of), days)
-    train = panel.where(F.col("ts") < cut)
+    # One row per series and day: written once, as every tree reads it again.
+    panel = VectorAssembler(inputCols=inputs, outputCol="x").transform(cut(s))
+    border = F.date_sub(day_of(as_of), days)
+    train = panel.where(F.col("ts") < border)
     model = GBTRegressor(featuresCol="x", labelCol="step", maxIter=trees, maxDepth=depth, seed=7).fit(train)
     spread = model.transform(train).select((F.col("step") - F.col("prediction")).alias("r")).agg(
         F.percentile_approx("r", [alpha / 2, 1 - alpha / 2], 10_000).alias("q"), F.stddev_samp("r").alias("sd")).head()
     (lo, hi), sd = spread["q"], spread["sd"]
     forecast = F.col("prev") + F.col("prediction")
     dist = (F.col("y") - forecast) / F.lit(sd)
-    return model.transform(panel.where(F.col("ts") >= cut)).select(
+    return model.transform(panel.where(F.col("ts") >= border)).select(
         key, "ts", "y", forecast.alias("forecast"), (forecast + lo).alias("lower_bound"),
         (forecast + hi).alias("upper_bound"), ~(F.col("y") - forecast).between(lo, hi).alias("is_anomaly"),
         normal_cdf(dist).alias("percentile"), dist.alias("distance"))

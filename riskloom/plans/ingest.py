@@ -22,7 +22,7 @@ class Load:
 
     @property
     def good(self) -> DataFrame:
-        return self.checked.where(F.size("errors") == 0).drop("errors", RECORD)
+        return self.checked.where(F.size("errors") == 0).drop("errors", RECORD, "_row_number")
 
     @property
     def rejects(self) -> DataFrame:
@@ -41,9 +41,9 @@ def _convert(f: Field, pattern: str) -> Column:
     return v.try_cast(f.kind)
 
 
-def _errors(f: Field, typed: Column) -> list[Column]:
+def _errors(f: Field) -> list[Column]:
     """Problems of one column as ``(column, message)`` structs, NULL where there is none."""
-    raw = F.col(f.name)
+    raw, typed = F.col(f"_raw.{f.name}"), F.col(f.name)
     def problem(cond: Column, text: str) -> Column:
         return F.when(cond, F.struct(F.lit(f.name).alias("column_name"), F.lit(text).alias("error")))
     out = []
@@ -57,22 +57,23 @@ def _errors(f: Field, typed: Column) -> list[Column]:
 
 
 def load_batch(raw: DataFrame, contract: Contract, loaded_at: Column) -> Load:
-    """Convert text columns to their types in one pass. A row with any error is a reject; the batch goes on."""
-    typed = {f.name: _convert(f, contract.time_pattern) for f in contract.fields}
-    found = [e for f in contract.fields for e in _errors(f, typed[f.name])]
+    """Convert text columns to their types in one pass. A row with any error is a reject; the batch goes on.
+
+    ``_row_number`` is the ordinal of the row with its input split in the high bits: text is splittable, so a position
+    over the whole file would need the file in one task. The ordinal also keeps filters on ``errors`` from repeating
+    the conversions below them.
+    """
+    watched = [f.name for f in contract.fields if f.required or f.max_len or (f.kind != "string" and f.strict)]
     keep = [c for c in raw.columns if c not in contract.names]
-    checked = raw.select(*[typed[f.name].alias(f.name) for f in contract.fields], *keep,
-                         F.array_compact(F.array(*found)).alias("errors"))
+    typed = raw.select(*[_convert(f, contract.time_pattern).alias(f.name) for f in contract.fields], *keep,
+                       F.struct(*watched).alias("_raw"))
+    found = [e for f in contract.fields for e in _errors(f)]
+    checked = typed.select(*contract.names, *keep, F.monotonically_increasing_id().alias("_row_number"),
+                           F.array_compact(F.array(*found)).alias("errors"))
     defaults = {c: F.lit(v).cast(kind) for c, (kind, v) in contract.defaults.items()}
     return Load(apply_defaults(checked, defaults).withColumn("_loaded_at", loaded_at), contract)
 
 
-def number_lines(raw: DataFrame) -> DataFrame:
-    """Rows with an ordinal inside their file and split. Text is splittable, so a position over the whole file would
-    need the file in one task; file, split and ordinal together still find the line."""
-    return raw.withColumn("_row_number", F.monotonically_increasing_id())
-
-
 def classify(message: Column) -> Column:
     """Class of a reject, first rule that applies."""
     return (F.when(icontains(message, "conversion"), "TYPE_MISMATCH").when(icontains(message, "parse"), "PARSE_ERROR")

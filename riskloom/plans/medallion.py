@@ -91,38 +91,44 @@ def _log_run(store: ZoneStore, node: Node, action: str, start: datetime, state:
 
 # --- incremental refresh ------------------------------------------------------------------------
 
-DAY = "txn_date"
+PART = "part_date"
 
 
-def write_by_day(silver: DataFrame, path: str) -> None:
-    replace(silver.withColumn(DAY, F.to_date("txn_timestamp")), path, (DAY,))
+def with_part(df: DataFrame, time: str, grain: str) -> DataFrame:
+    """Rows with the first day of their partition: the day itself, or its month for smaller tables."""
+    return df.withColumn(PART, F.to_date(F.date_trunc(grain, F.col(time))))
 
 
-def _drop_days(spark: SparkSession, path: str, days: list) -> None:
+def write_parts(df: DataFrame, path: str, time: str, grain: str = "day") -> None:
+    replace(with_part(df, time, grain), path, (PART,))
+
+
+def _drop_parts(spark: SparkSession, path: str, parts: list) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path
-    for d in days:
-        target = p(f"{path}/{DAY}={d}")
+    for d in parts:
+        target = p(f"{path}/{PART}={d}")
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def refresh_daily(spark: SparkSession, silver_path: str, gold_path: str, delta_raw: DataFrame) -> DataFrame:
-    """Fold new raw transactions into Silver and recompute only the affected days of the daily table.
+def refresh_daily(spark: SparkSession, silver_path: str, gold_path: str, delta_raw: DataFrame, grain: str = "day") -> DataFrame:
+    """Fold new raw transactions into Silver and recompute only the affected part of the daily table.
 
-    A delta row may replace an older version on another day, so both days are affected. Both tables are partitioned by
-    day; only affected partitions are read again and overwritten. Returns the affected days.
+    A delta row may replace an older version from another day, so both days are affected. Both tables are partitioned
+    by date; only affected partitions are read again and overwritten, others keep their files. Returns the affected
+    partitions.
     """
     silver = spark.read.parquet(silver_path)
-    delta = cut(cleanse_transactions(delta_raw).withColumn(DAY, F.to_date("txn_timestamp")))
+    delta = cut(with_part(cleanse_transactions(delta_raw), "txn_timestamp", grain))
     ids = delta.select("txn_id")
-    replaced = silver.join(ids, "txn_id", "left_semi")
-    merged = cut(keep_latest(replaced.unionByName(delta), ["txn_id"], ["_loaded_at"], TXN_TIES))
-    days = cut(replaced.select(DAY).union(delta.select(DAY)).distinct())
-    kept = silver.join(days, DAY, "left_semi").join(ids, "txn_id", "left_anti")
+    replaced = cut(silver.join(ids, "txn_id", "left_semi"))
+    parts = cut(replaced.select(PART).union(delta.select(PART)).distinct())
+    kept = silver.join(parts, PART, "left_semi").join(ids, "txn_id", "left_anti")
+    merged = keep_latest(replaced.unionByName(delta), ["txn_id"], ["_loaded_at"], TXN_TIES)
     fresh = cut(kept.unionByName(merged))
-    replace_partitions(fresh, silver_path, (DAY,))
-    replace_partitions(daily_member_summary(fresh), gold_path, (DAY,))
-    # One row per calendar day: a list the driver can hold.
-    emptied = [r[0] for r in days.join(fresh.select(DAY).distinct(), DAY, "left_anti").collect()]
-    _drop_days(spark, silver_path, emptied)
-    _drop_days(spark, gold_path, emptied)
-    return days
+    replace_partitions(fresh, silver_path, (PART,))
+    replace_partitions(with_part(daily_member_summary(fresh), "txn_date", grain), gold_path, (PART,))
+    # One row per calendar partition: a list the driver can hold.
+    emptied = [r[0] for r in parts.join(fresh.select(PART).distinct(), PART, "left_anti").collect()]
+    _drop_parts(spark, silver_path, emptied)
+    _drop_parts(spark, gold_path, emptied)
+    return parts

@@ -41,10 +41,11 @@ def text_topk(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query
     n, avg_len = F.lit(stats["_docs"]), F.lit(stats["_avg_len"])
     rarity = F.ln(1.0 + (n - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
     damp = F.col("_tf") + F.lit(K1) * (F.lit(1.0 - B) + F.lit(B) * F.col("_len") / avg_len)
-    part = (rarity * F.col("_tf") * F.lit(K1 + 1.0) / damp).cast("decimal(20,10)")
+    # Whole billionths add up to the same sum in any order.
+    part = F.round(rarity * F.col("_tf") * F.lit(K1 + 1.0) / damp * F.lit(1e9)).cast("bigint")
     weighted = wanted.join(spread, "term")
     scored = postings.join(weighted, "term").groupBy(query_id, doc_id).agg(F.sum(part).alias("_s"))
     w = Window.partitionBy(query_id).orderBy(F.desc("_s"), F.asc(doc_id))
     return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select(query_id, doc_id, F.round(F.col("_s").cast("double"), 6).alias("score"),
+            .select(query_id, doc_id, F.round(F.col("_s").cast("double") / F.lit(1e9), 6).alias("score"),
                     F.col("rank").cast("bigint").alias("rank")))

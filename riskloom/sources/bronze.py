@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskloom.operators.skew import planned_bytes
+
 AS_OF = "2024-01-31 00:00:00"
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -253,8 +255,16 @@ BRONZE = {
 }
 
 
+# Inputs under this size are spread over all cores: a small file is often one row group, which one task would read,
+# transform and sort alone. Larger inputs keep the splits of their files and are not shuffled.
+SMALL_INPUT = 1 << 30
+
+
 def given_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if 1 << 17 < planned_bytes(df) < SMALL_INPUT:
+        return df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
+    return df
 
 
 def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
