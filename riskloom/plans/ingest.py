@@ -20,14 +20,18 @@ class Load:
     checked: DataFrame
     contract: Contract
 
+    def _rows(self, cond: Column) -> DataFrame:
+        # The ordinal keeps the filter above the conversions; without it they would run once more inside the filter.
+        return self.checked.where(cond & (F.col("_row_number") >= 0))
+
     @property
     def good(self) -> DataFrame:
-        return self.checked.where(F.size("errors") == 0).drop("errors", RECORD, "_row_number")
+        return self._rows(F.size("errors") == 0).drop("errors", RECORD, "_row_number")
 
     @property
     def rejects(self) -> DataFrame:
         keep = [c for c in (FILE, "_row_number", RECORD, "errors") if c in self.checked.columns]
-        return self.checked.where(F.size("errors") > 0).select(*keep)
+        return self._rows(F.size("errors") > 0).select(*keep)
 
 
 def _convert(f: Field, pattern: str) -> Column:
@@ -60,8 +64,7 @@ def load_batch(raw: DataFrame, contract: Contract, loaded_at: Column) -> Load:
     """Convert text columns to their types in one pass. A row with any error is a reject; the batch goes on.
 
     ``_row_number`` is the ordinal of the row with its input split in the high bits: text is splittable, so a position
-    over the whole file would need the file in one task. The ordinal also keeps filters on ``errors`` from repeating
-    the conversions below them.
+    over the whole file would need the file in one task.
     """
     watched = [f.name for f in contract.fields if f.required or f.max_len or (f.kind != "string" and f.strict)]
     keep = [c for c in raw.columns if c not in contract.names]

@@ -160,17 +160,16 @@ def first_dependencies(edges: DataFrame, k: int = 50) -> DataFrame:
 def lineage_closure(edges: DataFrame) -> DataFrame:
     """Everything downstream of every object, with the shortest distance.
 
-    Paths double in length each round, so the rounds grow with the logarithm of the depth. Each round is written once;
-    cycles end when no pair is new.
+    Each round extends the paths of length ``step`` by all known paths up to that length, so ``step`` doubles and the
+    number of rounds grows with the logarithm of the depth. Each round is written once; cycles end because a pair keeps
+    its shortest distance.
     """
     paths = cut(edges.select("upstream", "downstream").distinct().withColumn("distance", F.lit(1).cast("bigint")))
-    pairs = paths.count()
-    while True:
-        head = paths.select("upstream", F.col("downstream").alias("_mid"), F.col("distance").alias("_d1"))
-        tail = paths.select(F.col("upstream").alias("_mid"), "downstream", F.col("distance").alias("_d2"))
-        longer = head.join(tail, "_mid").select("upstream", "downstream", (F.col("_d1") + F.col("_d2")).alias("distance"))
-        grown = cut(paths.unionByName(longer).groupBy("upstream", "downstream").agg(F.min("distance").alias("distance")))
-        now = grown.count()
-        if now == pairs:
-            return grown
-        paths, pairs = grown, now
+    step = 1
+    while not (reach := paths.where(F.col("distance") == step)).isEmpty():
+        head = reach.select("upstream", F.col("downstream").alias("_mid"))
+        tail = paths.select(F.col("upstream").alias("_mid"), "downstream", (F.col("distance") + step).alias("distance"))
+        longer = head.join(tail, "_mid").select("upstream", "downstream", "distance")
+        paths = cut(paths.unionByName(longer).groupBy("upstream", "downstream").agg(F.min("distance").alias("distance")))
+        step *= 2
+    return paths
