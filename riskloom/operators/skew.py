@@ -28,15 +28,16 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(num) * units.get(raw[len(num):], 1)
 
 
-def heavy_keys(df: DataFrame, key: str) -> list:
-    """Keys with more than ``1/HEAVY`` of the non-NULL rows, at most ``HEAVY`` values."""
+def heavy_keys(df: DataFrame, key: str) -> list[str]:
+    """Keys, as text, with more than ``1/HEAVY`` of the non-NULL rows; at most ``HEAVY`` values."""
     row = df.where(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k(`{key}`, {HEAVY}, {_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")).head()
+        F.expr(f"approx_top_k(CAST(`{key}` AS STRING), {HEAVY}, {_TRACKED})").alias("top"),
+        F.count(F.lit(1)).alias("n")).head()
     return [t["item"] for t in (row["top"] or []) if t["count"] * HEAVY > row["n"]]
 
 
 def _salted(left: DataFrame, right: DataFrame, key: str, hot: list) -> tuple[DataFrame, DataFrame]:
-    is_hot = F.col(key).isin(hot)
+    is_hot = F.col(key).cast("string").isin(hot)
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(SALTS)).cast("int")
     slots = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     return (left.withColumn("_slot", F.when(is_hot, spread).otherwise(F.lit(0))),
@@ -78,7 +79,7 @@ def outer_join_unique_right(left: DataFrame, right: DataFrame, left_key: str, ri
         a, b = _salted(a, b, "_k", hot)
         a = a.withColumn(left_key, F.col("_k"))
         out = a.join(b, ["_k", "_slot"], "full_outer")
-        out = out.where(~(F.col(left_key).isNull() & F.col(right_key).isin(hot))).drop("_k", "_slot")
+        out = out.where(~(F.col(left_key).isNull() & F.col(right_key).cast("string").isin(hot))).drop("_k", "_slot")
     else:
         out = keyed.join(right, F.col(left_key) == F.col(right_key), "full_outer")
     return out.where(condition).unionByName(bare, allowMissingColumns=True)

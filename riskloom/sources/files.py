@@ -118,8 +118,7 @@ def extract_payload(df: DataFrame, payload: str, fields: Sequence[tuple[str, str
 
 
 def _json_documents(spark: SparkSession, path: str | list[str], whole_files: bool) -> DataFrame:
-    reader = spark.read.option("wholetext", "true") if whole_files else spark.read
-    return reader.text(path).where("trim(value) <> ''").select(
+    return spark.read.text(path, wholetext=whole_files).where("trim(value) <> ''").select(
         F.col("value").alias(RECORD), F.try_parse_json("value").alias("_v"), F.col("_metadata.file_path").alias(FILE))
 
 
@@ -137,7 +136,7 @@ def read_json_events(spark: SparkSession, path: str | list[str], fields: Sequenc
 
 def json_rejects(spark: SparkSession, path: str | list[str], whole_files: bool = False) -> DataFrame:
     """Documents that do not parse, in the shape of load rejects."""
-    error = F.struct(F.lit("payload").alias("column_name"), F.lit("Error parsing JSON").alias("error"))
+    error = F.struct(F.lit("payload").alias("column_name"), F.lit("Error parsing JSON: could not parse").alias("error"))
     return _json_documents(spark, path, whole_files).where(F.col("_v").isNull()).select(
         FILE, RECORD, F.array(error).alias("errors"))
 

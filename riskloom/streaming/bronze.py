@@ -45,7 +45,7 @@ def bronze_stream(spark: SparkSession, src: str, out: str, errors: str, checkpoi
     """The single way in: every reader of events reads the table this writes.
 
     The source remembers which files it has taken. Each micro-batch replaces its own ``_batch_id`` partition, so a batch
-    that is repeated after a failure leaves no second copy. No watermark: late events stay queryable. With
+    that is repeated after a failure leaves no second copy; a table belongs to one checkpoint. No watermark: late events stay queryable. With
     ``seconds`` the query runs on that interval, else it takes what is there and stops.
     """
     now = F.expr(f"TIMESTAMP_NTZ '{ingest_time}'") if ingest_time else F.convert_timezone(

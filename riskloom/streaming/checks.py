@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import ago, elapsed, verdict
 from riskloom.operators.ranking import previous_values
+from riskloom.operators.skew import lookup_join
 
 
 def dup_report(df: DataFrame, key: str = "event_id") -> DataFrame:
@@ -42,8 +43,7 @@ def order_report(df: DataFrame, tiebreak: tuple[str, ...] = ("event_id", "_offse
     """
     first = df.groupBy("event_time").agg(F.min(F.struct(*tiebreak)).alias("_first"))
     before = previous_values(df, "event_time")
-    marks = first.join(before, "event_time").select(F.col("event_time").alias("_t"), "_first", "previous")
-    j = df.join(marks, F.col("event_time") == F.col("_t"), "left")
+    j = lookup_join(df, first.join(before, "event_time"), "event_time")
     is_first = F.struct(*tiebreak) == F.col("_first")
     prev = F.when(is_first, F.col("previous")).otherwise(F.col("event_time"))
     out = j.select("event_id", "event_time", prev.alias("prev_event_time"))
