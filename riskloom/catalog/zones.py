@@ -188,5 +188,4 @@ def bi_alert_rate(lake: Lake):
 SELECT institution_name, total_volume_30d, total_txns_30d FROM g_inst
 ORDER BY total_volume_30d DESC NULLS LAST, institution_name LIMIT 10""")
 def bi_top_institutions_30d(lake: Lake):
-    rows = lake.institutions().select("institution_name", "total_volume_30d", "total_txns_30d")
-    return bi.top_k(rows, [bi.F.col("total_volume_30d").desc_nulls_last()], 10, ["institution_name"])
+    return bi.top_institutions(lake.institutions())

@@ -61,3 +61,8 @@ def alert_rate(institutions: DataFrame) -> DataFrame:
         "institution_id", "active_members_30d", "total_txns_30d", "alerts_30d",
         safe_ratio("alerts_30d", "active_members_30d", 1, 4).alias("alert_rate")).orderBy(
         F.col("alert_rate").desc_nulls_last(), "institution_id")
+
+
+def top_institutions(institutions: DataFrame, k: int = 10) -> DataFrame:
+    rows = institutions.select("institution_name", "total_volume_30d", "total_txns_30d")
+    return top_k(rows, [F.col("total_volume_30d").desc_nulls_last()], k, ["institution_name"])

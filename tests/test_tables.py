@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import masking
 from riskloom.functions.expressions import percent_text, risk_band
 from riskloom.plans import gold, medallion, quality, silver
+from riskloom.plans.nodes import BRONZE_INPUTS, lineage, standard_nodes
 from riskloom.plans.ops import lineage_edges
 from riskloom.plans.semantic import FRAUD_MODEL
 from riskloom.sources import tables
@@ -33,27 +34,20 @@ def test_export_product(lake, tmp_path):
     assert m["tables"]["institution_summary"]["rows"] == 25 and m["contract"]["slo_minutes"] == 30
 
 
-NODES = (
-    medallion.Node("CLEANSED_TRANSACTIONS", "SILVER", ("RAW_TRANSACTIONS",), silver.cleanse_transactions),
-    medallion.Node("ENRICHED_MEMBERS", "SILVER", ("RAW_MEMBERS",), silver.cleanse_members),
-    medallion.Node("ENRICHED_ALERTS", "SILVER", ("RAW_ALERTS", "ENRICHED_MEMBERS"), silver.enrich_alerts),
-    medallion.Node("DAILY_MEMBER_SUMMARY", "GOLD", ("CLEANSED_TRANSACTIONS",), gold.daily_member_summary),
-    medallion.Node("MEMBER_ACTIVITY", "GOLD", ("ENRICHED_MEMBERS", "CLEANSED_TRANSACTIONS", "ENRICHED_ALERTS"),
-                   lambda m, t, a: gold.member_activity(m, t, a, AS_OF)),
-    medallion.Node("DAILY_VIEW", "GOLD", ("DAILY_MEMBER_SUMMARY",), lambda d: d.where("txn_count > 1"), view=True),
-)
-
-
 def test_full_refresh_of_all_zones(spark, lake, tmp_path):
-    bronze = {n.upper(): lake.raw(n) for n in ("raw_transactions", "raw_members", "raw_alerts")}
+    bronze = {n: lake.raw(n.lower()) for n in BRONZE_INPUTS}
     store = medallion.ZoneStore(spark, str(tmp_path / "lake"))
-    medallion.refresh_all(store, bronze, NODES)
-    medallion.refresh_all(store, bronze, NODES)
+    nodes = standard_nodes(AS_OF)
+    medallion.refresh_all(store, bronze, nodes)
+    medallion.refresh_all(store, bronze, nodes)
     assert rows(store.read("GOLD", "DAILY_MEMBER_SUMMARY")) == rows(lake.daily)
     assert rows(store.read("GOLD", "MEMBER_ACTIVITY")) == rows(lake.activity())
     log = spark.read.parquet(str(tmp_path / "lake/governance/refresh_log"))
-    assert log.where("state = 'SUCCEEDED'").count() == 10
-    assert spark.table("daily_view").count() > 0
+    assert log.where("state = 'SUCCEEDED'").count() == 24
+    assert spark.table("ad_detect_data").count() > 0
+    assert rows(store.read("GOLD", "FRAUD_SIGNALS")) == rows(lake.signals)
+    assert rows(store.read("FEATURE_STORE", "OFFLINE_MEMBER_FEATURES")) == rows(lake.offline)
+    assert lineage(nodes, store).count() == sum(len(n.inputs) for n in nodes)
 
 
 def test_failed_refresh_keeps_the_old_table(spark, lake, tmp_path):
