@@ -67,6 +67,14 @@ def run_metrics(tables: dict[str, DataFrame], attachments: Sequence[Attachment],
     return reduce(DataFrame.unionByName, parts).withColumn("measured_at", at(as_of))
 
 
+def observe_metrics(df: DataFrame, name, attachments: Sequence[Attachment], as_of: str) -> DataFrame:
+    """The same metrics taken while the rows pass through a write or a micro-batch. ``name`` is an observation or, for a
+    stream, the name its listener reports. Distinct counts cannot be observed and are left to ``run_metrics``."""
+    seen = [metric_column(a.metric, a.column, as_of).alias(f"{a.column}:{a.metric}")
+            for a in attachments if a.metric != "DUPLICATE_RATE"]
+    return df.observe(name, *seen)
+
+
 def gate(results: DataFrame, limits: dict[tuple[str, str], tuple[float | None, float | None]]) -> DataFrame:
     """Metric results with their limits ``{(table, metric): (low, high)}`` and whether promotion may go on."""
     low = high = F.lit(None).cast("double")

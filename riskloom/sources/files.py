@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -148,6 +149,11 @@ def read_parquet_events(spark: SparkSession, path: str | list[str]) -> DataFrame
 
 # --- listing ------------------------------------------------------------------------------------
 
+def hour_path(root: str, when: datetime) -> str:
+    """Landing folder of one hour; readers of a single hour list nothing else."""
+    return f"{root}/year={when:%Y}/month={when:%m}/day={when:%d}/hour={when:%H}"
+
+
 def list_landing(spark: SparkSession, path: str) -> DataFrame:
     """Files below a landing prefix: path, size, modification time. File contents are not read."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)

@@ -2,11 +2,13 @@
 
 import json
 from datetime import datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import at
 from riskloom.plans import silver
+from riskloom.sources.files import hour_path
 from riskloom.sources.tables import append
 from riskloom.streaming import bronze, checks, features
 from tests.conftest import AS_OF, rows
@@ -39,7 +41,8 @@ def _run(spark, src, base):
 
 def test_bronze_takes_each_file_once_and_keeps_late_rows(spark, tmp_path):
     src, base = tmp_path / "in", tmp_path / "out"
-    hour = src / "year=2024" / "month=01" / "day=31" / "hour=00"
+    hour = Path(hour_path(str(src), NOW))
+    assert hour == src / "year=2024" / "month=01" / "day=31" / "hour=00"
     _write(hour, "a.json", DUPLICATES, "{broken\n")
     assert _run(spark, src, base).count() == 30
     assert _run(spark, src, base).count() == 30

@@ -111,6 +111,15 @@ def test_metrics_on_an_empty_table(spark):
     assert got == {"NULL_RATE": 0.0, "FRESHNESS_HOURS": -1.0}
 
 
+def test_metrics_observed_during_a_write(spark, tmp_path):
+    from pyspark.sql import Observation
+    df = spark.createDataFrame([("a", "m"), (None, "m")], "txn_id string, member_id string")
+    checks = [a for a in quality.BRONZE_CHECKS if a.table == "RAW_TRANSACTIONS" and a.column != "txn_timestamp"]
+    seen = Observation("load")
+    quality.observe_metrics(df, seen, checks, AS_OF).write.parquet(str(tmp_path / "o"))
+    assert {k: float(v) for k, v in seen.get.items()} == {"txn_id:NULL_RATE": 0.5, "member_id:NULL_RATE": 0.0}
+
+
 def test_gate_and_quarantine(spark):
     df = spark.createDataFrame([(1,), (-1,), (None,)], "v int")
     good, held = quality.quarantine(df, {"positive": F.col("v") >= 0})
