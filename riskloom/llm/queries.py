@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, sharding, token_counts, warc
+from riskloom.llm import bpe, decontaminate, minhash_forest, sharding, token_counts, url_filters, warc
 from riskloom.llm.common import read_table, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,11 +29,55 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+RULES = (url_filters.Rule("net/", "block"), url_filters.Rule("example.net/en/", "allow"),
+         url_filters.Rule("example.com/de/", "block"), url_filters.Rule("org/fr/", "allow"))
+
+
+@query("op1_url_filters")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = url_filters.labelled_pages(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
+    return url_filters.judge_urls(pages, RULES, bad_col="bad")
+
+
 @query("op2_token_counts")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
 
+WORD_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@query("op3_decontaminate", f"""
+WITH d AS (
+    SELECT doc_id, {WORD_SQL} AS w FROM documents
+), b AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, {WORD_SQL} AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item, array_to_string(w[s + 1 : s + least(10, len(w))], ' ') AS win, least(10, len(w)) AS n
+    FROM (SELECT item, w, unnest(range(0, greatest(len(w) - 10, 0) + 1)) AS s FROM b WHERE len(w) > 0)
+), lengths AS (
+    SELECT DISTINCT n FROM windows
+), starts AS (
+    SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS s FROM d, lengths WHERE len(w) >= n
+), hits AS (
+    SELECT doc_id, s, h.n, item FROM starts h JOIN windows v ON v.n = h.n AND v.win = array_to_string(w[s + 1 : s + h.n], ' ')
+), marked AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("spans")
+
+
 @query("op5_warc", """
 WITH p AS (
     SELECT page_id, coalesce(html, '') AS body FROM pages
@@ -66,3 +110,32 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_sha256("ids").alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op10_minhash_forest", r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[s + 1 : s + 5], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 4, 1))) AS s FROM w WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+    SELECT x.a, x.b FROM (
+        SELECT l.doc_id AS a, r.doc_id AS b, count(*) AS common FROM shingles l JOIN shingles r ON l.g = r.g AND l.doc_id <> r.doc_id
+        GROUP BY ALL) x
+    JOIN sizes p ON p.doc_id = x.a JOIN sizes q ON q.doc_id = x.b
+    WHERE 100 * common >= 85 * (p.n + q.n - common)
+), reach AS (
+    SELECT doc_id AS node, doc_id AS seen FROM w
+    UNION
+    SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.seen
+), least AS (
+    SELECT node, min(seen) AS component_id FROM reach GROUP BY node
+)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w JOIN least ON least.node = w.doc_id LEFT JOIN sizes USING (doc_id)
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.near_duplicates(read_table(spark, sf_dir, "documents"))
