@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, decontaminate, minhash_forest, sharding, token_counts, url_filters, warc
+from riskloom.llm import bpe, decontaminate, minhash_forest, sharding, substring_dedup, token_counts, url_filters, warc
 from riskloom.llm.common import read_table, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,28 @@ FROM w JOIN least ON least.node = w.doc_id LEFT JOIN sizes USING (doc_id)
 """)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query("op9_substring_dedup", r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, s, sha256(array_to_string(w[s + 1 : s + 50], ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(0, len(w) - 49)) AS s FROM d WHERE len(w) >= 50)
+), firsts AS (
+    SELECT h, min(doc_id) AS first FROM windows GROUP BY h
+), gone AS (
+    SELECT DISTINCT doc_id, p FROM (
+        SELECT doc_id, unnest(range(s, s + 50)) AS p FROM windows JOIN firsts USING (h) WHERE first < doc_id)
+), words AS (
+    SELECT doc_id, unnest(range(0, len(w))) AS p, unnest(w) AS word FROM d
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
