@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, decontaminate, minhash_forest, sharding, substring_dedup, token_counts, url_filters, warc
+from riskloom.llm import bpe, decontaminate, embedding_dedup, minhash_forest, sharding, substring_dedup, token_counts, toxicity, url_filters, warc
 from riskloom.llm.common import read_table, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,33 @@ FROM d LEFT JOIN kept USING (doc_id)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_embedding_dedup", """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), good AS (
+    SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y
+        ON x.label = y.label AND x.vec_id <> y.vec_id AND list_cosine_similarity(x.e, y.e) >= 0.98
+), reach AS (
+    SELECT vec_id AS node, vec_id AS seen FROM v
+    UNION
+    SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.seen
+), least AS (
+    SELECT node, min(seen) AS component_id FROM reach GROUP BY node
+), degree AS (
+    SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least ON node = vec_id LEFT JOIN degree ON a = vec_id
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))

@@ -38,12 +38,13 @@ class Words:
         return self.first[self.row + 1] - np.arange(len(self.row))
 
 
-def split_words(data: np.ndarray, bounds: np.ndarray, fold: bool) -> Words:
-    """Words of rows whose bytes lie between successive ``bounds``. ``fold`` lower-cases A-Z."""
+def split_words(data: np.ndarray, bounds: np.ndarray, fold: bool, inside_word: np.ndarray | None = None) -> Words:
+    """Words of rows whose bytes lie between successive ``bounds``. ``fold`` lower-cases A-Z. ``inside_word`` tells for
+    each byte whether it belongs to words; without it, all but white space does."""
     rows = len(bounds) - 1
     if fold:
         data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    inside = ~((data == 32) | ((data >= 9) & (data <= 13))) if inside_word is None else inside_word[data]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
     edge = bounds[:-1][bounds[:-1] < len(data)]
@@ -65,7 +66,23 @@ def split_words(data: np.ndarray, bounds: np.ndarray, fold: bool) -> Words:
 SIGNS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def word_batches(texts: pa.Array, fold: bool) -> Iterator[tuple[int, int, Words]]:
+def letters_and_digits() -> np.ndarray:
+    """Bytes of words of lower-case ASCII letters, digits and all characters beyond ASCII."""
+    b = np.arange(256)
+    return (b >= 48) & (b <= 57) | (b >= 97) & (b <= 122) | (b >= 128)
+
+
+def prefix_hashes(w: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the first ``length`` bytes of the words that have so many, and those words' rows."""
+    long = w.size >= length
+    begin = w.begin[long]
+    total = np.full(len(begin), length, np.uint64)
+    for i, power in enumerate(powers(length)[:length]):
+        total += SIGNS[w.data[begin + i]] * power
+    return mix(mix(total) + np.uint64(length)), w.row[long]
+
+
+def word_batches(texts: pa.Array, fold: bool, inside_word: np.ndarray | None = None) -> Iterator[tuple[int, int, Words]]:
     """Words of an Arrow column of texts, in runs of rows that fit in memory. A null has none."""
     bounds = offsets(texts)
     valid = texts.is_valid().to_numpy(zero_copy_only=False)
@@ -78,7 +95,7 @@ def word_batches(texts: pa.Array, fold: bool) -> Iterator[tuple[int, int, Words]
             keep = [data[bounds[i]:bounds[i + 1]] for i in range(a, b) if valid[i]]
             part = np.concatenate(keep) if keep else np.zeros(0, np.uint8)
             own = np.append(0, np.cumsum(sizes[a:b]))
-        yield a, b, split_words(part, own.astype(np.int64), fold)
+        yield a, b, split_words(part, own.astype(np.int64), fold, inside_word)
 
 
 def sequence_hashes(hashes: np.ndarray, length: int, salt: int = 0) -> np.ndarray:
