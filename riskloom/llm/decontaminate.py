@@ -117,6 +117,16 @@ def covered(spans: str) -> Column:
     return F.aggregate(F.sort_array(spans), zero, add, lambda acc: acc["n"])
 
 
+def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that hold a window of some item; all columns stay."""
+    text = text_or_empty(text_col)
+    rows = docs.withColumns({"_id": F.col(id_col), "_version": F.xxhash64(text)})
+    windows = cut(item_windows(items))
+    base = rows.select(F.col("_id").alias("doc"), F.col("_version").alias("version"), words_of(text).alias("_w"))
+    bad = occurrences(base, windows).select("doc", "version").distinct()
+    return rows.join(bad, F.col("_id").eqNullSafe(F.col("doc")) & (F.col("_version") == F.col("version")), "left_anti").drop("_id", "_version")
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, n_words, n_hit, n_items, items_sha256, contaminated, and ``spans``, the windows' places."""
     text = text_or_empty(text_col)

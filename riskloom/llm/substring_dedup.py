@@ -22,12 +22,14 @@ whatever their names; texts are never cut.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.llm.common import cut, stored
 from riskloom.llm.minhash_forest import class_keys
@@ -88,8 +90,9 @@ def _windows(window: int):
     return run
 
 
-def _removal(window: int):
-    """Text of the words that stay, from each row's window starts; ``copy`` marks later copies of a whole text."""
+def _removal(window: int, as_is: bool):
+    """Words that stay, from each row's window starts; ``copy`` marks later copies of a whole text. The columns from the
+    fifth on are passed through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -111,8 +114,11 @@ def _removal(window: int):
                 keep = np.cumsum(steps)[:-1] == 0
                 texts = _joined(w, keep)
                 gone = count - np.bincount(w.row[keep], minlength=b - a)
-                yield pa.record_batch([batch.column(0).slice(a, b - a), pa.array(count), pa.array(gone), texts],
-                                      names=["doc", "n_words", "n_removed", "kept"])
+                if as_is:
+                    texts = pc.if_else(pa.array(gone == 0), batch.column(1).slice(a, b - a), texts)
+                rest = [c.slice(a, b - a) for c in batch.columns[4:]]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(count), pa.array(gone), texts, *rest],
+                                                 names=["doc", "n_words", "n_removed", "kept", *batch.schema.names[4:]])
     return run
 
 
@@ -155,12 +161,19 @@ def same_row(left: DataFrame, right: DataFrame):
     return left["doc"].eqNullSafe(right["doc"]) & (left["version"] == right["version"])
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_words, n_removed and ``kept``, the kept words joined by one blank."""
+def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+                   carry: Sequence[str] = (), as_is: bool = False) -> DataFrame:
+    """Per row: id, n_words, n_removed, ``kept``, the kept words joined by one blank, and the columns of ``carry``. With
+    ``as_is`` a text that loses nothing is returned as it was."""
     text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("version"), text.alias("text"))
+    version = F.xxhash64(F.coalesce(text, F.lit("")))
+    more = F.struct(*[F.col(c) for c in carry]) if carry else F.struct(F.lit(0))
+    whole = docs.select(F.col(id_col).cast("long").alias("doc"), version.alias("version"), text.alias("text"), more.alias("carried"))
+    rows = whole.select("doc", "version", "text")
     copies, starts = repeated_starts(rows, window)
-    j = rows.join(copies, same_row(rows, copies), "left").select(rows["doc"], rows["version"], "text", "copy")
-    j = j.join(starts, same_row(j, starts), "left").select(j["doc"], "text", F.coalesce("copy", F.lit(False)).alias("copy"), "starts")
-    out = j.mapInArrow(_removal(window), "doc long, n_words long, n_removed long, kept string")
-    return out.withColumnRenamed("doc", id_col)
+    j = whole.join(copies, same_row(whole, copies), "left").select(whole["doc"], whole["version"], "text", "copy", "carried")
+    j = j.join(starts, same_row(j, starts), "left").select(j["doc"], "text", F.coalesce("copy", F.lit(False)).alias("copy"), "starts", "carried")
+    shape = T.StructType([T.StructField("doc", T.LongType()), T.StructField("n_words", T.LongType()),
+                          T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()), j.schema["carried"]])
+    out = j.mapInArrow(_removal(window, as_is), shape)
+    return out.select(F.col("doc").alias(id_col), "n_words", "n_removed", "kept", *[F.col("carried")[c].alias(c) for c in carry])
