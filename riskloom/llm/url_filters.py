@@ -97,7 +97,7 @@ def template_purity(pages: DataFrame) -> DataFrame:
     shape = F.least(F.max("_size"), F.lit(DEPTH + 1))
     leaves = pages.groupBy("host", "template").agg(
         shape.alias("shape"), F.count("bad").alias("seen"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("bad"))
-    overall = leaves.agg(((F.sum("bad") + 1) / (F.sum("seen") + 2)).alias("base"))
+    overall = leaves.agg((F.sum("bad") / (F.sum("seen") + 1)).alias("base"))
     leaves = leaves.join(F.broadcast(overall))  # one row
     leaves = leaves.withColumn("share", (F.col("bad") + WEIGHT * F.col("base")) / (F.col("seen") + WEIGHT))
     siblings = Window.partitionBy("host", "shape").orderBy("share", "template")
