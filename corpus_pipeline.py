@@ -8,7 +8,7 @@ stage's documents. All but the last return the columns of ``documents``:
 3. substring_dedup: passages of 50 words that an earlier document has are cut out; ``n_chars`` follows the new text, and a
    document of which nothing is left goes. Texts that lose nothing stay as they are.
 4. decontamination: documents that hold a window of a ``benchmark`` item go.
-5. bpe: whole texts as token ids, and digests of the ids and of the text decoded from them.
+5. bpe: whole texts as packed token ids, and digests of the ids and of the text decoded from them.
 
 The first stage fits a model, which SQL cannot express, so ORACLE_SQL is None; tests hold every stage and the whole
 against brute force.
@@ -56,10 +56,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    path = public_tokenizers.path(BPE_FILE)
-    back = bpe.decode(bpe.encode(docs, path), path)
-    return back.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_sha256("ids").alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    back = bpe.round_trip(docs, public_tokenizers.path(BPE_FILE))
+    return back.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

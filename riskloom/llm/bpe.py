@@ -11,18 +11,17 @@ rows; repeated rows each give a row; further columns are ignored, whatever their
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.bpe_core import Vocabulary, vocabulary
-from riskloom.llm.frequent import frequent_words, offsets, split_batches
+from riskloom.llm.frequent import frequent_words, split_batches
 from riskloom.llm.pretokens import Pieces
 from riskloom.llm.transducer import Lexicon, compile_lexicon, map_lexicon
 
@@ -63,12 +62,7 @@ def _encode(p: Pieces, n_docs: int, lexicon: Lexicon, vocab: Vocabulary) -> tupl
     return ids, np.bincount(p.doc, weights=count[back], minlength=n_docs).astype(np.int64)
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id and ``ids``, the whole text's token ids."""
-    vocab = vocabulary(path)
-    data = docs.sparkSession.sparkContext.broadcast(
-        build_lexicon(frequent_words(docs, path, LEXICON_WORDS, text_col), vocab).to_bytes())
-
+def _encoder(data: Broadcast, path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, vocab = map_lexicon(data.value), vocabulary(path)
         for batch in batches:
@@ -76,40 +70,64 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 continue
             for a, b, p in split_batches(batch.column(1), path):
                 ids, counts = _encode(p, b - a, lexicon, vocab)
-                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.record_batch([batch.column(0).slice(a, b - a), lists], names=["id", "ids"])
-
-    shape = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, shape).withColumnRenamed("id", id_col))
+                bounds = np.append(0, np.cumsum(4 * counts)).astype(np.int32)
+                packed = pa.BinaryArray.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(bounds), pa.py_buffer(ids.astype("<u4"))])
+                yield pa.record_batch([batch.column(0).slice(a, b - a), pa.array(counts), packed], names=["id", "n_tokens", "ids"])
+    return run
 
 
-def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
-    """``encoded`` with ``decoded``, the text of its ids; bytes that are no UTF-8 become replacement signs."""
+def _decoder(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         blob = np.frombuffer(b"".join(vocab.bytes_of), np.uint8)
         size = np.array([len(b) for b in vocab.bytes_of], np.int64)
         begin = np.cumsum(size) - size
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            lists = batch.column(1)
-            bound = offsets(lists)
             texts = []
-            for a, b in zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True):
-                ids = lists.values.slice(a, b - a).to_numpy(zero_copy_only=False)
+            for packed in batch.column(2):
+                ids = np.frombuffer(packed.as_buffer(), "<u4")
                 texts.append(blob[ranges(begin[ids], size[ids])].tobytes().decode("utf-8", "replace"))
-            yield pa.record_batch([batch.column(0), lists, pa.array(texts, pa.string())], names=["id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=["id", "n_tokens", "ids", "decoded"])
+    return run
 
-    shape = T.StructType([T.StructField("id", encoded.schema[id_col].dataType),
-                          T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
-    return encoded.select(F.col(id_col).alias("id"), "ids").mapInArrow(run, shape).withColumnRenamed("id", id_col)
+
+def _shape(kind: T.DataType, decoded: bool) -> T.StructType:
+    fields = [T.StructField("id", kind), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
+    return T.StructType([*fields, T.StructField("decoded", T.StringType())] if decoded else fields)
 
 
-def ids_sha256(ids: str) -> Column:
-    """Digest of ids as little-endian unsigned 32-bit integers."""
-    def digest(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda x: hashlib.sha256(np.asarray(x, "<u4").tobytes()).hexdigest())
+def _encoding(docs: DataFrame, path: str, id_col: str, text_col: str):
+    lexicon = build_lexicon(frequent_words(docs, path, LEXICON_WORDS, text_col), vocabulary(path))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows, _encoder(docs.sparkSession.sparkContext.broadcast(lexicon.to_bytes()), path)
+
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: the id, ``n_tokens`` and ``ids``, the whole text's token ids, packed as little-endian unsigned 32-bit
+    integers."""
+    rows, run = _encoding(docs, path, id_col, text_col)
+    return rows.mapInArrow(run, _shape(docs.schema[id_col].dataType, False)).withColumnRenamed("id", id_col)
 
-    return F.pandas_udf(digest, T.StringType())(ids)
+
+def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
+    """``encoded`` with ``decoded``, the text of its ids; bytes that are no UTF-8 become replacement signs."""
+    rows = encoded.select(F.col(id_col).alias("id"), "n_tokens", "ids")
+    return rows.mapInArrow(_decoder(path), _shape(encoded.schema[id_col].dataType, True)).withColumnRenamed("id", id_col)
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode`` of ``encode`` in one pass: a task's worker hands each run of encoded rows on to the decoder."""
+    rows, run = _encoding(docs, path, id_col, text_col)
+    back = _decoder(path)
+    return rows.mapInArrow(lambda batches: back(run(batches)), _shape(docs.schema[id_col].dataType, True)).withColumnRenamed("id", id_col)
+
+
+def ids_of(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The packed ids as arrays of integers."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [np.frombuffer(x.as_buffer(), "<u4").astype(np.int32) for x in batch.column(1)]
+            yield pa.record_batch([batch.column(0), pa.array(lists, pa.list_(pa.int32()))], names=["id", "ids"])
+
+    shape = T.StructType([T.StructField("id", encoded.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return encoded.select(F.col(id_col).alias("id"), "ids").mapInArrow(run, shape).withColumnRenamed("id", id_col)

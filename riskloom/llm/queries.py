@@ -106,10 +106,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_bpe_round_trip")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(BPE_FILE)
-    back = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path)
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_sha256("ids").alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    back = bpe.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
+    return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query("op10_minhash_forest", r"""

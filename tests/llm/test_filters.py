@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -201,7 +202,6 @@ def test_toxicity_without_labels(spark):
 
 
 def test_thresholds_stay_in_order():
-    import numpy as np
     rng = np.random.default_rng(0)
     grades = rng.integers(0, 4, 200)
     rows, cols = np.repeat(np.arange(200), grades), np.concatenate([np.arange(g) for g in grades])
@@ -366,7 +366,7 @@ def test_pipeline(spark, tmp_path):
     want = sorted((i, t or "") for i, t in left if i not in dirty)
     lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     got = corpus_pipeline.run(spark, path).collect()
-    assert sorted((r["doc_id"], r["ids"]) for r in got) == [(i, lib.encode(t, add_special_tokens=False).ids) for i, t in want]
+    assert sorted((r["doc_id"], np.frombuffer(r["ids"], "<u4").tolist()) for r in got) == [(i, lib.encode(t, add_special_tokens=False).ids) for i, t in want]
     assert all(r["decoded_sha256"] == hashlib.sha256(dict(want)[r["doc_id"]].encode()).hexdigest() for r in got)
     ids = {i for i, _ in want}
     assert {1, 202, 207, 208, 209} <= ids and not {200, 203, 204, 205, 206} & ids

@@ -68,20 +68,23 @@ def test_counts_and_round_trip(spark, library):
     got = token_counts.token_counts(df, PATH).collect()
     assert sorted((r[0], r[1], r[2]) for r in got) == want
     assert all(r["over_limit"] == (r["n_tokens"] > 512) for r in got)
-    back = bpe.decode(bpe.encode(df, PATH), PATH).select("doc_id", "ids", "decoded", bpe.ids_sha256("ids").alias("sha")).collect()
-    assert sorted((r["doc_id"], r["ids"], r["decoded"]) for r in back) == sorted(
-        (i, library.encode(t or "", add_special_tokens=False).ids, t or "") for i, t in rows)
-    assert all(r["sha"] == hashlib.sha256(np.array(r["ids"], "<u4").tobytes()).hexdigest() for r in back)
+    want = sorted((i, library.encode(t or "", add_special_tokens=False).ids, t or "") for i, t in rows)
+    encoded = bpe.encode(df, PATH)
+    for back in (bpe.decode(encoded, PATH), bpe.round_trip(df, PATH)):
+        got = back.select("*", F.sha2("ids", 256).alias("sha")).collect()
+        assert sorted((r["doc_id"], np.frombuffer(r["ids"], "<u4").tolist(), r["decoded"]) for r in got) == want
+        assert all(r["n_tokens"] * 4 == len(r["ids"]) and r["sha"] == hashlib.sha256(r["ids"]).hexdigest() for r in got)
+    assert sorted((r["doc_id"], r["ids"]) for r in bpe.ids_of(encoded).collect()) == [w[:2] for w in want]
 
 
 def test_empty_tables(spark):
     ship_package(spark)
     none = docs_df(spark, [])
     assert token_counts.token_counts(none, PATH).count() == 0
-    assert bpe.decode(bpe.encode(none, PATH), PATH).count() == 0
+    assert bpe.round_trip(none, PATH).count() == 0
     only_null = docs_df(spark, [(1, None)])
     assert token_counts.token_counts(only_null, PATH).head()["n_tokens"] == 0
-    assert bpe.encode(only_null, PATH).select(F.size("ids")).head()[0] == 0
+    assert bpe.encode(only_null, PATH).select("n_tokens", F.length("ids")).head() == (0, 0)
 
 
 def test_length_table_probes_past_collisions():
