@@ -161,11 +161,11 @@ def alerts_for_search(lake: Lake):
     return search.alerts_for_search(lake.raw("alert_notes"))
 
 
-@query("text_topk", """
-WITH words AS (SELECT alert_id, list_filter(regexp_split_to_array(lower(description), '[^a-z0-9]+'), lambda t: t <> '') AS w FROM alert_notes),
+@query("text_topk", r"""
+WITH words AS (SELECT alert_id, list_filter(regexp_split_to_array(lower(description), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w FROM alert_notes),
 sized AS (SELECT alert_id, len(w) AS n, w FROM words),
 tot AS (SELECT count(*) AS docs, CAST(sum(n) AS DOUBLE) / count(*) AS avg_len FROM sized),
-asked AS (SELECT DISTINCT item_id AS query_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda t: t <> '')) AS term FROM benchmark),
+asked AS (SELECT DISTINCT item_id AS query_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda t: t <> '')) AS term FROM benchmark),
 post AS (SELECT alert_id, term, n, count(*) AS tf FROM (SELECT alert_id, n, unnest(w) AS term FROM sized) x
   WHERE term IN (SELECT term FROM asked) GROUP BY alert_id, term, n),
 df AS (SELECT term, count(*) AS df FROM post GROUP BY term),

@@ -96,11 +96,24 @@ def reject_by_file(lake: Lake):
 @query("load_audit", f"""
 SELECT 'BRONZE.RAW_TRANSACTIONS' AS table_name, _source_file AS source_name, count(*) AS rows_parsed,
   count(*) FILTER (WHERE {GOOD_TXN}) AS rows_loaded, count(*) FILTER (WHERE NOT ({GOOD_TXN})) AS rows_rejected,
+  CASE WHEN bool_and({GOOD_TXN}) THEN 'LOADED' WHEN bool_or({GOOD_TXN}) THEN 'PARTIALLY_LOADED' ELSE 'LOAD_FAILED' END AS status,
   {NOW} AS last_load_time
 FROM landing_transactions GROUP BY 2""")
 def load_audit(lake: Lake):
-    audit = ingest.load_audit(transaction_load(lake, transaction_files(lake)), at(lake.as_of)).drop("status")
-    return _by_bucket(audit, "path", "rows_parsed", "rows_loaded", "rows_rejected")
+    """One source may lie in several files; its status is that of all its rows."""
+    audit = ingest.load_audit(transaction_load(lake, transaction_files(lake)), at(lake.as_of))
+    return ingest.with_status(_by_bucket(audit.drop("status"), "path", "rows_parsed", "rows_loaded", "rows_rejected"))
+
+
+@query("recent_loads", f"""
+SELECT 'BRONZE.RAW_TRANSACTIONS' AS table_name, _source_file AS source_name, count(*) AS rows_parsed
+FROM landing_transactions GROUP BY 2 ORDER BY 2 LIMIT 10""")
+def recent_loads(lake: Lake):
+    """The ten loads of the last hour that come first in the report."""
+    audit = ingest.load_audit(transaction_load(lake, transaction_files(lake)), at(lake.as_of))
+    by_source = _by_bucket(audit.drop("status", "rows_loaded", "rows_rejected"), "path", "rows_parsed")
+    found = ingest.recent_loads(by_source.withColumnRenamed("source_name", "path"), lake.as_of)
+    return found.select("table_name", F.col("path").alias("source_name"), "rows_parsed")
 
 
 @query("pending_files", "SELECT DISTINCT _source_file AS source_name FROM landing_transactions WHERE _source_file >= 'txn_4'")

@@ -91,16 +91,16 @@ def ops_cost_total(lake: Lake):
     return ops.credits_total(lake.raw("usage_log"), lake.as_of)
 
 
-WAREHOUSES = ("RISK_INGEST", "RISK_TRANSFORM", "RISK_ANALYTICS", "RISK_AI")
+# Values that the input holds; the Spark side finds them itself.
+WAREHOUSES = ("RISK_INGEST", "RISK_TRANSFORM", "RISK_ANALYTICS", "RISK_AI", "RISK_NEW")
 
 
 @query("ops_cost_pivot", "SELECT usage_date, " + ", ".join(
     f"CAST(coalesce(sum(credits_used) FILTER (WHERE warehouse_name = '{w}'), 0) AS DECIMAL(30,4)) AS {w}" for w in WAREHOUSES)
     + f" FROM ({COST}) c GROUP BY 1")
 def ops_cost_pivot(lake: Lake):
-    wide = ops.pivot_fill(ops.credits_daily(lake.raw("usage_log"), lake.as_of), "usage_date", "warehouse_name",
-                          "credits_used", WAREHOUSES)
-    return wide.select("usage_date", *[F.col(w).cast("decimal(30,4)").alias(w) for w in WAREHOUSES])
+    wide = ops.pivot_fill(ops.credits_daily(lake.raw("usage_log"), lake.as_of), "usage_date", "warehouse_name", "credits_used")
+    return wide.select("usage_date", *[F.col(w).cast("decimal(30,4)").alias(w) for w in wide.columns[1:]])
 
 
 @query("ops_status_totals", "SELECT status, count(*) AS n FROM tasks GROUP BY 1")
@@ -130,7 +130,7 @@ STATES = ("Complete", "In Progress", "Blocked", "Not Started")
 @query("ops_owner_pivot", "SELECT owner, " + ", ".join(
     f"count(*) FILTER (WHERE status = '{s}') AS \"{s}\"" for s in STATES) + " FROM tasks GROUP BY 1")
 def ops_owner_pivot(lake: Lake):
-    return ops.pivot_fill(lake.raw("tasks"), "owner", "status", "id", STATES, F.count)
+    return ops.pivot_fill(lake.raw("tasks"), "owner", "status", "id", F.count)
 
 
 @query("ops_gantt", """

@@ -16,18 +16,6 @@ SALTS = 32
 _TRACKED = 10_000
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """The optimiser's size estimate."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    num = raw.rstrip("bkmg")
-    return int(num) * units.get(raw[len(num):], 1)
-
-
 def heavy_keys(df: DataFrame, key: str) -> list[str]:
     """Keys, as text, with more than ``1/HEAVY`` of the non-NULL rows; at most ``HEAVY`` values."""
     row = df.where(F.col(key).isNotNull()).agg(
@@ -47,12 +35,9 @@ def _salted(left: DataFrame, right: DataFrame, key: str, hot: list) -> tuple[Dat
 def lookup_join(left: DataFrame, right: DataFrame, key: str, hot: list | None = None) -> DataFrame:
     """Left join to a side with one row per key.
 
-    A right side under the broadcast limit is left to the optimiser. Above it, left rows with a NULL key skip the
-    shuffle and heavy keys are salted.
+    Left rows with a NULL key skip the shuffle. Adaptive execution splits heavy keys of a left join by itself; keys
+    given in ``hot`` are salted as well. Whether the right side is broadcast is the optimiser's choice.
     """
-    if hot is None and planned_bytes(right) <= broadcast_limit(right):
-        return left.join(right, key, "left")
-    hot = heavy_keys(left, key) if hot is None else hot
     keyed, bare = left.where(F.col(key).isNotNull()), left.where(F.col(key).isNull())
     if hot:
         a, b = _salted(keyed, right, key, hot)
@@ -63,7 +48,7 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, hot: list | None =
 
 
 def outer_join_unique_right(left: DataFrame, right: DataFrame, left_key: str, right_key: str, condition: Column,
-                            left_only: Column, hot: list | None = None, small: int = 256 << 20) -> DataFrame:
+                            left_only: Column, hot: list | None = None) -> DataFrame:
     """Full outer join to a side with one row per key, keeping rows that meet ``condition``.
 
     Left rows with a NULL key match nothing, so they bypass the shuffle and only need ``left_only``. A heavy left key
@@ -72,7 +57,7 @@ def outer_join_unique_right(left: DataFrame, right: DataFrame, left_key: str, ri
     """
     keyed, bare = left.where(F.col(left_key).isNotNull()), left.where(F.col(left_key).isNull() & left_only)
     if hot is None:
-        hot = heavy_keys(keyed, left_key) if planned_bytes(left) > small else []
+        hot = heavy_keys(keyed, left_key)
     if hot:
         a = keyed.withColumnRenamed(left_key, "_k")
         b = right.withColumn("_k", F.col(right_key))

@@ -125,12 +125,15 @@ def mark_reprocessed(dl: DataFrame, ids: DataFrame, now: Column) -> DataFrame:
 def load_audit(load: Load, now: Column) -> DataFrame:
     """Rows parsed, loaded and rejected per file; also the ledger of loaded files."""
     bad = F.size("errors") > 0
-    return load.checked.groupBy(F.col(FILE).alias("path")).agg(
-        F.count(F.lit(1)).alias("rows_parsed"), F.count_if(~bad).alias("rows_loaded"),
-        F.count_if(bad).alias("rows_rejected")).select(
-        F.lit(load.contract.table).alias("table_name"), "path", "rows_parsed", "rows_loaded", "rows_rejected",
-        F.when(F.col("rows_rejected") == 0, "LOADED").when(F.col("rows_loaded") == 0, "LOAD_FAILED")
-        .otherwise("PARTIALLY_LOADED").alias("status"), now.alias("last_load_time"))
+    counts = load.checked.groupBy(F.col(FILE).alias("path")).agg(
+        F.count(F.lit(1)).alias("rows_parsed"), F.count_if(~bad).alias("rows_loaded"), F.count_if(bad).alias("rows_rejected"))
+    return with_status(counts.withColumns({"table_name": F.lit(load.contract.table), "last_load_time": now}))
+
+
+def with_status(audit: DataFrame) -> DataFrame:
+    """Outcome of a load from its counts."""
+    return audit.withColumn("status", F.when(F.col("rows_rejected") == 0, "LOADED").when(F.col("rows_loaded") == 0, "LOAD_FAILED")
+                            .otherwise("PARTIALLY_LOADED"))
 
 
 def recent_loads(audit: DataFrame, as_of: str, hours: int = 1, k: int = 10) -> DataFrame:

@@ -70,7 +70,7 @@ def refresh_all(store: ZoneStore, bronze: dict[str, DataFrame], nodes: Sequence[
             store.write(node.zone, node.name, df)
             have[node.name] = store.read(node.zone, node.name)
         except Exception as e:
-            state, message = "FAILED", str(e)[:500]
+            state, message = "FAILED", str(e)
             raise
         finally:
             _log_run(store, node, "FULL", start, state, message)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,10 +84,11 @@ def credits_total(usage: DataFrame, as_of: str, pre: str = "RISK_", days: int =
         F.sum("credits_used").cast("decimal(20,4)").alias("credits_used"))
 
 
-def pivot_fill(df: DataFrame, index: str, column: str, value: str, values: Sequence[str], how=F.sum) -> DataFrame:
-    """One column per listed value, zero where a cell has no rows. Naming the values avoids an extra pass for them."""
-    wide = df.groupBy(index).pivot(column, list(values)).agg(how(value))
-    return wide.select(index, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).alias(v) for v in values])
+def pivot_fill(df: DataFrame, index: str, column: str, value: str, how=F.sum) -> DataFrame:
+    """One column per value that occurs, in sorted order, zero where a cell has no rows. A missing value's column is
+    called ``null``. The values become columns, so their number is limited by Spark's pivot limit, which fails loudly."""
+    wide = df.groupBy(index).pivot(column).agg(how(value))
+    return wide.select(index, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).alias(v) for v in wide.columns if v != index])
 
 
 # --- status tables ------------------------------------------------------------------------------
@@ -130,29 +129,6 @@ def recent_count(events: DataFrame, as_of: str, channel: str | None = None, minu
 
 # --- lineage ------------------------------------------------------------------------------------
 
-# Which table feeds which.
-LINEAGE = {
-    "BRONZE.RAW_TRANSACTIONS": ["SILVER.CLEANSED_TRANSACTIONS"],
-    "BRONZE.RAW_MEMBERS": ["SILVER.ENRICHED_MEMBERS"],
-    "BRONZE.RAW_ALERTS": ["SILVER.ENRICHED_ALERTS"],
-    "BRONZE.RAW_INSTITUTIONS": ["GOLD.INSTITUTION_SUMMARY"],
-    "BRONZE.STREAMING_EVENTS": ["SILVER.DEDUP_EVENTS"],
-    "SILVER.CLEANSED_TRANSACTIONS": ["GOLD.DAILY_MEMBER_SUMMARY", "GOLD.MEMBER_ACTIVITY", "GOLD.INSTITUTION_SUMMARY"],
-    "SILVER.ENRICHED_MEMBERS": ["SILVER.ENRICHED_ALERTS", "GOLD.MEMBER_ACTIVITY",
-                                "FEATURE_STORE.OFFLINE_MEMBER_FEATURES"],
-    "SILVER.ENRICHED_ALERTS": ["GOLD.FRAUD_SIGNALS", "GOLD.MEMBER_ACTIVITY", "GOLD.INSTITUTION_SUMMARY",
-                               "ANALYTICS.ALERTS_FOR_SEARCH"],
-    "SILVER.DEDUP_EVENTS": ["GOLD.FRAUD_SIGNALS", "FEATURE_STORE.ONLINE_MEMBER_FEATURES"],
-    "GOLD.DAILY_MEMBER_SUMMARY": ["GOLD.SPENDING_ANOMALIES"],
-    "GOLD.MEMBER_ACTIVITY": ["FEATURE_STORE.OFFLINE_MEMBER_FEATURES"],
-}
-
-
-def lineage_edges(spark, feeds: dict[str, list[str]] = LINEAGE) -> DataFrame:
-    rows = [(up, down) for up, downs in feeds.items() for down in downs]
-    return spark.createDataFrame(rows, "upstream string, downstream string")
-
-
 def first_dependencies(edges: DataFrame, k: int = 50) -> DataFrame:
     return edges.select("downstream", "upstream", "type").orderBy("upstream", "downstream", "type").limit(k)
 

@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import as_text
-from riskloom.operators.skew import broadcast_limit, planned_bytes
 from riskloom.session import cut
 
 # Saturation and length weight of the ranking function.
 K1 = 1.2
 B = 0.75
 
+MAX_SHARED_ROWS = 500_000
+
 
 def alerts_for_search(alerts: DataFrame) -> DataFrame:
     return alerts.select("alert_id", "member_id", "institution_id", "alert_type", "severity", "description",
@@ -20,41 +21,43 @@ def alerts_for_search(alerts: DataFrame) -> DataFrame:
 
 
 def terms(text: Column) -> Column:
-    """Lower-case ASCII letter and digit runs of the whole text."""
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda t: t != "")
+    """Lower-case runs of letters and digits of any script, of the whole text."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+
+
+def shared_if_few(df: DataFrame) -> DataFrame:
+    """A broadcast hint for a table whose rows were counted and are few."""
+    return F.broadcast(df) if df.count() <= MAX_SHARED_ROWS else df
 
 
 def text_topk(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query_text: str,
               k: int = 5) -> DataFrame:
     """Best ``k`` documents per query by term frequency, rarity and length.
 
-    The text is read once: words of any query are kept with their counts, and one row without a word carries the
-    length of each document. Counted words are then placed by document, so scores add up inside a task and only ``k``
-    rows per query and task meet for the final ranking; query and document pairs are never shuffled. Query words are sent to all tasks only while their table is small.
+    Each text is turned into one row per distinct word with its count and the text's length; only words of some query
+    stay. Counted words are then placed by document, so scores add up inside a task and only ``k`` rows per query and
+    task meet for the final ranking; query and document pairs are never shuffled. Query words are sent to all tasks
+    only while they are few; beyond that both joins are by word, where adaptive execution splits frequent words.
     """
-    asked = queries.select(query_id, F.explode(F.array_distinct(terms(F.col(query_text)))).alias("term"))
-    small = planned_bytes(queries) * 4 <= broadcast_limit(queries)
-    share = F.broadcast if small else (lambda df: df)
-
-    words = docs.select(doc_id, terms(F.col(text)).alias("_terms")).select(
-        doc_id, F.size("_terms").alias("_len"), F.explode(F.concat(F.array(F.lit(None).cast("string")), "_terms")).alias("term"))
-    wanted = asked.select("term").distinct().withColumn("_asked", F.lit(True))
-    kept = words.join(share(wanted), "term", "left").where(F.col("term").isNull() | F.col("_asked"))
+    asked = cut(queries.select(query_id, F.explode(F.array_distinct(terms(F.col(query_text)))).alias("term")))
+    lists = docs.select(doc_id, terms(F.col(text)).alias("_terms")).withColumn("_len", F.size("_terms"))
+    sizes = lists.agg(F.count(F.lit(1)).alias("docs"), (F.sum("_len").cast("double") / F.count(F.lit(1))).alias("avg_len")).head()
+    if not sizes["docs"]:
+        sizes = {"docs": 0, "avg_len": 1.0}
+    words = lists.select(doc_id, "_len", F.explode("_terms").alias("term"))
+    kept = words.join(shared_if_few(asked.select("term").distinct()), "term", "left_semi")
     postings = cut(kept.groupBy(doc_id, "term", "_len").agg(F.count(F.lit(1)).alias("_tf")))
 
-    sizes = postings.where(F.col("term").isNull()).agg(
-        F.count(F.lit(1)).alias("docs"), (F.sum("_len").cast("double") / F.count(F.lit(1))).alias("avg_len")).head()
     n, avg_len = F.lit(sizes["docs"]), F.lit(sizes["avg_len"])
-    found = postings.where(F.col("term").isNotNull())
-    by_doc = found.repartition(F.col(doc_id))
-    spread = found.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
+    spread = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
     rarity = F.ln(1.0 + (n - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
-    weighted = asked.join(spread, "term").select(query_id, "term", rarity.alias("_w"))
+    weighted = cut(asked.join(spread, "term").select(query_id, "term", rarity.alias("_w")))
 
     damp = F.col("_tf") + F.lit(K1) * (F.lit(1.0 - B) + F.lit(B) * F.col("_len") / avg_len)
     # Whole billionths add up to the same sum in any order.
     part = F.round(F.col("_w") * F.col("_tf") * F.lit(K1 + 1.0) / damp * F.lit(1e9)).cast("bigint")
-    scored = by_doc.join(share(weighted), "term").groupBy(query_id, doc_id).agg(F.sum(part).alias("_s"))
+    by_doc = postings.repartition(F.col(doc_id))
+    scored = by_doc.join(shared_if_few(weighted), "term").groupBy(query_id, doc_id).agg(F.sum(part).alias("_s"))
     w = Window.partitionBy(query_id).orderBy(F.desc("_s"), F.asc(doc_id))
     return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select(query_id, doc_id, F.round(F.col("_s").cast("double") / F.lit(1e9), 6).alias("score"),

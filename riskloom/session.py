@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-
 
 def build_session(app: str = "riskloom", master: str | None = None, shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -32,16 +29,10 @@ def build_session(app: str = "riskloom", master: str | None = None, shuffle_part
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder from ``spark.checkpoint.dir``; a temporary one only in local mode without it."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if sc.applicationId not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[sc.applicationId] = tempfile.mkdtemp(prefix="riskloom-")
-    return _LOCAL_SCRATCH[sc.applicationId]
+    """Shared folder from ``spark.checkpoint.dir``; where it is unset, a folder in the session's warehouse, which all
+    executors share as well."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
+    return root.rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:

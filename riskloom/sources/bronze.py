@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.operators.skew import planned_bytes
-
 AS_OF = "2024-01-31 00:00:00"
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -154,7 +152,7 @@ FROM {events}
 """
 
 USAGE_LOG = """
-SELECT CASE event_id % 5 WHEN 0 THEN 'RISK_INGEST' WHEN 1 THEN 'RISK_TRANSFORM' WHEN 2 THEN 'RISK_ANALYTICS' WHEN 3 THEN 'RISK_AI' ELSE 'OTHER' END AS warehouse_name,
+SELECT CASE event_id % 6 WHEN 0 THEN 'RISK_INGEST' WHEN 1 THEN 'RISK_TRANSFORM' WHEN 2 THEN 'RISK_ANALYTICS' WHEN 3 THEN 'RISK_AI' WHEN 4 THEN 'RISK_NEW' ELSE 'OTHER' END AS warehouse_name,
   ts AS start_time, CAST(value / 10 AS DECIMAL(12,4)) AS credits_used
 FROM {events}
 """
@@ -255,16 +253,8 @@ BRONZE = {
 }
 
 
-# Inputs under this size are spread over all cores: a small file is often one row group, which one task would read,
-# transform and sort alone. Larger inputs keep the splits of their files and are not shuffled.
-SMALL_INPUT = 1 << 30
-
-
 def given_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if 1 << 17 < planned_bytes(df) < SMALL_INPUT:
-        return df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
-    return df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

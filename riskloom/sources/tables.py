@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,19 +34,25 @@ def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...])
     _spread(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
-def _key(ts: str) -> str:
-    """Sortable, path-safe form of a timestamp."""
-    return ts.replace(" ", "T").replace(":", "-")
+def _key(ts: str | datetime | date) -> str:
+    """Sortable, path-safe form of a moment, to the microsecond. A date alone is its midnight."""
+    if isinstance(ts, str):
+        ts = datetime.fromisoformat(ts.strip())
+    if not isinstance(ts, datetime):
+        ts = datetime(ts.year, ts.month, ts.day)
+    if ts.tzinfo is not None:
+        ts = ts.astimezone(timezone.utc)
+    return ts.strftime("%Y-%m-%dT%H-%M-%S.%f")
 
 
-def snapshot(df: DataFrame, path: str, ts: str) -> None:
+def snapshot(df: DataFrame, path: str, ts: str | datetime | date) -> None:
     """Keep the state of a table at ``ts``. Writing the same ``ts`` again replaces it, so a retry is safe."""
     df.write.mode("overwrite").option("compression", "snappy").parquet(f"{path}/{SNAPSHOT}={_key(ts)}")
 
 
 def snapshot_each(df: DataFrame, path: str, time: str) -> None:
     """Several snapshots in one write, one per value of the column ``time``."""
-    keyed = df.withColumn(SNAPSHOT, F.date_format(time, "yyyy-MM-dd'T'HH-mm-ss"))
+    keyed = df.withColumn(SNAPSHOT, F.date_format(time, "yyyy-MM-dd'T'HH-mm-ss.SSSSSS"))
     replace_partitions(keyed, path, (SNAPSHOT,))
 
 
@@ -57,7 +64,7 @@ def snapshots(spark: SparkSession, path: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{SNAPSHOT}="))
 
 
-def read_as_of(spark: SparkSession, path: str, ts: str) -> DataFrame:
+def read_as_of(spark: SparkSession, path: str, ts: str | datetime | date) -> DataFrame:
     """The table as it stood at ``ts``: the newest snapshot not after it. Only that snapshot's files are read."""
     known = [k for k in snapshots(spark, path) if k <= _key(ts)]
     if not known:
@@ -66,17 +73,17 @@ def read_as_of(spark: SparkSession, path: str, ts: str) -> DataFrame:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """One small text file, written in one step and moved into place."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(tmp, True)
+    """One small text file. It is written beside its place and then renamed over it in one step, so a reader finds the
+    old or the new text at any time."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    target, part = fs.Path(path), fs.Path(path + ".tmp")
+    conf = spark._jsc.hadoopConfiguration()
+    out = target.getFileSystem(conf).create(part, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(target):
-        fs.delete(target, False)
-    fs.rename(tmp, target)
+    options = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    options[0] = fs.Options.Rename.OVERWRITE
+    fs.FileContext.getFileContext(target.toUri(), conf).rename(part, target, options)
 
 
 def export_product(tables: dict[str, DataFrame], path: str, as_of: str, contract: dict | None = None) -> dict:

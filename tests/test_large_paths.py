@@ -17,13 +17,6 @@ def no_broadcast(spark):
     spark.conf.set(LIMIT, old)
 
 
-def test_limit_is_read_in_any_unit(spark, no_broadcast):
-    df = spark.range(1)
-    for text, size in (("10MB", 10 << 20), ("5m", 5 << 20), ("7", 7), ("-1", -1), ("10485760b", 10485760)):
-        spark.conf.set(LIMIT, text)
-        assert skew.broadcast_limit(df) == size
-
-
 @pytest.mark.parametrize("name", ["silver_alerts", "text_topk", "st_event_order", "sem_signals_by_severity_region"])
 def test_same_rows_without_broadcast(spark, no_broadcast, name):
     want = rows(QUERIES[name](spark, SF))
@@ -36,10 +29,10 @@ def test_sketch_drives_the_salted_joins(spark, no_broadcast):
     right = spark.createDataFrame([("hot", 1), ("k1", 2), ("alone", 9)], "k string, w int")
     cond = (F.col("v") % 2 == 0) | (F.col("w") > 0)
     want = rows(left.join(right, F.col("lk") == F.col("k"), "full_outer").where(cond))
-    got = skew.outer_join_unique_right(left, right, "lk", "k", cond, F.col("v") % 2 == 0, small=0)
+    got = skew.outer_join_unique_right(left, right, "lk", "k", cond, F.col("v") % 2 == 0)
     assert "_slot" in got._jdf.queryExecution().analyzed().toString() and rows(got) == want
     no_broadcast()
     named = left.withColumnRenamed("lk", "k")
-    looked = skew.lookup_join(named, right, "k")
+    looked = skew.lookup_join(named, right, "k", skew.heavy_keys(named, "k"))
     assert "_slot" in looked._jdf.queryExecution().analyzed().toString()
     assert rows(looked) == rows(named.join(right, "k", "left").select("k", "v", "w"))

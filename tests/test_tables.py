@@ -1,6 +1,7 @@
 """Zone tables, refresh, snapshots, governance, metric model."""
 
 import json
+from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -10,7 +11,6 @@ from riskloom.functions import masking
 from riskloom.functions.expressions import percent_text, risk_band
 from riskloom.plans import gold, medallion, quality, silver
 from riskloom.plans.nodes import BRONZE_INPUTS, lineage, standard_nodes
-from riskloom.plans.ops import lineage_edges
 from riskloom.plans.semantic import FRAUD_MODEL
 from riskloom.sources import tables
 from tests.conftest import AS_OF, rows
@@ -25,6 +25,21 @@ def test_snapshots(spark, tmp_path):
     assert [r[0] for r in tables.read_as_of(spark, path, "2024-03-01 00:00:00").collect()] == [3]
     with pytest.raises(ValueError):
         tables.read_as_of(spark, path, "2023-01-01 00:00:00")
+    # a date is its midnight, fractions of a second count, and a moment may be a value instead of text
+    assert tables.read_as_of(spark, path, "2024-01-08").head()[0] == 3
+    tables.snapshot(spark.createDataFrame([(4,)], "v int"), path, "2024-01-08 00:00:00.5")
+    assert tables.read_as_of(spark, path, datetime(2024, 1, 8, 0, 0, 0, 499_999)).head()[0] == 3
+    assert tables.read_as_of(spark, path, "2024-01-08T00:00:00.500000").head()[0] == 4
+    several = spark.createDataFrame([("2024-02-01 00:00:00.25", 5), ("2024-02-01 00:00:00", 6)], "t string, v int")
+    tables.snapshot_each(several.withColumn("t", F.col("t").cast("timestamp_ntz")), path, "t")
+    assert tables.read_as_of(spark, path, "2024-02-01 00:00:00.2").head()["v"] == 6
+
+
+def test_pointer_text_is_replaced_in_place(spark, tmp_path):
+    for text in ("one", "two"):
+        tables.write_text(spark, str(tmp_path / "p"), text)
+        assert (tmp_path / "p").read_text() == text
+    assert [f.name for f in tmp_path.iterdir() if not f.name.startswith(".")] == ["p"]
 
 
 def test_export_product(lake, tmp_path):
@@ -137,7 +152,6 @@ def test_model_catalogue_and_errors(spark, lake):
 
 
 def test_small_helpers(spark):
-    assert lineage_edges(spark).count() > 10
     df = spark.createDataFrame([(0.2,), (0.6,), (0.8,), (0.95,), (None,)], "x double")
     assert [r[0] for r in df.select(risk_band("x")).collect()] == ["LOW", "MEDIUM", "HIGH", "CRITICAL", None]
     assert spark.range(1).select(percent_text(F.lit(41.6))).head()[0] == "42%"
