@@ -8,9 +8,7 @@ can be mapped into memory from one file.
 from __future__ import annotations
 
 import hashlib
-import os
 import tempfile
-from functools import lru_cache
 
 import numpy as np
 
@@ -54,8 +52,9 @@ class Lexicon:
         return head + b"".join(padded)
 
     @classmethod
-    def from_file(cls, path: str) -> Lexicon:
-        data = np.memmap(path, np.uint8, "r")
+    def from_file(cls, file) -> Lexicon:
+        """Arrays that are views of the mapped file; pages are read as the automaton is walked."""
+        data = np.memmap(file, np.uint8, "r")
         counts = data[:8 * len(PARTS)].view(np.int64)
         at, parts = 8 * len(PARTS), {}
         for (name, kind), n in zip(PARTS, counts.tolist(), strict=True):
@@ -116,19 +115,17 @@ def compile_lexicon(words: list[bytes], ids: np.ndarray, counts: np.ndarray) ->
                     "id_start": np.append(0, np.cumsum(counts)).astype(np.int64), "ids": ids.astype(np.int32)})
 
 
-@lru_cache(2)
-def _mapped(digest: str, path: str) -> Lexicon:
-    return Lexicon.from_file(path)
+_MAPPED: dict[str, Lexicon] = {}
 
 
 def map_lexicon(data: bytes) -> Lexicon:
-    """The lexicon mapped from a file in the worker's own temporary folder. The file is a cache of the broadcast bytes,
-    shared by the workers of a machine; a lost one is written again."""
+    """The lexicon mapped from a file in the worker's own temporary folder, once per worker. The file has no name any
+    more once it is mapped, so nothing is left behind, and a new worker makes its own from the broadcast bytes."""
     digest = hashlib.sha256(data).hexdigest()
-    path = os.path.join(tempfile.gettempdir(), f"lexicon-{digest[:24]}")
-    if not os.path.exists(path) or os.path.getsize(path) != len(data):
-        handle, part = tempfile.mkstemp(dir=tempfile.gettempdir())
-        with os.fdopen(handle, "wb") as f:
-            f.write(data)
-        os.replace(part, path)
-    return _mapped(digest, path)
+    if digest not in _MAPPED:
+        _MAPPED.clear()
+        with tempfile.TemporaryFile() as file:
+            file.write(data)
+            file.flush()
+            _MAPPED[digest] = Lexicon.from_file(file)
+    return _MAPPED[digest]
