@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog.registry import query
 from riskloom.functions.expressions import ago, at
-from riskloom.plans import features, gold
+from riskloom.plans import features, gold, silver
 from riskloom.plans.lake import Lake
 from riskloom.session import new_path
 from riskloom.sources.tables import read_as_of, snapshot, snapshot_each
@@ -36,7 +36,7 @@ def fs_offline(lake: Lake):
 def snapshot_table(lake: Lake, moments=SNAPS) -> str:
     """Offline features as they would have been computed at each moment, kept as snapshots."""
     path = new_path(lake.spark, "offline-features")
-    rows = features.backfill_features(lake.members, lake.transactions, lake.alerts, moments)
+    rows = features.backfill_features(*[lake.raw(n) for n in ("raw_members", "raw_transactions", "raw_alerts")], moments)
     snapshot_each(rows, path, "system_time")
     return path
 
@@ -74,12 +74,12 @@ def fs_drift(lake: Lake):
 
 def _daily_snapshot(lake: Lake, ts: str) -> DataFrame:
     path = new_path(lake.spark, "daily-member")
-    known = lake.transactions.where(F.col("txn_timestamp") < at(ts))
-    snapshot(gold.daily_member_summary(known), path, ts)
+    known = lake.raw("raw_transactions").where(F.col("_loaded_at") <= at(ts))
+    snapshot(gold.daily_member_summary(silver.cleanse_transactions(known)), path, ts)
     return read_as_of(lake.spark, path, ts)
 
 
-@query("fs_gold_state", "SELECT * FROM g_daily WHERE txn_date < DATE '2023-11-02'")
+@query("fs_gold_state", "SELECT * FROM g_daily_nov")
 def fs_gold_state(lake: Lake):
     """The daily table as it stood at a decision date."""
     return _daily_snapshot(lake, "2023-11-02 00:00:00")
@@ -88,7 +88,7 @@ def fs_gold_state(lake: Lake):
 @query("fs_lookback_90d", """
 SELECT member_id, CAST(sum(txn_count) AS BIGINT) AS total_txns_at_90d,
   CAST(sum(total_amount) AS DECIMAL(20,2)) AS total_volume_at_90d, count(DISTINCT txn_date) AS active_days_at_90d
-FROM g_daily WHERE txn_date < DATE '2023-11-02' GROUP BY member_id HAVING sum(total_amount) > 10000
+FROM g_daily_nov GROUP BY member_id HAVING sum(total_amount) > 10000
 ORDER BY total_volume_at_90d DESC, member_id LIMIT 50""")
 def fs_lookback_90d(lake: Lake):
     return features.lookback_totals(_daily_snapshot(lake, "2023-11-02 00:00:00"))

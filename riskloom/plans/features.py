@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.expressions import (ago, at, count_when, day_of, elapsed, mean, moved_more_than, safe_ratio,
-                                            since, sum_when, total, verdict)
+from riskloom.functions.expressions import (ago, at, count_when, day_of, elapsed, mean, moved_more_than, required,
+                                            safe_ratio, since, squash, sum_when, total, verdict)
 from riskloom.operators.latest import keep_latest, top_k
 from riskloom.operators.ranking import exact_percentiles
 from riskloom.plans.gold import OPEN_STATES
+from riskloom.plans.silver import ALERT_TIES, MEMBER_TIES, TXN_TIES
 
+# Names and order of the offline features.
 FEATURE_COLUMNS = ("member_id", "institution_id", "risk_tier", "account_age_days", "txn_count_30d", "total_spend_30d",
                    "avg_txn_30d", "channels_used_30d", "open_alerts", "business_date", "system_time")
 
@@ -54,24 +56,46 @@ def offline_features(members: DataFrame, activity: DataFrame, as_of: str) -> Dat
         day_of(as_of).alias("business_date"), at(as_of).alias("system_time"))
 
 
-def backfill_features(members: DataFrame, txns: DataFrame, alerts: DataFrame, moments: Sequence[str],
+def with_validity(raw: DataFrame, key: str, order: Sequence[str], loaded: str = "_loaded_at") -> DataFrame:
+    """Versions of every key with ``_until``, the load time of the next one; null for the newest."""
+    by = [F.col(c).asc_nulls_first() for c in (loaded, *order)]
+    return raw.withColumn("_until", F.lead(loaded).over(Window.partitionBy(key).orderBy(*by)))
+
+
+def known_at(moments: Column, also=None, loaded: str = "_loaded_at") -> Column:
+    """Those of the ``moments`` at which a version with ``_until`` was the newest one known."""
+    def holds(m: Column) -> Column:
+        known = (F.col(loaded) <= m) & (F.col("_until").isNull() | (F.col("_until") > m))
+        return known & also(m) if also else known
+    return F.filter(moments, holds)
+
+
+def backfill_features(raw_members: DataFrame, raw_txns: DataFrame, raw_alerts: DataFrame, moments: Sequence[str],
                       days: int = 30) -> DataFrame:
-    """Offline features at several past moments from one pass over the inputs; ``system_time`` is the moment.
+    """Offline features at several past moments from one pass over Bronze, each by what was known then; ``system_time``
+    is the moment.
 
-    A transaction counts for the few moments whose window holds it, so history is aggregated once, not once per moment.
+    A version of a row counts from its load until the next version's. A transaction counts for the few moments whose
+    window holds it. An alert is open at a moment if it was raised before it and, by its version known then, is in an open
+    state or was resolved only later.
     """
     times = F.array(*[at(m) for m in moments])
     lag = F.expr(f"INTERVAL {days} DAYS")
     ts = F.col("txn_timestamp")
-    recent = txns.where((ts < at(max(moments))) & (ts >= ago(min(moments), days)))
     keys = ["member_id", "system_time"]
-    t = recent.withColumn("system_time", F.explode(F.filter(times, lambda m: (ts < m) & (ts >= m - lag)))).groupBy(*keys).agg(
+    versions = with_validity(raw_txns.where(required("txn_id", "member_id", "amount", "txn_timestamp")), "txn_id", TXN_TIES)
+    t = versions.withColumn("system_time", F.explode(known_at(times, lambda m: (ts < m) & (ts >= m - lag)))).select(
+        squash("member_id").alias("member_id"), "system_time", "txn_id", "amount", F.upper("channel").alias("channel"))
+    t = t.groupBy(*keys).agg(
         F.count("txn_id").alias("txn_count_30d"), total("amount").alias("total_spend_30d"),
         mean("amount").alias("avg_txn_30d"), F.count_distinct("channel").alias("channels_used_30d"))
-    seen = F.filter(times, lambda m: F.col("alert_timestamp") < m)
-    a = (alerts.where(F.col("status").isin(*OPEN_STATES)).withColumn("system_time", F.explode(seen))
-         .groupBy(*keys).agg(F.count("alert_id").alias("open_alerts")))
-    base = members.select("member_id", "institution_id", "risk_tier", "member_since", F.explode(times).alias("system_time"))
+    is_open = F.upper("status").isin(*OPEN_STATES)
+    pending = lambda m: (F.col("alert_timestamp") < m) & (is_open | (F.col("resolved_at") > m))
+    a = (with_validity(raw_alerts.where(required("alert_id")), "alert_id", ALERT_TIES)
+         .withColumn("system_time", F.explode(known_at(times, pending))).groupBy(*keys).agg(F.count("alert_id").alias("open_alerts")))
+    people = with_validity(raw_members.where(required("member_id", "institution_id")), "member_id", MEMBER_TIES)
+    base = people.withColumn("system_time", F.explode(known_at(times))).select(
+        "member_id", squash("institution_id").alias("institution_id"), F.upper("risk_tier").alias("risk_tier"), "member_since", "system_time")
     day = F.col("system_time").cast("date")
     zero = F.lit(0)
     return base.join(t, keys, "left").join(a, keys, "left").select(

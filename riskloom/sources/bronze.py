@@ -32,12 +32,12 @@ SELECT concat('TXN', l_orderkey, '-', l_linenumber) AS txn_id,
   concat('10.1.', l_suppkey % 256, '.', l_partkey % 256) AS ip_address,
   concat('FP', l_partkey % 997) AS device_fingerprint,
   CASE WHEN l_tax = 0 THEN NULL ELSE CAST(l_discount * 10 AS DECIMAL(5,2)) END AS risk_score,
-  l_shipdate + INTERVAL '8122' DAY + (l_suppkey * 1000000 + l_partkey) * INTERVAL '1' SECOND AS _loaded_at,
+  l_shipdate + INTERVAL '8122' DAY + (l_partkey * 7 % 86400 + 60 + (l_suppkey * 7919 + l_partkey * 31) % 1000000) * INTERVAL '1' SECOND AS _loaded_at,
   concat('txn_', l_suppkey % 8, '.psv') AS _source_file
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
 """
 
-RAW_MEMBERS = """
+FIRST_MEMBERS = """
 SELECT concat('MBR', 100000 + c_custkey) AS member_id,
   concat('FI', 10000 + c_custkey % 25) AS institution_id,
   concat(' ann', c_custkey % 11) AS first_name,
@@ -62,6 +62,16 @@ SELECT concat('MBR', 100000 + c_custkey) AS member_id,
 FROM {customer}
 """
 
+# Some members come again later with a higher risk tier.
+RAW_MEMBERS = f"""
+{FIRST_MEMBERS.strip()}
+UNION ALL
+SELECT member_id, institution_id, first_name, last_name, date_of_birth, ssn_hash, email, phone, address_line1, address_line2, city,
+  state_code, zip_code, country_code, member_since, status, 'critical' AS risk_tier, kyc_verified, last_activity_date,
+  TIMESTAMP_NTZ '2024-01-20 00:00:00' AS _loaded_at, 'mbr_again.dat' AS _source_file
+FROM ({FIRST_MEMBERS.strip()}) m WHERE CAST(substr(member_id, 4) AS BIGINT) % 9 = 4
+"""
+
 RAW_INSTITUTIONS = """
 SELECT concat('FI', 10000 + n_nationkey) AS institution_id, n_name AS institution_name,
   CASE n_nationkey % 4 WHEN 0 THEN 'BANK' WHEN 1 THEN 'CREDIT_UNION' WHEN 2 THEN 'FINTECH' ELSE 'PROCESSOR' END AS institution_type,
@@ -207,7 +217,7 @@ SELECT r.*, CAST(substr(member_id, 4) AS BIGINT) - 100000 AS k,
     ssn_hash, rpad(email, 100, ' '), rpad(phone, 20, ' '), rpad(address_line1, 100, ' '), rpad(city, 50, ' '),
     rpad(state_code, 2, ' '), rpad(zip_code, 10, ' '), rpad(coalesce(country_code, ' '), 3, ' '),
     rpad(concat('', member_since), 10, ' '), rpad(status, 20, ' '), rpad(risk_tier, 10, ' ')) AS line
-FROM ({RAW_MEMBERS.strip()}) r
+FROM ({FIRST_MEMBERS.strip()}) r
 """
 
 LANDING_ALERTS = f"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import masking
 from riskloom.functions.expressions import percent_text, risk_band
-from riskloom.plans import gold, medallion, quality, silver
+from riskloom.plans import features, gold, medallion, quality, silver
 from riskloom.plans.nodes import BRONZE_INPUTS, lineage, standard_nodes
 from riskloom.plans.semantic import FRAUD_MODEL
 from riskloom.sources import tables
@@ -155,3 +155,32 @@ def test_small_helpers(spark):
     df = spark.createDataFrame([(0.2,), (0.6,), (0.8,), (0.95,), (None,)], "x double")
     assert [r[0] for r in df.select(risk_band("x")).collect()] == ["LOW", "MEDIUM", "HIGH", "CRITICAL", None]
     assert spark.range(1).select(percent_text(F.lit(41.6))).head()[0] == "42%"
+
+
+def test_past_states_do_not_look_ahead(spark, lake):
+    """A later load changes no earlier state; it changes the states after it."""
+    moments = ("2024-01-01 00:00:00", "2024-01-24 00:00:00", "2024-01-31 00:00:00")
+    members, txns, alerts = (lake.raw(n) for n in ("raw_members", "raw_transactions", "raw_alerts"))
+    before = features.backfill_features(members, txns, alerts, moments)
+    late = lambda df, **new: df.limit(20).withColumns(
+        {"_loaded_at": F.lit("2024-01-28 00:00:00").cast("timestamp_ntz")} | {c: F.lit(v).cast(df.schema[c].dataType) for c, v in new.items()})
+    recent = txns.where("txn_timestamp >= '2024-01-10' AND _loaded_at < '2024-01-27'").orderBy("txn_id")
+    after = features.backfill_features(
+        members.unionByName(late(members.orderBy("member_id"), risk_tier="extreme")), txns.unionByName(late(recent, amount=99999)),
+        alerts.unionByName(late(alerts.orderBy("alert_id"), status="open", resolved_at=None)), moments)
+    old = "system_time < '2024-01-28'"
+    assert rows(before.where(old)) == rows(after.where(old))
+    changed = after.where("NOT " + old).exceptAll(before.where("NOT " + old))
+    assert changed.where("risk_tier = 'EXTREME'").count() >= 15 and changed.where("total_spend_30d > 90000").count() > 0
+
+
+def test_an_alert_is_open_until_it_was_resolved(spark, lake):
+    members = lake.raw("raw_members").limit(1)
+    txns = lake.raw("raw_transactions").limit(0)
+    who = members.head()["member_id"]
+    alert = lake.raw("raw_alerts").limit(1).withColumns({
+        "member_id": F.lit(who), "status": F.lit("resolved"), "alert_timestamp": F.expr("TIMESTAMP_NTZ '2024-01-10 00:00:00'"),
+        "resolved_at": F.expr("TIMESTAMP_NTZ '2024-01-15 00:00:00'"), "_loaded_at": F.expr("TIMESTAMP_NTZ '2024-01-10 00:00:00'")})
+    got = features.backfill_features(members, txns, alert, ("2024-01-05 00:00:00", "2024-01-12 00:00:00", "2024-01-16 00:00:00"))
+    assert {str(r["system_time"]): r["open_alerts"] for r in got.collect()}.get("2024-01-12 00:00:00") == 1
+    assert got.agg(F.sum("open_alerts")).head()[0] == 1
