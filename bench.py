@@ -12,6 +12,7 @@ import json
 import os
 import sys
 import time
+from datetime import date, timedelta
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -47,7 +48,8 @@ def drain(df) -> None:
 
 
 def served(store: ZoneStore, as_of: str) -> dict:
-    signals, activity, daily, inst = (lambda n=n: store.read("GOLD", n) for n in (
+    month_ago = str(date.fromisoformat(as_of[:10]) - timedelta(days=31))
+    signals, activity, daily, inst = (lambda n=n: store.read("GOLD", n, since=month_ago) for n in (
         "FRAUD_SIGNALS", "MEMBER_ACTIVITY", "DAILY_MEMBER_SUMMARY", "INSTITUTION_SUMMARY"))
     return {
         "served_signals_daily": lambda: bi.signals_daily(signals(), as_of),

@@ -93,6 +93,17 @@ def reject_by_file(lake: Lake):
     return _by_bucket(ingest.reject_by_file(_dead(lake), lake.as_of), "source_file", "rejected_rows")
 
 
+@query("reprocessed_rejects", f"""
+SELECT error_category, error_category = 'TYPE_MISMATCH' AS reprocessed, count(*) AS n,
+  count(*) FILTER (WHERE error_category = 'TYPE_MISMATCH') AS stamped
+FROM ({REJECTS}) r GROUP BY 1, 2""")
+def reprocessed_rejects(lake: Lake):
+    """The dead letter after the rows of one class were loaded again."""
+    dl = _dead(lake)
+    done = ingest.mark_reprocessed(dl, dl.where("error_category = 'TYPE_MISMATCH'"), at(lake.as_of))
+    return done.groupBy("error_category", "reprocessed").agg(F.count(F.lit(1)).alias("n"), F.count("reprocessed_at").alias("stamped"))
+
+
 @query("load_audit", f"""
 SELECT 'BRONZE.RAW_TRANSACTIONS' AS table_name, _source_file AS source_name, count(*) AS rows_parsed,
   count(*) FILTER (WHERE {GOOD_TXN}) AS rows_loaded, count(*) FILTER (WHERE NOT ({GOOD_TXN})) AS rows_rejected,
@@ -166,7 +177,7 @@ EVENT_ROWS = """
 SELECT event_id, event_time, event_type, member_id, institution_id, amount, channel,
   CASE WHEN k % 47 <> 0 THEN device_id END AS device_id, CASE WHEN k % 47 <> 0 THEN ip_address END AS ip_address,
   CASE WHEN k % 47 <> 0 THEN geo_lat END AS geo_lat, CASE WHEN k % 47 <> 0 THEN geo_lon END AS geo_lon, risk_score
-FROM landing_events WHERE k % 41 <> 0"""
+FROM landing_events WHERE k % 41 <> 0 AND k % 53 <> 0 AND k % 37 <> 0"""
 
 
 @query("ingest_json", EVENT_ROWS)
@@ -175,10 +186,19 @@ def ingest_json(lake: Lake):
     return files.read_json_events(lake.spark, path).drop("payload", files.FILE)
 
 
-@query("ingest_json_rejects", "SELECT line AS record FROM landing_events WHERE k % 41 = 0")
+EVENT_REJECTS = """
+SELECT line AS record, 'payload' AS column_name, 'Error parsing JSON: could not parse' AS error FROM landing_events WHERE k % 41 = 0
+UNION ALL
+SELECT line, 'event_id', 'NULL result in a non-nullable column event_id' FROM landing_events WHERE k % 53 = 0 AND k % 41 <> 0
+UNION ALL
+SELECT line, 'amount', 'Conversion of amount to decimal(15,2) failed' FROM landing_events WHERE k % 37 = 0 AND k % 41 <> 0"""
+
+
+@query("ingest_json_rejects", EVENT_REJECTS)
 def ingest_json_rejects(lake: Lake):
     path = write_lines(lake, lake.raw("landing_events"))
-    return files.json_rejects(lake.spark, path).select(F.col(files.RECORD).alias("record"))
+    return files.json_rejects(lake.spark, path).select(F.col(files.RECORD).alias("record"), F.explode("errors").alias("_e")).select(
+        "record", "_e.column_name", "_e.error")
 
 
 @query("ingest_parquet", "SELECT * FROM streaming_events")

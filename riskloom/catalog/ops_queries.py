@@ -10,9 +10,11 @@ from riskloom.operators.merge import feature_delta, merge_features, update_by_ke
 from riskloom.plans import ingest, medallion, ops
 from riskloom.plans.gold import daily_member_summary
 from riskloom.plans.lake import Lake
+from riskloom.plans.nodes import BRONZE_INPUTS, standard_nodes
 from riskloom.plans.silver import cleanse_transactions
 from riskloom.session import new_path
 from riskloom.sources.files import align_by_name
+from riskloom.sources.tables import export_product
 
 AT = "TIMESTAMP '2024-01-31 00:00:00'"
 SEC = "date_sub('second', refresh_start_time, refresh_end_time)"
@@ -223,6 +225,36 @@ def incremental_equals_full(lake: Lake):
     return out.select(*daily_member_summary(cleanse_transactions(raw)).columns)
 
 
+@query("zones_stored", """
+SELECT 'CLEANSED_TRANSACTIONS' AS name, count(*) AS n FROM s_txn UNION ALL SELECT 'ENRICHED_MEMBERS', count(*) FROM s_members
+UNION ALL SELECT 'DEDUP_EVENTS', count(*) FROM s_events UNION ALL SELECT 'ENRICHED_ALERTS', count(*) FROM s_alerts
+UNION ALL SELECT 'DAILY_MEMBER_SUMMARY', count(*) FROM g_daily UNION ALL SELECT 'FRAUD_SIGNALS', count(*) FROM g_signals
+UNION ALL SELECT 'MEMBER_ACTIVITY', count(*) FROM s_members UNION ALL SELECT 'INSTITUTION_SUMMARY', count(*) FROM raw_institutions
+UNION ALL SELECT 'ONLINE_MEMBER_FEATURES', count(*) FROM f_online UNION ALL SELECT 'OFFLINE_MEMBER_FEATURES', count(*) FROM s_members
+UNION ALL SELECT 'SPENDING_ANOMALIES', count(DISTINCT txn_date) FROM g_daily WHERE txn_date >= DATE '2024-01-24'
+UNION ALL SELECT 'ALERTS_FOR_SEARCH', count(*) FROM s_alerts""")
+def zones_stored(lake: Lake):
+    """Rows of every stored table after a full refresh of all zones."""
+    store = medallion.ZoneStore(lake.spark, new_path(lake.spark, "zones"))
+    done = [n for n in standard_nodes(lake.as_of) if not n.view]
+    medallion.refresh_all(store, {n: lake.raw(n.lower()) for n in BRONZE_INPUTS}, standard_nodes(lake.as_of))
+    out = None
+    for node in done:
+        one = store.read(node.zone, node.name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(node.name).alias("name"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("data_product", """
+SELECT 'institution_summary' AS path, count(*) AS rows FROM raw_institutions UNION ALL SELECT 'fraud_signals', count(*) FROM g_signals""")
+def data_product(lake: Lake):
+    """What the manifest of an exported product says."""
+    path = new_path(lake.spark, "product")
+    export_product({"institution_summary": lake.institutions(), "fraud_signals": lake.signals}, path, lake.as_of)
+    tables = lake.spark.read.option("multiLine", "true").json(f"{path}/manifest.json").select("tables.*")
+    return tables.select(F.inline(F.array(*[F.struct(F.col(f"{t}.path").alias("path"), F.col(f"{t}.rows").alias("rows")) for t in tables.columns])))
+
+
 @query("align_by_name", """
 SELECT event_id, event_time, event_type, member_id, institution_id, amount, channel, CAST(NULL AS VARCHAR) AS note
 FROM streaming_events""")

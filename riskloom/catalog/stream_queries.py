@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.catalog.ingest_queries import EVENT_ROWS, write_lines
+from riskloom.catalog.ingest_queries import EVENT_REJECTS, EVENT_ROWS, write_lines
 from riskloom.catalog.registry import query
 from riskloom.functions.expressions import ago, at
 from riskloom.operators.merge import feature_delta
@@ -16,15 +16,31 @@ from riskloom.streaming import bronze, checks, features
 NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 
 
-@query("st_bronze_ingest", f"SELECT *, {NOW} AS _ingest_time, 'file_delivery' AS _channel_name FROM ({EVENT_ROWS}) e")
-def st_bronze_ingest(lake: Lake):
-    """Event files through the stream into Bronze."""
+def _bronze_run(lake: Lake) -> str:
     src = write_lines(lake, lake.raw("landing_events"))
     base = new_path(lake.spark, "bronze-stream")
-    q = bronze.bronze_stream(lake.spark, src, f"{base}/bronze", f"{base}/errors", f"{base}/checkpoint",
-                             ingest_time=lake.as_of)
-    q.awaitTermination()
-    return lake.spark.read.parquet(f"{base}/bronze").drop("payload", "_source_file", "_offset_token", bronze.BATCH)
+    bronze.bronze_stream(lake.spark, src, f"{base}/bronze", f"{base}/errors", f"{base}/checkpoint", ingest_time=lake.as_of).awaitTermination()
+    return base
+
+
+@query("st_bronze_ingest", f"""
+SELECT e.*, {NOW} AS _ingest_time, 'file_delivery' AS _channel_name, TRUE AS payload_has_id, TRUE AS token_names_file
+FROM ({EVENT_ROWS}) e""")
+def st_bronze_ingest(lake: Lake):
+    """Event files through the stream into Bronze, with the payload as it came and a token that names batch and file."""
+    rows = lake.spark.read.parquet(f"{_bronze_run(lake)}/bronze")
+    file = F.element_at(F.split("_source_file", "/"), -1)
+    return rows.withColumns({
+        "payload_has_id": F.try_variant_get("payload", "$.event_id", "string") == F.col("event_id"),
+        "token_names_file": F.col("_offset_token") == F.concat_ws(":", bronze.BATCH, file)}).drop(
+        "payload", "_source_file", "_offset_token", bronze.BATCH)
+
+
+@query("st_bronze_errors", EVENT_REJECTS)
+def st_bronze_errors(lake: Lake):
+    """What the stream sets aside, with the reason."""
+    rows = lake.spark.read.parquet(f"{_bronze_run(lake)}/errors")
+    return rows.select(F.col("_record").alias("record"), F.col("error_column_name").alias("column_name"), F.col("error_message").alias("error"))
 
 
 @query("st_bronze_dups", """
@@ -90,22 +106,18 @@ def st_event_summary(lake: Lake):
     return checks.event_summary(lake.raw("streaming_events"))
 
 
-def _bronze_table(lake: Lake) -> str:
-    path = new_path(lake.spark, "bronze-events")
-    append(lake.raw("streaming_events"), path)
-    return path
-
-
-@query("st_dedup_stream", "SELECT event_id, event_time, amount FROM s_events")
+@query("st_dedup_stream", "SELECT * FROM s_events")
 def st_dedup_stream(lake: Lake):
-    """First copy of every event, as a stream; copies differ only in their delivery time."""
+    """Newest copy of every event, kept by three deliveries with a compaction between them."""
     base = new_path(lake.spark, "dedup")
-    stream = bronze.dedup_stream(bronze.stream_table(lake.spark, _bronze_table(lake)))
-    rows = stream.select("event_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "amount")
-    q = (rows.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return lake.spark.read.parquet(f"{base}/out")
+    src, log = f"{base}/bronze", f"{base}/log"
+    rows, t = lake.raw("streaming_events"), F.col("_ingest_time")
+    first, second = at("2024-01-11 00:00:00"), at("2024-01-21 00:00:00")
+    for part in (rows.where(t >= second), rows.where(t < first), rows.where((t >= first) & (t < second))):
+        append(part, src)
+        bronze.latest_events(bronze.stream_table(lake.spark, src, rows.schema), log, f"{base}/checkpoint").awaitTermination()
+        bronze.compact_events(lake.spark, log)
+    return bronze.current_events(lake.spark, log)
 
 
 @query("st_feature_upsert", """
@@ -136,17 +148,13 @@ WITH w AS (SELECT date_trunc('hour', event_time) - to_hours(CAST(i AS INTEGER))
 SELECT window_start, window_start + INTERVAL 24 HOUR AS window_end, member_id, count(*) AS event_count,
   CAST(sum(CASE WHEN amount > 0 THEN amount ELSE 0 END) AS DECIMAL(18,2)) AS total_spend, max(risk_score) AS max_risk_score,
   max(event_time) AS last_activity_time
-FROM w GROUP BY window_start, member_id
-HAVING window_start + INTERVAL 24 HOUR <= (SELECT max(event_time) FROM s_events) - INTERVAL 72 HOUR""")
+FROM w GROUP BY window_start, member_id""")
 def st_sliding_24h(lake: Lake):
-    """Closed 24-hour windows every hour over the Silver event feed."""
+    """24-hour windows every hour over the Silver event feed, open ones included, from hourly panes kept by the stream."""
     base = new_path(lake.spark, "sliding")
     append(lake.events, f"{base}/silver")
-    stream = features.sliding_features(bronze.stream_table(lake.spark, f"{base}/silver"))
-    q = (stream.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return lake.spark.read.parquet(f"{base}/out")
+    features.pane_log(bronze.stream_table(lake.spark, f"{base}/silver"), f"{base}/log", f"{base}/checkpoint").awaitTermination()
+    return features.sliding_windows(lake.spark, f"{base}/log")
 
 
 SHARED = """SELECT member_id, count(*) AS n, CAST(sum(CASE WHEN amount > 0 THEN amount ELSE 0 END) AS DECIMAL(18,2)) AS sp,

@@ -97,5 +97,5 @@ def detect_boosted(daily: DataFrame, as_of: str, days: int = 7, key: str = "inst
     dist = (F.col("y") - forecast) / F.lit(sd)
     return model.transform(panel.where(F.col("ts") >= border)).select(
         key, "ts", "y", forecast.alias("forecast"), (forecast + lo).alias("lower_bound"),
-        (forecast + hi).alias("upper_bound"), ~(F.col("y") - forecast).between(lo, hi).alias("is_anomaly"),
+        (forecast + hi).alias("upper_bound"), (~F.col("y").between(forecast + lo, forecast + hi)).alias("is_anomaly"),
         normal_cdf(dist).alias("percentile"), dist.alias("distance"))

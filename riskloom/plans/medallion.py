@@ -16,6 +16,7 @@ from riskloom.plans.silver import TXN_TIES, cleanse_transactions
 from riskloom.session import cut
 from riskloom.sources.tables import append, replace, replace_partitions, write_text
 
+PART = "part_date"
 ZONES = ("BRONZE", "SILVER", "GOLD", "FEATURE_STORE", "ANALYTICS", "STAGING", "GOVERNANCE")
 
 
@@ -28,6 +29,8 @@ class Node:
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
     view: bool = False
+    part: tuple[str, str] | None = None
+    """Time column and grain (day, month) of the folders that the table is stored in."""
 
 
 class ZoneStore:
@@ -44,13 +47,23 @@ class ZoneStore:
         base = self._base(zone, name)
         return f"{base}/{self.spark.read.text(f'{base}/current').head()[0]}"
 
-    def read(self, zone: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(zone, name))
-
-    def write(self, zone: str, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> str:
+    def read(self, zone: str, name: str, since: str | None = None) -> DataFrame:
+        """A table; with ``since``, only the folders that may hold rows from that moment on are opened. The time filter
+        itself stays with the reader."""
+        df = self.spark.read.parquet(self.path(zone, name))
+        if PART not in df.columns:
+            return df
+        # a folder's date is the first day of its month at the coarsest
+        rows = df.where(F.col(PART) >= F.trunc(F.lit(since).cast("date"), "month")) if since else df
+        return rows.drop(PART)
+
+    def write(self, zone: str, name: str, df: DataFrame, part: tuple[str, str] | None = None) -> str:
         version = f"v-{uuid.uuid4().hex[:12]}"
         base = self._base(zone, name)
-        replace(df, f"{base}/{version}", partition_by)
+        if part:
+            write_parts(df, f"{base}/{version}", *part)
+        else:
+            replace(df, f"{base}/{version}")
         write_text(self.spark, f"{base}/current", version)
         return f"{base}/{version}"
 
@@ -67,7 +80,7 @@ def refresh_all(store: ZoneStore, bronze: dict[str, DataFrame], nodes: Sequence[
             continue
         state, message = "SUCCEEDED", None
         try:
-            store.write(node.zone, node.name, df)
+            store.write(node.zone, node.name, df, node.part)
             have[node.name] = store.read(node.zone, node.name)
         except Exception as e:
             state, message = "FAILED", str(e)
@@ -91,8 +104,6 @@ def _log_run(store: ZoneStore, node: Node, action: str, start: datetime, state:
 
 # --- incremental refresh ------------------------------------------------------------------------
 
-PART = "part_date"
-
 
 def with_part(df: DataFrame, time: str, grain: str) -> DataFrame:
     """Rows with the first day of their partition: the day itself, or its month for smaller tables."""
@@ -103,6 +114,17 @@ def write_parts(df: DataFrame, path: str, time: str, grain: str = "day") -> None
     replace(with_part(df, time, grain), path, (PART,))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder was written to its end."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _drop_parts(spark: SparkSession, path: str, parts: list) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path
     for d in parts:
@@ -114,14 +136,20 @@ def refresh_daily(spark: SparkSession, silver_path: str, gold_path: str, delta_r
     """Fold new raw transactions into Silver and recompute only the affected part of the daily table.
 
     A delta row may replace an older version from another day, so both days are affected. Both tables are partitioned
-    by date; only affected partitions are read again and overwritten, others keep their files. Returns the affected
-    partitions.
+    by date; only affected partitions are overwritten, others keep their files. The list of affected partitions is
+    stored before the first write and removed after the last, so a run that follows a failed one also mends the
+    partitions which that one had begun. Returns the affected partitions.
     """
+    journal = gold_path.rstrip("/") + "_unfinished"
     silver = spark.read.parquet(silver_path)
     delta = cut(with_part(cleanse_transactions(delta_raw), "txn_timestamp", grain))
     ids = delta.select("txn_id")
     replaced = cut(silver.join(ids, "txn_id", "left_semi"))
-    parts = cut(replaced.select(PART).union(delta.select(PART)).distinct())
+    parts = replaced.select(PART).union(delta.select(PART))
+    if _exists(spark, journal):
+        parts = parts.union(spark.read.parquet(journal).select(PART))
+    parts = cut(parts.distinct())
+    replace(parts, journal)
     kept = silver.join(parts, PART, "left_semi").join(ids, "txn_id", "left_anti")
     merged = keep_latest(replaced.unionByName(delta), ["txn_id"], ["_loaded_at"], TXN_TIES)
     fresh = cut(kept.unionByName(merged))
@@ -131,4 +159,5 @@ def refresh_daily(spark: SparkSession, silver_path: str, gold_path: str, delta_r
     emptied = [r[0] for r in parts.join(fresh.select(PART).distinct(), PART, "left_anti").collect()]
     _drop_parts(spark, silver_path, emptied)
     _drop_parts(spark, gold_path, emptied)
+    _remove(spark, journal)
     return parts

@@ -14,12 +14,12 @@ BRONZE_INPUTS = ("RAW_TRANSACTIONS", "RAW_MEMBERS", "RAW_ALERTS", "RAW_INSTITUTI
 def standard_nodes(as_of: str) -> list[Node]:
     """Silver, Gold, features and analytics tables as of one moment."""
     return [
-        Node("CLEANSED_TRANSACTIONS", "SILVER", ("RAW_TRANSACTIONS",), silver.cleanse_transactions),
+        Node("CLEANSED_TRANSACTIONS", "SILVER", ("RAW_TRANSACTIONS",), silver.cleanse_transactions, part=("txn_timestamp", "month")),
         Node("ENRICHED_MEMBERS", "SILVER", ("RAW_MEMBERS",), silver.cleanse_members),
-        Node("DEDUP_EVENTS", "SILVER", ("STREAMING_EVENTS",), silver.dedup_events),
+        Node("DEDUP_EVENTS", "SILVER", ("STREAMING_EVENTS",), silver.dedup_events, part=("event_time", "month")),
         Node("ENRICHED_ALERTS", "SILVER", ("RAW_ALERTS", "ENRICHED_MEMBERS"), silver.enrich_alerts),
-        Node("DAILY_MEMBER_SUMMARY", "GOLD", ("CLEANSED_TRANSACTIONS",), gold.daily_member_summary),
-        Node("FRAUD_SIGNALS", "GOLD", ("ENRICHED_ALERTS", "DEDUP_EVENTS"), gold.fraud_signals),
+        Node("DAILY_MEMBER_SUMMARY", "GOLD", ("CLEANSED_TRANSACTIONS",), gold.daily_member_summary, part=("txn_date", "month")),
+        Node("FRAUD_SIGNALS", "GOLD", ("ENRICHED_ALERTS", "DEDUP_EVENTS"), gold.fraud_signals, part=("signal_time", "month")),
         Node("MEMBER_ACTIVITY", "GOLD", ("ENRICHED_MEMBERS", "CLEANSED_TRANSACTIONS", "ENRICHED_ALERTS"),
              lambda m, t, a: gold.member_activity(m, t, a, as_of)),
         Node("INSTITUTION_SUMMARY", "GOLD", ("RAW_INSTITUTIONS", "CLEANSED_TRANSACTIONS", "ENRICHED_ALERTS"),

@@ -233,10 +233,11 @@ LANDING_EVENTS = f"""
 SELECT r.*, CAST(substr(event_id, 4) AS BIGINT) AS k,
   CASE WHEN CAST(substr(event_id, 4) AS BIGINT) % 43 = 0 THEN concat('[', obj, ']') ELSE obj END AS line
 FROM (SELECT q.*,
-    concat('{{{{"event_id":"', event_id, '",',
+    concat('{{{{', CASE WHEN CAST(substr(event_id, 4) AS BIGINT) % 53 = 0 AND CAST(substr(event_id, 4) AS BIGINT) % 41 <> 0 THEN ''
+        ELSE concat('"event_id":"', event_id, '",') END,
       CASE WHEN CAST(substr(event_id, 4) AS BIGINT) % 41 = 0 THEN '"event_id":"again",' ELSE '' END,
       '"event_time":"', concat('', event_time), '","event_type":"', event_type, '","member_id":"', member_id,
-      '","institution_id":"', institution_id, '","amount":', concat('', amount), ',"channel":"', channel, '",',
+      '","institution_id":"', institution_id, '","amount":', CASE WHEN CAST(substr(event_id, 4) AS BIGINT) % 37 = 0 THEN '"abc"' ELSE concat('', amount) END, ',"channel":"', channel, '",',
       CASE WHEN CAST(substr(event_id, 4) AS BIGINT) % 47 = 0 THEN ''
         ELSE concat('"device_id":"', device_id, '","ip_address":"', ip_address, '","geo_lat":', concat('', geo_lat), ',"geo_lon":', concat('', geo_lon), ',') END,
       '"risk_score":', CASE WHEN risk_score IS NULL THEN 'null' ELSE concat('', risk_score) END, '}}}}') AS obj

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.sources.formats import EVENT_FIELDS, Delimited
+from riskloom.sources.formats import EVENT_FIELDS, REQUIRED_EVENT_KEYS, Delimited
 
 FILE = "_source_file"
 LINE = "_line"
@@ -109,37 +109,54 @@ def event_schema() -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n, _ in EVENT_FIELDS])
 
 
-def extract_payload(df: DataFrame, payload: str, fields: Sequence[tuple[str, str]] = EVENT_FIELDS,
-                    keep: Sequence[str] = ()) -> DataFrame:
-    """Typed columns from a variant payload; a value that does not convert is NULL. The payload stays as it came."""
+def extract_payload(df: DataFrame, payload: str, fields: Sequence[tuple[str, str]] = EVENT_FIELDS, keep: Sequence[str] = (),
+                    required: Sequence[str] = REQUIRED_EVENT_KEYS) -> DataFrame:
+    """Typed columns from a variant payload, and ``errors``: keys that are missing or null though required, and values
+    that do not convert. The payload stays as it came."""
+    def text(name: str) -> Column:
+        return F.try_variant_get(F.col(payload), f"$.{name}", "string")
+
     def take(name: str, kind: str) -> Column:
-        v = F.try_variant_get(F.col(payload), f"$.{name}", "string" if kind == "timestamp" else kind)
-        return parse_time(v) if kind == "timestamp" else v
-    return df.select(*[take(n, k).alias(n) for n, k in fields], F.col(payload).alias("payload"), *keep)
+        return parse_time(text(name)) if kind == "timestamp" else F.try_variant_get(F.col(payload), f"$.{name}", kind)
+
+    def problem(name: str, bad: Column, message: str) -> Column:
+        return F.when(bad, F.struct(F.lit(name).alias("column_name"), F.lit(message).alias("error")))
+
+    typed = df.select(*[take(n, k).alias(n) for n, k in fields], F.struct(*[text(n).alias(n) for n, _ in fields]).alias("_text"),
+                      F.col(payload).alias("payload"), *keep)
+    found = [problem(n, F.col(f"_text.{n}").isNull(), f"NULL result in a non-nullable column {n}") for n in required]
+    found += [problem(n, F.col(f"_text.{n}").isNotNull() & F.col(n).isNull(), f"Conversion of {n} to {k} failed")
+              for n, k in fields if k != "string"]
+    return typed.withColumn("errors", F.array_compact(F.array(*found))).drop("_text")
+
+
+def checked_events(docs: DataFrame, fields: Sequence[tuple[str, str]] = EVENT_FIELDS) -> DataFrame:
+    """Events of documents (``_record`` and the file), one row each with its ``errors``. A document is an object or an
+    array of objects; one that does not parse, or repeats a key, gives one row without values."""
+    parsed = docs.withColumn("_v", F.try_parse_json(RECORD))
+    many = F.try_variant_get("_v", "$", "array<variant>")
+    each = parsed.select(F.explode(F.coalesce(many, F.array("_v"))).alias("_e"), F.col("_v").isNull().alias("_broken"), RECORD, FILE)
+    out = extract_payload(each, "_e", fields, ["_broken", RECORD, FILE])
+    broken = F.array(F.struct(F.lit("payload").alias("column_name"), F.lit("Error parsing JSON: could not parse").alias("error")))
+    return out.withColumn("errors", F.when(F.col("_broken"), broken).otherwise(F.col("errors"))).drop("_broken")
 
 
 def _json_documents(spark: SparkSession, path: str | list[str], whole_files: bool) -> DataFrame:
     return spark.read.text(path, wholetext=whole_files).where("trim(value) <> ''").select(
-        F.col("value").alias(RECORD), F.try_parse_json("value").alias("_v"), F.col("_metadata.file_path").alias(FILE))
+        F.col("value").alias(RECORD), F.col("_metadata.file_path").alias(FILE))
 
 
 def read_json_events(spark: SparkSession, path: str | list[str], fields: Sequence[tuple[str, str]] = EVENT_FIELDS,
                      whole_files: bool = False) -> DataFrame:
-    """JSON events: an object, or an array of objects, per line; with ``whole_files`` per (buffer-sized) file.
-
-    An object that repeats a key does not parse, see ``json_rejects``. Explicit nulls stay in the payload.
-    """
-    doc = _json_documents(spark, path, whole_files).where(F.col("_v").isNotNull())
-    many = F.try_variant_get("_v", "$", "array<variant>")
-    each = doc.select(F.explode(F.coalesce(many, F.array("_v"))).alias("_e"), FILE)
-    return extract_payload(each, "_e", fields, [FILE])
+    """JSON events that meet the contract: an object, or an array of objects, per line; with ``whole_files`` per
+    (buffer-sized) file. The others are in ``json_rejects``. Explicit nulls stay in the payload."""
+    rows = checked_events(_json_documents(spark, path, whole_files), fields)
+    return rows.where(F.size("errors") == 0).drop("errors", RECORD)
 
 
 def json_rejects(spark: SparkSession, path: str | list[str], whole_files: bool = False) -> DataFrame:
-    """Documents that do not parse, in the shape of load rejects."""
-    error = F.struct(F.lit("payload").alias("column_name"), F.lit("Error parsing JSON: could not parse").alias("error"))
-    return _json_documents(spark, path, whole_files).where(F.col("_v").isNull()).select(
-        FILE, RECORD, F.array(error).alias("errors"))
+    """Documents that do not parse and events that break the contract, in the shape of load rejects."""
+    return checked_events(_json_documents(spark, path, whole_files)).where(F.size("errors") > 0).select(FILE, RECORD, "errors")
 
 
 def read_parquet_events(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -91,7 +91,8 @@ MEMBER_LAYOUT = (
     ("country_code", 497, 3), ("member_since", 500, 10), ("status", 510, 20), ("risk_tier", 530, 10),
 )
 
-# Keys of a delivered event and their types.
+# Keys of a delivered event, their types, and those that every event must have.
+REQUIRED_EVENT_KEYS = ("event_id", "event_time", "event_type", "member_id")
 EVENT_FIELDS = (
     ("event_id", "string"), ("event_time", "timestamp"), ("event_type", "string"), ("member_id", "string"),
     ("institution_id", "string"), ("amount", "decimal(15,2)"), ("channel", "string"), ("device_id", "string"),

@@ -1,4 +1,4 @@
-"""Event files to the Bronze table: each file once, late rows kept, bad documents set aside."""
+"""Event files to the Bronze table: each file once, late rows kept, bad documents and events set aside."""
 
 from __future__ import annotations
 
@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from riskloom.sources.files import FILE, RECORD, extract_payload
+from riskloom.functions.expressions import required
+from riskloom.operators.latest import keep_latest
+from riskloom.plans.silver import EVENT_TIES, dedup_events
+from riskloom.sources.files import FILE, RECORD, checked_events
 from riskloom.sources.tables import replace_partitions
-
-BATCH = "_batch_id"
+from riskloom.streaming.deltas import BATCH, DeltaLog, run_deltas
 
 
 def stream_documents(spark: SparkSession, src: str, max_files: int | None = None) -> DataFrame:
@@ -21,18 +23,6 @@ def stream_documents(spark: SparkSession, src: str, max_files: int | None = None
     return r.text(src).select(F.col("value").alias(RECORD), F.col("_metadata.file_path").alias(FILE))
 
 
-def stream_events(spark: SparkSession, src: str, max_files: int | None = None) -> DataFrame:
-    """Typed events of a landing prefix as a stream; documents that do not parse are left out."""
-    return typed_events(stream_documents(spark, src, max_files).withColumn("_v", F.try_parse_json(RECORD)))
-
-
-def typed_events(docs: DataFrame) -> DataFrame:
-    many = F.try_variant_get("_v", "$", "array<variant>")
-    keep = [c for c in docs.columns if c not in ("_v", RECORD)]
-    each = docs.where(F.col("_v").isNotNull()).select(F.explode(F.coalesce(many, F.array("_v"))).alias("_e"), *keep)
-    return extract_payload(each, "_e", keep=keep)
-
-
 def stream_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Append-only change feed of a Parquet table."""
     schema = schema or spark.read.parquet(path).schema
@@ -52,25 +42,37 @@ def bronze_stream(spark: SparkSession, src: str, out: str, errors: str, checkpoi
         None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        docs = batch.withColumn("_v", F.try_parse_json(RECORD)).persist()
+        rows = checked_events(batch).persist()
+        number = F.lit(batch_id).cast("bigint").alias(BATCH)
         try:
-            good = typed_events(docs).select(
-                "*", now.alias("_ingest_time"), F.lit(channel).alias("_channel_name"),
-                F.concat_ws(":", F.lit(batch_id), F.element_at(F.split(FILE, "/"), -1)).alias("_offset_token"),
-                F.lit(batch_id).cast("bigint").alias(BATCH))
+            good = rows.where(F.size("errors") == 0).select(
+                *[c for c in rows.columns if c not in ("errors", RECORD)], now.alias("_ingest_time"), F.lit(channel).alias("_channel_name"),
+                F.concat_ws(":", F.lit(batch_id), F.element_at(F.split(FILE, "/"), -1)).alias("_offset_token"), number)
             replace_partitions(good, out, (BATCH,))
-            bad = docs.where(F.col("_v").isNull()).select(FILE, RECORD, F.lit("Error parsing JSON").alias("error_message"),
-                                                          F.lit(batch_id).cast("bigint").alias(BATCH))
+            bad = rows.select(FILE, RECORD, F.explode("errors").alias("_e")).select(
+                FILE, RECORD, F.col("_e.column_name").alias("error_column_name"), F.col("_e.error").alias("error_message"), number)
             replace_partitions(bad, errors, (BATCH,))
         finally:
-            docs.unpersist()
+            rows.unpersist()
 
     w = stream_documents(spark, src, max_files).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(processingTime=f"{seconds} seconds") if seconds else w.trigger(availableNow=True)
     return w.start()
 
 
-def dedup_stream(stream: DataFrame, key: str = "event_id", event_time: str = "event_time", delay: str = "73 hours") -> DataFrame:
-    """First copy of every key. The delay must exceed the largest lateness (72 hours here) or late rows are lost."""
-    timed = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+def latest_events(stream: DataFrame, log: str, checkpoint: str, seconds: float | None = None) -> StreamingQuery:
+    """Silver events kept by micro-batches: a batch adds the newest of its copies, and the table is the newest over all
+    batches (``current_events``). No watermark: a later copy wins however late it comes."""
+    def newest(rows: DataFrame) -> DataFrame:
+        usable = rows.where(required("event_id", "member_id"))
+        return keep_latest(usable, ["event_id"], ["_ingest_time"], EVENT_TIES)
+
+    return run_deltas(stream, log, checkpoint, newest, seconds)
+
+
+def current_events(spark: SparkSession, log: str) -> DataFrame:
+    return dedup_events(DeltaLog(spark, log).read())
+
+
+def compact_events(spark: SparkSession, log: str) -> None:
+    DeltaLog(spark, log).compact(lambda rows: keep_latest(rows, ["event_id"], ["_ingest_time"], EVENT_TIES))

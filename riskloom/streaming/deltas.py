@@ -1,0 +1,90 @@
+"""Tables that micro-batches maintain, kept as a log of deltas.
+
+Every batch writes its own partition, so work follows the batch and a repeated batch replaces what it wrote before. The
+table is the fold of the log. Folding must not depend on order or grouping (sums, maxima, newest versions), which allows
+``compact`` to replace old partitions by one base. The pointer to the base holds the number of the last batch in it:
+partitions up to that number no longer count, so compacting again, or stopping halfway, changes nothing.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from riskloom.sources.tables import replace, replace_partitions, write_text
+
+BATCH = "_batch_id"
+Fold = Callable[[DataFrame], DataFrame]
+
+
+class DeltaLog:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.batches = f"{self.path}/batches"
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _base(self) -> tuple[str | None, int]:
+        """Folder of the base and the last batch in it."""
+        fs, p = self._fs(f"{self.path}/base/current")
+        if not fs.exists(p):
+            return None, -1
+        known = json.loads(self.spark.read.text(f"{self.path}/base/current").head()[0])
+        return f"{self.path}/base/{known['version']}", known["through"]
+
+    def pending(self) -> list[int]:
+        """Batches that are not in the base: a folder listing, one number per batch since the last compaction."""
+        fs, p = self._fs(self.batches)
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        through = self._base()[1]
+        return sorted(n for n in (int(x.split("=")[1]) for x in names if x.startswith(f"{BATCH}=")) if n > through)
+
+    def write(self, delta: DataFrame, batch_id: int) -> None:
+        replace_partitions(delta.withColumn(BATCH, F.lit(batch_id).cast("bigint")), self.batches, (BATCH,))
+
+    def read(self, last: int | None = None) -> DataFrame:
+        """Base and later batches; only their folders are read."""
+        base, through = self._base()
+        pending = self.pending()
+        parts = [self.spark.read.parquet(base)] if base else []
+        if pending:
+            rows = self.spark.read.parquet(self.batches).where(F.col(BATCH) > through)
+            parts.append((rows if last is None else rows.where(F.col(BATCH) <= last)).drop(BATCH))
+        if not parts:
+            raise ValueError(f"no batch has been written to {self.path}")
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def compact(self, fold: Fold) -> None:
+        """Fold all finished batches into the base, point at it, then drop what it replaces."""
+        pending = self.pending()
+        old, _ = self._base()
+        if pending:
+            version = f"v-{uuid.uuid4().hex[:12]}"
+            replace(fold(self.read(pending[-1])), f"{self.path}/base/{version}")
+            write_text(self.spark, f"{self.path}/base/current", json.dumps({"version": version, "through": pending[-1]}))
+        through = self._base()[1]
+        fs, p = self._fs(self.batches)
+        for s in fs.listStatus(p) if fs.exists(p) else []:
+            name = s.getPath().getName()
+            if name.startswith(f"{BATCH}=") and int(name.split("=")[1]) <= through:
+                fs.delete(s.getPath(), True)
+        if pending and old:
+            fs.delete(self._fs(old)[1], True)
+
+
+def run_deltas(stream: DataFrame, log: str, checkpoint: str, delta: Fold, seconds: float | None = None) -> StreamingQuery:
+    """Start a stream whose batches become deltas of a log."""
+    target = DeltaLog(stream.sparkSession, log)
+    w = stream.writeStream.foreachBatch(lambda batch, batch_id: target.write(delta(batch), batch_id)).option("checkpointLocation", checkpoint)
+    w = w.trigger(processingTime=f"{seconds} seconds") if seconds else w.trigger(availableNow=True)
+    return w.start()

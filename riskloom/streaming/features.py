@@ -2,62 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.functions.expressions import at, sum_when
-from riskloom.operators.merge import feature_delta, fold_deltas, merge_features
+from riskloom.operators.merge import feature_delta, fold_deltas
 from riskloom.plans.features import differences, online_features
-from riskloom.plans.silver import dedup_events
-from riskloom.sources.tables import replace_partitions
-from riskloom.streaming.bronze import BATCH
+from riskloom.streaming.deltas import DeltaLog, run_deltas
 
 
-def feature_log(stream: DataFrame, log: str, checkpoint: str, computed_at: str | None = None, dedup: bool = False,
+def feature_log(stream: DataFrame, log: str, checkpoint: str, computed_at: str | None = None,
                 seconds: float | None = None) -> StreamingQuery:
-    """Upsert of features on every micro-batch, as a log of deltas.
+    """Upsert of features on every micro-batch, as a log of deltas: a batch writes only the members it saw.
 
-    A batch writes only the members it saw, in its own partition; the measures combine in any order, so the table is
-    the fold of the log (``current_features``). Work per batch follows the batch, not the table, and a repeated batch
-    replaces its own partition. ``dedup`` drops copies inside a batch first.
+    Delivery is at least once, so a copy counts again; ``reconcile`` shows the members that the rebuild corrects. A
+    stream of Silver events, which has each event once, needs no correction.
     """
     now = at(computed_at) if computed_at else F.current_timestamp().cast("timestamp_ntz")
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = dedup_events(batch) if dedup else batch
-        delta = feature_delta(rows).select("*", now.alias("feature_computed_at"),
-                                           F.lit(batch_id).cast("bigint").alias(BATCH))
-        replace_partitions(delta, log, (BATCH,))
-
-    w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    w = w.trigger(processingTime=f"{seconds} seconds") if seconds else w.trigger(availableNow=True)
-    return w.start()
+    return run_deltas(stream, log, checkpoint, lambda rows: feature_delta(rows).select("*", now.alias("feature_computed_at")), seconds)
 
 
 def current_features(spark: SparkSession, log: str) -> DataFrame:
     """One row per member from the feature log."""
-    return fold_deltas(spark.read.parquet(log))
+    return fold_deltas(DeltaLog(spark, log).read())
+
 
+def compact_features(spark: SparkSession, log: str) -> None:
+    DeltaLog(spark, log).compact(fold_deltas)
 
-def compact(spark: SparkSession, base: DataFrame, log: str, computed_at: Column) -> DataFrame:
-    """A feature table with a finished log folded in."""
-    delta = fold_deltas(spark.read.parquet(log)).drop("feature_computed_at")
-    return merge_features(base, delta, computed_at)
 
+# --- sliding windows ----------------------------------------------------------------------------
 
-def sliding_features(stream: DataFrame, window: str = "24 hours", slide: str = "1 hour", delay: str = "72 hours") -> DataFrame:
-    """Measures per member and sliding window: old events leave as the window moves. A window is emitted once it is
-    ``delay`` behind the newest event, so events up to that late still count."""
-    timed = stream.withColumn("event_time", F.col("event_time").cast("timestamp"))
-    if "window" not in timed.columns and delay:
-        timed = timed.withWatermark("event_time", delay)
-    return timed.groupBy(F.window("event_time", window, slide), "member_id").agg(
+def _pane_delta(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("member_id", F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias("pane")).agg(
         F.count(F.lit(1)).alias("event_count"), sum_when(F.col("amount") > 0, "amount").alias("total_spend"),
-        F.max("risk_score").alias("max_risk_score"), F.max("event_time").alias("last_activity_time")).select(
-        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window.end").cast("timestamp_ntz").alias("window_end"), "member_id", "event_count", "total_spend",
-        "max_risk_score", F.col("last_activity_time").cast("timestamp_ntz").alias("last_activity_time"))
+        F.max("risk_score").alias("max_risk_score"), F.max("event_time").alias("last_activity_time"))
+
+
+def _fold(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(
+        F.sum("event_count").cast("bigint").alias("event_count"), F.sum("total_spend").cast("decimal(18,2)").alias("total_spend"),
+        F.max("max_risk_score").alias("max_risk_score"),
+        F.max("last_activity_time").alias("last_activity_time"))
+
+
+def fold_panes(rows: DataFrame) -> DataFrame:
+    return _fold(rows, ["member_id", "pane"])
+
+
+def pane_log(stream: DataFrame, log: str, checkpoint: str, seconds: float | None = None) -> StreamingQuery:
+    """Measures per member and hour on every micro-batch. There is no watermark: an event changes its pane however late
+    it comes."""
+    return run_deltas(stream, log, checkpoint, _pane_delta, seconds)
+
+
+def sliding_windows(spark: SparkSession, log: str, hours: int = 24) -> DataFrame:
+    """Measures per member and sliding window of ``hours``, one window per hour, open windows included. Panes are folded
+    first, so each member and hour enters its windows as one row, however many events it holds."""
+    panes = fold_panes(DeltaLog(spark, log).read())
+    back = F.explode(F.sequence(F.lit(0), F.lit(hours - 1))).alias("_back")
+    placed = panes.select("*", back).withColumn("window_start", F.col("pane") - F.make_dt_interval(hours=F.col("_back")))
+    out = _fold(placed, ["window_start", "member_id"])
+    return out.select("window_start", (F.col("window_start") + F.expr(f"INTERVAL {hours} HOURS")).alias("window_end"), "member_id",
+                      "event_count", "total_spend", "max_risk_score", "last_activity_time")
 
 
 def rematerialize(history: DataFrame, as_of: str) -> DataFrame:

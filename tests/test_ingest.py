@@ -91,8 +91,10 @@ def test_fixed_width_and_mainframe_files(spark, tmp_path):
 
 
 def test_json_arrays_duplicates_and_nulls(spark, tmp_path):
-    e = {"event_id": "E1", "event_time": "2024-01-01T00:00:00+00:00", "amount": 1.5, "risk_score": None, "extra": 1}
-    (tmp_path / "l.json").write_text(json.dumps(e) + "\n" + '{"event_id":"D","event_id":"D2"}\n'
+    e = {"event_id": "E1", "event_time": "2024-01-01T00:00:00+00:00", "event_type": "TXN", "member_id": "M1", "amount": 1.5,
+         "risk_score": None, "extra": 1}
+    bad = [dict(e, event_id=None), dict(e, event_id="E4", event_time="soon", amount="abc"), dict(e, event_id="E5", member_id=None)]
+    (tmp_path / "l.json").write_text(json.dumps(e) + "\n" + '{"event_id":"D","event_id":"D2"}\n' + json.dumps(bad) + "\n"
                                      + json.dumps([dict(e, event_id="E2"), dict(e, event_id="E3")]) + "\n")
     got = {r["event_id"]: r for r in files.read_json_events(spark, str(tmp_path)).collect()}
     assert set(got) == {"E1", "E2", "E3"} and str(got["E1"]["event_time"]) == "2024-01-01 00:00:00"
@@ -100,7 +102,9 @@ def test_json_arrays_duplicates_and_nulls(spark, tmp_path):
     assert all('"risk_score":null' in r["p"] and '"extra":1' in r["p"] for r in payload)
     rejects = files.json_rejects(spark, str(tmp_path))
     dl = ingest.dead_letter(rejects, "BRONZE.STREAMING_EVENTS", at(AS_OF)).collect()
-    assert [r["error_category"] for r in dl] == ["PARSE_ERROR"]
+    assert sorted((r["error_category"], r["error_column_name"]) for r in dl) == [
+        ("CONSTRAINT", "event_id"), ("CONSTRAINT", "member_id"), ("PARSE_ERROR", "payload"),
+        ("TYPE_MISMATCH", "amount"), ("TYPE_MISMATCH", "event_time")]
     (tmp_path / "whole").mkdir()
     (tmp_path / "whole" / "w.json").write_text(json.dumps([e, dict(e, event_id="E9")], indent=2))
     assert files.read_json_events(spark, str(tmp_path / "whole"), whole_files=True).count() == 2

@@ -6,11 +6,11 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from riskloom.functions.expressions import at
 from riskloom.plans import silver
 from riskloom.sources.files import hour_path
 from riskloom.sources.tables import append
 from riskloom.streaming import bronze, checks, features
+from riskloom.streaming.deltas import DeltaLog
 from tests.conftest import AS_OF, rows
 
 NOW = datetime(2024, 1, 31)
@@ -43,13 +43,16 @@ def test_bronze_takes_each_file_once_and_keeps_late_rows(spark, tmp_path):
     src, base = tmp_path / "in", tmp_path / "out"
     hour = Path(hour_path(str(src), NOW))
     assert hour == src / "year=2024" / "month=01" / "day=31" / "hour=00"
-    _write(hour, "a.json", DUPLICATES, "{broken\n")
+    no_id, bad_amount = _event("X", NOW), _event("Y", NOW, amount="abc")
+    del no_id["event_id"]
+    _write(hour, "a.json", [*DUPLICATES, no_id, bad_amount], "{broken\n")
     assert _run(spark, src, base).count() == 30
     assert _run(spark, src, base).count() == 30
     _write(hour, "b.json", LATE + BURST)
     df = _run(spark, src, base)
     assert df.count() == 1036
-    assert spark.read.parquet(f"{base}/errors").count() == 1
+    errors = spark.read.parquet(f"{base}/errors").collect()
+    assert sorted(r["error_column_name"] for r in errors) == ["amount", "event_id", "payload"]
     dup = checks.dup_report(df.where("event_id LIKE 'DUP-%'")).head()
     assert (dup["total_rows"], dup["unique_events"], dup["duplicate_rows"]) == (30, 10, 20)
     late = {r["event_id"]: r["hours_late"] for r in checks.late_report(df.where("event_id LIKE 'LATE-%'")).collect()}
@@ -61,18 +64,6 @@ def test_bronze_takes_each_file_once_and_keeps_late_rows(spark, tmp_path):
     assert clean.count() == 1016 and checks.dedup_report(clean).head()["result"].startswith("PASS")
 
 
-def test_dedup_stream_over_several_batches(spark, tmp_path):
-    src = tmp_path / "in"
-    for n, part in enumerate((DUPLICATES[:10], DUPLICATES[10:20] + LATE, DUPLICATES[20:])):
-        _write(src, f"{n}.json", part)
-    s = bronze.dedup_stream(bronze.stream_events(spark, str(src), max_files=1), delay="80 hours")
-    q = (s.select("event_id").writeStream.format("parquet").option("path", str(tmp_path / "o"))
-         .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = [r[0] for r in spark.read.parquet(str(tmp_path / "o")).collect()]
-    assert len(got) == 16 and len(set(got)) == 16
-
-
 def _table(spark, events):
     df = spark.createDataFrame([(e["event_id"], datetime.fromisoformat(e["event_time"]), e["member_id"], e["amount"], e["channel"],
                                  e["risk_score"], n) for n, e in enumerate(events)],
@@ -97,18 +88,72 @@ def test_feature_log_is_repeatable_and_rebuild_corrects_it(spark, tmp_path):
     # Copies were counted three times, which the rebuild from de-duplicated history shows.
     wrong = features.reconcile(live, silver.dedup_events(history), AS_OF)
     assert {r["member_id"] for r in wrong.collect()} == {f"MBR{i}" for i in range(10)}
-    # With copies dropped inside one batch the two paths agree.
-    log2 = str(tmp_path / "log2")
-    features.feature_log(bronze.stream_table(spark, src, history.schema), log2, str(tmp_path / "ck2"), computed_at=AS_OF,
-                         dedup=True).awaitTermination()
-    assert features.reconcile(features.current_features(spark, log2), silver.dedup_events(history), AS_OF).count() == 0
+    # Fed with Silver events, which have each event once, the two paths agree.
+    clean, log2 = silver.dedup_events(history), str(tmp_path / "log2")
+    append(clean, str(tmp_path / "silver"))
+    features.feature_log(bronze.stream_table(spark, str(tmp_path / "silver")), log2, str(tmp_path / "ck2"), computed_at=AS_OF).awaitTermination()
+    assert features.reconcile(features.current_features(spark, log2), clean, AS_OF).count() == 0
     # A defect in the live table disappears with the rebuild.
     broken = live.withColumn("total_spend_24h", F.lit(0).cast("decimal(18,2)"))
     rebuilt = features.rematerialize(silver.dedup_events(history), AS_OF)
     assert features.reconcile(broken, silver.dedup_events(history), AS_OF).count() > 0
     assert features.reconcile(rebuilt, silver.dedup_events(history), AS_OF).count() == 0
-    base = live.limit(0)
-    assert rows(features.compact(spark, base, log, at(AS_OF))) == rows(live)
+    want, want_at = rows(live), sorted(live.columns).index("event_count_24h")
+    for _ in range(2):  # compacting again changes nothing
+        features.compact_features(spark, log)
+        assert rows(features.current_features(spark, log)) == want and not DeltaLog(spark, log).pending()
+    append(_table(spark, LATE[:1]), src)
+    features.feature_log(bronze.stream_table(spark, src, history.schema), log, str(tmp_path / "ck"), computed_at=AS_OF).awaitTermination()
+    grown = features.current_features(spark, log).agg(F.sum("event_count_24h")).head()[0]
+    assert grown == sum(int(r[want_at]) for r in want) + 1
+    assert DeltaLog(spark, log).pending() == [2]
+
+
+def test_a_compaction_that_stopped_before_dropping_batches(spark, tmp_path, monkeypatch):
+    log = DeltaLog(spark, str(tmp_path / "log"))
+    for n in range(3):
+        log.write(spark.createDataFrame([("a", n + 1)], "k string, v int"), n)
+    fold = lambda df: df.groupBy("k").agg(F.sum("v").cast("int").alias("v"))
+    listed = DeltaLog._fs
+    def no_delete(self, path):
+        if path.endswith("/batches") and (tmp_path / "log/base/current").exists():
+            raise OSError("lost")
+        return listed(self, path)
+    monkeypatch.setattr(DeltaLog, "pending", lambda self: [0, 1, 2])
+    monkeypatch.setattr(DeltaLog, "_fs", no_delete)
+    try:
+        log.compact(fold)
+    except OSError:
+        pass
+    monkeypatch.undo()
+    assert fold(log.read()).collect() == [("a", 6)]
+    log.compact(fold)
+    log.compact(fold)
+    assert fold(log.read()).collect() == [("a", 6)] and not log.pending()
+
+
+def test_latest_copy_wins_however_late(spark, tmp_path):
+    """Older copies that come in a later batch do not win; a newer one that comes a year late does."""
+    history = _table(spark, DUPLICATES + LATE)
+    late = history.limit(1).withColumns({"_ingest_time": F.col("_ingest_time") + F.expr("INTERVAL 365 DAYS"), "channel": F.lit("WEB")})
+    src, log = str(tmp_path / "b"), str(tmp_path / "log")
+    for part in (history.where("_offset_token > 't2'"), history.where("_offset_token <= 't2'"), late):
+        append(part, src)
+        bronze.latest_events(bronze.stream_table(spark, src, history.schema), log, str(tmp_path / "c")).awaitTermination()
+    assert rows(bronze.current_events(spark, log)) == rows(silver.dedup_events(history.unionByName(late)))
+    bronze.compact_events(spark, log)
+    assert rows(bronze.current_events(spark, log)) == rows(silver.dedup_events(history.unionByName(late)))
+
+
+def test_late_events_change_their_windows(spark, tmp_path):
+    history = _table(spark, BURST[:50] + LATE)
+    src, log = str(tmp_path / "b"), str(tmp_path / "log")
+    for part in (history.where("event_id LIKE 'BURST%'"), history.where("event_id LIKE 'LATE%'")):
+        append(part, src)
+        features.pane_log(bronze.stream_table(spark, src, history.schema), log, str(tmp_path / "c")).awaitTermination()
+    got = features.sliding_windows(spark, log)
+    assert got.agg(F.sum("event_count")).head()[0] == 24 * history.count()
+    assert got.where("window_end > TIMESTAMP_NTZ '2024-01-31 00:00:00'").count() > 0
 
 
 def test_latency_report(spark):

@@ -184,3 +184,42 @@ def test_an_alert_is_open_until_it_was_resolved(spark, lake):
     got = features.backfill_features(members, txns, alert, ("2024-01-05 00:00:00", "2024-01-12 00:00:00", "2024-01-16 00:00:00"))
     assert {str(r["system_time"]): r["open_alerts"] for r in got.collect()}.get("2024-01-12 00:00:00") == 1
     assert got.agg(F.sum("open_alerts")).head()[0] == 1
+
+
+def test_refresh_after_a_failure_between_its_two_writes(spark, lake, tmp_path, monkeypatch):
+    """A row moves to another month, Silver is written, Gold is not. The next run mends both months."""
+    raw = lake.raw("raw_transactions").where("txn_timestamp >= '2023-10-01'")
+    s, g = str(tmp_path / "silver"), str(tmp_path / "gold")
+    first = raw.where("_loaded_at < '2024-01-05'")
+    moved = (first.where("txn_timestamp < '2023-12-01'").orderBy("txn_id").limit(3).withColumns(
+        {"txn_timestamp": F.expr("TIMESTAMP_NTZ '2024-01-20 00:00:00'"), "_loaded_at": F.expr("TIMESTAMP_NTZ '2024-01-21 00:00:00'")}))
+    delta = raw.where("_loaded_at >= '2024-01-05'").unionByName(moved)
+    medallion.write_parts(silver.cleanse_transactions(first), s, "txn_timestamp", "month")
+    medallion.write_parts(gold.daily_member_summary(spark.read.parquet(s)), g, "txn_date", "month")
+    real, calls = medallion.replace_partitions, []
+
+    def fails_on_gold(df, path, by):
+        calls.append(path)
+        if path == g:
+            raise OSError("executor lost")
+        real(df, path, by)
+
+    monkeypatch.setattr(medallion, "replace_partitions", fails_on_gold)
+    with pytest.raises(OSError):
+        medallion.refresh_daily(spark, s, g, delta, "month")
+    monkeypatch.undo()
+    assert calls == [s, g]
+    medallion.refresh_daily(spark, s, g, delta, "month")
+    want = gold.daily_member_summary(silver.cleanse_transactions(raw.unionByName(moved)))
+    assert rows(spark.read.parquet(g).select(*want.columns)) == rows(want)
+    assert not (tmp_path / "gold_unfinished").exists()
+
+
+def test_stored_zone_opens_only_needed_folders(spark, lake, tmp_path):
+    store = medallion.ZoneStore(spark, str(tmp_path / "z"))
+    store.write("GOLD", "DAILY", lake.daily, ("txn_date", "month"))
+    recent = store.read("GOLD", "DAILY", since="2024-01-10")
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part_date" in plan
+    want = lake.daily.where("txn_date >= DATE '2024-01-10'")
+    assert rows(recent.where("txn_date >= DATE '2024-01-10'")) == rows(want)
