@@ -40,6 +40,7 @@ DEPTHS = (6, 10, 16)
 REGION = 16
 EST_SLACK = 0.15
 BLOCK = 2048
+SLICES = 32
 
 _RANDOM = mix(np.arange(1, 2 * TREES * TREE_HASHES + 1, dtype=np.uint64))
 _FACTOR = (_RANDOM[:TREES * TREE_HASHES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -148,7 +149,8 @@ def candidate_pairs(described: DataFrame) -> DataFrame:
         full = cut(full)
         out = out.unionByName(_hub_pairs(full, key))
         if len(key) == len(DEPTHS):
-            order = Window.partitionBy(*key).orderBy("id")
+            # equal over the whole depth, so any order serves; slices keep a huge node from meeting in one task
+            order = Window.partitionBy(*key, F.pmod(F.xxhash64("id"), F.lit(SLICES))).orderBy("id")
             near = full.withColumn("_next", F.lead("id").over(order)).where("_next > id")
             out = out.unionByName(near.select(F.col("id").alias("a"), F.col("_next").alias("b")))
             break
