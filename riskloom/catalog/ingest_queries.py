@@ -9,6 +9,7 @@ from riskloom.catalog.registry import query
 from riskloom.functions.expressions import at
 from riskloom.plans import ingest
 from riskloom.plans.lake import Lake
+from riskloom.plans.loads import LoadStore, run_load
 from riskloom.session import new_path
 from riskloom.sources import files
 from riskloom.sources import formats as fm
@@ -127,6 +128,29 @@ def recent_loads(lake: Lake):
     return found.select("table_name", F.col("path").alias("source_name"), "rows_parsed")
 
 
+@query("load_end_to_end", f"""
+SELECT _source_file AS source_name, count(*) AS rows_parsed, count(*) FILTER (WHERE {GOOD_TXN}) AS in_target,
+  count(*) FILTER (WHERE NOT ({GOOD_TXN})) AS rejected_rows, CAST(sum(CAST(k % 53 = 0 AS INT) + CAST(k % 59 = 0 AS INT)
+    + CAST(k % 61 = 0 AS INT)) AS BIGINT) AS in_dead_letter, CAST(2 AS BIGINT) AS loads, CAST(0 AS BIGINT) AS files_of_third_run
+FROM landing_transactions GROUP BY 1""")
+def load_end_to_end(lake: Lake):
+    """Four sources land and are loaded, then the rest, then nothing new."""
+    landing, store = transaction_files(lake), LoadStore(lake.spark, new_path(lake.spark, "loads"))
+    reader = lambda paths: files.read_delimited(lake.spark, paths, fm.PIPE, fm.TRANSACTIONS.names)
+    runs = [run_load(store, prefix, fm.TRANSACTIONS, reader, at(lake.as_of))
+            for prefix in (f"{landing}/{BUCKET}=txn_[0-3]*", landing, landing)]
+    def per_source(table: str, path: str, name: str) -> DataFrame:
+        source = F.regexp_extract(path, f"{BUCKET}=([^/]+)/", 1).alias("source_name")
+        return store.read(table).groupBy(source).agg(F.count(F.lit(1)).alias(name))
+    audit = _by_bucket(store.read("audit").select("path", "rows_parsed", "rows_rejected"), "path", "rows_parsed", "rows_rejected")
+    out = audit.join(per_source("good", files.FILE, "in_target"), "source_name", "left")
+    out = out.join(per_source("dead_letter", "source_file", "in_dead_letter"), "source_name", "left")
+    zero = F.lit(0).cast("bigint")
+    return out.select("source_name", "rows_parsed", F.coalesce("in_target", zero).alias("in_target"),
+                      F.col("rows_rejected").alias("rejected_rows"), F.coalesce("in_dead_letter", zero).alias("in_dead_letter"),
+                      F.lit(len(store.committed())).cast("bigint").alias("loads"), F.lit(runs[2]["files"]).cast("bigint").alias("files_of_third_run"))
+
+
 @query("pending_files", "SELECT DISTINCT _source_file AS source_name FROM landing_transactions WHERE _source_file >= 'txn_4'")
 def pending_files(lake: Lake):
     """Files left after a first load took the files of four sources."""
@@ -155,7 +179,7 @@ def ingest_fixed_width(lake: Lake):
 
 @query("ingest_ebcdic", MEMBER_ROWS)
 def ingest_ebcdic(lake: Lake):
-    """The same records in a mainframe code page."""
+    """The same records in a mainframe code page, one per row."""
     raw = lake.raw("landing_members").select(files.encode_text(F.col("line")).alias("raw"))
     text = files.decode_records(raw, "raw", fm.MEMBER_LAYOUT).withColumn(files.FILE, F.lit("members.ebc"))
     return ingest.load_batch(text, fm.MEMBERS, at(lake.as_of)).good.drop(files.FILE)

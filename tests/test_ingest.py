@@ -3,10 +3,12 @@
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import at
 from riskloom.plans import ingest
+from riskloom.plans.loads import LoadStore, run_load
 from riskloom.sources import files
 from riskloom.sources import formats as fm
 from tests.conftest import AS_OF, rows
@@ -115,3 +117,33 @@ def test_institutions_load(spark, tmp_path):
     text = files.read_delimited(spark, str(tmp_path), fm.PIPE, fm.INSTITUTIONS.names)
     load = ingest.load_batch(text, fm.INSTITUTIONS, at(AS_OF))
     assert rows(load.good.select("institution_id", "region")) == [("FI1", "WEST")] and load.rejects.count() == 1
+
+
+def test_run_load_takes_each_file_once_and_survives_a_failure(spark, tmp_path, monkeypatch):
+    landing, store = tmp_path / "in", LoadStore(spark, str(tmp_path / "store"))
+    landing.mkdir()
+    header = "|".join(fm.INSTITUTIONS.names)
+    def land(name, *lines):
+        (landing / name).write_text("\n".join([header, *lines]) + "\n")
+    good = "{}|One|BANK|1|c|OCC|NY|WEST|LARGE|2001-01-01|ACTIVE"
+    reader = lambda paths: files.read_delimited(spark, paths, fm.PIPE, fm.INSTITUTIONS.names)
+    run = lambda: run_load(store, str(landing), fm.INSTITUTIONS, reader, at(AS_OF))
+    land("a.psv", good.format("FI1"), "|x")
+    real = LoadStore.write
+    def lost(self, table, load_id, df):
+        if table == "audit":
+            raise OSError("executor lost")
+        return real(self, table, load_id, df)
+    monkeypatch.setattr(LoadStore, "write", lost)
+    with pytest.raises(OSError):
+        run()
+    monkeypatch.undo()
+    assert store.read("good") is None and store.committed() == []
+    land("b.psv", good.format("FI2"))  # the next load has other files, so the failed one is left and never read
+    first = run()
+    assert (first["files"], first["rows_loaded"], first["rows_rejected"]) == (2, 2, 1)
+    assert run()["files"] == 0
+    land("c.psv", good.format("FI3"))
+    assert run()["files"] == 1 and len(store.committed()) == 2
+    assert sorted(r[0] for r in store.read("good").select("institution_id").collect()) == ["FI1", "FI2", "FI3"]
+    assert store.read("dead_letter").count() == 1 and store.read("audit").count() == 3
