@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import ascii_lower
+from riskloom.llm.common import ascii_lower, cut, stored
 
 DEPTH = 3
 MIN_ROWS = 5
@@ -78,9 +78,10 @@ def templated(urls: DataFrame) -> DataFrame:
         out = out.withColumn(here, F.coalesce(F.try_element_at("_segments", F.lit(level)), F.lit("")))
         children = out.groupBy(*fixed, here).agg(F.count(F.lit(1)).alias("_n"))
         parents = children.groupBy(*fixed).agg(F.sum("_n").alias("_all"))
-        literal = (children.join(parents, fixed)
-                   .where((F.col("_n") >= MIN_ROWS) & (F.col("_n") >= MIN_SHARE * F.col("_all")))
-                   .select(*fixed, here, F.lit(True).alias("_kept")))
+        # written, so that the plan of each level does not hold those of all levels before it twice
+        literal = cut(children.join(parents, fixed)
+                      .where((F.col("_n") >= MIN_ROWS) & (F.col("_n") >= MIN_SHARE * F.col("_all")))
+                      .select(*fixed, here, F.lit(True).alias("_kept")))
         out = (out.join(literal, [*fixed, here], "left")
                .withColumn(name, F.when((F.col(here) == "") | F.col("_kept"), F.col(here)).otherwise("*"))
                .drop("_kept", here))
@@ -120,7 +121,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
     pages that should go, null for unlabelled ones."""
     host, path = url_parts(F.col(url_col))
     bad = F.col(bad_col).cast("boolean") if bad_col else F.lit(None).cast("boolean")
-    urls = templated(pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"), bad.alias("bad")))
+    parts = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"), bad.alias("bad"))
+    urls = stored(templated(stored(parts, "url-parts")), "url-templates")
     branches = template_purity(urls).select("host", "template", "purity")
     judged = urls.drop("bad").join(branches, ["host", "template"], "left")
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
