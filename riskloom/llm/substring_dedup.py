@@ -9,10 +9,11 @@ with a smaller id. Windows are judged on the input.
    taken: equal windows take the same one, so none is lost, and about one run in thirteen is counted instead of each.
    Runs that occur in one class only are dropped.
 3. Level two doubles the survivors: only windows whose smallest half run repeats are hashed in full, with 128 bits, and
-   counted. No window of twice the length is looked at whose half does not repeat, and at the full length none is left.
+   counted. The tasks know the repeated runs, and the rows that stand for their class, from bitmaps of bounded size; a
+   bitmap that wrongly says yes adds a window to the count and changes no result. At the full length none is left.
 4. A window repeats if its first document is smaller than its own. Its words go.
 
-Counts are aggregated before they move; texts move once, by id, and never meet in a group.
+Counts are aggregated before they move; texts move once, to meet their windows, and never meet in a group.
 
 Defined cases: a null text or one without words keeps nothing and loses nothing (kept text empty); a document of fewer
 than ``WINDOW`` words has no window; repeated rows with the same id are not each other's earlier copy, both stay; a row
@@ -27,10 +28,12 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.llm.bloom import bitmap_of
 from riskloom.llm.common import cut, stored
 from riskloom.llm.minhash_forest import class_keys
 from riskloom.llm.words import Words, sequence_hashes, word_batches
@@ -53,7 +56,7 @@ def smallest_halves(w: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.n
     return starts, starts + view[starts].argmin(1) if len(starts) < len(view) // 2 else starts + view.argmin(1)[starts], hashes
 
 
-def _anchors(window: int):
+def _half_runs(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -63,30 +66,29 @@ def _anchors(window: int):
                 at = np.unique(best)
                 bounds = pa.array(np.searchsorted(at, w.first), pa.int32())
                 runs = pa.ListArray.from_arrays(bounds, pa.array(hashes[at].view(np.int64)))
-                places = pa.ListArray.from_arrays(bounds, pa.array((at - w.first[w.row[at]]).astype(np.int32)))
                 yield pa.record_batch([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
-                                       pa.array(class_keys(w), pa.binary()), runs, places],
-                                      names=["doc", "version", "class", "run", "at"])
+                                       pa.array(class_keys(w), pa.binary()), runs], names=["doc", "row", "class", "run"])
     return run
 
 
-def _windows(window: int):
+def _windows(window: int, repeated: Broadcast, standing: Broadcast):
+    """Windows whose smallest half run repeats, of the rows that stand for their class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            alive = batch.column(3)
+            ids = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
             for a, b, w in word_batches(batch.column(2), False):
-                starts, best, _ = smallest_halves(w, window)
-                live = np.zeros(len(w.hash) + 1, bool)
-                for i in range(a, b):
-                    live[w.first[i - a] + alive[i].values.to_numpy()] = True
-                starts = starts[live[best]]
+                starts, best, half_runs = smallest_halves(w, window)
+                use = standing.value.has(ids[a:b])[w.row[starts]]
+                starts, best = starts[use], best[use]
+                runs, back = np.unique(half_runs[best], return_inverse=True)
+                starts = starts[repeated.value.has(runs)[back]] if len(runs) else starts
                 row = w.row[starts]
                 hashes = [sequence_hashes(w.hash, window, salt)[starts].view(np.int64) for salt in (0, 1)]
                 yield pa.record_batch([batch.column(0).slice(a, b - a).take(pa.array(row)), batch.column(1).slice(a, b - a).take(pa.array(row)),
                                        pa.array((starts - w.first[row]).astype(np.int32)), *map(pa.array, hashes)],
-                                      names=["doc", "version", "start", "h0", "h1"])
+                                      names=["doc", "row", "start", "h0", "h1"])
     return run
 
 
@@ -139,26 +141,20 @@ def _joined(w: Words, keep: np.ndarray) -> pa.Array:
 
 
 def repeated_starts(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """For ``docs`` (doc, version, text): which rows are later copies of a whole text (``doc``, ``version``, ``copy``), and
-    where windows start that an earlier document has (``doc``, ``version``, ``starts``)."""
-    anchors = stored(docs.mapInArrow(_anchors(window), "doc long, version long, class binary, run array<long>, at array<int>"), "half-runs")
-    firsts = anchors.groupBy("class").agg(F.min("doc").alias("first"))
-    copies = cut(anchors.select("doc", "version", "class").distinct().join(firsts, "class")
-                 .select("doc", "version", F.coalesce(F.col("doc") > F.col("first"), F.lit(False)).alias("copy")).distinct())
-    runs = anchors.select(F.xxhash64("class").alias("c"), F.explode("run").alias("run"))
-    repeated = runs.groupBy("run").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("run")
-    places = anchors.select("doc", "version", F.inline(F.arrays_zip("run", "at")))
-    alive = (places.join(cut(repeated), "run").groupBy("doc", "version").agg(F.collect_set("at").alias("alive")))
-    alive = cut(alive.join(copies.where("not copy"), same_row(alive, copies)).select(alive["doc"], alive["version"], "alive"))
-    found = docs.join(alive, same_row(docs, alive)).select(docs["doc"], docs["version"], "text", "alive")
-    windows = stored(found.mapInArrow(_windows(window), "doc long, version long, start int, h0 long, h1 long"), "windows")
+    """For ``docs`` (doc, row, text): the rows that are later copies of a whole text (``row``, ``copy``), and where windows
+    start that an earlier document has (``row``, ``starts``)."""
+    sc = docs.sparkSession.sparkContext
+    halves = stored(docs.mapInArrow(_half_runs(window), "doc long, row long, class binary, run array<long>"), "half-runs")
+    firsts = halves.groupBy("class").agg(F.min("doc").alias("first"))
+    rows = cut(halves.select("doc", "row", "class").join(firsts, "class")
+               .select("row", F.coalesce(F.col("doc") > F.col("first"), F.lit(False)).alias("copy")).distinct())
+    runs = halves.select(F.xxhash64("class").alias("c"), F.explode("run").alias("run"))
+    repeated = cut(runs.groupBy("run").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("run"))
+    filters = [sc.broadcast(bitmap_of(df, c)) for df, c in ((repeated, "run"), (rows.where("not copy"), "row"))]
+    windows = stored(docs.mapInArrow(_windows(window, *filters), "doc long, row long, start int, h0 long, h1 long"), "windows")
     first = windows.groupBy("h0", "h1").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").drop("last")
     gone = windows.join(first, ["h0", "h1"]).where("first < doc")
-    return copies, gone.groupBy("doc", "version").agg(F.collect_set("start").alias("starts"))
-
-
-def same_row(left: DataFrame, right: DataFrame):
-    return left["doc"].eqNullSafe(right["doc"]) & (left["version"] == right["version"])
+    return rows.where("copy"), gone.groupBy("row").agg(F.collect_set("start").alias("starts"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
@@ -166,13 +162,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     """Per row: id, n_words, n_removed, ``kept``, the kept words joined by one blank, and the columns of ``carry``. With
     ``as_is`` a text that loses nothing is returned as it was."""
     text = F.col(text_col).cast("string")
-    version = F.xxhash64(F.coalesce(text, F.lit("")))
+    row = F.xxhash64(F.col(id_col).cast("long"), F.coalesce(text, F.lit("")))
     more = F.struct(*[F.col(c) for c in carry]) if carry else F.struct(F.lit(0))
-    whole = docs.select(F.col(id_col).cast("long").alias("doc"), version.alias("version"), text.alias("text"), more.alias("carried"))
-    rows = whole.select("doc", "version", "text")
-    copies, starts = repeated_starts(rows, window)
-    j = whole.join(copies, same_row(whole, copies), "left").select(whole["doc"], whole["version"], "text", "copy", "carried")
-    j = j.join(starts, same_row(j, starts), "left").select(j["doc"], "text", F.coalesce("copy", F.lit(False)).alias("copy"), "starts", "carried")
+    whole = docs.select(F.col(id_col).cast("long").alias("doc"), row.alias("row"), text.alias("text"), more.alias("carried"))
+    copies, starts = repeated_starts(whole.select("doc", "row", "text"), window)
+    j = whole.join(copies, "row", "left").join(starts, "row", "left")
+    j = j.select("doc", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "starts", "carried")
     shape = T.StructType([T.StructField("doc", T.LongType()), T.StructField("n_words", T.LongType()),
                           T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()), j.schema["carried"]])
     out = j.mapInArrow(_removal(window, as_is), shape)

@@ -6,6 +6,7 @@ import numpy as np
 
 from pyspark.sql import types as T
 from riskloom.llm import embedding_dedup, minhash_forest, substring_dedup
+from riskloom.llm.bloom import bitmap_of
 from riskloom.llm.common import ship_package
 from riskloom.llm.components import components
 from tests.llm.fixtures import ascii_lower, docs_df, find_components, mixed_docs, sentence, white_words
@@ -148,3 +149,13 @@ def test_components(spark):
     want = find_components(ids, links)
     assert got == {i: c for i, c in want.items() if i != c}
     assert components(df.limit(0)).count() == 0
+
+
+def test_bitmap_never_forgets(spark):
+    ship_package(spark)
+    rng = np.random.default_rng(2)
+    held, other = rng.integers(-2**63, 2**63 - 1, 3000), rng.integers(-2**63, 2**63 - 1, 3000)
+    found = bitmap_of(spark.createDataFrame([(int(x),) for x in held], "h long").repartition(3), "h")
+    assert found.has(held.view(np.uint64)).all()
+    assert found.has(other.view(np.uint64)).mean() < 0.02
+    assert not bitmap_of(spark.createDataFrame([], "h long"), "h").has(other.view(np.uint64)).any()
