@@ -29,8 +29,7 @@ BPE_FILE = "byte_bpe_50k.json"
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
-    return docs.where(~toxicity.is_toxic(spark, model, "text"))
+    return toxicity.drop_toxic(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

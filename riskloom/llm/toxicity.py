@@ -25,11 +25,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskloom.llm.common import cut
 from riskloom.llm.words import Words, letters_and_digits, prefix_hashes, word_batches
@@ -194,17 +192,20 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
     return rows.mapInArrow(run, f"doc {kind}, expected_severity double, grade int, toxic boolean").withColumnRenamed("doc", id_col)
 
 
-def is_toxic(spark: SparkSession, model: OrdinalModel, text: str | Column) -> Column:
-    """The decision as a column, to filter rows in place."""
-    shared = spark.sparkContext.broadcast(model)
+def drop_toxic(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that the model finds toxic, filtered in place; all columns stay."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
-    def decide(texts: pd.Series) -> pd.Series:
-        column, inside = pa.Array.from_pandas(texts, type=pa.string()), letters_and_digits()
-        out = [(shared.value.above(shared.value.scores(*features(w), b - a))[:, 0] >= 0.5) & (w.count() > 0)
-               for a, b, w in word_batches(column, True, inside)] if len(texts) else []
-        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, inside = shared.value, letters_and_digits()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for a, b, w in word_batches(batch.column(at), True, inside):
+                toxic = (model.above(model.scores(*features(w), b - a))[:, 0] >= 0.5) & (w.count() > 0)
+                yield batch.slice(a, b - a).filter(pa.array(~toxic))
 
-    return F.pandas_udf(decide, T.BooleanType())(text)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
