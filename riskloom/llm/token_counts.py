@@ -57,8 +57,7 @@ class LengthTable:
 
 
 def build_table(words: list[str], vocab: Vocabulary) -> LengthTable:
-    pieces = split([""], None, vocab.own_split) if not words else None
-    hashes = pieces.hash if pieces else _word_hashes(words, vocab)
+    hashes = _word_hashes(words, vocab)
     _, counts = vocab.merge([w.encode() for w in words])
     fits = counts < 65_536
     return LengthTable(hashes[fits], counts[fits])

@@ -30,7 +30,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import cut, stored
+from riskloom.llm.common import cut
 from riskloom.session import new_path
 
 REVISIT_BYTES = 100
@@ -239,4 +239,4 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     return read_archives(write_archives(plan_records(pages), folder))
 
 
-__all__ = ["archive_round_trip", "list_archives", "plan_records", "read_archives", "stored", "write_archives"]
+__all__ = ["archive_round_trip", "list_archives", "plan_records", "read_archives", "write_archives"]
