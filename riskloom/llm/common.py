@@ -20,8 +20,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SHIPPED: set[str] = set()
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors' Python workers this package through Spark's file server, once per application."""
+    """Give the executors' Python workers this package through Spark's file server, once per application, and limit the
+    batches of texts that are sent to them by bytes, so that long texts do not need more memory."""
+    spark.conf.set(ARROW_BYTES, "8m")
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
