@@ -10,7 +10,12 @@
    neighbour in the order. So the candidates grow with the documents, not with the square of a region.
 4. Candidates are estimated from one byte of each MinHash value; ``EST_SLACK`` keeps those up to six standard
    deviations below the threshold. The others are compared on their full shingle sets. Only exact links count.
-5. Connected components of the links give the groups.
+5. Connected components of the links give the groups so far. A full node of depth 6 that still holds more than one
+   group is compared as a whole: its documents are dealt into tiles, and each pair of tiles is one unit of work that
+   counts the common shingles of all its pairs and returns a spanning forest of their links. Documents of one group are
+   not compared again. This work is quadratic in a node's documents that do not link, as the exact answer needs; what a
+   task holds and returns is bounded by the tile.
+6. Connected components of all links give the groups.
 
 A pair at the threshold of 0.85 shares a node of depth 6 in at least one of 28 trees with probability 0.999998.
 
@@ -31,6 +36,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import cut, stored
 from riskloom.llm.components import components
+from riskloom.llm.embedding_dedup import spanning
 from riskloom.llm.pretokens import mix, powers
 from riskloom.llm.words import Words, sequence_hashes, word_batches
 
@@ -41,6 +47,8 @@ REGION = 16
 EST_SLACK = 0.15
 BLOCK = 2048
 SLICES = 32
+TILE, TILE_SHINGLES = 128, 1 << 20
+COLUMNS = 4096
 
 _RANDOM = mix(np.arange(1, 2 * TREES * TREE_HASHES + 1, dtype=np.uint64))
 _FACTOR = (_RANDOM[:TREES * TREE_HASHES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -137,14 +145,16 @@ def _hub_pairs(members: DataFrame, key: list[str]) -> DataFrame:
     return j.select(F.least("id", "_hub").alias("a"), F.greatest("id", "_hub").alias("b"))
 
 
-def candidate_pairs(described: DataFrame) -> DataFrame:
-    """Distinct pairs (``a`` < ``b``) of class representatives that are neighbours in some tree."""
+def candidate_pairs(described: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (``a`` < ``b``) of class representatives that are neighbours in some tree, and the members (``k0``,
+    ``id``, ``n_shingles``) of the full nodes, not all of whose pairs are among them."""
     members = (described.where("n_shingles > 0")
-               .select(F.col("doc_id").alias("id"), F.inline(F.arrays_zip("k0", "k1", "k2"))))
+               .select(F.col("doc_id").alias("id"), "n_shingles", F.inline(F.arrays_zip("k0", "k1", "k2"))))
     level = cut(_counted(members, ["k0"], "n"))
     hubs = level.groupBy("id").agg(F.sum("n").alias("shared"))
     out = _all_pairs(level.where(F.col("n") <= REGION), ["k0"])
-    full = level.where(F.col("n") > REGION).drop("n").join(hubs, "id")
+    members = level.where(F.col("n") > REGION).select("k0", "id", "n_shingles")
+    full = level.where(F.col("n") > REGION).drop("n", "n_shingles").join(hubs, "id")
     for key in (["k0"], ["k0", "k1"], ["k0", "k1", "k2"]):
         full = cut(full)
         out = out.unionByName(_hub_pairs(full, key))
@@ -158,7 +168,7 @@ def candidate_pairs(described: DataFrame) -> DataFrame:
         level = cut(_counted(full, deeper, "n"))
         out = out.unionByName(_all_pairs(level.where(F.col("n") <= REGION), deeper))
         full = level.where(F.col("n") > REGION).drop("n")
-    return out.distinct()
+    return out.distinct(), members
 
 
 def _estimator(least: float):
@@ -204,25 +214,109 @@ def _verifier(percent: int):
     return run
 
 
+def sets_of(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Shingle sets of the documents in ``ids``."""
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return stored(texts.join(ids, "id", "left_semi").mapInArrow(_sets, "id long, shingles binary"), "shingle-sets")
+
+
 def exact_links(pairs: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Pairs whose full sets reach the threshold. Only texts that occur in a pair are turned into sets."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sets = stored(texts.join(ids, "id", "left_semi").mapInArrow(_sets, "id long, shingles binary"), "shingle-sets")
+    sets = sets_of(ids, docs, id_col, text_col)
     j = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
     j = j.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
     return j.select("a", "b", "left", "right").mapInArrow(_verifier(percent), "a long, b long")
 
 
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of common values of each set on the left with each on the right."""
+    sides = [(np.concatenate(x), np.repeat(np.arange(len(x)), [len(s) for s in x])) for x in (left, right)]
+    shared = np.intersect1d(sides[0][0], sides[1][0])
+    out = np.zeros((len(left), len(right)))
+    placed = []
+    for values, row in sides:
+        held = np.isin(values, shared)
+        at, row = np.searchsorted(shared, values[held]), row[held]
+        order = np.argsort(at, kind="stable")
+        placed.append((at[order], row[order]))
+    for start in range(0, len(shared), COLUMNS):
+        both = []
+        for (at, row), sets in zip(placed, (left, right), strict=True):
+            a, b = np.searchsorted(at, (start, start + COLUMNS))
+            part = np.zeros((len(sets), COLUMNS), np.float32)
+            part[row[a:b], at[a:b] - start] = 1
+            both.append(part)
+        out += both[0] @ both[1].T
+    return out
+
+
+def _pack(table: pa.Table) -> pa.Table:
+    """One row for a tile: its documents' ids, groups, set sizes and sets, each in one piece."""
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"]]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    ids, groups = (table[c].to_numpy().astype(np.int64) for c in ("id", "component"))
+    return pa.table({
+        "k0": table["k0"][:1], "tile": table["tile"][:1], "own": table["own"][:1], "ids": pa.array([ids.tobytes()], pa.binary()),
+        "groups": pa.array([groups.tobytes()], pa.binary()), "sizes": pa.array([sizes.tobytes()], pa.binary()),
+        "shingles": pa.array([np.concatenate(sets).tobytes()], pa.binary())})
+
+
+def _compare(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        blocks = []
+        for row in table.sort_by("tile").to_pylist():
+            ids, groups, sizes = (np.frombuffer(row[c], np.int64) for c in ("ids", "groups", "sizes"))
+            sets = np.split(np.frombuffer(row["shingles"], np.uint64), np.cumsum(sizes)[:-1])
+            blocks.append((ids, groups, sizes, sets))
+        (ids_a, groups_a, sizes_a, a), (ids_b, groups_b, sizes_b, b) = blocks[0], blocks[-1]
+        both = common_counts(a, b)
+        links = 100 * both >= percent * (sizes_a[:, None] + sizes_b[None] - both)
+        nodes, lows = spanning(links & (groups_a[:, None] != groups_b[None]), ids_a, ids_b)
+        return pa.table({"a": pa.array(nodes, pa.int64()), "b": pa.array(lows, pa.int64())})
+    return run
+
+
+def full_node_links(members: DataFrame, groups: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Spanning forests of the links between different groups within full nodes. A group that fills a tile has tiles of
+    its own, which are not compared with each other; smaller ones share tiles."""
+    named = members.join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
+    named = named.withColumn("component", F.coalesce("component", "id"))
+    parts = cut(named.groupBy("k0", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total")))
+    tiles = F.ceil(F.greatest(F.sum("n") / TILE, F.sum("total") / TILE_SHINGLES)).alias("tiles")
+    own = ((F.col("n") >= TILE) | (F.col("total") >= TILE_SHINGLES)).alias("large")
+    mixed = parts.groupBy("k0").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("k0")
+    parts = parts.join(mixed, "k0", "left_semi").select("*", own)
+    counts = parts.groupBy("k0", F.when(F.col("large"), F.col("component")).alias("own")).agg(tiles)
+    parts = parts.select("k0", "component", F.when(F.col("large"), F.col("component")).alias("own"))
+    parts = cut(parts.alias("p").join(counts.alias("c"), (F.col("p.k0") == F.col("c.k0")) & F.col("p.own").eqNullSafe(F.col("c.own")))
+                .select("p.k0", "p.component", "p.own", "c.tiles"))
+    dealt = named.select("k0", "id", "component").join(parts, ["k0", "component"])
+    salt = F.pmod(F.xxhash64(F.when(F.col("own").isNull(), F.col("component")).otherwise(F.col("id"))), F.col("tiles"))
+    dealt = cut(dealt.select("k0", "id", "component", "own", F.concat_ws(":", "own", salt).alias("tile")))
+    sets = sets_of(dealt.select("id").distinct(), docs, id_col, text_col)
+    blocks = stored(dealt.join(sets, "id").groupBy("k0", "tile").applyInArrow(
+        _pack, "k0 long, tile string, own long, ids binary, groups binary, sizes binary, shingles binary"), "tiles")
+    other = blocks.select("k0", F.col("tile").alias("_tile"), F.col("own").alias("_own"))
+    met = blocks.join(other, "k0").where("own is null or _own is null or own <> _own")
+    met = met.withColumns({"lo": F.least("tile", "_tile"), "hi": F.greatest("tile", "_tile")}).drop("_tile", "_own", "own")
+    return met.groupBy("k0", "lo", "hi").applyInArrow(_compare(percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_shingles, component_id (the smallest id reachable by links) and kept."""
     rows = stored(describe(docs, id_col, text_col), "described")
     classes = cut(rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first")))
     standing = stored(rows.join(classes.where("first is not null"), "class").where("doc_id = first").drop("first", "class"), "standing")
-    pairs = cut(candidate_pairs(standing))
+    pairs, members = candidate_pairs(standing)
+    pairs = cut(pairs)
     likely = cut(likely_pairs(pairs, standing, percent / 100))
     links = exact_links(likely, docs, percent, id_col, text_col)
-    groups = components(links).select(F.col("node").alias("first"), "component")
+    groups = components(links)
+    more = cut(full_node_links(members, groups, docs, percent, id_col, text_col))
+    if not more.isEmpty():
+        groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    groups = groups.select(F.col("node").alias("first"), "component")
     named = classes.join(groups, "first", "left").select("class", F.coalesce("component", "first").alias("component_id"))
     j = rows.select("doc_id", "class", "n_shingles").join(named, "class", "left")
     component = F.coalesce("component_id", "doc_id")

@@ -50,6 +50,46 @@ def test_a_full_region_and_repeated_rows(spark):
     assert got == sorted(want + [w for w in want if w[0] == rows[7][0]] * 2)
 
 
+def template_docs(seed=11):
+    """A template of 350 words filled in 300 ways, most pairs of them at about 0.8, and 20 pairs at about 0.865."""
+    rng = random.Random(seed)
+    template = sentence(rng, 350, 10**6).split()
+    rows = []
+    for i in range(300):
+        w = list(template)
+        for at in rng.sample(range(2, 348, 5), 4):
+            w[at] = f"fill{rng.randrange(10**9)}"
+        rows.append((rng.randrange(10**9), " ".join(w)))
+    for i in range(20):
+        w = rows[i * 15][1].split()
+        for at in rng.sample(range(4, 348, 5), 5):
+            w[at] = f"copy{rng.randrange(10**9)}"
+        rows.append((rng.randrange(10**9), " ".join(w)))
+    rng.shuffle(rows)
+    return rows
+
+
+def test_pairs_within_a_large_template_group(spark, monkeypatch):
+    """Nodes of hundreds of documents are full for a region of 4, and are compared in several tiles."""
+    ship_package(spark)
+    monkeypatch.setattr(minhash_forest, "REGION", 4)
+    monkeypatch.setattr(minhash_forest, "TILE", 32)
+    rows = template_docs()
+    want = plain_groups(rows)
+    assert 200 < sum(keep for *_, keep in want) < 310
+    got = sorted(tuple(r) for r in minhash_forest.near_duplicates(docs_df(spark, rows)).collect())
+    assert got == want
+
+
+def test_common_counts(monkeypatch):
+    monkeypatch.setattr(minhash_forest, "COLUMNS", 7)
+    rng = np.random.default_rng(4)
+    left, right = ([np.unique(rng.integers(0, 60, rng.integers(1, 40))).astype(np.uint64) for _ in range(n)] for n in (9, 6))
+    assert minhash_forest.common_counts(left, right).tolist() == [[len(np.intersect1d(a, b)) for b in right] for a in left]
+    apart = [s + np.uint64(100) for s in right]
+    assert not minhash_forest.common_counts(left, apart).any()
+
+
 def test_no_documents(spark):
     ship_package(spark)
     assert minhash_forest.near_duplicates(docs_df(spark, [])).count() == 0
