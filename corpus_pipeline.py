@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 stage's documents. All but the last return the columns of ``documents``:
 
 1. toxicity: documents that the ordinal model, fitted on ``labels``, finds toxic go.
-2. minhash_near_dedup: of each group of near-duplicates the document with the smallest id stays.
+2. minhash_near_dedup: of each group of near-duplicates (sets of five-word shingles with a similarity of 0.80 or more) the
+   document with the smallest id stays.
 3. substring_dedup: passages of 50 words that an earlier document has are cut out; ``n_chars`` follows the new text, and a
    document of which nothing is left goes. Texts that lose nothing stay as they are.
 4. decontamination: documents that hold a window of a ``benchmark`` item go.
@@ -25,6 +26,7 @@ from riskloom.llm.common import read_table, ship_package
 from riskloom.session import new_path
 
 BPE_FILE = "byte_bpe_50k.json"
+NEAR_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that repeat id and text of the document that stays go as well."""
     ship_package(spark)
-    kept = minhash_forest.near_duplicates(docs).where("kept").select("doc_id").distinct()
+    kept = minhash_forest.near_duplicates(docs, NEAR_PERCENT).where("kept").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
 
 

@@ -17,7 +17,8 @@
    task holds and returns is bounded by the tile.
 6. Connected components of all links give the groups.
 
-A pair at the threshold of 0.85 shares a node of depth 6 in at least one of 28 trees with probability 0.999998.
+A pair at the threshold of 0.85 shares a node of depth 6 in at least one of 28 trees with probability 0.999998. For lower
+thresholds the first depth is smaller (4 at 0.80), so that no more than ``MISS`` of the pairs there are lost.
 
 Defined cases: a null text or one without words has an empty set and is linked with nothing; with fewer than five words
 the whole sequence is the one shingle; repeated rows each give a row and are one class; an empty table gives no rows;
@@ -43,6 +44,7 @@ from riskloom.llm.words import Words, sequence_hashes, word_batches
 SHINGLE = 5
 TREES, TREE_HASHES = 28, 8
 DEPTHS = (6, 10, 16)
+MISS = 2e-6
 REGION = 16
 EST_SLACK = 0.15
 BLOCK = 2048
@@ -76,7 +78,13 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def node_keys(signatures: np.ndarray) -> list[np.ndarray]:
+def depths_for(percent: int) -> tuple[int, ...]:
+    """``DEPTHS``, the first of them so small that a pair at the threshold shares a node there."""
+    fit = [d for d in range(1, DEPTHS[0] + 1) if (1 - (percent / 100) ** d) ** TREES <= MISS]
+    return (max(fit, default=1), *DEPTHS[1:])
+
+
+def node_keys(signatures: np.ndarray, depths: tuple[int, ...] = DEPTHS) -> list[np.ndarray]:
     """Keys of each document's nodes, (documents, trees) per depth. Tree ``t`` reads the signature from value
     ``t * TREE_HASHES`` on, around its end."""
     width = TREES * TREE_HASHES
@@ -84,7 +92,7 @@ def node_keys(signatures: np.ndarray) -> list[np.ndarray]:
     place = np.arange(max(DEPTHS), dtype=np.uint64) << np.uint64(40)
     parts = np.cumsum(mix(signatures[:, at].astype(np.uint64) + place), axis=2, dtype=np.uint64)
     tree = np.arange(TREES, dtype=np.uint64)
-    return [mix(parts[:, :, d - 1] + tree) for d in DEPTHS]
+    return [mix(parts[:, :, d - 1] + tree) for d in depths]
 
 
 def class_keys(w: Words) -> list[bytes]:
@@ -99,29 +107,31 @@ def class_keys(w: Words) -> list[bytes]:
     return [a.tobytes() + b.tobytes() for a, b in zip(*sums, strict=True)]
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        for a, b, w in word_batches(batch.column(1), True):
-            sets = shingle_sets(w)
-            sig = np.array([signature(s) for s in sets], np.uint32)
-            keys = node_keys(sig)
-            bounds = pa.array(np.arange(b - a + 1) * TREES, pa.int32())
-            lists = [pa.ListArray.from_arrays(bounds, pa.array(k.reshape(-1).view(np.int64))) for k in keys[:1]]
-            lists += [pa.ListArray.from_arrays(bounds, pa.array((k.reshape(-1) >> np.uint64(32)).astype(np.uint32).view(np.int32)))
-                      for k in keys[1:]]
-            sketch = (sig & np.uint32(255)).astype(np.uint8)
-            yield pa.record_batch(
-                [batch.column(0).slice(a, b - a), pa.array(class_keys(w), pa.binary()),
-                 pa.array([len(s) for s in sets], pa.int64()), *lists, pa.array([r.tobytes() for r in sketch], pa.binary())],
-                names=["doc_id", "class", "n_shingles", "k0", "k1", "k2", "sketch"])
-
-
-def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _describer(depths: tuple[int, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for a, b, w in word_batches(batch.column(1), True):
+                sets = shingle_sets(w)
+                sig = np.array([signature(s) for s in sets], np.uint32)
+                keys = node_keys(sig, depths)
+                bounds = pa.array(np.arange(b - a + 1) * TREES, pa.int32())
+                lists = [pa.ListArray.from_arrays(bounds, pa.array(k.reshape(-1).view(np.int64))) for k in keys[:1]]
+                lists += [pa.ListArray.from_arrays(bounds, pa.array((k.reshape(-1) >> np.uint64(32)).astype(np.uint32).view(np.int32)))
+                          for k in keys[1:]]
+                sketch = (sig & np.uint32(255)).astype(np.uint8)
+                yield pa.record_batch(
+                    [batch.column(0).slice(a, b - a), pa.array(class_keys(w), pa.binary()),
+                     pa.array([len(s) for s in sets], pa.int64()), *lists, pa.array([r.tobytes() for r in sketch], pa.binary())],
+                    names=["doc_id", "class", "n_shingles", "k0", "k1", "k2", "sketch"])
+    return run
+
+
+def describe(docs: DataFrame, id_col: str, text_col: str, depths: tuple[int, ...] = DEPTHS) -> DataFrame:
     """Per row: class, set size, nodes and sketch."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_describe, "doc_id long, class binary, n_shingles long, k0 array<long>, k1 array<int>, "
+    return rows.mapInArrow(_describer(depths), "doc_id long, class binary, n_shingles long, k0 array<long>, k1 array<int>, "
                                       "k2 array<int>, sketch binary")
 
 
@@ -305,7 +315,7 @@ def full_node_links(members: DataFrame, groups: DataFrame, docs: DataFrame, perc
 
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_shingles, component_id (the smallest id reachable by links) and kept."""
-    rows = stored(describe(docs, id_col, text_col), "described")
+    rows = stored(describe(docs, id_col, text_col, depths_for(percent)), "described")
     classes = cut(rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first")))
     standing = stored(rows.join(classes.where("first is not null"), "class").where("doc_id = first").drop("first", "class"), "standing")
     pairs, members = candidate_pairs(standing)

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from riskloom.llm import decontaminate, sharding, toxicity, url_filters, warc
+from riskloom.llm import decontaminate, minhash_forest, sharding, toxicity, url_filters, warc
 from riskloom.llm.common import ship_package
 from riskloom.llm.queries import ORACLES, QUERIES, RULES
 from tests.conftest import SF
@@ -372,6 +372,22 @@ def test_pipeline(spark, tmp_path):
     assert {1, 202, 207, 208, 209} <= ids and not {200, 203, 204, 205, 206} & ids
 
 
+def test_near_copies_between_80_and_85_percent(spark):
+    words = sentence(random.Random(6), 100, 10**6).split()
+    edited = [f"edit{i}" if i in (30, 60) else w for i, w in enumerate(words)]
+    first, second = ({tuple(w[i:i + 5]) for i in range(96)} for w in (words, edited))
+    assert 0.80 <= len(first & second) / len(first | second) < 0.85
+    docs = docs_df(spark, [(7, " ".join(words)), (4, " ".join(edited)), (9, "another text")])
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()) == [4, 9]
+
+
+def test_first_depth_follows_the_threshold():
+    assert minhash_forest.depths_for(85) == minhash_forest.DEPTHS
+    for percent in (50, 80, 85, 95):
+        depth = minhash_forest.depths_for(percent)[0]
+        assert (1 - (percent / 100) ** depth) ** minhash_forest.TREES <= 2e-6
+
+
 def test_stages_on_empty_tables(spark, tmp_path):
     shape = "doc_id long, text string, lang string, source string, n_chars long"
     path = str(tmp_path)
