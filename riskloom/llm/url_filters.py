@@ -1,7 +1,8 @@
 """URL filters: written rules, and for all other urls a tree of path templates learned per host.
 
-Template tree. Below every host, level by level, path segments that are frequent under their parent stay as they are
-and all others become ``*``, so a parent keeps at most ``1/MIN_SHARE`` literal children. A template's siblings (same
+Template tree. Below every host, level by level, a path segment of at least ``MIN_ROWS`` pages stays as it is if it has
+``MIN_SHARE`` of its parent's pages, or ``MANY_ROWS`` pages whatever its share, or if its labelled share differs
+significantly from that of its parent's other pages. All others become ``*``. A template's siblings (same
 host, same number of segments) whose labelled shares do not differ significantly are merged: they are ordered by
 share, and a new branch starts where two neighbours fail a two-proportion test. A branch is rejected when its labelled
 purity, smoothed towards the share over all labelled pages, reaches ``REJECT``.
@@ -11,7 +12,8 @@ and the joins back to the pages are plain shuffle joins that adaptive execution
 
 Defined cases: a null url or one without ``://`` has empty host and path and belongs to the host ``""``; a host without
 labelled pages gets the overall share; repeated rows are judged one by one; an empty table gives no rows; further
-columns are ignored, whatever their names. Path levels beyond ``DEPTH`` share one ``**``.
+columns are ignored, whatever their names. Path levels beyond ``DEPTH`` share one ``**``, so pages that differ only there
+are judged together.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from riskloom.llm.common import ascii_lower, cut, stored
 DEPTH = 3
 MIN_ROWS = 5
 MIN_SHARE = 0.01
+MANY_ROWS = 1000
 Z = 1.96
 WEIGHT = 10.0
 REJECT = 0.5
@@ -68,19 +71,31 @@ def rule_columns(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Col
     return best["rule"], best["verdict"]
 
 
+def stands_out() -> Column:
+    """Whether the labelled share of a child (``_seen``, ``_bad``) differs from that of the rest of its parent."""
+    seen, bad, rest_seen, rest_bad = F.col("_seen"), F.col("_bad"), F.col("_all_seen") - F.col("_seen"), F.col("_all_bad") - F.col("_bad")
+    pooled = F.try_divide(F.col("_all_bad"), F.col("_all_seen"))
+    spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), seen) + F.try_divide(F.lit(1), rest_seen)))
+    differs = F.abs(F.try_divide(bad, seen) - F.try_divide(rest_bad, rest_seen)) > Z * spread
+    return F.coalesce((seen >= MIN_ROWS) & differs, F.lit(False))
+
+
 def templated(urls: DataFrame) -> DataFrame:
-    """``urls`` (host, path, ...) with columns ``t1`` .. and ``template``."""
+    """``urls`` (host, path, bad, ...) with columns ``t1`` .. and ``template``."""
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     out = urls.withColumn("_segments", segments)
     fixed = ["host"]
     for level in range(1, DEPTH + 1):
         here, name = f"_s{level}", f"t{level}"
         out = out.withColumn(here, F.coalesce(F.try_element_at("_segments", F.lit(level)), F.lit("")))
-        children = out.groupBy(*fixed, here).agg(F.count(F.lit(1)).alias("_n"))
-        parents = children.groupBy(*fixed).agg(F.sum("_n").alias("_all"))
+        children = out.groupBy(*fixed, here).agg(
+            F.count(F.lit(1)).alias("_n"), F.count("bad").alias("_seen"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("_bad"))
+        parents = children.groupBy(*fixed).agg(
+            F.sum("_n").alias("_all"), F.sum("_seen").alias("_all_seen"), F.sum("_bad").alias("_all_bad"))
+        enough = (F.col("_n") >= MIN_SHARE * F.col("_all")) | (F.col("_n") >= MANY_ROWS) | stands_out()
         # written, so that the plan of each level does not hold those of all levels before it twice
         literal = cut(children.join(parents, fixed)
-                      .where((F.col("_n") >= MIN_ROWS) & (F.col("_n") >= MIN_SHARE * F.col("_all")))
+                      .where((F.col("_n") >= MIN_ROWS) & enough)
                       .select(*fixed, here, F.lit(True).alias("_kept")))
         out = (out.join(literal, [*fixed, here], "left")
                .withColumn(name, F.when((F.col(here) == "") | F.col("_kept"), F.col(here)).otherwise("*"))

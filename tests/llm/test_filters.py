@@ -89,6 +89,20 @@ def test_url_templates_and_purity(spark):
     assert got[1000]["template"] == "/*/*/*/**" and got[1000]["verdict"] == "allow"
 
 
+def test_small_sections_of_a_host_with_many(spark):
+    """200 sections of 0.5 % each: those with bad pages only go, the others stay."""
+    rows = [(i, f"http://many.test/s{i % 200}/{i}", i % 200 < 20, "h", "t") for i in range(200 * 12)]
+    got = url_filters.judge_urls(spark.createDataFrame(rows, PAGE), RULES, bad_col="bad").collect()
+    assert {(r["page_id"], r["verdict"]) for r in got} == {(i, "block" if bad else "allow") for i, _, bad, _, _ in rows}
+
+
+def test_large_sections_stay_literal_without_labels(spark, monkeypatch):
+    monkeypatch.setattr(url_filters, "MANY_ROWS", 10)
+    rows = [(i, f"http://many.test/s{i % 200}/{i}", None, "h", "t") for i in range(200 * 12)]
+    got = url_filters.judge_urls(spark.createDataFrame(rows, PAGE), RULES, bad_col="bad").collect()
+    assert {r["template"] for r in got} == {f"/s{i}/*" for i in range(200)}
+
+
 # ---- op3
 
 def item_words(text):
