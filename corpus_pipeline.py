@@ -5,7 +5,7 @@ stage's documents. All but the last return the columns of ``documents``:
 
 1. toxicity: documents that the ordinal model, fitted on ``labels``, finds toxic go.
 2. minhash_near_dedup: of each group of near-duplicates (sets of five-word shingles with a similarity of 0.80 or more) the
-   document with the smallest id stays.
+   document with the smallest id stays. Rows without an id are compared like others and come after all that have one.
 3. substring_dedup: passages of 50 words that an earlier document has are cut out; ``n_chars`` follows the new text, and a
    document of which nothing is left goes. Texts that lose nothing stay as they are.
 4. decontamination: documents that hold a window of a ``benchmark`` item go.
@@ -37,8 +37,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that repeat id and text of the document that stays go as well."""
     ship_package(spark)
-    kept = minhash_forest.near_duplicates(docs, NEAR_PERCENT).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    # rows without an id stand under a number made of their text
+    late = F.lit(2**62) + F.pmod(F.xxhash64("text"), F.lit(2**61))
+    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), late))
+    kept = minhash_forest.near_duplicates(keyed, NEAR_PERCENT, id_col="_key").where("kept").select("_key").distinct()
+    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key", "text"]).drop("_key")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

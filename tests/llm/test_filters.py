@@ -395,6 +395,16 @@ def test_near_copies_between_80_and_85_percent(spark):
     assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()) == [4, 9]
 
 
+def test_near_duplicates_without_ids(spark):
+    words = sentence(random.Random(7), 100, 10**6).split()
+    near = " ".join([*words[:99], "other"])
+    rows = [(3, " ".join(words)), (None, near), (None, " ".join(words)), (None, "only here"), (None, "Only  here"), (None, "one more"), (5, None)]
+    got = corpus_pipeline.drop_near_duplicates(spark, docs_df(spark, rows), "")
+    assert got.columns == docs_df(spark, rows).columns
+    found = sorted((r["doc_id"] or 0, ascii_lower(" ".join((r["text"] or "").split()))) for r in got.collect())
+    assert found == [(0, "one more"), (0, "only here"), (3, " ".join(words)), (5, "")]
+
+
 def test_first_depth_follows_the_threshold():
     assert minhash_forest.depths_for(85) == minhash_forest.DEPTHS
     for percent in (50, 80, 85, 95):
