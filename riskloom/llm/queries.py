@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, decontaminate, embedding_dedup, minhash_forest, sharding, substring_dedup, token_counts, toxicity, url_filters, warc
+from riskloom.llm import (bpe, decontaminate, embedding_dedup, minhash_forest, packing, periodic_runs, sharding, substring_dedup, token_counts,
+                          toxicity, url_filters, warc, whitening)
 from riskloom.llm.common import read_table, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,3 +193,68 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_toxicity")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op11_periodic_runs", r"""
+WITH RECURSIVE raw AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        list_transform(string_split(CAST(doc_id AS VARCHAR), ''), x -> CAST(ascii(x) AS BIGINT)) AS signs
+    FROM documents
+), hashed AS (
+    SELECT doc_id, w, len(w) AS n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), signs), (s, c) ->
+        list_reduce(list_prepend(xor(s, c), [CAST(k AS BIGINT) FOR k IN range(8)]), (t, k) ->
+            CASE WHEN t % 2 = 1 THEN xor(t >> 1, CAST(3988292384 AS BIGINT)) ELSE t >> 1 END))) AS h
+    FROM raw
+), placed AS (
+    SELECT doc_id, w, n, h % 10 = 0 AND n > 0 AS planted, (h // 10) % greatest(n, 1) AS a, 3 + (h // 10) % 8 AS parts FROM hashed
+), d AS (
+    SELECT doc_id, n, CASE WHEN planted THEN
+        [w[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // parts) END + 1] FOR i IN range(n)] ELSE w END AS w
+    FROM placed
+), words AS (
+    SELECT doc_id, n, unnest(range(0, n)) AS p, unnest(w) AS word FROM d
+), same AS (
+    SELECT x.doc_id, y.p - x.p AS q, x.p FROM words x JOIN words y
+        ON x.doc_id = y.doc_id AND x.word = y.word AND y.p > x.p AND 4 * (y.p - x.p) <= x.n
+), stretches AS (
+    SELECT doc_id, q, min(p) AS start, count(*) + q AS length
+    FROM (SELECT doc_id, q, p, p - row_number() OVER (PARTITION BY doc_id, q ORDER BY p) AS island FROM same)
+    GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS (
+    SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length
+), found AS (
+    SELECT doc_id, count(*) AS n_runs, arg_max({'start': start, 'length': length, 'period': period}, (length, -start, -period)) AS longest,
+        string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+    FROM runs GROUP BY doc_id
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS p FROM runs
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(longest.start AS BIGINT) AS start,
+    CAST(longest.length AS BIGINT) AS length, CAST(longest.period AS BIGINT) AS period,
+    CAST(1000 * longest.length // longest.period AS BIGINT) AS exponent_milli,
+    sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM d LEFT JOIN found USING (doc_id) LEFT JOIN kept USING (doc_id)
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.with_planted_runs(read_table(spark, sf_dir, "documents")))
+    # greatest length, then smallest start and period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    longest = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.array_join(lines, "").alias("lines"), "collapsed")
+    start, length, period = -F.col("best.s"), F.col("best.length"), -F.col("best.p")
+    return longest.select("doc_id", "n_runs", start.alias("start"), length.alias("length"), period.alias("period"),
+                          F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
+                          F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op12_pack_sequences")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op13_whiten_embeddings")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
