@@ -198,11 +198,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_periodic_runs", r"""
 WITH RECURSIVE raw AS (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-        list_transform(string_split(CAST(doc_id AS VARCHAR), ''), x -> CAST(ascii(x) AS BIGINT)) AS signs
+        list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS signs
     FROM documents
 ), hashed AS (
-    SELECT doc_id, w, len(w) AS n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), signs), (s, c) ->
-        list_reduce(list_prepend(xor(s, c), [CAST(k AS BIGINT) FOR k IN range(8)]), (t, k) ->
+    SELECT doc_id, w, len(w) AS n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), signs), lambda s, c:
+        list_reduce(list_prepend(xor(s, c), [CAST(k AS BIGINT) FOR k IN range(8)]), lambda t, k:
             CASE WHEN t % 2 = 1 THEN xor(t >> 1, CAST(3988292384 AS BIGINT)) ELSE t >> 1 END))) AS h
     FROM raw
 ), placed AS (
