@@ -113,6 +113,7 @@ def _describer(depths: tuple[int, ...]):
             if not batch.num_rows:
                 continue
             for a, b, w in word_batches(batch.column(1), True):
+                mark = batch.column(2).slice(a, b - a)
                 sets = shingle_sets(w)
                 sig = np.array([signature(s) for s in sets], np.uint32)
                 keys = node_keys(sig, depths)
@@ -123,16 +124,17 @@ def _describer(depths: tuple[int, ...]):
                 sketch = (sig & np.uint32(255)).astype(np.uint8)
                 yield pa.record_batch(
                     [batch.column(0).slice(a, b - a), pa.array(class_keys(w), pa.binary()),
-                     pa.array([len(s) for s in sets], pa.int64()), *lists, pa.array([r.tobytes() for r in sketch], pa.binary())],
-                    names=["doc_id", "class", "n_shingles", "k0", "k1", "k2", "sketch"])
+                     pa.array([len(s) for s in sets], pa.int64()), *lists, pa.array([r.tobytes() for r in sketch], pa.binary()), mark],
+                    names=["doc_id", "class", "n_shingles", "k0", "k1", "k2", "sketch", "mark"])
     return run
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str, depths: tuple[int, ...] = DEPTHS) -> DataFrame:
-    """Per row: class, set size, nodes and sketch."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    """Per row: class, set size, nodes, sketch and ``mark``, a hash of the text."""
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
     return rows.mapInArrow(_describer(depths), "doc_id long, class binary, n_shingles long, k0 array<long>, k1 array<int>, "
-                                      "k2 array<int>, sketch binary")
+                                      "k2 array<int>, sketch binary, mark long")
 
 
 def _all_pairs(members: DataFrame, key: list[str]) -> DataFrame:
@@ -313,22 +315,23 @@ def full_node_links(members: DataFrame, groups: DataFrame, docs: DataFrame, perc
     return met.groupBy("k0", "lo", "hi").applyInArrow(_compare(percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_shingles, component_id (the smallest id reachable by links) and kept."""
+def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", marked: bool = False) -> DataFrame:
+    """Per row: id, n_shingles, component_id (the smallest id reachable by links) and kept; ``marked`` adds ``mark``, the
+    64-bit hash of the text, which tells rows of one id apart."""
     rows = stored(describe(docs, id_col, text_col, depths_for(percent)), "described")
     classes = cut(rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first")))
-    standing = stored(rows.join(classes.where("first is not null"), "class").where("doc_id = first").drop("first", "class"), "standing")
+    standing = stored(rows.join(classes.where("first is not null"), "class").where("doc_id = first").drop("first", "class", "mark"), "standing")
     pairs, members = candidate_pairs(standing)
     pairs = cut(pairs)
     likely = cut(likely_pairs(pairs, standing, percent / 100))
-    links = exact_links(likely, docs, percent, id_col, text_col)
+    links = cut(exact_links(likely, docs, percent, id_col, text_col))
     groups = components(links)
     more = cut(full_node_links(members, groups, docs, percent, id_col, text_col))
     if not more.isEmpty():
         groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     groups = groups.select(F.col("node").alias("first"), "component")
     named = classes.join(groups, "first", "left").select("class", F.coalesce("component", "first").alias("component_id"))
-    j = rows.select("doc_id", "class", "n_shingles").join(named, "class", "left")
+    j = rows.select("doc_id", "class", "n_shingles", "mark").join(named, "class", "left")
     component = F.coalesce("component_id", "doc_id")
     return j.select(F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"),
-                    F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+                    F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), *(["mark"] if marked else []))
