@@ -4,6 +4,9 @@ Links are first replaced by a spanning forest within each partition, which bound
 and small stars alternate until nothing changes: every round ties the neighbours of a node to the smallest of them. Each
 round is written to the shared folder, so lost executors cost one round at most, and nothing is gathered on the driver
 but two sums that tell whether the round changed anything.
+
+A node that is the smallest of very many has all their links under its key. What such a key is joined with is one row, written
+before, so that adaptive execution can split the key's links over tasks.
 """
 
 from __future__ import annotations
@@ -61,11 +64,10 @@ def components(links: DataFrame) -> DataFrame:
     edges = cut(edges.mapInArrow(_span, "a long, b long"))
     mark = None
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("_m"))
-        large = both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("_m").alias("b")).distinct()
-        large = cut(large)
-        lowest = large.groupBy("a").agg(F.min("b").alias("_m"))
+        # larger neighbours go to the smallest one; a node without smaller neighbours is that itself
+        lowest = cut(edges.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("_m")))
+        large = cut(edges.join(lowest, "b", "left").select("a", F.coalesce("_m", "b").alias("b")).distinct())
+        lowest = cut(large.groupBy("a").agg(F.min("b").alias("_m")))
         small = large.join(lowest, "a").where("b <> _m").select(F.col("b").alias("a"), F.col("_m").alias("b"))
         edges = cut(small.unionByName(lowest.select("a", F.col("_m").alias("b"))).distinct())
         now = edges.agg(F.count(F.lit(1)), F.expr("sum(cast(xxhash64(a, b) as decimal(38,0)))")).head()
