@@ -152,7 +152,8 @@ def repeated_starts(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]
     repeated = cut(runs.groupBy("run").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("run"))
     filters = [sc.broadcast(bitmap_of(df, c)) for df, c in ((repeated, "run"), (rows.where("not copy"), "row"))]
     windows = stored(docs.mapInArrow(_windows(window, *filters), "doc long, row long, start int, h0 long, h1 long"), "windows")
-    first = windows.groupBy("h0", "h1").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").drop("last")
+    # one row for each window, written before the join, so that adaptive execution can split a passage that many documents share
+    first = cut(windows.groupBy("h0", "h1").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").drop("last"))
     gone = windows.join(first, ["h0", "h1"]).where("first < doc")
     return rows.where("copy"), gone.groupBy("row").agg(F.collect_set("start").alias("starts"))
 
