@@ -118,14 +118,14 @@ def covered(spans: str) -> Column:
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that hold a window of some item; all columns stay."""
+    """``docs`` without the rows that hold a window of some item; all columns stay, whatever their names."""
     text = text_or_empty(text_col)
-    rows = docs.withColumns({"_own_id": F.col(id_col), "_own_version": F.xxhash64(text)})
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("_own_id"), F.xxhash64(text).alias("_own_version"))
     windows = cut(item_windows(items))
-    base = rows.select(F.col("_own_id").alias("doc"), F.col("_own_version").alias("version"), words_of(text).alias("_w"))
+    base = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("version"), words_of(text).alias("_w"))
     bad = occurrences(base, windows).select(F.col("doc").alias("_bad_id"), F.col("version").alias("_bad_version")).distinct()
     same = F.col("_own_id").eqNullSafe(F.col("_bad_id")) & (F.col("_own_version") == F.col("_bad_version"))
-    return rows.join(bad, same, "left_anti").drop("_own_id", "_own_version")
+    return rows.join(bad, same, "left_anti").select("row.*")
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
