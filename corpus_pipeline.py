@@ -35,22 +35,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that repeat id and text of the document that stays go as well."""
+    """Rows that repeat id and text of the document that stays go as well. Of two texts under one id each is judged for
+    itself."""
     ship_package(spark)
     # rows without an id stand under a number made of their text
     late = F.lit(2**62) + F.pmod(F.xxhash64("text"), F.lit(2**61))
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), late))
-    kept = minhash_forest.near_duplicates(keyed, NEAR_PERCENT, id_col="_key").where("kept").select("_key").distinct()
-    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key", "text"]).drop("_key")
+    key = F.coalesce(F.col("doc_id").cast("long"), late)
+    keyed = docs.select(key.alias("key"), "text", F.xxhash64(F.col("text").cast("string")).alias("mark"), F.struct(*docs.columns).alias("row"))
+    judged = minhash_forest.near_duplicates(keyed, NEAR_PERCENT, id_col="key", marked=True)
+    kept = judged.where("kept").select("key", "mark").distinct()
+    return keyed.join(kept, ["key", "mark"], "left_semi").dropDuplicates(["key", "mark", "text"]).select("row.*")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    out = substring_dedup.remove_repeats(docs, carry=others, as_is=True).where("n_removed = 0 OR n_removed < n_words")
-    if "n_chars" in others:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("n_chars")).cast("long"))
-    return out.withColumnRenamed("kept", "text").select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).dropFields("text").alias("row"))
+    out = substring_dedup.remove_repeats(rows, carry=["row"], as_is=True).where("n_removed = 0 OR n_removed < n_words")
+    n_chars = F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("row")["n_chars"]).cast("long") if "n_chars" in docs.columns else None
+    new = {"text": F.col("kept"), "n_chars": n_chars}
+    return out.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
