@@ -12,6 +12,7 @@ from riskloom.plans.lake import Lake
 from riskloom.session import new_path
 from riskloom.sources.tables import append
 from riskloom.streaming import bronze, checks, features
+from riskloom.streaming.keyed import kept_states
 
 NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 
@@ -108,16 +109,15 @@ def st_event_summary(lake: Lake):
 
 @query("st_dedup_stream", "SELECT * FROM s_events")
 def st_dedup_stream(lake: Lake):
-    """Newest copy of every event, kept by three deliveries with a compaction between them."""
+    """Newest copy of every event from three deliveries, the newest first, so that copies come behind the watermark."""
     base = new_path(lake.spark, "dedup")
-    src, log = f"{base}/bronze", f"{base}/log"
+    src, kept = f"{base}/bronze", f"{base}/events"
     rows, t = lake.raw("streaming_events"), F.col("_ingest_time")
     first, second = at("2024-01-11 00:00:00"), at("2024-01-21 00:00:00")
     for part in (rows.where(t >= second), rows.where(t < first), rows.where((t >= first) & (t < second))):
         append(part, src)
-        bronze.latest_events(bronze.stream_table(lake.spark, src, rows.schema), log, f"{base}/checkpoint").awaitTermination()
-        bronze.compact_events(lake.spark, log)
-    return bronze.current_events(lake.spark, log)
+        bronze.latest_events(bronze.stream_table(lake.spark, src, rows.schema), kept, f"{base}/checkpoint").awaitTermination()
+    return bronze.current_events(lake.spark, kept)
 
 
 @query("st_feature_upsert", """
@@ -132,14 +132,14 @@ FROM d GROUP BY 1""")
 def st_feature_upsert(lake: Lake):
     """Three deliveries, each folded into the features by its own micro-batch."""
     base = new_path(lake.spark, "features")
-    src, log = f"{base}/bronze", f"{base}/log"
+    src, kept = f"{base}/bronze", f"{base}/features"
     rows, t = lake.raw("streaming_events"), F.col("_ingest_time")
     first, second = at("2024-01-11 00:00:00"), at("2024-01-21 00:00:00")
     for part in (rows.where(t < first), rows.where((t >= first) & (t < second)), rows.where(t >= second)):
         append(part, src)
         stream = bronze.stream_table(lake.spark, src, rows.schema)
-        features.feature_log(stream, log, f"{base}/checkpoint", computed_at=lake.as_of).awaitTermination()
-    return features.current_features(lake.spark, log)
+        features.keep_features(stream, kept, f"{base}/checkpoint", computed_at=lake.as_of).awaitTermination()
+    return features.current_features(lake.spark, kept)
 
 
 @query("st_sliding_24h", """
@@ -150,11 +150,16 @@ SELECT window_start, window_start + INTERVAL 24 HOUR AS window_end, member_id, c
   max(event_time) AS last_activity_time
 FROM w GROUP BY window_start, member_id""")
 def st_sliding_24h(lake: Lake):
-    """24-hour windows every hour over the Silver event feed, open ones included, from hourly panes kept by the stream."""
+    """24-hour windows every hour over the Silver event feed, open ones included, from hourly panes kept by the stream. Half
+    of the events come after the others, most of those behind the watermark."""
     base = new_path(lake.spark, "sliding")
-    append(lake.events, f"{base}/silver")
-    features.pane_log(bronze.stream_table(lake.spark, f"{base}/silver"), f"{base}/log", f"{base}/checkpoint").awaitTermination()
-    return features.sliding_windows(lake.spark, f"{base}/log")
+    src, kept = f"{base}/silver", f"{base}/panes"
+    second = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 1
+    for part in (lake.events.where(~second), lake.events.where(second)):
+        append(part, src)
+        features.keep_panes(bronze.stream_table(lake.spark, src), kept, f"{base}/checkpoint").awaitTermination()
+    features.fold_late(lake.spark, kept, lake.spark.read.parquet(src))
+    return features.sliding_windows(kept_states(lake.spark, kept))
 
 
 SHARED = """SELECT member_id, count(*) AS n, CAST(sum(CASE WHEN amount > 0 THEN amount ELSE 0 END) AS DECIMAL(18,2)) AS sp,

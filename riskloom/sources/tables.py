@@ -34,6 +34,14 @@ def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...])
     _spread(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder has data: a writer's markers alone do not count."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return any("=" in n or not n.startswith(("_", ".")) for n in names)
+
+
 def _key(ts: str | datetime | date) -> str:
     """Sortable, path-safe form of a moment, to the microsecond. A date alone is its midnight."""
     if isinstance(ts, str):

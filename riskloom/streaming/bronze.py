@@ -8,11 +8,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.functions.expressions import required
-from riskloom.operators.latest import keep_latest
 from riskloom.plans.silver import EVENT_TIES, dedup_events
 from riskloom.sources.files import FILE, RECORD, checked_events
 from riskloom.sources.tables import replace_partitions
-from riskloom.streaming.deltas import BATCH, DeltaLog, run_deltas
+from riskloom.streaming.keyed import BATCH, Panes, keep_states, kept_states, late_rows, started
 
 
 def stream_documents(spark: SparkSession, src: str, max_files: int | None = None) -> DataFrame:
@@ -55,24 +54,22 @@ def bronze_stream(spark: SparkSession, src: str, out: str, errors: str, checkpoi
         finally:
             rows.unpersist()
 
-    w = stream_documents(spark, src, max_files).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    w = w.trigger(processingTime=f"{seconds} seconds") if seconds else w.trigger(availableNow=True)
-    return w.start()
+    return started(stream_documents(spark, src, max_files).writeStream.foreachBatch(sink), checkpoint, seconds)
 
 
-def latest_events(stream: DataFrame, log: str, checkpoint: str, seconds: float | None = None) -> StreamingQuery:
-    """Silver events kept by micro-batches: a batch adds the newest of its copies, and the table is the newest over all
-    batches (``current_events``). No watermark: a later copy wins however late it comes."""
-    def newest(rows: DataFrame) -> DataFrame:
-        usable = rows.where(required("event_id", "member_id"))
-        return keep_latest(usable, ["event_id"], ["_ingest_time"], EVENT_TIES)
+# Newest copies: state of a day is let go so long after the newest event's time.
+EVENT_DELAY = "10 days"
 
-    return run_deltas(stream, log, checkpoint, newest, seconds)
 
+def latest_events(stream: DataFrame, base: str, checkpoint: str, delay: str = EVENT_DELAY, seconds: float | None = None) -> StreamingQuery:
+    """Newest copy of every event and day, kept in Spark's state. Copies behind the watermark are set aside and count in
+    ``current_events``, so a later copy wins however late it comes."""
+    usable = stream.where(required("event_id", "member_id"))
+    newest = F.max_by(F.struct(*usable.columns), F.struct("_ingest_time", *EVENT_TIES)).alias("event")
+    return keep_states(usable, base, checkpoint, ["event_id"], [newest], Panes("event_time", "day", delay), seconds)
 
-def current_events(spark: SparkSession, log: str) -> DataFrame:
-    return dedup_events(DeltaLog(spark, log).read())
 
-
-def compact_events(spark: SparkSession, log: str) -> None:
-    DeltaLog(spark, log).compact(lambda rows: keep_latest(rows, ["event_id"], ["_ingest_time"], EVENT_TIES))
+def current_events(spark: SparkSession, base: str) -> DataFrame:
+    """Silver events: the newest of the kept copies, those of other days and late ones included."""
+    rows, late = kept_states(spark, base).select("event.*"), late_rows(spark, base)
+    return dedup_events(rows.unionByName(late) if late is not None else rows)

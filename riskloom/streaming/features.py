@@ -2,70 +2,98 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.functions.expressions import at, sum_when
-from riskloom.operators.merge import feature_delta, fold_deltas
+from riskloom.operators.merge import ADD, RT_COLUMNS
 from riskloom.plans.features import differences, online_features
-from riskloom.streaming.deltas import DeltaLog, run_deltas
+from riskloom.sources.tables import replace_partitions
+from riskloom.streaming.keyed import PANE, Panes, keep_states, late_rows, same, started, states_and_rows, upsert
 
 
-def feature_log(stream: DataFrame, log: str, checkpoint: str, computed_at: str | None = None,
-                seconds: float | None = None) -> StreamingQuery:
-    """Upsert of features on every micro-batch, as a log of deltas: a batch writes only the members it saw.
+BUCKETS = 64
+
+
+def keep_features(stream: DataFrame, path: str, checkpoint: str, computed_at: str | None = None,
+                  seconds: float | None = None) -> StreamingQuery:
+    """Upsert of features on every micro-batch. Spark's state holds each member's counts, sums and maxima, one row a member;
+    the number of channels is the largest that one batch saw. A batch replaces the buckets of the members it touched.
 
     Delivery is at least once, so a copy counts again; ``reconcile`` shows the members that the rebuild corrects. A
     stream of Silver events, which has each event once, needs no correction.
     """
     now = at(computed_at) if computed_at else F.current_timestamp().cast("timestamp_ntz")
-    return run_deltas(stream, log, checkpoint, lambda rows: feature_delta(rows).select("*", now.alias("feature_computed_at")), seconds)
+    measures = [F.count(F.lit(1)).alias("event_count_24h"), sum_when(F.col("amount") > 0, "amount").alias("total_spend_24h"),
+                F.max("risk_score").alias("max_risk_score_24h"), F.max("event_time").alias("last_activity_time")]
+
+    def widest(new: DataFrame, old: DataFrame) -> DataFrame:
+        before = old.select("member_id", F.col("unique_channels_24h").alias("_before")).alias("b")
+        j = new.alias("a").join(before, same("a", "b", ["member_id"]), "left").drop(F.col("b.member_id"))
+        return j.withColumn("unique_channels_24h", F.greatest("unique_channels_24h", "_before")).drop("_before")
 
+    def sink(batch: DataFrame, _: int) -> None:
+        batch = batch.persist()
+        try:
+            states = batch.where("_state IS NOT NULL").select("_state.*").alias("a")
+            seen = batch.where("_row IS NOT NULL").groupBy(F.col("_row.member_id").alias("member_id")).agg(
+                F.count_distinct("_row.channel").alias("unique_channels_24h")).alias("b")
+            rows = states.join(seen, same("a", "b", ["member_id"])).drop(F.col("b.member_id"))
+            spend = F.col("total_spend_24h").cast(ADD["total_spend_24h"]).alias("total_spend_24h")
+            rows = rows.withColumns({"total_spend_24h": spend, "feature_computed_at": now}).select(
+                *RT_COLUMNS, F.pmod(F.xxhash64("member_id"), F.lit(BUCKETS)).cast("int").alias("_bucket"))
+            upsert(rows, path, "_bucket", ["member_id"], widest)
+        finally:
+            batch.unpersist()
 
-def current_features(spark: SparkSession, log: str) -> DataFrame:
-    """One row per member from the feature log."""
-    return fold_deltas(DeltaLog(spark, log).read())
+    both = states_and_rows(stream, ["member_id"], measures)
+    return started(both.writeStream.outputMode("update").foreachBatch(sink), checkpoint, seconds)
 
 
-def compact_features(spark: SparkSession, log: str) -> None:
-    DeltaLog(spark, log).compact(fold_deltas)
+def current_features(spark: SparkSession, path: str) -> DataFrame:
+    """One row per member."""
+    return spark.read.parquet(path).select(*RT_COLUMNS)
 
 
 # --- sliding windows ----------------------------------------------------------------------------
 
-def _pane_delta(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("member_id", F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias("pane")).agg(
-        F.count(F.lit(1)).alias("event_count"), sum_when(F.col("amount") > 0, "amount").alias("total_spend"),
-        F.max("risk_score").alias("max_risk_score"), F.max("event_time").alias("last_activity_time"))
+PANE_MEASURES = ("event_count", "total_spend", "max_risk_score", "last_activity_time")
+# Hourly panes: state is let go so long after the newest event's time.
+PANE_DELAY = "2 days"
 
 
-def _fold(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(
-        F.sum("event_count").cast("bigint").alias("event_count"), F.sum("total_spend").cast("decimal(18,2)").alias("total_spend"),
-        F.max("max_risk_score").alias("max_risk_score"),
-        F.max("last_activity_time").alias("last_activity_time"))
+def _pane_measures() -> list[Column]:
+    return [F.count(F.lit(1)).alias("event_count"), sum_when(F.col("amount") > 0, "amount").alias("total_spend"),
+            F.max("risk_score").alias("max_risk_score"), F.max("event_time").alias("last_activity_time")]
 
 
-def fold_panes(rows: DataFrame) -> DataFrame:
-    return _fold(rows, ["member_id", "pane"])
+def keep_panes(stream: DataFrame, base: str, checkpoint: str, delay: str = PANE_DELAY, seconds: float | None = None) -> StreamingQuery:
+    """Measures per member and hour, kept in Spark's state and written to folders of days. Events behind the watermark are
+    set aside until ``fold_late``."""
+    return keep_states(stream, base, checkpoint, ["member_id"], _pane_measures(), Panes("event_time", "hour", delay), seconds)
 
 
-def pane_log(stream: DataFrame, log: str, checkpoint: str, seconds: float | None = None) -> StreamingQuery:
-    """Measures per member and hour on every micro-batch. There is no watermark: an event changes its pane however late
-    it comes."""
-    return run_deltas(stream, log, checkpoint, _pane_delta, seconds)
+def fold_late(spark: SparkSession, base: str, history: DataFrame) -> None:
+    """Panes of all days that late events fall on, made anew from the stored events. Doing it again changes nothing."""
+    late = late_rows(spark, base)
+    if late is None:
+        return
+    days = [r[0] for r in late.select(F.col("event_time").cast("date").alias("day")).distinct().collect()]
+    rows = history.where(F.col("event_time").cast("date").isin(days))
+    panes = rows.groupBy("member_id", F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias(PANE)).agg(*_pane_measures())
+    replace_partitions(panes.withColumn("_day", F.col(PANE).cast("date")), f"{base}/table", ("_day",))
 
 
-def sliding_windows(spark: SparkSession, log: str, hours: int = 24) -> DataFrame:
-    """Measures per member and sliding window of ``hours``, one window per hour, open windows included. Panes are folded
-    first, so each member and hour enters its windows as one row, however many events it holds."""
-    panes = fold_panes(DeltaLog(spark, log).read())
+def sliding_windows(panes: DataFrame, hours: int = 24) -> DataFrame:
+    """Measures per member and sliding window of ``hours``, one window per hour, open windows included. Each member and hour
+    enters its windows as one row, however many events it holds."""
     back = F.explode(F.sequence(F.lit(0), F.lit(hours - 1))).alias("_back")
-    placed = panes.select("*", back).withColumn("window_start", F.col("pane") - F.make_dt_interval(hours=F.col("_back")))
-    out = _fold(placed, ["window_start", "member_id"])
-    return out.select("window_start", (F.col("window_start") + F.expr(f"INTERVAL {hours} HOURS")).alias("window_end"), "member_id",
-                      "event_count", "total_spend", "max_risk_score", "last_activity_time")
+    placed = panes.select("*", back).withColumn("window_start", F.col(PANE) - F.make_dt_interval(hours=F.col("_back")))
+    return placed.groupBy("window_start", "member_id").agg(
+        F.sum("event_count").cast("bigint").alias("event_count"), F.sum("total_spend").cast("decimal(18,2)").alias("total_spend"),
+        F.max("max_risk_score").alias("max_risk_score"), F.max("last_activity_time").alias("last_activity_time")).select(
+        "window_start", (F.col("window_start") + F.expr(f"INTERVAL {hours} HOURS")).alias("window_end"), "member_id", *PANE_MEASURES)
 
 
 def rematerialize(history: DataFrame, as_of: str) -> DataFrame:

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from riskloom.plans import silver
 from riskloom.sources.files import hour_path
 from riskloom.sources.tables import append
-from riskloom.streaming import bronze, checks, features
-from riskloom.streaming.deltas import DeltaLog
+from riskloom.streaming import bronze, checks, features, keyed
 from tests.conftest import AS_OF, rows
 
 NOW = datetime(2024, 1, 31)
@@ -77,82 +76,85 @@ def _table(spark, events):
                      F.concat(F.lit("t"), F.col("n")).alias("_offset_token"))
 
 
-def test_feature_log_is_repeatable_and_rebuild_corrects_it(spark, tmp_path):
-    src, log = str(tmp_path / "bronze"), str(tmp_path / "log")
+def test_features_follow_restarts_and_the_rebuild_corrects_them(spark, tmp_path):
+    src, kept = str(tmp_path / "bronze"), str(tmp_path / "kept")
     day = DUPLICATES + LATE[:3] + BURST
     history = _table(spark, day)
-    for part in (_table(spark, day[:500]), _table(spark, day[500:])):
+    for part in (_table(spark, day[:500]), _table(spark, day[500:])):  # each run starts again from the checkpoint
         append(part, src)
-        features.feature_log(bronze.stream_table(spark, src, part.schema), log, str(tmp_path / "ck"), computed_at=AS_OF).awaitTermination()
-    live = features.current_features(spark, log)
+        features.keep_features(bronze.stream_table(spark, src, part.schema), kept, str(tmp_path / "ck"), computed_at=AS_OF).awaitTermination()
+    live = features.current_features(spark, kept)
+    assert live.agg(F.sum("event_count_24h")).head()[0] == len(day)
     # Copies were counted three times, which the rebuild from de-duplicated history shows.
     wrong = features.reconcile(live, silver.dedup_events(history), AS_OF)
     assert {r["member_id"] for r in wrong.collect()} == {f"MBR{i}" for i in range(10)}
     # Fed with Silver events, which have each event once, the two paths agree.
-    clean, log2 = silver.dedup_events(history), str(tmp_path / "log2")
+    clean, kept2 = silver.dedup_events(history), str(tmp_path / "kept2")
     append(clean, str(tmp_path / "silver"))
-    features.feature_log(bronze.stream_table(spark, str(tmp_path / "silver")), log2, str(tmp_path / "ck2"), computed_at=AS_OF).awaitTermination()
-    assert features.reconcile(features.current_features(spark, log2), clean, AS_OF).count() == 0
+    features.keep_features(bronze.stream_table(spark, str(tmp_path / "silver")), kept2, str(tmp_path / "ck2"), computed_at=AS_OF).awaitTermination()
+    assert features.reconcile(features.current_features(spark, kept2), clean, AS_OF).count() == 0
     # A defect in the live table disappears with the rebuild.
     broken = live.withColumn("total_spend_24h", F.lit(0).cast("decimal(18,2)"))
     rebuilt = features.rematerialize(silver.dedup_events(history), AS_OF)
     assert features.reconcile(broken, silver.dedup_events(history), AS_OF).count() > 0
     assert features.reconcile(rebuilt, silver.dedup_events(history), AS_OF).count() == 0
-    want, want_at = rows(live), sorted(live.columns).index("event_count_24h")
-    for _ in range(2):  # compacting again changes nothing
-        features.compact_features(spark, log)
-        assert rows(features.current_features(spark, log)) == want and not DeltaLog(spark, log).pending()
-    append(_table(spark, LATE[:1]), src)
-    features.feature_log(bronze.stream_table(spark, src, history.schema), log, str(tmp_path / "ck"), computed_at=AS_OF).awaitTermination()
-    grown = features.current_features(spark, log).agg(F.sum("event_count_24h")).head()[0]
-    assert grown == sum(int(r[want_at]) for r in want) + 1
-    assert DeltaLog(spark, log).pending() == [2]
-
-
-def test_a_compaction_that_stopped_before_dropping_batches(spark, tmp_path, monkeypatch):
-    log = DeltaLog(spark, str(tmp_path / "log"))
-    for n in range(3):
-        log.write(spark.createDataFrame([("a", n + 1)], "k string, v int"), n)
-    fold = lambda df: df.groupBy("k").agg(F.sum("v").cast("int").alias("v"))
-    listed = DeltaLog._fs
-    def no_delete(self, path):
-        if path.endswith("/batches") and (tmp_path / "log/base/current").exists():
-            raise OSError("lost")
-        return listed(self, path)
-    monkeypatch.setattr(DeltaLog, "pending", lambda self: [0, 1, 2])
-    monkeypatch.setattr(DeltaLog, "_fs", no_delete)
-    try:
-        log.compact(fold)
-    except OSError:
-        pass
-    monkeypatch.undo()
-    assert fold(log.read()).collect() == [("a", 6)]
-    log.compact(fold)
-    log.compact(fold)
-    assert fold(log.read()).collect() == [("a", 6)] and not log.pending()
+
+
+def test_the_widest_batch_counts_for_channels(spark, tmp_path):
+    src, kept = str(tmp_path / "b"), str(tmp_path / "k")
+    for channels in ("ABC", "AD", ""):
+        events = [_event(f"{channels}{c}", NOW, channel=c) for c in channels] or [_event("last", NOW, member_id="other")]
+        append(_table(spark, events), src)
+        features.keep_features(bronze.stream_table(spark, src, _table(spark, events).schema), kept, str(tmp_path / "c"), AS_OF).awaitTermination()
+    got = {r["member_id"]: (r["event_count_24h"], r["unique_channels_24h"]) for r in features.current_features(spark, kept).collect()}
+    assert got == {"MBR1": (5, 3), "other": (1, 1)}
+
+
+def test_a_batch_that_is_written_twice_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([("a", 1, 1), ("b", 2, 1), ("c", 3, 2), (None, 4, 2)], "k string, v int, part int")
+    second = spark.createDataFrame([("a", 5, 1), (None, 6, 2), ("d", 7, 3)], "k string, v int, part int")
+    for rows_ in (first, second, second):
+        keyed.upsert(rows_, path, "part", ["k"])
+    got = {(r["k"], r["v"], r["part"]) for r in spark.read.parquet(path).collect()}
+    assert got == {("a", 5, 1), ("b", 2, 1), ("c", 3, 2), (None, 6, 2), ("d", 7, 3)}
+    keyed.upsert(second.limit(0), path, "part", ["k"])
+    assert spark.read.parquet(path).count() == 5
 
 
 def test_latest_copy_wins_however_late(spark, tmp_path):
-    """Older copies that come in a later batch do not win; a newer one that comes a year late does."""
+    """Older copies that come in a later batch do not win; a newer one that comes a year late does, as do copies of other
+    days and events behind the watermark."""
     history = _table(spark, DUPLICATES + LATE)
     late = history.limit(1).withColumns({"_ingest_time": F.col("_ingest_time") + F.expr("INTERVAL 365 DAYS"), "channel": F.lit("WEB")})
-    src, log = str(tmp_path / "b"), str(tmp_path / "log")
-    for part in (history.where("_offset_token > 't2'"), history.where("_offset_token <= 't2'"), late):
+    moved = late.withColumns({"event_time": F.col("event_time") - F.expr("INTERVAL 40 DAYS"), "event_id": F.lit("DUP-5")})
+    untimed = late.withColumns({"event_time": F.lit(None).cast("timestamp_ntz"), "event_id": F.lit("NO-TIME")})
+    old = late.withColumns({"event_time": F.lit(datetime(2020, 1, 1)).cast("timestamp_ntz"), "event_id": F.lit("OLD")})
+    src, kept = str(tmp_path / "b"), str(tmp_path / "kept")
+    parts = (history.where("_offset_token > 't2'"), history.where("_offset_token <= 't2'"), late, moved.unionByName(untimed).unionByName(old))
+    for part in parts:
         append(part, src)
-        bronze.latest_events(bronze.stream_table(spark, src, history.schema), log, str(tmp_path / "c")).awaitTermination()
-    assert rows(bronze.current_events(spark, log)) == rows(silver.dedup_events(history.unionByName(late)))
-    bronze.compact_events(spark, log)
-    assert rows(bronze.current_events(spark, log)) == rows(silver.dedup_events(history.unionByName(late)))
+        bronze.latest_events(bronze.stream_table(spark, src, history.schema), kept, str(tmp_path / "c"), "1 day").awaitTermination()
+    whole = history.unionByName(late).unionByName(parts[3])
+    assert rows(bronze.current_events(spark, kept)) == rows(silver.dedup_events(whole))
+    aside = {r["event_id"] for r in keyed.late_rows(spark, kept).collect()}
+    assert {"OLD", "NO-TIME", "DUP-5"} <= aside
 
 
 def test_late_events_change_their_windows(spark, tmp_path):
     history = _table(spark, BURST[:50] + LATE)
-    src, log = str(tmp_path / "b"), str(tmp_path / "log")
+    src, kept = str(tmp_path / "b"), str(tmp_path / "kept")
     for part in (history.where("event_id LIKE 'BURST%'"), history.where("event_id LIKE 'LATE%'")):
         append(part, src)
-        features.pane_log(bronze.stream_table(spark, src, history.schema), log, str(tmp_path / "c")).awaitTermination()
-    got = features.sliding_windows(spark, log)
-    assert got.agg(F.sum("event_count")).head()[0] == 24 * history.count()
+        features.keep_panes(bronze.stream_table(spark, src, history.schema), kept, str(tmp_path / "c"), "3 hours").awaitTermination()
+    aside = {r["event_id"] for r in keyed.late_rows(spark, kept).collect()}
+    assert "LATE-72" in aside and "LATE-1" not in aside
+    before = features.sliding_windows(keyed.kept_states(spark, kept)).agg(F.sum("event_count")).head()[0]
+    assert before == 24 * (history.count() - len(aside))
+    for _ in range(2):
+        features.fold_late(spark, kept, spark.read.parquet(src))
+        got = features.sliding_windows(keyed.kept_states(spark, kept))
+        assert got.agg(F.sum("event_count")).head()[0] == 24 * history.count()
     assert got.where("window_end > TIMESTAMP_NTZ '2024-01-31 00:00:00'").count() > 0
 
 
