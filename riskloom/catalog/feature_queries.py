@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,7 +93,11 @@ SELECT member_id, CAST(sum(txn_count) AS BIGINT) AS total_txns_at_90d,
 FROM g_daily_nov GROUP BY member_id HAVING sum(total_amount) > 10000
 ORDER BY total_volume_at_90d DESC, member_id LIMIT 50""")
 def fs_lookback_90d(lake: Lake):
-    return features.lookback_totals(_daily_snapshot(lake, "2023-11-02 00:00:00"))
+    """Ninety days of states in one pass; the earliest is the one asked for."""
+    newest = date(2024, 1, 31)
+    moments = [f"{newest - timedelta(days=n)} 00:00:00" for n in range(91)]
+    states = features.past_totals(lake.raw("raw_transactions"), moments)
+    return features.lookback_totals(features.totals_at(states, moments[-1]))
 
 
 @query("fs_pit_latest", f"""

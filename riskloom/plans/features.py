@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,12 +63,58 @@ def with_validity(raw: DataFrame, key: str, order: Sequence[str], loaded: str =
     return raw.withColumn("_until", F.lead(loaded).over(Window.partitionBy(key).orderBy(*by)))
 
 
-def known_at(moments: Column, also=None, loaded: str = "_loaded_at") -> Column:
-    """Those of the ``moments`` at which a version with ``_until`` was the newest one known."""
-    def holds(m: Column) -> Column:
-        known = (F.col(loaded) <= m) & (F.col("_until").isNull() | (F.col("_until") > m))
-        return known & also(m) if also else known
-    return F.filter(moments, holds)
+# --- past states as differences -----------------------------------------------------------------
+#
+# Moments are numbered in order. A version counts from the first moment that knows it to the last one before its end, so it
+# adds to the first and takes off again behind the last: two rows, however many moments lie between. Running sums per member
+# give the state at every moment.
+
+def in_order(moments: Sequence[str]) -> list[str]:
+    return sorted(set(moments), key=datetime.fromisoformat)
+
+
+def just_after(time: Column) -> Column:
+    return time + F.expr("INTERVAL '0.000001' SECOND")
+
+
+def place(time: str, moments: Sequence[str]) -> Column:
+    """How many of the ordered moments are before the time in a column, by a tree of comparisons; all, if it is null."""
+    def below(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(F.col(time) > at(moments[mid]), below(mid + 1, high)).otherwise(below(low, mid))
+    return F.when(F.col(time).isNull(), F.lit(len(moments))).otherwise(below(0, len(moments)))
+
+
+def between(versions: DataFrame, moments: Sequence[str], begin: Column, end: Column) -> DataFrame:
+    """``versions`` that count at some moment, with the numbers of the first one (``_first``) and the one behind the last
+    (``_end``). They count from ``begin`` on and no longer from ``end`` on, if that is not null."""
+    timed = versions.withColumns({"_begin": begin, "_stop": end})
+    return timed.withColumns({"_first": place("_begin", moments), "_end": place("_stop", moments)}).where("_first < _end").drop("_begin", "_stop")
+
+
+def steps(versions: DataFrame, moments: Sequence[str], begin: Column, end: Column) -> DataFrame:
+    """``versions`` at the moment ``i`` where they begin to count (``sign`` 1) and the one where they no longer do (-1)."""
+    marks = F.array(*[F.struct(F.col(c).alias("i"), F.lit(sign).alias("sign")) for c, sign in (("_first", 1), ("_end", -1))])
+    here = between(versions, moments, begin, end)
+    return here.select("*", F.inline(F.filter(marks, lambda x: x["i"] < len(moments)))).drop("_first", "_end")
+
+
+def known_by(last: str, raw: DataFrame, key: str, order: Sequence[str], loaded: str = "_loaded_at") -> DataFrame:
+    """Versions that were loaded up to the last moment. Those loaded later could only end others after it."""
+    return with_validity(raw.where(F.col(loaded) <= at(last)), key, order, loaded)
+
+
+def signed(value: str) -> Column:
+    return F.when(F.col("sign") > 0, F.col(value)).otherwise(-F.col(value))
+
+
+def distinct_steps(changes: DataFrame, keys: Sequence[str], item: str, count: str = "n") -> DataFrame:
+    """Adds ``opened``: 1 where an item's running count leaves zero, -1 where it is back there, else 0."""
+    so_far = F.sum(count).over(Window.partitionBy(*keys, item).orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
+    is_on = lambda c: F.when(F.col(item).isNotNull() & (c > 0), 1).otherwise(0)
+    return changes.withColumn("_sum", so_far).withColumn("opened", is_on(F.col("_sum")) - is_on(F.col("_sum") - F.col(count))).drop("_sum")
 
 
 def backfill_features(raw_members: DataFrame, raw_txns: DataFrame, raw_alerts: DataFrame, moments: Sequence[str],
@@ -75,37 +122,65 @@ def backfill_features(raw_members: DataFrame, raw_txns: DataFrame, raw_alerts: D
     """Offline features at several past moments from one pass over Bronze, each by what was known then; ``system_time``
     is the moment.
 
-    A version of a row counts from its load until the next version's. A transaction counts for the few moments whose
+    A version of a row counts from its load until the next version's. A transaction counts for the moments whose
     window holds it. An alert is open at a moment if it was raised before it and, by its version known then, is in an open
-    state or was resolved only later.
+    state or was resolved only later. The only rows made per moment are those of the result.
     """
-    times = F.array(*[at(m) for m in moments])
+    moments = in_order(moments)
+    last = moments[-1]
     lag = F.expr(f"INTERVAL {days} DAYS")
     ts = F.col("txn_timestamp")
-    keys = ["member_id", "system_time"]
-    versions = with_validity(raw_txns.where(required("txn_id", "member_id", "amount", "txn_timestamp")), "txn_id", TXN_TIES)
-    t = versions.withColumn("system_time", F.explode(known_at(times, lambda m: (ts < m) & (ts >= m - lag)))).select(
-        squash("member_id").alias("member_id"), "system_time", "txn_id", "amount", F.upper("channel").alias("channel"))
-    t = t.groupBy(*keys).agg(
-        F.count("txn_id").alias("txn_count_30d"), total("amount").alias("total_spend_30d"),
-        mean("amount").alias("avg_txn_30d"), F.count_distinct("channel").alias("channels_used_30d"))
+    usable = raw_txns.where(required("txn_id", "member_id", "amount", "txn_timestamp"))
+    spent = steps(known_by(last, usable, "txn_id", TXN_TIES), moments, F.greatest("_loaded_at", just_after(ts)), F.least("_until", just_after(ts + lag)))
+    spent = spent.groupBy(squash("member_id").alias("member_id"), F.upper("channel").alias("channel"), "i").agg(
+        F.sum("sign").alias("n"), F.sum(signed("amount")).alias("spend"))
+    spent = distinct_steps(spent, ["member_id"], "channel").groupBy("member_id", "i").agg(
+        F.sum("n").alias("n"), F.sum("spend").alias("spend"), F.sum("opened").alias("channels"))
     is_open = F.upper("status").isin(*OPEN_STATES)
-    pending = lambda m: (F.col("alert_timestamp") < m) & (is_open | (F.col("resolved_at") > m))
-    a = (with_validity(raw_alerts.where(required("alert_id")), "alert_id", ALERT_TIES)
-         .withColumn("system_time", F.explode(known_at(times, pending))).groupBy(*keys).agg(F.count("alert_id").alias("open_alerts")))
-    people = with_validity(raw_members.where(required("member_id", "institution_id")), "member_id", MEMBER_TIES)
-    base = people.withColumn("system_time", F.explode(known_at(times))).select(
-        "member_id", squash("institution_id").alias("institution_id"), F.upper("risk_tier").alias("risk_tier"), "member_since", "system_time")
-    day = F.col("system_time").cast("date")
-    zero = F.lit(0)
-    return base.join(t, keys, "left").join(a, keys, "left").select(
-        "member_id", "institution_id", "risk_tier",
-        F.date_diff(day, F.col("member_since")).cast("bigint").alias("account_age_days"),
-        F.coalesce("txn_count_30d", zero).alias("txn_count_30d"),
-        F.coalesce("total_spend_30d", zero).cast("decimal(18,2)").alias("total_spend_30d"),
-        F.coalesce("avg_txn_30d", F.lit(0.0)).alias("avg_txn_30d"),
-        F.coalesce("channels_used_30d", zero).alias("channels_used_30d"),
-        F.coalesce("open_alerts", zero).alias("open_alerts"), day.alias("business_date"), "system_time")
+    settled = F.when(is_open, None).otherwise(F.coalesce("resolved_at", at("0001-01-01 00:00:00")))
+    raised = known_by(last, raw_alerts.where(required("alert_id")), "alert_id", ALERT_TIES).where("alert_timestamp IS NOT NULL")
+    raised = steps(raised, moments, F.greatest("_loaded_at", just_after(F.col("alert_timestamp"))), F.least("_until", settled))
+    raised = raised.groupBy("member_id", "i").agg(F.sum("sign").alias("alerts"))
+    people = known_by(last, raw_members.where(required("member_id", "institution_id")), "member_id", MEMBER_TIES)
+    people = between(people, moments, F.col("_loaded_at"), F.col("_until"))
+    base = people.select("member_id", F.struct(squash("institution_id").alias("institution_id"), F.upper("risk_tier").alias("risk_tier"),
+                                               "member_since").alias("who"),
+                         F.explode(F.sequence(F.col("_first"), F.col("_end") - 1)).alias("i"))
+    rows = base.unionByName(spent, allowMissingColumns=True).unionByName(raised, allowMissingColumns=True)
+    until_here = Window.partitionBy("member_id").orderBy("i").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    run = {c: F.coalesce(F.sum(c).over(until_here), F.lit(0)) for c in ("n", "spend", "channels", "alerts")}
+    rows = rows.select("member_id", "who", "i", *[v.alias(c) for c, v in run.items()]).where("who IS NOT NULL")
+    moment = F.element_at(F.array(*[at(m) for m in moments]), F.col("i") + 1)
+    average = F.coalesce(F.col("spend").cast("double") / F.nullif(F.col("n"), F.lit(0)).cast("double"), F.lit(0.0))
+    return rows.select(
+        "member_id", "who.institution_id", "who.risk_tier",
+        F.date_diff(moment.cast("date"), F.col("who.member_since")).cast("bigint").alias("account_age_days"),
+        F.col("n").alias("txn_count_30d"), F.col("spend").cast("decimal(18,2)").alias("total_spend_30d"),
+        average.alias("avg_txn_30d"), F.col("channels").alias("channels_used_30d"), F.col("alerts").alias("open_alerts"),
+        moment.cast("date").alias("business_date"), moment.alias("system_time"))
+
+
+def past_totals(raw_txns: DataFrame, moments: Sequence[str]) -> DataFrame:
+    """Transactions, volume and active days per member at past moments, by what was known then. A row holds from its moment
+    (``known_at``) until the member's next row; members without a change have none."""
+    moments = in_order(moments)
+    usable = raw_txns.where(required("txn_id", "member_id", "amount", "txn_timestamp"))
+    changes = steps(known_by(moments[-1], usable, "txn_id", TXN_TIES), moments, F.col("_loaded_at"), F.col("_until"))
+    daily = changes.groupBy(squash("member_id").alias("member_id"), F.to_date("txn_timestamp").alias("txn_date"), "i").agg(
+        F.sum("sign").alias("n"), F.sum(signed("amount")).alias("volume"))
+    per_member = distinct_steps(daily, ["member_id"], "txn_date").groupBy("member_id", "i").agg(
+        F.sum("n").alias("n"), F.sum("volume").alias("volume"), F.sum("opened").alias("days"))
+    until_here = Window.partitionBy("member_id").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    times = F.array(*[at(m) for m in moments])
+    return per_member.select(
+        "member_id", F.element_at(times, F.col("i") + 1).alias("known_at"), F.sum("n").over(until_here).alias("txn_count"),
+        F.sum("volume").over(until_here).cast("decimal(20,2)").alias("total_amount"), F.sum("days").over(until_here).alias("active_days"))
+
+
+def totals_at(states: DataFrame, moment: str) -> DataFrame:
+    """``past_totals`` as they stood at a moment."""
+    here = keep_latest(states.where(F.col("known_at") <= at(moment)), ["member_id"], ["known_at"])
+    return here.where("txn_count > 0").drop("known_at")
 
 
 # --- point in time ------------------------------------------------------------------------------
@@ -173,13 +248,12 @@ def feature_drift(current: DataFrame, past: DataFrame, min_abs: float = 1000, k:
     return top_k(moved, [F.abs("spend_change_pct").desc_nulls_last()], k, ["member_id"])
 
 
-def lookback_totals(daily: DataFrame, min_volume: float = 10000, k: int = 50) -> DataFrame:
-    """Largest members in an earlier state of the daily table."""
-    sums = daily.groupBy("member_id").agg(
-        F.sum("txn_count").alias("total_txns_at_90d"), total("total_amount", 20).alias("total_volume_at_90d"),
-        F.count_distinct("txn_date").alias("active_days_at_90d"))
-    return top_k(sums.where(F.col("total_volume_at_90d") > min_volume),
-                 [F.col("total_volume_at_90d").desc_nulls_last()], k, ["member_id"])
+def lookback_totals(totals: DataFrame, min_volume: float = 10000, k: int = 50) -> DataFrame:
+    """Largest members of an earlier state, by their totals then."""
+    large = totals.where(F.col("total_amount") > min_volume).select(
+        "member_id", F.col("txn_count").alias("total_txns_at_90d"), F.col("total_amount").alias("total_volume_at_90d"),
+        F.col("active_days").alias("active_days_at_90d"))
+    return top_k(large, [F.col("total_volume_at_90d").desc_nulls_last()], k, ["member_id"])
 
 
 def latency_slo(df: DataFrame, start: str, end: str, limit_ms: int = 1500, metric: str = "FEATURE FRESHNESS SLO",

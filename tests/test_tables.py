@@ -186,6 +186,34 @@ def test_an_alert_is_open_until_it_was_resolved(spark, lake):
     assert got.agg(F.sum("open_alerts")).head()[0] == 1
 
 
+def test_ninety_states_equal_ninety_single_ones(spark, lake):
+    """Differences give the same states as one pass for each moment, and at most two rows a version."""
+    from datetime import date, timedelta
+    moments = [f"{date(2024, 1, 31) - timedelta(days=n)} 00:00:00" for n in range(90)]
+    raw = [lake.raw(n) for n in ("raw_members", "raw_transactions", "raw_alerts")]
+    together = features.backfill_features(*raw, moments).persist()
+    for m in moments[0:30:14]:  # members are there from January on
+        here = together.where(F.col("system_time") == F.lit(m).cast("timestamp_ntz"))
+        assert rows(here) == rows(features.backfill_features(*raw, [m])) != []
+    versions = features.known_by(moments[0], raw[1], "txn_id", silver.TXN_TIES)
+    steps = features.steps(versions, features.in_order(moments), F.col("_loaded_at"), F.col("_until"))
+    assert 0 < steps.count() <= 2 * raw[1].count()
+    totals = features.past_totals(raw[1], moments)
+    for m in moments[::40]:
+        known = silver.cleanse_transactions(raw[1].where(F.col("_loaded_at") <= F.lit(m).cast("timestamp_ntz")))
+        want = known.groupBy("member_id").agg(F.count("*").alias("txn_count"), F.sum("amount").cast("decimal(20,2)").alias("total_amount"),
+                                              F.count_distinct(F.to_date("txn_timestamp")).alias("active_days"))
+        assert rows(features.totals_at(totals, m)) == rows(want) != []
+
+
+def test_a_moment_is_found_by_comparisons(spark):
+    moments = [f"2024-01-0{n} 00:00:00" for n in (1, 3, 5, 6, 9)]
+    df = spark.createDataFrame([(None, 5)] + [(f"2024-01-{d:02d} {h}", n) for d, h, n in (
+        (1, "00:00:00", 0), (1, "00:00:01", 1), (3, "00:00:00", 1), (5, "12:00:00", 3), (9, "00:00:00", 4), (9, "01:00:00", 5))], "t string, n int")
+    got = df.withColumn("t", F.col("t").cast("timestamp_ntz")).withColumn("i", features.place("t", moments))
+    assert all(r["i"] == r["n"] for r in got.collect())
+
+
 def test_refresh_after_a_failure_between_its_two_writes(spark, lake, tmp_path, monkeypatch):
     """A row moves to another month, Silver is written, Gold is not. The next run mends both months."""
     raw = lake.raw("raw_transactions").where("txn_timestamp >= '2023-10-01'")
