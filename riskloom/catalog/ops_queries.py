@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskloom.catalog.registry import query
 from riskloom.functions.expressions import at
 from riskloom.operators.merge import feature_delta, merge_features, update_by_key
-from riskloom.plans import ingest, medallion, ops
+from riskloom.plans import contributions, gold, ingest, medallion, ops
 from riskloom.plans.gold import daily_member_summary
 from riskloom.plans.lake import Lake
 from riskloom.plans.nodes import BRONZE_INPUTS, standard_nodes
@@ -225,6 +225,32 @@ def incremental_equals_full(lake: Lake):
     return out.select(*daily_member_summary(cleanse_transactions(raw)).columns)
 
 
+def _refreshed(lake: Lake) -> contributions.Zone:
+    """Totals after a first load, a second one that replaces rows of other months, a repetition of it, and a day's advance."""
+    raw = lake.raw("raw_transactions")
+    zone = contributions.Zone(lake.spark, new_path(lake.spark, "totals"), "2024-01-30 00:00:00")
+    late = F.col("_loaded_at") >= at("2024-01-10 00:00:00")
+    zone.load(raw.where(~late), 1)
+    zone.load(raw.where(late), 2)
+    zone.load(raw.where(late), 2)
+    zone.advance(lake.as_of, 3)
+    return zone
+
+
+@query("incremental_activity", "SELECT * FROM g_activity")
+def incremental_activity(lake: Lake):
+    """Member activity whose transaction side was kept by additions and removals."""
+    recent = contributions.recent_by_member(_refreshed(lake).held(contributions.MEMBER_TOTALS))
+    return gold.member_activity(lake.members, lake.transactions, lake.alerts, lake.as_of, recent=recent)
+
+
+@query("incremental_institutions", "SELECT * FROM g_inst")
+def incremental_institutions(lake: Lake):
+    """Institution summary whose transaction side was kept by additions and removals."""
+    recent = contributions.recent_by_institution(_refreshed(lake).held(contributions.INSTITUTION_TOTALS))
+    return gold.institution_summary(lake.raw("raw_institutions"), lake.transactions, lake.alerts, lake.as_of, recent=recent)
+
+
 @query("zones_stored", """
 SELECT 'CLEANSED_TRANSACTIONS' AS name, count(*) AS n FROM s_txn UNION ALL SELECT 'ENRICHED_MEMBERS', count(*) FROM s_members
 UNION ALL SELECT 'DEDUP_EVENTS', count(*) FROM s_events UNION ALL SELECT 'ENRICHED_ALERTS', count(*) FROM s_alerts

@@ -77,14 +77,14 @@ def _repeat(c, times: Column) -> Column:
 
 
 def member_activity(members: DataFrame, txns: DataFrame, alerts: DataFrame, as_of: str, days: int = 30,
-                    mode: str = "literal") -> DataFrame:
+                    mode: str = "literal", recent: DataFrame | None = None) -> DataFrame:
     """Member profile with recent activity.
 
     Joining both transactions and alerts to a member repeats every transaction once per open alert; ``literal`` keeps
     the totals that gives, ``corrected`` does not repeat. Either way both sides are aggregated before they are joined,
-    so no pairs are built.
+    so no pairs are built. ``recent`` takes the place of the transactions' aggregate, where one is kept.
     """
-    t = txns.where(since("txn_timestamp", as_of, days)).groupBy("member_id").agg(
+    t = recent if recent is not None else txns.where(since("txn_timestamp", as_of, days)).groupBy("member_id").agg(
         F.count("txn_id").alias("_n"), total("amount").alias("_sum"), mean("amount").alias("avg_txn_30d"),
         F.max("txn_timestamp").alias("last_txn_time"), F.count_distinct("channel").alias("_channels"))
     a = alerts.where(F.col("status").isin(*OPEN_STATES)).groupBy("member_id").agg(
@@ -101,9 +101,9 @@ def member_activity(members: DataFrame, txns: DataFrame, alerts: DataFrame, as_o
 
 
 def institution_summary(institutions: DataFrame, txns: DataFrame, alerts: DataFrame, as_of: str, days: int = 30,
-                        mode: str = "literal") -> DataFrame:
-    """Recent activity per institution; ``literal`` and ``corrected`` as in ``member_activity``."""
-    t = txns.where(since("txn_timestamp", as_of, days)).groupBy("institution_id").agg(
+                        mode: str = "literal", recent: DataFrame | None = None) -> DataFrame:
+    """Recent activity per institution; ``literal``, ``corrected`` and ``recent`` as in ``member_activity``."""
+    t = recent if recent is not None else txns.where(since("txn_timestamp", as_of, days)).groupBy("institution_id").agg(
         F.count_distinct("member_id").alias("_members"), F.count("txn_id").alias("_n"), total("amount").alias("_sum"),
         mean("risk_score").alias("avg_risk_score"))
     a = alerts.where(since("alert_timestamp", as_of, days)).groupBy("institution_id").agg(

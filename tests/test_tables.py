@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import masking
 from riskloom.functions.expressions import percent_text, risk_band
-from riskloom.plans import features, gold, medallion, quality, silver
+from riskloom.plans import contributions, features, gold, medallion, quality, silver
 from riskloom.plans.nodes import BRONZE_INPUTS, lineage, standard_nodes
 from riskloom.plans.semantic import FRAUD_MODEL
 from riskloom.sources import tables
@@ -251,3 +251,75 @@ def test_stored_zone_opens_only_needed_folders(spark, lake, tmp_path):
     assert "PartitionFilters: [isnotnull(part_date" in plan
     want = lake.daily.where("txn_date >= DATE '2024-01-10'")
     assert rows(recent.where("txn_date >= DATE '2024-01-10'")) == rows(want)
+
+
+def _txn(i, member, channel, when, load, amount="1.00", fi="f", risk=None):
+    from decimal import Decimal as D
+    return (i, member, fi, datetime.fromisoformat(when), D(amount), "usd", "debit", channel, "c", "n", "us", "s", None, None, None, None,
+            D(risk) if risk else None, datetime.fromisoformat(load), "f")
+
+
+TXN_COLUMNS = ("txn_id string, member_id string, institution_id string, txn_timestamp timestamp_ntz, amount decimal(15,2), currency_code string, "
+               "txn_type string, channel string, merchant_category string, merchant_name string, merchant_country string, "
+               "status string, auth_code string, card_last_four string, ip_address string, "
+               "device_fingerprint string, risk_score decimal(5,2), _loaded_at timestamp_ntz, _source_file string")
+
+
+def test_totals_follow_loads_removals_and_the_window(spark, tmp_path):
+    """Replaced, moved, older and repeated versions; a lost maximum; members and channels that vanish; null channels."""
+    loads = [
+        [_txn("a", "m1", "pos", "2024-01-20", "2024-01-21", "5.00", risk="0.50"), _txn("b", "m1", "web", "2024-01-25", "2024-01-26"),
+         _txn("c", "m2", "web", "2024-01-27", "2024-01-28", risk="0.10"), _txn("d", "m3", None, "2024-01-02", "2024-01-03", "9.00"),
+         _txn("e", "m1", "pos", "2024-01-11", "2024-01-12", "2.00", fi="g")],
+        [_txn("b", "m1", "pos", "2024-01-10", "2024-02-01", "7.00"), _txn("c", "m4", "web", "2023-11-27", "2024-02-01"),
+         _txn("a", "m1", "pos", "2024-01-21", "2024-01-01", "50.00"), _txn("n", "m2", "web", "2024-01-28", "2024-02-01")],
+        [_txn("n", "m2", "web", "2024-01-03", "2024-02-02", fi="g"), _txn("a", "m1", "pos", "2024-01-04", "2024-02-02", "4.00")],
+    ]
+    frames = [spark.createDataFrame(x, TXN_COLUMNS) for x in loads]
+    zone = contributions.Zone(spark, str(tmp_path / "z"), "2024-01-31 00:00:00")
+    seen = None
+
+    def check(as_of):
+        recent = silver.cleanse_transactions(seen).where(F.col("txn_timestamp") >= F.lit(as_of).cast("timestamp_ntz") - F.expr("INTERVAL 30 DAYS"))
+        want = recent.groupBy("member_id", "channel").agg(F.count("*").alias("n"), F.sum("amount").cast("decimal(28,2)").alias("amount"),
+                                                          F.max("txn_timestamp").alias("last_txn_time"))
+        assert rows(zone.held(contributions.MEMBER_TOTALS)) == rows(want)
+        want = recent.groupBy("institution_id", "member_id").agg(
+            F.count("*").alias("n"), F.sum("amount").cast("decimal(28,2)").alias("amount"),
+            F.sum(F.coalesce("risk_score", F.lit(0))).cast("decimal(28,2)").alias("risk"), F.count("risk_score").alias("risk_n"))
+        assert rows(zone.held(contributions.INSTITUTION_TOTALS)) == rows(want)
+        assert rows(zone.silver().drop("part_date")) == rows(silver.cleanse_transactions(seen))
+
+    for number, df in enumerate(frames, 1):
+        seen = df if seen is None else seen.unionByName(df)
+        for _ in range(2):
+            zone.load(df, number)
+            check("2024-01-31")
+    zone.advance("2024-02-10 00:00:00", 4)
+    check("2024-02-10")
+    index = {r["txn_id"]: str(r["part_date"]) for r in spark.read.parquet(zone.path("index")).collect()}
+    assert index["c"] == "2023-11-01" and index["n"] == "2024-01-01"
+    plan = zone.replaced(frames[0].select("txn_id"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part_date" in plan or "PartitionFilters: [part_date" in plan
+
+
+def test_a_load_that_stopped_between_its_steps(spark, tmp_path, monkeypatch):
+    first = spark.createDataFrame([_txn("a", "m", "pos", "2024-01-20", "2024-01-21", "5.00")], TXN_COLUMNS)
+    second = spark.createDataFrame([_txn("a", "m", "web", "2023-12-30", "2024-01-25", "6.00"), _txn("b", "m", "pos", "2024-01-29", "2024-01-30")], TXN_COLUMNS)
+    zone = contributions.Zone(spark, str(tmp_path / "z"), "2024-01-31 00:00:00")
+    zone.load(first, 1)
+    real = contributions.Zone.apply
+
+    def stops(self, t, signed, number):
+        if t is contributions.INSTITUTION_TOTALS:
+            raise OSError("lost")
+        real(self, t, signed, number)
+
+    monkeypatch.setattr(contributions.Zone, "apply", stops)
+    with pytest.raises(OSError):
+        zone.load(second, 2)
+    monkeypatch.undo()
+    zone.load(second, 2)
+    got = {(r["member_id"], r["channel"]): (r["n"], str(r["amount"])) for r in zone.held(contributions.MEMBER_TOTALS).collect()}
+    assert got == {("m", "POS"): (1, "1.00")} or got == {("M", "POS"): (1, "1.00")}
+    assert [(r["n"], str(r["amount"])) for r in zone.held(contributions.INSTITUTION_TOTALS).collect()] == [(1, "1.00")]
