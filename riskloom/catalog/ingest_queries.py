@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,6 +75,22 @@ def ingest_rejects(lake: Lake):
     return _dead(lake).select("source_table", "rejected_record", "error_column_name", "error_message", "error_category")
 
 
+@query("reject_lines", """
+WITH numbered AS (SELECT *, row_number() OVER (PARTITION BY _source_file ORDER BY txn_id, line) + 1 AS row_number FROM landing_transactions),
+bad AS (SELECT *, unnest([CASE WHEN k % 61 = 0 THEN 'txn_id' END, CASE WHEN k % 59 = 0 THEN 'txn_timestamp' END,
+  CASE WHEN k % 53 = 0 THEN 'amount' END]) AS error_column_name FROM numbered)
+SELECT _source_file AS source_name, row_number, line AS rejected_record, error_column_name FROM bad WHERE error_column_name IS NOT NULL""")
+def reject_lines(lake: Lake):
+    """Rejects with their line in the landing file, the header being the first."""
+    rows = lake.raw("landing_transactions").repartition("_source_file").sortWithinPartitions("_source_file", "txn_id", "line")
+    path = write_lines(lake, rows, "|".join(fm.TRANSACTIONS.names), "_source_file")
+    text = files.read_numbered(lake.spark, path, fm.PIPE, fm.TRANSACTIONS.names)
+    rejects = files.line_numbers(ingest.load_batch(text, fm.TRANSACTIONS, at(lake.as_of)).rejects, lake.spark, path)
+    dead = ingest.dead_letter(rejects, fm.TRANSACTIONS.table, at(lake.as_of))
+    name = F.regexp_extract("source_file", f"{BUCKET}=([^/]+)/", 1).alias("source_name")
+    return dead.select(name, "row_number", "rejected_record", "error_column_name")
+
+
 @query("reject_summary", f"""
 SELECT source_table, error_category, count(*) AS rejection_count, {NOW} AS first_rejection, {NOW} AS last_rejection
 FROM ({REJECTS}) r GROUP BY 1, 2""")
@@ -177,12 +195,31 @@ def ingest_fixed_width(lake: Lake):
     return ingest.load_batch(text, fm.MEMBERS, at(lake.as_of)).good.drop(files.FILE)
 
 
+@query("reject_hashes", """
+WITH broken AS (SELECT *, substr(line, 1, 150) || CASE WHEN k % 2 = 0 THEN 'xyz' || substr(line, 154, 61)
+    ELSE substr(line, 151, 40) || repeat(' ', 24) END || substr(line, 215) AS bad FROM landing_members WHERE k % 11 = 0 AND CAST(substr(member_id, 4) AS BIGINT) % 37 <> 0)
+SELECT bad AS rejected_record, 'ssn_hash' AS error_column_name, 'String of ssn_hash does not match [0-9a-fA-F]{64}' AS error_message,
+  'CONSTRAINT' AS error_category FROM broken""")
+def reject_hashes(lake: Lake):
+    """Members whose hash is too short or no hexadecimal number; the others load."""
+    odd = F.col("k") % 11 == 0
+    hashed = F.when(F.col("k") % 2 == 0, F.concat(F.lit("xyz"), F.expr("substr(line, 154, 61)"))).otherwise(
+        F.concat(F.expr("substr(line, 151, 40)"), F.lit(" " * 24)))
+    line = F.when(odd, F.concat(F.expr("substr(line, 1, 150)"), hashed, F.expr("substr(line, 215)"))).otherwise(F.col("line"))
+    path = write_lines(lake, lake.raw("landing_members").where("CAST(substr(member_id, 4) AS BIGINT) % 37 <> 0").select(line.alias("line")))
+    text = files.read_fixed_width(lake.spark, path, fm.MEMBER_LAYOUT)
+    dead = ingest.dead_letter(ingest.load_batch(text, fm.MEMBERS, at(lake.as_of)).rejects, fm.MEMBERS.table, at(lake.as_of))
+    return dead.select("rejected_record", "error_column_name", "error_message", "error_category")
+
+
 @query("ingest_ebcdic", MEMBER_ROWS)
 def ingest_ebcdic(lake: Lake):
-    """The same records in a mainframe code page, one per row."""
-    raw = lake.raw("landing_members").select(files.encode_text(F.col("line")).alias("raw"))
-    text = files.decode_records(raw, "raw", fm.MEMBER_LAYOUT).withColumn(files.FILE, F.lit("members.ebc"))
-    return ingest.load_batch(text, fm.MEMBERS, at(lake.as_of)).good.drop(files.FILE)
+    """The same records as files in a mainframe code page; every row knows its file."""
+    path = new_path(lake.spark, "mainframe")
+    path = path if "://" in path or path.startswith("file:") else f"file://{path}"
+    files.write_records(lake.raw("landing_members").select(files.encode_text(F.col("line")).alias("raw")), "raw", path)
+    good = ingest.load_batch(files.read_ebcdic(lake.spark, path, fm.MEMBER_LAYOUT), fm.MEMBERS, at(lake.as_of)).good
+    return good.where(F.col(files.FILE).contains("/part-")).drop(files.FILE)
 
 
 @query("ingest_converted", f"""
@@ -210,6 +247,18 @@ def ingest_json(lake: Lake):
     return files.read_json_events(lake.spark, path).drop("payload", files.FILE)
 
 
+@query("landing_hours", EVENT_ROWS + " AND event_time >= TIMESTAMP '2024-01-15 10:00:00' AND event_time < TIMESTAMP '2024-01-15 12:00:00'")
+def landing_hours(lake: Lake):
+    """Events of two landing hours out of a month of hour folders."""
+    path, t = new_path(lake.spark, "hours"), F.col("event_time")
+    rows = lake.raw("landing_events").select(F.col("line").alias("value"), *[
+        F.date_format(t, p).alias(c) for c, p in (("year", "yyyy"), ("month", "MM"), ("day", "dd"), ("hour", "HH"))])
+    rows.repartition("year", "month", "day", "hour").write.partitionBy("year", "month", "day", "hour").text(path)
+    lines = files.read_hours(lake.spark, path, datetime(2024, 1, 15, 10), datetime(2024, 1, 15, 11, 59))
+    events = files.checked_events(lines.select(files.RECORD, files.FILE))
+    return events.where(F.size("errors") == 0).drop("errors", files.RECORD, "payload", files.FILE)
+
+
 EVENT_REJECTS = """
 SELECT line AS record, 'payload' AS column_name, 'Error parsing JSON: could not parse' AS error FROM landing_events WHERE k % 41 = 0
 UNION ALL

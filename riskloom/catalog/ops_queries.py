@@ -173,6 +173,18 @@ def ops_lineage_closure(lake: Lake):
     return ops.lineage_closure(lake.raw("object_dependencies"))
 
 
+@query("ops_impact", """
+WITH reach(object, distance) AS (
+  SELECT DISTINCT upstream, CAST(0 AS BIGINT) FROM object_dependencies WHERE upstream LIKE 'OBJ%5'
+  UNION
+  SELECT d.downstream, r.distance + 1 FROM reach r JOIN object_dependencies d ON d.upstream = r.object)
+SELECT object, min(distance) AS distance FROM reach GROUP BY object HAVING min(distance) > 0""")
+def ops_impact(lake: Lake):
+    """What depends, directly or not, on the objects whose number ends in five."""
+    edges = lake.raw("object_dependencies")
+    return ops.impact(edges, edges.where("upstream LIKE 'OBJ%5'").select("upstream"))
+
+
 @query("ops_recent_count", f"""
 SELECT _channel_name, count(*) AS events_last_minutes FROM streaming_events
 WHERE _ingest_time >= TIMESTAMP '2024-01-29 00:00:00' - INTERVAL 5 MINUTE GROUP BY 1""")

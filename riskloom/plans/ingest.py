@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import ago, icontains
 from riskloom.operators.merge import apply_defaults, update_by_key
-from riskloom.sources.files import FILE, RECORD, parse_time
+from riskloom.sources.files import BLOCK, FILE, PLACE, RECORD, parse_time
 from riskloom.sources.formats import Contract, Field
 
 
@@ -26,11 +26,11 @@ class Load:
 
     @property
     def good(self) -> DataFrame:
-        return self._rows(F.size("errors") == 0).drop("errors", RECORD, "_row_number")
+        return self._rows(F.size("errors") == 0).drop("errors", RECORD, "_row_number", BLOCK, PLACE)
 
     @property
     def rejects(self) -> DataFrame:
-        keep = [c for c in (FILE, "_row_number", RECORD, "errors") if c in self.checked.columns]
+        keep = [c for c in (FILE, "_row_number", RECORD, "errors", BLOCK, PLACE) if c in self.checked.columns]
         return self._rows(F.size("errors") > 0).select(*keep)
 
 
@@ -57,16 +57,18 @@ def _errors(f: Field) -> list[Column]:
         out.append(problem(raw.isNotNull() & typed.isNull(), f"Conversion of {f.name} to {f.kind} failed"))
     if f.max_len:
         out.append(problem(F.length(raw) > f.max_len, f"String of {f.name} exceeds {f.max_len} characters"))
+    if f.pattern:
+        out.append(problem(~raw.rlike(f"^(?:{f.pattern})$"), f"String of {f.name} does not match {f.pattern}"))
     return out
 
 
 def load_batch(raw: DataFrame, contract: Contract, loaded_at: Column) -> Load:
     """Convert text columns to their types in one pass. A row with any error is a reject; the batch goes on.
 
-    ``_row_number`` is the ordinal of the row with its input split in the high bits: text is splittable, so a position
-    over the whole file would need the file in one task.
+    ``_row_number`` is the ordinal of the row with its input split in the high bits. Rows of ``read_numbered`` can be given
+    their line in the file by ``line_numbers``.
     """
-    watched = [f.name for f in contract.fields if f.required or f.max_len or (f.kind != "string" and f.strict)]
+    watched = [f.name for f in contract.fields if f.required or f.max_len or f.pattern or (f.kind != "string" and f.strict)]
     keep = [c for c in raw.columns if c not in contract.names]
     typed = raw.select(*[_convert(f, contract.time_pattern).alias(f.name) for f in contract.fields], *keep,
                        F.struct(*watched).alias("_raw"))
@@ -80,7 +82,7 @@ def load_batch(raw: DataFrame, contract: Contract, loaded_at: Column) -> Load:
 def classify(message: Column) -> Column:
     """Class of a reject, first rule that applies."""
     return (F.when(icontains(message, "conversion"), "TYPE_MISMATCH").when(icontains(message, "parse"), "PARSE_ERROR")
-            .when(icontains(message, "null") | icontains(message, "exceeds"), "CONSTRAINT").otherwise("UNKNOWN"))
+            .when(icontains(message, "null") | icontains(message, "exceeds") | icontains(message, "match"), "CONSTRAINT").otherwise("UNKNOWN"))
 
 
 def dead_letter(rejects: DataFrame, source_table: str, now: Column, deterministic_id: bool = True) -> DataFrame:

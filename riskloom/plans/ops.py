@@ -149,3 +149,19 @@ def lineage_closure(edges: DataFrame) -> DataFrame:
         paths = cut(paths.unionByName(longer).groupBy("upstream", "downstream").agg(F.min("distance").alias("distance")))
         step *= 2
     return paths
+
+
+def impact(edges: DataFrame, starts: DataFrame) -> DataFrame:
+    """Everything downstream of the given objects (column ``upstream``), with the shortest distance from any of them.
+
+    Each round follows the edges of the objects that the last one found and leaves out those seen before, so cycles end and
+    the result holds an object once, however many paths lead to it. There is one round for each step of depth.
+    """
+    edges = edges.select("upstream", "downstream").distinct()
+    front = cut(starts.select(F.col("upstream").alias("object")).distinct().withColumn("distance", F.lit(0).cast("bigint")))
+    seen = front
+    while not front.isEmpty():
+        found = front.join(edges, front["object"] == edges["upstream"]).select(F.col("downstream").alias("object"), F.col("distance") + 1)
+        front = cut(found.toDF("object", "distance").distinct().join(seen, "object", "left_anti"))
+        seen = seen.unionByName(front)
+    return seen.where("distance > 0")

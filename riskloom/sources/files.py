@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import datetime
+from collections.abc import Iterator, Sequence
+from datetime import datetime, timedelta
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +17,8 @@ from riskloom.sources.formats import EVENT_FIELDS, REQUIRED_EVENT_KEYS, Delimite
 FILE = "_source_file"
 LINE = "_line"
 RECORD = "_record"
+# Input split of a row, and its place among the rows of its task.
+BLOCK, PLACE = "_block", "_place"
 
 
 def parse_time(text: Column, pattern: str | None = None) -> Column:
@@ -46,15 +50,45 @@ def read_delimited(spark: SparkSession, path: str | list[str], fmt: Delimited, n
     The raw line stays at hand for rejects; one ``from_csv`` splits it. Short lines leave NULLs, long ones lose the
     extra fields. Fields are trimmed and every NULL token becomes NULL.
     """
+    return _split_fields(read_lines(spark, path, fmt.header), fmt, names).select(*names, FILE, RECORD)
+
+
+def _split_fields(lines: DataFrame, fmt: Delimited, names: Sequence[str]) -> DataFrame:
     schema = ", ".join(f"`{n}` string" for n in names)
     options = {"sep": fmt.sep, "quote": fmt.quote, "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "true",
                "ignoreTrailingWhiteSpace": "true"}
-    parsed = read_lines(spark, path, fmt.header).select(RECORD, FILE, F.from_csv(RECORD, schema, options).alias("_f"))
+    parsed = lines.select("*", F.from_csv(RECORD, schema, options).alias("_f"))
 
     def clean(n: str) -> Column:
         v = F.trim(F.col(f"_f.{n}"))
         return F.when(v.isin(*fmt.nulls), None).otherwise(v).alias(n)
-    return parsed.select(*[clean(n) for n in names], FILE, RECORD)
+    return parsed.select(*[clean(n) for n in names], *lines.columns)
+
+
+# --- line numbers -------------------------------------------------------------------------------
+
+def read_numbered(spark: SparkSession, path: str | list[str], fmt: Delimited, names: Sequence[str]) -> DataFrame:
+    """``read_delimited`` with the input split of each row (``BLOCK``), from which ``line_numbers`` finds the line. Blank
+    lines count, as an editor counts them; quoted line breaks are not supported."""
+    header = fmt.sep.join(names)
+    lines = spark.read.text(path).select(F.col("value").alias(RECORD), F.col("_metadata.file_path").alias(FILE),
+                                         F.col("_metadata.file_block_start").alias(BLOCK), F.monotonically_increasing_id().alias(PLACE))
+    if fmt.header:
+        lines = lines.where(~((F.col(BLOCK) == 0) & (F.lower(RECORD) == header.lower())))
+    return _split_fields(lines.where(F.trim(RECORD) != ""), fmt, names).select(*names, FILE, RECORD, BLOCK, PLACE)
+
+
+def line_numbers(rows: DataFrame, spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``rows`` of ``read_numbered`` with ``_row_number``, their line in the file. Every split of the files is counted; a
+    file's counts are summed up in its order, one row for each split. Only the given rows, usually the rejects, are
+    joined with that."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK),
+                                         F.monotonically_increasing_id().alias("_id"))
+    blocks = lines.groupBy(FILE, BLOCK).agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    number = (F.col("_before") + F.col(PLACE) - F.col("_first") + 1).alias("_row_number")
+    return rows.join(blocks, [FILE, BLOCK]).select(*[rows[c] for c in rows.columns if c not in (BLOCK, PLACE, "_row_number")], number)
 
 
 def slice_fields(record: Column, layout: Sequence[tuple[str, int, int]]) -> list[Column]:
@@ -70,20 +104,21 @@ def read_fixed_width(spark: SparkSession, path: str | list[str], layout: Sequenc
 
 # --- mainframe records --------------------------------------------------------------------------
 
+def _code_page(codepage: str) -> tuple[str, str]:
+    """Signs that differ between ISO-8859-1 and a single-byte code page, byte by byte."""
+    pairs = [(bytes([b]).decode("latin-1"), bytes([b]).decode(codepage)) for b in range(256)]
+    return tuple("".join(x) for x in zip(*[p for p in pairs if p[0] != p[1]], strict=True))
+
+
 def decode_text(raw: Column, codepage: str = "cp037") -> Column:
-    """Bytes of a single-byte code page as text. Decoding whole records in Arrow batches is far faster than a
-    character map in the JVM, and the JVM's own charset is off by default."""
-    @F.pandas_udf("string")
-    def decode(records: pd.Series) -> pd.Series:
-        return records.map(lambda b: None if b is None else bytes(b).decode(codepage))
-    return decode(raw)
+    """Bytes of a single-byte code page as text. Read as ISO-8859-1 every byte is a sign; those of the code page take their
+    place, so no charset beyond the JVM's standard ones and no Python is needed."""
+    return F.translate(F.decode(raw, "ISO-8859-1"), *_code_page(codepage))
 
 
 def encode_text(text: Column, codepage: str = "cp037") -> Column:
-    @F.pandas_udf("binary")
-    def encode(lines: pd.Series) -> pd.Series:
-        return lines.map(lambda t: None if t is None else t.encode(codepage))
-    return encode(text)
+    latin, page = _code_page(codepage)
+    return F.encode(F.translate(text, page, latin), "ISO-8859-1")
 
 
 def decode_records(df: DataFrame, raw: str, layout: Sequence[tuple[str, int, int]], codepage: str = "cp037") -> DataFrame:
@@ -96,10 +131,26 @@ def decode_records(df: DataFrame, raw: str, layout: Sequence[tuple[str, int, int
 
 
 def read_ebcdic(spark: SparkSession, path: str, layout: Sequence[tuple[str, int, int]], codepage: str = "cp037") -> DataFrame:
-    """Fixed-length mainframe files. Files are split at record borders; each record becomes one binary row."""
+    """Fixed-length mainframe files, with the file of each record. Files are split at record borders, whatever the size of the
+    splits, and records go from the file system to columns inside the JVM."""
     length = max(start + size - 1 for _, start, size in layout)
-    rows = spark.sparkContext.binaryRecords(path, length).map(lambda b: (bytearray(b),))
-    return decode_records(spark.createDataFrame(rows, "raw binary"), "raw", layout, codepage)
+    jvm, session = spark._jvm, spark._jsparkSession
+    records = spark.sparkContext._jsc.sc().binaryRecords(path, length, spark.sparkContext._jsc.hadoopConfiguration())
+    raw = DataFrame(session.createDataset(records, jvm.org.apache.spark.sql.Encoders.BINARY()).toDF(), spark)
+    return decode_records(raw.select(F.col("value").alias("raw"), F.input_file_name().alias(FILE)), "raw", layout, codepage)
+
+
+def write_records(rows: DataFrame, raw: str, path: str) -> None:
+    """Records (a binary column) as files without separators, one for each task. A task that runs again writes the same file."""
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, folder = FileSystem.from_uri(path)
+        fs.create_dir(folder, recursive=True)
+        with fs.open_output_stream(f"{folder}/part-{TaskContext.get().partitionId():05d}") as out:
+            for batch in batches:
+                for record in batch.column(0):
+                    out.write(record.as_buffer())
+        yield pa.record_batch([pa.array([1], pa.int64())], names=["n"])
+    rows.select(F.col(raw).cast("binary").alias("raw")).mapInArrow(write, "n long").count()
 
 
 # --- events -------------------------------------------------------------------------------------
@@ -171,6 +222,48 @@ def hour_path(root: str, when: datetime) -> str:
     return f"{root}/year={when:%Y}/month={when:%m}/day={when:%d}/hour={when:%H}"
 
 
+def hours_between(spark: SparkSession, root: str, first: datetime, last: datetime) -> list[str]:
+    """Landing folders of the hours from ``first`` to ``last``. Only the folders of their days are listed."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    low, high = (hour_path("", t.replace(minute=0, second=0, microsecond=0)) for t in (first, last))
+    days = [hour_path(root, first + timedelta(days=n)) for n in range((last.date() - first.date()).days + 1)]
+    found = []
+    for day in (hadoop(d).getParent() for d in days):
+        fs = day.getFileSystem(spark._jsc.hadoopConfiguration())
+        found += [s.getPath().toString() for s in fs.listStatus(day)] if fs.exists(day) else []
+    return sorted(p for p in found if low <= "/" + "/".join(p.split("/")[-4:]) <= high)
+
+
+def hour_number() -> Column:
+    """Hour of a landing row as one number, from the columns of its folders."""
+    return ((F.col("year") * 100 + F.col("month")) * 100 + F.col("day")) * 100 + F.col("hour")
+
+
+def _hour_filter(df: DataFrame, first: datetime, last: datetime | None) -> DataFrame:
+    df = df.where(hour_number() >= int(f"{first:%Y%m%d%H}"))
+    return df if last is None else df.where(hour_number() <= int(f"{last:%Y%m%d%H}"))
+
+
+LANDED = "value string, year int, month int, day int, hour int"
+
+
+def read_hours(spark: SparkSession, root: str, first: datetime, last: datetime) -> DataFrame:
+    """Lines that landed in the hours from ``first`` to ``last``, with their file and the columns of their folders. Other
+    folders are neither listed nor read."""
+    paths = hours_between(spark, root, first, last)
+    if not paths:
+        return spark.createDataFrame([], f"{RECORD} string, {FILE} string, year int, month int, day int, hour int")
+    lines = _hour_filter(spark.read.schema(LANDED).option("basePath", root).text(paths), first, last)
+    return lines.select(F.col("value").alias(RECORD), F.col("_metadata.file_path").alias(FILE), "year", "month", "day", "hour")
+
+
+def stream_hours(spark: SparkSession, root: str, since: datetime, folders: str = "year=*/month=*/day=*/hour=*") -> DataFrame:
+    """New lines of the landing folders from an hour on, as ``read_hours``. ``folders`` narrows what the source lists."""
+    lines = spark.readStream.schema(LANDED).option("basePath", root).text(f"{root}/{folders}")
+    return _hour_filter(lines, since, None).select(
+        F.col("value").alias(RECORD), F.col("_metadata.file_path").alias(FILE), "year", "month", "day", "hour")
+
+
 def list_landing(spark: SparkSession, path: str) -> DataFrame:
     """Files below a landing prefix: path, size, modification time. File contents are not read."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)

@@ -34,6 +34,8 @@ class Field:
     required: bool = False
     strict: bool = True
     max_len: int | None = None
+    pattern: str | None = None
+    """What the whole text must match."""
 
 
 @dataclass(frozen=True)
@@ -50,38 +52,44 @@ class Contract:
         return [f.name for f in self.fields]
 
 
-def _text(names: str) -> tuple[Field, ...]:
-    return tuple(Field(n) for n in names.split())
+def _text(columns: str) -> tuple[Field, ...]:
+    """Text columns, each with its longest length."""
+    pairs = (c.split(":") for c in columns.split())
+    return tuple(Field(name, max_len=int(size)) for name, size in pairs)
 
 
+SHA256 = "[0-9a-fA-F]{64}"
+
+# Columns of the load targets and the longest text that each takes.
 TRANSACTIONS = Contract("BRONZE.RAW_TRANSACTIONS", (
     Field("txn_id", required=True, max_len=50), Field("member_id", required=True, max_len=20),
     Field("institution_id", required=True, max_len=20),
     Field("txn_timestamp", "timestamp", required=True), Field("amount", "decimal(15,2)", required=True),
-    *_text("currency_code txn_type channel merchant_category merchant_name merchant_country status auth_code "
-           "card_last_four ip_address device_fingerprint"),
+    *_text("currency_code:3 txn_type:20 channel:20 merchant_category:50 merchant_name:200 merchant_country:3 status:20 "
+           "auth_code:20 card_last_four:4 ip_address:45 device_fingerprint:100"),
     Field("risk_score", "decimal(5,2)", strict=False)),
     defaults={"currency_code": ("string", "USD")})
 
 MEMBERS = Contract("BRONZE.RAW_MEMBERS", (
     Field("member_id", required=True, max_len=20), Field("institution_id", required=True, max_len=20),
-    *_text("first_name last_name"), Field("date_of_birth", "date", strict=False),
-    Field("ssn_hash", max_len=64), *_text("email phone address_line1 city state_code zip_code country_code"),
-    Field("member_since", "date", strict=False), *_text("status risk_tier")),
+    *_text("first_name:100 last_name:100"), Field("date_of_birth", "date", strict=False),
+    Field("ssn_hash", max_len=64, pattern=SHA256),
+    *_text("email:200 phone:20 address_line1:200 city:100 state_code:2 zip_code:10 country_code:3"),
+    Field("member_since", "date", strict=False), *_text("status:20 risk_tier:10")),
     defaults={"country_code": ("string", "US"), "address_line2": ("string", None),
               "kyc_verified": ("boolean", "false"), "last_activity_date": ("date", None)})
 
 ALERTS = Contract("BRONZE.RAW_ALERTS", (
     Field("alert_id", required=True, max_len=50), Field("member_id", required=True, max_len=20),
     Field("institution_id", required=True, max_len=20), Field("alert_timestamp", "timestamp", required=True),
-    *_text("alert_type severity alert_source description related_txn_id rule_id"),
-    Field("confidence_score", "decimal(5,4)", strict=False), *_text("status assigned_to")),
+    *_text("alert_type:50 severity:10 alert_source:50 description:1000 related_txn_id:50 rule_id:50"),
+    Field("confidence_score", "decimal(5,4)", strict=False), *_text("status:20 assigned_to:100")),
     defaults={"resolution_notes": ("string", None), "resolved_at": ("timestamp_ntz", None)})
 
 INSTITUTIONS = Contract("BRONZE.RAW_INSTITUTIONS", (
-    Field("institution_id", required=True, max_len=20), Field("institution_name", required=True),
-    *_text("institution_type routing_number charter_type regulatory_body state_code region asset_size_tier"),
-    Field("network_since", "date", strict=False), *_text("status")))
+    Field("institution_id", required=True, max_len=20), Field("institution_name", required=True, max_len=200),
+    *_text("institution_type:50 routing_number:9 charter_type:20 regulatory_body:50 state_code:2 region:20 asset_size_tier:20"),
+    Field("network_since", "date", strict=False), *_text("status:20")))
 
 # Name, first position, length of the fixed-width member record (539 characters).
 MEMBER_LAYOUT = (

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,3 +148,84 @@ def test_run_load_takes_each_file_once_and_survives_a_failure(spark, tmp_path, m
     assert run()["files"] == 1 and len(store.committed()) == 2
     assert sorted(r[0] for r in store.read("good").select("institution_id").collect()) == ["FI1", "FI2", "FI3"]
     assert store.read("dead_letter").count() == 1 and store.read("audit").count() == 3
+
+
+def test_lines_are_those_of_the_file(spark, tmp_path):
+    """Files that are cut in several splits, with blank lines and without a last line break."""
+    fmt, names = fm.PIPE, ["a", "b"]
+    want = {}
+    for f in range(3):
+        lines = ["a|b"] + [f"{f}-{i}|{'x' * (i % 50)}" if i % 7 else "" for i in range(1, 900)]
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"f{f}.txt").write_text("\n".join(lines))
+        want |= {t: n for n, t in enumerate(lines, 1) if t and n > 1}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        rows = files.read_numbered(spark, str(tmp_path / "in"), fmt, names)
+        assert rows.select(files.FILE, files.BLOCK).distinct().count() > 9
+        got = files.line_numbers(rows, spark, str(tmp_path / "in")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {r[files.RECORD]: r["_row_number"] for r in got} == want and len(got) == len(want)
+
+
+def test_only_the_hours_asked_for_are_listed(spark, tmp_path):
+    from datetime import datetime
+    root = tmp_path / "land"
+    for day, hour in ((14, 23), (15, 0), (15, 9), (15, 10), (15, 11), (16, 0)):
+        folder = Path(files.hour_path(str(root), datetime(2024, 1, day, hour)))
+        folder.mkdir(parents=True)
+        (folder / "e.json").write_text(f"{day}:{hour}\n")
+    # a folder that would break the discovery of partitions, were it listed
+    (root / "year=2024" / "month=01" / "day=15" / "hour=12" / "odd=1").mkdir(parents=True)
+    (root / "year=2024" / "month=02" / "loose").mkdir(parents=True)
+    first, last = datetime(2024, 1, 15, 9, 30), datetime(2024, 1, 15, 11)
+    df = files.read_hours(spark, str(root), first, last)
+    assert sorted(r[0] for r in df.select(files.RECORD).collect()) == ["15:10", "15:11", "15:9"]
+    assert all("/day=15/hour=" in f for f in df.inputFiles()) and len(df.inputFiles()) == 3
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "hour#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    over = files.read_hours(spark, str(root), datetime(2024, 1, 14, 23), datetime(2024, 1, 15, 0))
+    assert sorted(r["hour"] for r in over.collect()) == [0, 23]
+    assert files.read_hours(spark, str(root), datetime(2030, 1, 1), datetime(2030, 1, 2)).count() == 0
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    stream = files.stream_hours(spark, str(root), datetime(2024, 1, 15, 10), "year=2024/month=01/day=1[56]/hour=*")
+    stream.writeStream.format("parquet").option("checkpointLocation", ck).trigger(availableNow=True).start(out).awaitTermination()
+    assert sorted(r[files.RECORD] for r in spark.read.parquet(out).collect()) == ["15:10", "15:11", "16:0"]
+
+
+def test_mainframe_files_in_several_ranges(spark, tmp_path):
+    """Every sign of the code page, files cut inside records, and the file of each record."""
+    layout = (("a", 1, 3), ("b", 4, 4))
+    signs = bytes(range(64, 255)).decode("cp037").replace(" ", "")
+    words = [f"{i % 1000:03d}" + (signs[i % len(signs)] * 4) for i in range(5000)]
+    (tmp_path / "m").mkdir()
+    for n in range(2):
+        (tmp_path / "m" / f"f{n}").write_bytes("".join(words[n::2]).encode("cp037"))
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.input.fileinputformat.split.maxsize", "4001")
+    try:
+        df = files.read_ebcdic(spark, str(tmp_path / "m"), layout)
+        assert df.rdd.getNumPartitions() >= 8
+        got = sorted((r["a"] + (r["b"] or ""), r[files.FILE].rsplit("/", 1)[1]) for r in df.collect())
+    finally:
+        hadoop.unset("mapreduce.input.fileinputformat.split.maxsize")
+    assert got == sorted((w.strip(" "), f"f{k % 2}") for k, w in enumerate(words))
+    text = spark.createDataFrame([("Zoë 123",), (None,)], "t string")
+    back = text.select(files.decode_text(files.encode_text(F.col("t")))).collect()
+    assert [r[0] for r in back] == ["Zoë 123", None]
+
+
+def test_lengths_and_hashes(spark):
+    names = fm.MEMBERS.names
+    good = dict.fromkeys(names) | {"member_id": "M", "institution_id": "I", "ssn_hash": "aB" * 32}
+    bad = [good | {"ssn_hash": "ab" * 31}, good | {"ssn_hash": "zz" * 32}, good | {"ssn_hash": "ab" * 33}, good | {"city": "x" * 101},
+           good | {"state_code": "NYC"}]
+    rows = [tuple(r[n] for n in names) + ("f", "record") for r in [good, *bad]]
+    raw = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in [*names, files.FILE, files.RECORD]))
+    load = ingest.load_batch(raw, fm.MEMBERS, at(AS_OF))
+    assert load.good.count() == 1
+    dead = ingest.dead_letter(load.rejects, "T", at(AS_OF)).collect()
+    assert sorted(r["error_column_name"] for r in dead) == ["city"] + ["ssn_hash"] * 4 + ["state_code"]
+    assert {r["error_category"] for r in dead} == {"CONSTRAINT"}

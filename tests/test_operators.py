@@ -184,3 +184,12 @@ def test_closure_with_a_cycle(spark):
             frontier, dist = nxt, dist + 1
         want.update({(start, n): x for n, x in seen.items()})
     assert got == want
+
+
+def test_impact_of_given_objects(spark):
+    """Cycles, several ways to one object, a start that depends on another start, and objects that nothing depends on."""
+    from riskloom.plans import ops
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("a", "c"), ("c", "d"), ("x", "y"), ("x", "y")], "upstream string, downstream string")
+    got = {r["object"]: r["distance"] for r in ops.impact(edges, spark.createDataFrame([("a",), ("d",)], "upstream string")).collect()}
+    assert got == {"b": 1, "c": 1}
+    assert ops.impact(edges, edges.limit(0)).count() == 0
