@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from riskloom.catalog.registry import query
 from riskloom.functions import masking
 from riskloom.functions import metrics as m
+from riskloom.functions.expressions import at
 from riskloom.plans import quality
 from riskloom.plans.lake import Lake
+from riskloom.session import new_path
 
 
 def _rate(expr: str) -> str:
@@ -86,6 +88,27 @@ def dq_gate(lake: Lake):
                                                 ("RAW_TRANSACTIONS", "DUPLICATE_RATE"): (None, 0.05)})
 
 
+@query("dq_publish", """
+WITH tries AS (
+  SELECT 1 AS attempt, alert_id, alert_timestamp FROM raw_alerts WHERE _loaded_at < TIMESTAMP '2024-01-15 00:00:00' UNION ALL
+  SELECT 2, CASE WHEN upper(severity) <> 'LOW' THEN alert_id END, alert_timestamp FROM raw_alerts UNION ALL
+  SELECT 3, alert_id, alert_timestamp FROM raw_alerts),
+rates AS (SELECT attempt, count(*) AS n, CAST(count(*) FILTER (WHERE alert_id IS NULL) AS DOUBLE) / count(*) AS value FROM tries GROUP BY attempt)
+SELECT CAST(attempt AS BIGINT) AS attempt, CASE WHEN value > 0 THEN 'BLOCK' ELSE 'PASS' END AS status,
+  CAST(CASE WHEN attempt = 2 THEN (SELECT n FROM rates WHERE attempt = 1) ELSE n END AS BIGINT) AS rows_seen FROM rates""")
+def dq_publish(lake: Lake):
+    """Three states of a table are offered. The second lacks ids of some rows, so its readers still get the first."""
+    alerts, path, out = lake.raw("raw_alerts"), new_path(lake.spark, "published"), None
+    lost = F.when(F.upper("severity") != "LOW", F.col("alert_id"))
+    tries = (alerts.where(F.col("_loaded_at") < at("2024-01-15 00:00:00")), alerts.withColumn("alert_id", lost), alerts)
+    for number, df in enumerate(tries, 1):
+        verdicts = quality.publish(df, path, "RAW_ALERTS", quality.BRONZE_CHECKS, {("RAW_ALERTS", "NULL_RATE"): (None, 0.0)}, lake.as_of)
+        seen = lake.spark.read.parquet(path).count()
+        row = verdicts.where("metric = 'NULL_RATE'").select(F.lit(number).cast("bigint").alias("attempt"), "status", F.lit(seen).cast("bigint").alias("rows_seen"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query("dq_quarantine", """
 SELECT txn_id, amount, risk_score, array_to_string(list_filter([CASE WHEN coalesce(amount >= 0, FALSE) THEN NULL ELSE 'amount_positive' END,
     CASE WHEN risk_score IS NOT NULL THEN NULL ELSE 'risk_known' END], lambda x: x IS NOT NULL), ',') AS broken_rules

@@ -6,11 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions import metrics as m
 from riskloom.functions.expressions import at
+from riskloom.session import cut, new_path
+from riskloom.sources.tables import replace
 
 
 @dataclass(frozen=True)
@@ -92,6 +94,32 @@ def may_promote(gated: DataFrame) -> bool:
     return gated.where("status = 'BLOCK'").limit(1).count() == 0
 
 
+def observed(observation: Observation, table: str, spark: SparkSession, as_of: str) -> DataFrame:
+    """Metrics that a finished write has reported, in the shape of ``run_metrics``."""
+    rows = [(table, *name.split(":"), None if v is None else float(v)) for name, v in observation.get.items()]
+    return spark.createDataFrame(rows, "table_name string, column_name string, metric string, value double").withColumn("measured_at", at(as_of))
+
+
+def publish(df: DataFrame, path: str, table: str, attachments: Sequence[Attachment],
+            limits: dict[tuple[str, str], tuple[float | None, float | None]], as_of: str) -> DataFrame:
+    """Puts ``df`` in the place of the table at ``path`` if its metrics are within their limits; else readers keep the
+    earlier state. The metrics are taken while the rows are written to a folder of their own, so they are those of what may be
+    published; what cannot be observed is measured there. Returns the metrics with their verdicts."""
+    spark = df.sparkSession
+    staged, seen = new_path(spark, "staged"), Observation()
+    mine = [a for a in attachments if a.table == table]
+    observe_metrics(df, seen, mine, as_of).write.parquet(staged)
+    ready = spark.read.parquet(staged)
+    results = observed(seen, table, spark, as_of)
+    rest = [a for a in mine if a.metric == "DUPLICATE_RATE"]
+    if rest:
+        results = results.unionByName(run_metrics({table: ready}, rest, as_of))
+    verdicts = cut(gate(results, limits))
+    if may_promote(verdicts):
+        replace(ready, path)
+    return verdicts
+
+
 def with_broken_rules(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Rows with the names of the row rules they break. A rule that evaluates to NULL counts as broken."""
     broken = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()]))

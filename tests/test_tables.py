@@ -323,3 +323,18 @@ def test_a_load_that_stopped_between_its_steps(spark, tmp_path, monkeypatch):
     got = {(r["member_id"], r["channel"]): (r["n"], str(r["amount"])) for r in zone.held(contributions.MEMBER_TOTALS).collect()}
     assert got == {("m", "POS"): (1, "1.00")} or got == {("M", "POS"): (1, "1.00")}
     assert [(r["n"], str(r["amount"])) for r in zone.held(contributions.INSTITUTION_TOTALS).collect()] == [(1, "1.00")]
+
+
+def test_a_breach_keeps_the_earlier_state(spark, tmp_path):
+    shape, path = "id string, v int", str(tmp_path / "t")
+    first = spark.createDataFrame([("a", 1), ("b", 2)], shape)
+    checks = [quality.Attachment("T", "id", "NULL_RATE"), quality.Attachment("T", "id", "DUPLICATE_RATE"), quality.Attachment("U", "id", "NULL_RATE")]
+    limits = {("T", "NULL_RATE"): (None, 0.0), ("T", "DUPLICATE_RATE"): (None, 0.0)}
+    states = [first, spark.createDataFrame([(None, 3)], shape), spark.createDataFrame([("c", 3), ("c", 4)], shape), spark.createDataFrame([("d", 5)], shape)]
+    seen = []
+    for df in states:
+        verdicts = quality.publish(df, path, "T", checks, limits, AS_OF)
+        assert verdicts.count() == 2
+        seen.append((quality.may_promote(verdicts), rows(spark.read.parquet(path))))
+    assert [ok for ok, _ in seen] == [True, False, False, True]
+    assert seen[0][1] == seen[1][1] == seen[2][1] == rows(first) and seen[3][1] == rows(states[3])
