@@ -305,7 +305,7 @@ def test_shards(spark):
         loads[r["shard"]] += r["size"]
         slots[r["shard"]].append(r["slot"])
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-    # all groups are large here, so this is plain longest-processing-time scheduling
+    # plain longest-processing-time scheduling
     groups = Counter()
     for _, t in rows:
         groups[hashlib.sha256((t or "").encode()).hexdigest()] += len((t or "").encode()) + 16
@@ -316,18 +316,39 @@ def test_shards(spark):
     assert sharding.shard_documents(docs_df(spark, []), 5).count() == 0
 
 
-def test_shards_with_bundles(spark, monkeypatch):
-    monkeypatch.setattr(sharding, "GRAIN", 4)
+def test_shards_of_many_small_groups(spark, monkeypatch):
+    """Every group is scheduled, however small: loads are those of a plain heap."""
     monkeypatch.setattr(sharding, "SLOT_CHUNK", 37)
+    monkeypatch.setattr(sharding, "FREQUENT", 20)
     rng = random.Random(0)
-    rows = [(i, sentence(rng, rng.randint(1, 30))) for i in range(600)]
+    rows = [(i, sentence(rng, rng.randint(1, 30))) for i in range(300)] + [(1000 + i, f"{i:05d}") for i in range(900)]
+    rows += [(5000 + i, "copy") for i in range(600)] + [(7000 + i, None) for i in range(10)]
     got = sharding.shard_documents(docs_df(spark, rows), 5).collect()
-    loads, slots = Counter(), defaultdict(list)
+    loads, slots, where = Counter(), defaultdict(list), {}
+    text = dict(rows)
     for r in got:
         loads[r["shard"]] += r["size"]
         slots[r["shard"]].append(r["slot"])
-    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and sum(map(len, slots.values())) == 600
-    assert max(loads.values()) < 1.25 * min(loads.values())
+        assert where.setdefault(text[r["doc_id"]], r["shard"]) == r["shard"]
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and sum(map(len, slots.values())) == len(rows)
+    groups = Counter()
+    for _, t in rows:
+        groups[t or ""] += len((t or "").encode()) + 16
+    heap = [0] * 5
+    for size in sorted(groups.values(), reverse=True):
+        heapq.heapreplace(heap, heap[0] + size)
+    assert sorted(loads.values()) == sorted(heap)
+
+
+def test_equal_sizes_dealt_in_one_step(monkeypatch):
+    rng = random.Random(1)
+    for _ in range(200):
+        sizes = [(size, rng.randint(1, 60)) for size in sorted(rng.sample(range(1, 400), 6), reverse=True)]
+        shards = rng.randint(1, 7)
+        monkeypatch.setattr(sharding, "TURNS", 10**9)
+        by_turns = list(sharding.schedule(sizes, shards))
+        monkeypatch.setattr(sharding, "TURNS", 0)
+        assert list(sharding.schedule(sizes, shards)) == by_turns
 
 
 # ---- registration and pipeline
