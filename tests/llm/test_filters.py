@@ -2,6 +2,7 @@
 
 import hashlib
 import heapq
+import math
 import os
 import random
 import re
@@ -57,17 +58,97 @@ def test_url_rules(spark):
     assert {r["verdict"] for r in url_filters.judge_urls(df.drop("bad"), RULES).collect()} == {"allow", "block"}
 
 
-def plain_templates(rows):
-    """The tree for paths of up to three segments, written with dictionaries."""
-    paths = [(h, [s for s in p.split("/") if s]) for h, p in rows]
-    chosen = [[] for _ in rows]
-    for level in range(3):
-        seg = [s[level] if len(s) > level else "" for _, s in paths]
-        keys = [(h, *chosen[i]) for i, (h, _) in enumerate(paths)]
-        child, parent = Counter(zip(keys, seg, strict=True)), Counter(keys)
-        for i, (k, s) in enumerate(zip(keys, seg, strict=True)):
-            chosen[i].append(s if s == "" or child[k, s] >= max(5, 0.01 * parent[k]) else "*")
-    return ["/" + "/".join(x for x in c if x) for c in chosen]
+def share_differs(seen, bad, other_seen, other_bad):
+    """Two-proportion test."""
+    if not seen or not other_seen:
+        return False
+    pooled = (bad + other_bad) / (seen + other_seen)
+    return abs(bad / seen - other_bad / other_seen) > 1.96 * math.sqrt(pooled * (1 - pooled) * (1 / seen + 1 / other_seen))
+
+
+def plain_tree(rows):
+    """(host, path, bad) rows to (template, verdict), by a recursion over segments, one after the other."""
+    paths = [[s for s in p.split("/") if s] for _, p, _ in rows]
+    template, parent = [""] * len(rows), [None] * len(rows)
+
+    def counts(ids):
+        labels = [rows[i][2] for i in ids if rows[i][2] is not None]
+        return len(labels), sum(labels)
+
+    def grow(ids, at):
+        start = template[ids[0]]
+        seen, bad = counts([i for i in ids if len(paths[i]) > at])
+        may_split = seen >= 10 and 0 < bad < seen
+        while ids := [i for i in ids if len(paths[i]) > at]:
+            values = defaultdict(list)
+            for i in ids:
+                values[paths[i][at]].append(i)
+            seen, bad = counts(ids)
+            stays = set()
+            for value, of in values.items():
+                s, b = counts(of)
+                own = len(of) >= 0.01 * len(ids) or s >= 5 and share_differs(s, b, seen - s, bad - b)
+                if may_split and 5 <= len(of) < len(ids) and own:
+                    stays.add(value)
+            at += 1
+            for i in ids:
+                same = may_split and len(values) == 1
+                template[i] += "/" + (paths[i][at - 1] if same or paths[i][at - 1] in stays else "*")
+            if stays:
+                groups = defaultdict(list)
+                for i in ids:
+                    parent[i] = (start, at)
+                    groups[template[i]].append(i)
+                for of in groups.values():
+                    grow(of, at)
+                return
+
+    hosts, leaves = defaultdict(list), defaultdict(list)
+    for i, (host, _, _) in enumerate(rows):
+        hosts[host].append(i)
+    for ids in hosts.values():
+        grow(ids, 0)
+    for i, (host, _, _) in enumerate(rows):
+        leaves[host, parent[i]].append(i)
+    seen, bad = counts(range(len(rows)))
+    base, verdict = bad / (seen + 1), {}
+    for ids in leaves.values():
+        groups = defaultdict(list)
+        for i in ids:
+            groups[template[i]].append(i)
+        ordered = sorted((((b + 10 * base) / (s + 10), t, s, b) for t, of in groups.items() for s, b in [counts(of)]))
+        branches, before = [], None
+        for _, t, s, b in ordered:
+            if before is None or share_differs(s + 1, b + base, before[0] + 1, before[1] + base):
+                branches.append([])
+            branches[-1].append((t, s, b))
+            before = s, b
+        for branch in branches:
+            purity = (sum(x[2] for x in branch) + 10 * base) / (sum(x[1] for x in branch) + 10)
+            for t, _, _ in branch:
+                for i in groups[t]:
+                    verdict[i] = "block" if purity >= 0.5 else "allow"
+    return [(t or "/", verdict[i]) for i, t in enumerate(template)]
+
+
+def test_url_tree_of_deep_paths(spark):
+    """Paths whose good and bad pages part at the second, fifth and eighth segment, of all lengths, against the recursion."""
+    rng = random.Random(4)
+    rows = []
+    for _ in range(1500):
+        host = rng.choice(["a.test", "a.test", "b.test", "c.test", ""])
+        part = [rng.choice("xy"), rng.choice(["ads", "blog", "wiki"]), "same", str(rng.randrange(10**6)), rng.choice("pqr"), "fix",
+                str(rng.randrange(300)), rng.choice(["win", "home"]), str(rng.randrange(10**6)), "end"]
+        part = part[:rng.choice([0, 1, 2, 4, 5, 8, 9, 10, 10])]
+        odds = 0.05 + 0.9 * ("ads" in part or "q" in part[4:5] or part[7:8] == ["win"])
+        bad = None if rng.random() < 0.3 or host == "c.test" else rng.random() < odds
+        rows.append((host, "/" + "/".join(part), bad))
+    rows += [("long.test", "/" + "/".join(f"{i}-{j}" for j in range(300)) + ("/bad" if i % 2 else "/good"), i % 2 == 1) for i in range(40)]
+    df = spark.createDataFrame([(i, f"http://{h}{p}", bad, "h", "t") for i, (h, p, bad) in enumerate(rows)], PAGE)
+    got = {r["page_id"]: (r["template"], r["verdict"]) for r in url_filters.judge_urls(df, [], bad_col="bad").collect()}
+    want = plain_tree(rows)
+    assert [got[i] for i in range(len(rows))] == want
+    assert {want[i][1] for i in range(1500, 1540)} == {"allow", "block"} and len({t for t, _ in want}) > 40
 
 
 def test_url_templates_and_purity(spark):
@@ -80,13 +161,12 @@ def test_url_templates_and_purity(spark):
     rows += [(1000 + i, f"http://rare.test/{i}/a/b/c", True, "h", "t") for i in range(2)]
     df = spark.createDataFrame(rows, PAGE)
     got = {r["page_id"]: r for r in url_filters.judge_urls(df, RULES, bad_col="bad").collect()}
-    want = plain_templates([plain_url(r[1]) for r in rows if r[0] < 1000])
-    assert [got[i]["template"] for i in range(400)] == want
+    assert [got[i]["template"] for i in range(400)] == [f"/{rows[i][1].split('/')[3]}/*" for i in range(400)]
     assert {got[i]["verdict"] for i in range(400) if "/spam/" in rows[i][1]} == {"block"}
     assert {got[i]["verdict"] for i in range(400) if "/spam/" not in rows[i][1]} == {"allow"}
     # blog and news are similar and merged, so they share one purity
     assert len({got[i]["purity"] for i in range(400)}) == 2
-    assert got[1000]["template"] == "/*/*/*/**" and got[1000]["verdict"] == "allow"
+    assert got[1000]["template"] == "/*/*/*/*" and got[1000]["verdict"] == "allow"
 
 
 def test_small_sections_of_a_host_with_many(spark):
@@ -96,13 +176,6 @@ def test_small_sections_of_a_host_with_many(spark):
     assert {(r["page_id"], r["verdict"]) for r in got} == {(i, "block" if bad else "allow") for i, _, bad, _, _ in rows}
 
 
-def test_large_sections_stay_literal_without_labels(spark, monkeypatch):
-    monkeypatch.setattr(url_filters, "MANY_ROWS", 10)
-    rows = [(i, f"http://many.test/s{i % 200}/{i}", None, "h", "t") for i in range(200 * 12)]
-    got = url_filters.judge_urls(spark.createDataFrame(rows, PAGE), RULES, bad_col="bad").collect()
-    assert {r["template"] for r in got} == {f"/s{i}/*" for i in range(200)}
-
-
 # ---- op3
 
 def item_words(text):
