@@ -168,6 +168,16 @@ def test_near_vectors(spark, monkeypatch):
     assert embedding_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_any_length(spark):
+    """Lengths that overflow or vanish in double precision."""
+    ship_package(spark)
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(4, 16))
+    rows = [(10 * k + i, (base[i] * size).tolist(), "x") for k, size in enumerate([1.0, 1e300, 1e-300]) for i in range(4)]
+    got = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()
+    assert {(r["vec_id"], r["n_links"], r["component_id"]) for r in got} == {(10 * k + i, 2, i) for k in range(3) for i in range(4)}
+
+
 def test_rounding_bound_holds_and_spares_work():
     rng = np.random.default_rng(1)
     a = rng.normal(size=(300, 64))
