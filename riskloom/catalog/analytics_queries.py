@@ -160,6 +160,56 @@ def anomaly_gbt(lake: Lake):
                         (F.col("is_anomaly") == outside).alias("flag_fits_bounds"), F.col("percentile").between(0, 1).alias("is_probability"))
 
 
+HISTOGRAM_INPUTS = ["lag1", "lag2", "lag3", "lag4", "lag5", "weekday"]
+
+
+def histogram_sql(trees: int = 4, depth: int = 2, bins: int = 32, least: int = 5) -> str:
+    """Every tree and level as steps of one statement: rows carry node and answer instead of a model."""
+    lags = ", ".join(f"lag(step, {i}) OVER w AS lag{i}" for i in range(1, 6))
+    steps = ", ".join(f"CAST(floor((least(greatest({c}, lo_{c}), hi_{c}) - lo_{c}) * {bins}::DOUBLE / (hi_{c} - lo_{c} + 1)) AS INT) AS {c}"
+                      for c in HISTOGRAM_INPUTS)
+    ends = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in HISTOGRAM_INPUTS)
+    parts = [f"""WITH d AS (SELECT institution_id, txn_date AS ts, CAST(CAST(sum(total_amount) AS DECIMAL(20,2)) * 100 AS BIGINT) AS y
+  FROM g_daily GROUP BY 1, 2),
+c AS (SELECT *, lag(y) OVER w AS prev, y - lag(y) OVER w AS step FROM d WINDOW w AS (PARTITION BY institution_id ORDER BY ts)),
+p AS (SELECT * FROM (SELECT *, {lags}, dayofweek(ts) + 1 AS weekday, ts < DATE '2024-01-24' AS known FROM c
+  WINDOW w AS (PARTITION BY institution_id ORDER BY ts)) x WHERE lag5 IS NOT NULL),
+ends AS (SELECT {ends} FROM p WHERE known),
+t0 AS MATERIALIZED (SELECT institution_id, ts, y, prev, step, known, {steps}, 0::BIGINT AS said FROM p CROSS JOIN ends)"""]
+    cells = " UNION ALL ".join(f"SELECT node, '{c}' AS input, {c} AS place, step - said AS rest FROM {{0}} WHERE known" for c in HISTOGRAM_INPUTS)
+    value = "CASE b.input " + " ".join(f"WHEN '{c}' THEN r.{c}" for c in HISTOGRAM_INPUTS) + " END"
+    for tree in range(trees):
+        here = f"n{tree}_0"
+        parts.append(f"{here} AS MATERIALIZED (SELECT *, 1 AS node FROM t{tree})")
+        for level in range(depth):
+            split, after = f"b{tree}_{level}", f"n{tree}_{level + 1}"
+            parts.append(f"""{split} AS MATERIALIZED (SELECT node, input, place FROM (
+  SELECT *, sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) - st * st / nt AS gain FROM (
+    SELECT node, input, place, sum(n) OVER u AS nl, CAST(sum(s) OVER u AS DOUBLE) AS sl, sum(n) OVER a AS nt, CAST(sum(s) OVER a AS DOUBLE) AS st
+    FROM (SELECT node, input, place, count(*) AS n, sum(rest) AS s FROM ({cells.format(here)}) x GROUP BY ALL) y
+    WINDOW a AS (PARTITION BY node, input), u AS (PARTITION BY node, input ORDER BY place)) z
+  WHERE nl >= {least} AND nt - nl >= {least}) g
+  WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, input, place) = 1)""")
+            parts.append(f"""{after} AS MATERIALIZED (SELECT r.* REPLACE (CASE WHEN b.input IS NULL THEN r.node
+  ELSE 2 * r.node + CASE WHEN {value} > b.place THEN 1 ELSE 0 END END AS node) FROM {here} r LEFT JOIN {split} b ON r.node = b.node)""")
+            here = after
+        parts.append(f"""v{tree} AS (SELECT node, CAST(floor(CAST(sum(step - said) AS DOUBLE) / (2 * count(*))) AS BIGINT) AS half
+  FROM {here} WHERE known GROUP BY node)""")
+        parts.append(f"""t{tree + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (node) REPLACE (r.said + coalesce(v.half, 0) AS said)
+  FROM {here} r LEFT JOIN v{tree} v ON r.node = v.node)""")
+    last = f"t{trees}"
+    parts.append(f"e AS (SELECT CAST(sum(abs(step - said)) AS DOUBLE) / count(*) * 1.959963984540054::DOUBLE / 0.7978845608028654::DOUBLE AS width FROM {last} WHERE known)")
+    return ",\n".join(parts) + f"""
+SELECT institution_id, ts, y, prev + said AS forecast, round(width, 2) AS half_width, abs(y - prev - said) > width AS is_anomaly
+FROM {last} CROSS JOIN e WHERE NOT known"""
+
+
+@query("anomaly_histogram", histogram_sql())
+def anomaly_histogram(lake: Lake):
+    """Forecasts, bounds and flags of the boosted histogram trees for every test day, tree by tree in SQL as well."""
+    return anomaly.detect_histogram(lake.daily, lake.as_of)
+
+
 # --- text search --------------------------------------------------------------------------------
 
 @query("alerts_for_search", """

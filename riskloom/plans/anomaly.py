@@ -99,3 +99,68 @@ def detect_boosted(daily: DataFrame, as_of: str, days: int = 7, key: str = "inst
         key, "ts", "y", forecast.alias("forecast"), (forecast + lo).alias("lower_bound"),
         (forecast + hi).alias("upper_bound"), (~F.col("y").between(forecast + lo, forecast + hi)).alias("is_anomaly"),
         normal_cdf(dist).alias("percentile"), dist.alias("distance"))
+
+
+# Mean absolute deviation of a normal variable, as a share of its standard deviation: the square root of 2 / pi.
+ABS_SHARE = 0.7978845608028654
+
+
+def change_panel(daily: DataFrame, key: str, lags: int) -> tuple[DataFrame, list[str]]:
+    """Per series and day with ``lags`` changes before it: total, the total before, the change and its inputs, in whole
+    cents; and the names of the inputs."""
+    w = Window.partitionBy(key).orderBy("ts")
+    s = daily_series(daily, [key]).select(key, F.col("txn_date").alias("ts"), (F.col("total_daily_spend") * 100).cast("long").alias("y"))
+    s = s.withColumn("prev", F.lag("y").over(w)).withColumn("step", F.col("y") - F.col("prev"))
+    inputs = [f"lag{i}" for i in range(1, lags + 1)]
+    s = s.withColumns({name: F.lag("step", i).over(w) for i, name in enumerate(inputs, 1)})
+    return s.withColumn("weekday", F.dayofweek("ts").cast("long")).dropna(subset=inputs), [*inputs, "weekday"]
+
+
+def binned(panel: DataFrame, inputs: Sequence[str], train: Column, bins: int) -> DataFrame:
+    """``panel`` with each input as one of ``bins`` equal steps between its extremes in the training days."""
+    ends = panel.where(train).agg(*[f(c).alias(f"{n}_{c}") for c in inputs for n, f in (("lo", F.min), ("hi", F.max))])
+    clipped = {c: F.least(F.greatest(F.col(c), F.col(f"lo_{c}")), F.col(f"hi_{c}")) for c in inputs}
+    share = {c: F.floor((clipped[c] - F.col(f"lo_{c}")) * bins / (F.col(f"hi_{c}") - F.col(f"lo_{c}") + 1)).cast("int") for c in inputs}
+    return panel.join(F.broadcast(ends)).withColumns(share).select(*panel.columns)  # one row of extremes
+
+
+def best_splits(rows: DataFrame, inputs: Sequence[str], node: Column, rest: Column, least: int) -> dict[int, tuple[str, int]]:
+    """Per node the input and step behind which the squared error falls most; at most one row per node is collected."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("input"), F.col(c).alias("step")) for c in inputs])
+    cells = (rows.select(node.alias("node"), rest.alias("rest"), F.inline(pairs)).groupBy("node", "input", "step")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("rest").alias("s")))
+    upto, whole = Window.partitionBy("node", "input").orderBy("step"), Window.partitionBy("node", "input")
+    cells = cells.select("node", "input", "step", F.sum("n").over(upto).alias("nl"), F.sum("s").over(upto).cast("double").alias("sl"),
+                         F.sum("n").over(whole).alias("nt"), F.sum("s").over(whole).cast("double").alias("st"))
+    sl, st, nl, nt = (F.col(c) for c in ("sl", "st", "nl", "nt"))
+    gain = sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) - st * st / nt
+    cells = cells.where((nl >= least) & (nt - nl >= least)).withColumn("gain", gain).where("gain > 0")
+    order = Window.partitionBy("node").orderBy(F.desc("gain"), "input", "step")
+    best = cells.withColumn("place", F.row_number().over(order)).where("place = 1")
+    return {r["node"]: (r["input"], r["step"]) for r in best.collect()}
+
+
+def detect_histogram(daily: DataFrame, as_of: str, days: int = 7, key: str = "institution_id", lags: int = 5, bins: int = 32,
+                     trees: int = 4, depth: int = 2, least: int = 5, z: float = Z_95) -> DataFrame:
+    """Boosted histogram trees over the panel of daily changes, in whole cents, so that every run and engine gets the
+    same trees. A level of a tree is one grouped aggregate of at most ``2 ** depth * inputs * bins`` rows; the model
+    itself is a column expression. The bounds come from the mean absolute error of the training days."""
+    train = F.col("ts") < F.date_sub(day_of(as_of), days)
+    panel, inputs = change_panel(daily, key, lags)
+    rows = cut(binned(cut(panel), inputs, train, bins))
+    known = rows.where(train)
+    said = F.lit(0).cast("long")
+    for _ in range(trees):
+        rest, node = F.col("step") - said, F.lit(1)
+        for _ in range(depth):
+            splits = best_splits(known, inputs, node, rest, least)
+            below = [F.when(node == k, 2 * k + (F.col(c) > step).cast("int")) for k, (c, step) in sorted(splits.items())]
+            node = F.coalesce(*below, node)
+        half = F.floor(F.sum("rest").cast("double") / (2 * F.count(F.lit(1)))).cast("long")  # learning rate of a half
+        leaves = known.select(node.alias("node"), rest.alias("rest")).groupBy("node").agg(half.alias("half")).collect()
+        said = said + F.coalesce(*[F.when(node == k, F.lit(v).cast("long")) for k, v in sorted(leaves)], F.lit(0).cast("long"))
+    error = known.agg((F.sum(F.abs(F.col("step") - said)).cast("double") / F.count(F.lit(1))).alias("error"))
+    out = rows.where(~train).withColumn("forecast", F.col("prev") + said).join(F.broadcast(error))  # one row
+    width = F.col("error") * z / ABS_SHARE
+    return out.select(key, "ts", "y", "forecast", F.round(width, 2).alias("half_width"),
+                      (F.abs(F.col("y") - F.col("forecast")) > width).alias("is_anomaly"))
