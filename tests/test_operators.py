@@ -193,3 +193,24 @@ def test_impact_of_given_objects(spark):
     got = {r["object"]: r["distance"] for r in ops.impact(edges, spark.createDataFrame([("a",), ("d",)], "upstream string")).collect()}
     assert got == {"b": 1, "c": 1}
     assert ops.impact(edges, edges.limit(0)).count() == 0
+
+
+def test_histogram_trees_learn_weekdays_and_flag_a_spike(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from riskloom.plans import anomaly
+
+    rows = []
+    for k in range(6):
+        for i in range(90):
+            day = dt.date(2024, 1, 1) + dt.timedelta(days=i)
+            spend = 1000 + 500 * (day.weekday() >= 5) + k + (i * 7 + k) % 5
+            rows.append((f"i{k}", day, Decimal(spend + (5000 if (k, i) == (2, 87) else 0))))
+    daily = spark.createDataFrame(rows, "institution_id string, txn_date date, total_amount decimal(20,2)")
+    found = anomaly.detect_histogram(daily, "2024-03-31 00:00:00", trees=8).collect()
+    flagged = {(r["institution_id"], r["ts"]) for r in found if r["is_anomaly"]}
+    assert ("i2", dt.date(2024, 3, 28)) in flagged
+    others = [r for r in found if r["institution_id"] != "i2"]
+    assert len(others) == 5 * 7 and all(abs(r["y"] - r["forecast"]) < 10_000 for r in others)  # cents; weekends move by 50,000
+    assert anomaly.detect_histogram(daily.limit(0), "2024-03-31 00:00:00").count() == 0
