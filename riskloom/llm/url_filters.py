@@ -1,13 +1,14 @@
 """URL filters: written rules, and for all other urls a tree of path templates learned per host.
 
-Template tree. A node holds pages of one host whose paths begin alike. While the labels of a node's pages that go on hold both kinds
-and at least ``2 * MIN_ROWS`` pages, it is split at the first segment where one of its values is worth a branch of its own: at least
-``MIN_ROWS`` pages of those that reach the segment, but not all, and either ``MIN_SHARE`` of them or a labelled share
-that differs significantly from that of the others. Other values of that segment become ``*``. Segments before it stay as
-they are where all pages agree and become ``*`` elsewhere. Where the labels give no reason to split, all further segments
-become ``*``. Leaves under the same split whose labelled shares do not differ significantly are merged: they are
-ordered by share, and a new branch starts where two neighbours fail a two-proportion test. A branch is rejected when
-its labelled purity, smoothed towards the share over all labelled pages, reaches ``REJECT``.
+Template tree. A node holds pages of one host whose paths begin alike. While the labels of a node's pages that go on hold
+both kinds and at least ``2 * MIN_ROWS`` pages, it is split at the first segment where one of its values is worth a
+branch of its own: at least ``MIN_ROWS`` pages of those that reach the segment, but not all, and either ``MIN_SHARE`` of
+them or a labelled share that differs significantly from that of the others. Other values of that segment become ``*``.
+Segments before it stay as they are where all pages agree and become ``*`` elsewhere. Where the labels give no reason to
+split, all further segments become ``*``, or stay where all pages of a node with labels of both kinds agree. Leaves under
+the same split whose labelled shares do not differ significantly are merged: they are ordered by share, and a new branch
+starts where two neighbours fail a two-proportion test. A branch is rejected when its labelled purity, smoothed towards
+the share over all labelled pages, reaches ``REJECT``.
 
 All segments of a node are counted in one grouped aggregate, so there are as many rounds as splits lie inside each other,
 however deep the paths are. Everything is a column expression, a grouped aggregate or an equi-join; hot hosts are
