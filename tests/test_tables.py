@@ -102,6 +102,17 @@ def test_incremental_refresh_moves_a_row_to_another_day(spark, tmp_path):
     assert [p.name for p in Path(g, "part_date=2024-01-02").glob("*.parquet")] == kept
 
 
+def test_daily_summary_sends_each_row_once(spark):
+    df = spark.createDataFrame([("m", "f", None, "c1"), ("m", "f", "pos", "c2"), ("m", "f", "pos", "c1"), ("m", None, None, None)],
+                               "member_id string, institution_id string, channel string, merchant_category string")
+    df = df.withColumns({"txn_timestamp": F.lit("2024-01-01").cast("timestamp_ntz"), "txn_type": F.lit("DEBIT"),
+                         "amount": F.lit(1).cast("decimal(15,2)"), "risk_score": F.lit(0).cast("decimal(5,2)")})
+    daily = gold.daily_member_summary(df)
+    got = {(r["institution_id"], r["unique_channels"], r["unique_merchant_categories"]) for r in daily.collect()}
+    assert got == {("f", 1, 2), (None, 0, 0)}
+    assert "Expand" not in daily._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_policies(spark):
     df = spark.createDataFrame([("a@x.com", "EAST"), ("bob@y.org", "WEST")], "email string, region string")
     analyst, admin = masking.Access("ANALYST", "EAST"), masking.Access("ADMIN")
