@@ -7,13 +7,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.latest import keep_latest
 from riskloom.plans.gold import daily_member_summary
 from riskloom.plans.silver import TXN_TIES, cleanse_transactions
-from riskloom.session import cut
+from riskloom.session import cut, stored
 from riskloom.sources.tables import append, replace, replace_partitions, write_text
 
 PART = "part_date"
@@ -139,25 +139,35 @@ def refresh_daily(spark: SparkSession, silver_path: str, gold_path: str, delta_r
     by date; only affected partitions are overwritten, others keep their files. The list of affected partitions is
     stored before the first write and removed after the last, so a run that follows a failed one also mends the
     partitions which that one had begun. Returns the affected partitions.
+
+    The delta is the only table of rows that is kept beside Silver and Gold. Replaced rows are looked for by id and
+    partition alone; rows are then read from the affected partitions only, and Gold is made from these once they are written.
     """
     journal = gold_path.rstrip("/") + "_unfinished"
     silver = spark.read.parquet(silver_path)
-    delta = cut(with_part(cleanse_transactions(delta_raw), "txn_timestamp", grain))
+    delta = stored(with_part(cleanse_transactions(delta_raw), "txn_timestamp", grain), "delta")
     ids = delta.select("txn_id")
-    replaced = cut(silver.join(ids, "txn_id", "left_semi"))
-    parts = replaced.select(PART).union(delta.select(PART))
+    parts = silver.select("txn_id", PART).join(ids, "txn_id", "left_semi").select(PART).union(delta.select(PART))
     if _exists(spark, journal):
         parts = parts.union(spark.read.parquet(journal).select(PART))
     parts = cut(parts.distinct())
     replace(parts, journal)
-    kept = silver.join(parts, PART, "left_semi").join(ids, "txn_id", "left_anti")
-    merged = keep_latest(replaced.unionByName(delta), ["txn_id"], ["_loaded_at"], TXN_TIES)
-    fresh = cut(kept.unionByName(merged))
-    replace_partitions(fresh, silver_path, (PART,))
-    replace_partitions(with_part(daily_member_summary(fresh), "txn_date", grain), gold_path, (PART,))
     # One row per calendar partition: a list the driver can hold.
-    emptied = [r[0] for r in parts.join(fresh.select(PART).distinct(), PART, "left_anti").collect()]
+    affected = [r[0] for r in parts.collect()]
+    if not affected:
+        _remove(spark, journal)
+        return parts
+    before = silver.where(F.col(PART).isin(affected))
+    kept = before.join(ids, "txn_id", "left_anti")
+    merged = keep_latest(before.join(ids, "txn_id", "left_semi").unionByName(delta), ["txn_id"], ["_loaded_at"], TXN_TIES)
+    seen = Observation()
+    fresh = kept.unionByName(merged).observe(seen, F.concat_ws(",", F.collect_set(F.col(PART).cast("string"))).alias("parts"))
+    replace_partitions(fresh, silver_path, (PART,))
+    held = set(seen.get["parts"].split(","))
+    emptied = [d for d in affected if str(d) not in held]
     _drop_parts(spark, silver_path, emptied)
+    after = spark.read.schema(silver.schema).parquet(silver_path).where(F.col(PART).isin(affected))
+    replace_partitions(with_part(daily_member_summary(after), "txn_date", grain), gold_path, (PART,))
     _drop_parts(spark, gold_path, emptied)
     _remove(spark, journal)
     return parts

@@ -102,6 +102,26 @@ def test_incremental_refresh_moves_a_row_to_another_day(spark, tmp_path):
     assert [p.name for p in Path(g, "part_date=2024-01-02").glob("*.parquet")] == kept
 
 
+def test_daily_refresh_keeps_no_copy_of_the_affected_rows(spark, tmp_path, monkeypatch):
+    """Only the list of partitions is kept as it is in memory; a partition whose rows all moved is dropped."""
+    from datetime import datetime as d
+    raw = spark.createDataFrame([("a", 1, d(2024, 1, 1), d(2024, 2, 1)), ("b", 2, d(2024, 1, 2), d(2024, 2, 1)), ("a", 3, d(2024, 1, 2), d(2024, 2, 2))],
+                                "txn_id string, n int, txn_timestamp timestamp_ntz, _loaded_at timestamp_ntz")
+    null = {c: F.lit(None).cast("string") for c in ("currency_code txn_type channel merchant_category merchant_name merchant_country status auth_code "
+                                                   "card_last_four ip_address device_fingerprint _source_file institution_id").split()}
+    raw = raw.withColumns({**null, "member_id": F.lit("m"), "amount": F.lit(1).cast("decimal(15,2)"), "risk_score": F.lit(0).cast("decimal(5,2)")})
+    s, g, kept = str(tmp_path / "s"), str(tmp_path / "g"), []
+    medallion.write_parts(silver.cleanse_transactions(raw.where("n < 3")), s, "txn_timestamp")
+    medallion.write_parts(gold.daily_member_summary(spark.read.parquet(s)), g, "txn_date")
+    cut = medallion.cut
+    monkeypatch.setattr(medallion, "cut", lambda df: kept.append(df.columns) or cut(df))
+    medallion.refresh_daily(spark, s, g, raw.where("n = 3"))
+    assert kept == [[medallion.PART]]
+    assert [p.name for p in Path(s).glob("part_date=*")] == [p.name for p in Path(g).glob("part_date=*")] == ["part_date=2024-01-02"]
+    full = gold.daily_member_summary(silver.cleanse_transactions(raw))
+    assert rows(spark.read.parquet(g).select(*full.columns)) == rows(full)
+
+
 def test_daily_summary_sends_each_row_once(spark):
     df = spark.createDataFrame([("m", "f", None, "c1"), ("m", "f", "pos", "c2"), ("m", "f", "pos", "c1"), ("m", None, None, None)],
                                "member_id string, institution_id string, channel string, merchant_category string")
