@@ -20,12 +20,12 @@ NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 BUCKET = "_src"
 
 
-def write_lines(lake: Lake, rows: DataFrame, header: str | None = None, bucket: str | None = None) -> str:
+def write_lines(lake: Lake, rows: DataFrame, header: str | None = None, bucket: str | None = None, compression: str = "none") -> str:
     """Text files of the ``line`` column, each with the header as its first line."""
     path = new_path(lake.spark, "landing")
     out = rows.select(F.col("line").alias(header or "line"), *([F.col(bucket).alias(BUCKET)] if bucket else []))
     w = out.write.option("header", str(header is not None).lower()).option("sep", "\u0001").option("quote", "")
-    w = w.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+    w = w.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").option("compression", compression)
     (w.partitionBy(BUCKET) if bucket else w).csv(path)
     return path
 
@@ -82,8 +82,10 @@ bad AS (SELECT *, unnest([CASE WHEN k % 61 = 0 THEN 'txn_id' END, CASE WHEN k %
 SELECT _source_file AS source_name, row_number, line AS rejected_record, error_column_name FROM bad WHERE error_column_name IS NOT NULL""")
 def reject_lines(lake: Lake):
     """Rejects with their line in the landing file, the header being the first."""
-    rows = lake.raw("landing_transactions").repartition("_source_file").sortWithinPartitions("_source_file", "txn_id", "line")
-    path = write_lines(lake, rows, "|".join(fm.TRANSACTIONS.names), "_source_file")
+    rows = lake.raw("landing_transactions").repartitionByRange("_source_file", "txn_id", "line").sortWithinPartitions("_source_file", "txn_id", "line")
+    parts = write_lines(lake, rows, bucket="_source_file", compression="gzip")
+    path = new_path(lake.spark, "landing")
+    files.join_parts(lake.spark, parts, path, "|".join(fm.TRANSACTIONS.names))
     text = files.read_numbered(lake.spark, path, fm.PIPE, fm.TRANSACTIONS.names)
     rejects = files.line_numbers(ingest.load_batch(text, fm.TRANSACTIONS, at(lake.as_of)).rejects, lake.spark, path)
     dead = ingest.dead_letter(rejects, fm.TRANSACTIONS.table, at(lake.as_of))

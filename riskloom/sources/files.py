@@ -153,6 +153,32 @@ def write_records(rows: DataFrame, raw: str, path: str) -> None:
     rows.select(F.col(raw).cast("binary").alias("raw")).mapInArrow(write, "n long").count()
 
 
+def join_parts(spark: SparkSession, parts: str, path: str, header: str) -> None:
+    """One file with a header for each folder below ``parts``, from the folder's files in the order of their names. Bytes are
+    copied in small pieces, so a task needs the same memory whatever the size of its file; one that runs again writes the
+    same file. Compressed parts are written out as plain text."""
+    parts, path = (p if "://" in p or p.startswith("file:") else f"file://{p}" for p in (parts, path))
+    names = F.split("path", "/")
+    listing = list_landing(spark, parts).select(F.element_at(names, -2).alias("folder"), F.element_at(names, -1).alias("name"))
+    folders = listing.groupBy("folder").agg(F.sort_array(F.collect_list("name")).alias("names"))
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (source, base), (target, out_base) = FileSystem.from_uri(parts), FileSystem.from_uri(path)
+        for batch in batches:
+            for row in batch.to_pylist():
+                target.create_dir(f"{out_base}/{row['folder']}", recursive=True)
+                with target.open_output_stream(f"{out_base}/{row['folder']}/part-00000.csv", compression=None) as out:
+                    out.write(f"{header}\n".encode())
+                    for name in row["names"]:
+                        with source.open_input_stream(f"{base}/{row['folder']}/{name}") as part:
+                            while piece := part.read(1 << 22):
+                                out.write(piece)
+            yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], names=["n"])
+    # One row a folder: spread by number, so that each file gets a task of its own.
+    count = listing.select("folder").distinct().count()
+    folders.repartition(max(count, 1), "folder").mapInArrow(copy, "n long").count()
+
+
 # --- events -------------------------------------------------------------------------------------
 
 def event_schema() -> T.StructType:

@@ -229,3 +229,16 @@ def test_lengths_and_hashes(spark):
     dead = ingest.dead_letter(load.rejects, "T", at(AS_OF)).collect()
     assert sorted(r["error_column_name"] for r in dead) == ["city"] + ["ssn_hash"] * 4 + ["state_code"]
     assert {r["error_category"] for r in dead} == {"CONSTRAINT"}
+
+
+def test_parts_become_one_file_in_their_order(spark, tmp_path):
+    """Ordered parts of two folders, one of them compressed, each joined below a header."""
+    (tmp_path / "in" / "_src=a").mkdir(parents=True)
+    (tmp_path / "in" / "_src=b").mkdir()
+    for n in (2, 0, 1):
+        with gzip.open(tmp_path / "in" / "_src=a" / f"part-{n}.csv.gz", "wt") as f:
+            f.write(f"a{n}\n")
+    (tmp_path / "in" / "_src=b" / "part-0.csv").write_text("b0\nb1\n")
+    files.join_parts(spark, str(tmp_path / "in"), str(tmp_path / "out"), "head")
+    got = {p.parent.name: p.read_text() for p in (tmp_path / "out").rglob("*.csv")}
+    assert got == {"_src=a": "head\na0\na1\na2\n", "_src=b": "head\nb0\nb1\n"}
