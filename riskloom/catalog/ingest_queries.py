@@ -12,7 +12,7 @@ from riskloom.functions.expressions import at
 from riskloom.plans import ingest
 from riskloom.plans.lake import Lake
 from riskloom.plans.loads import LoadStore, run_load
-from riskloom.session import new_path
+from riskloom.session import new_path, stored
 from riskloom.sources import files
 from riskloom.sources import formats as fm
 
@@ -120,7 +120,7 @@ SELECT error_category, error_category = 'TYPE_MISMATCH' AS reprocessed, count(*)
 FROM ({REJECTS}) r GROUP BY 1, 2""")
 def reprocessed_rejects(lake: Lake):
     """The dead letter after the rows of one class were loaded again."""
-    dl = _dead(lake)
+    dl = stored(_dead(lake), "dead-letter")
     done = ingest.mark_reprocessed(dl, dl.where("error_category = 'TYPE_MISMATCH'"), at(lake.as_of))
     return done.groupBy("error_category", "reprocessed").agg(F.count(F.lit(1)).alias("n"), F.count("reprocessed_at").alias("stamped"))
 

@@ -36,3 +36,9 @@ def test_sketch_drives_the_salted_joins(spark, no_broadcast):
     looked = skew.lookup_join(named, right, "k", skew.heavy_keys(named, "k"))
     assert "_slot" in looked._jdf.queryExecution().analyzed().toString()
     assert rows(looked) == rows(named.join(right, "k", "left").select("k", "v", "w"))
+
+
+def test_rejects_are_parsed_once(spark):
+    """The dead letter is joined with itself; its landing files are read before that."""
+    plan = QUERIES["reprocessed_rejects"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" in plan and "csv" not in plan
