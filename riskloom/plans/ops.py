@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.expressions import ago, elapsed, prefix, safe_ratio, scaled, since
 from riskloom.operators.latest import keep_latest
 from riskloom.operators.ranking import ranked_values, value_at
-from riskloom.session import cut
+from riskloom.session import cut, stored
 
 _SECONDS = ("SECOND", "refresh_start_time", "refresh_end_time")
 
@@ -137,16 +137,18 @@ def lineage_closure(edges: DataFrame) -> DataFrame:
     """Everything downstream of every object, with the shortest distance.
 
     Each round extends the paths of length ``step`` by all known paths up to that length, so ``step`` doubles and the
-    number of rounds grows with the logarithm of the depth. Each round is written once; cycles end because a pair keeps
-    its shortest distance.
+    number of rounds grows with the logarithm of the depth. Cycles end because a pair keeps its shortest distance. A pair
+    with a distance up to ``step`` has its shortest one already, so a round writes only the pairs that it adds.
     """
-    paths = cut(edges.select("upstream", "downstream").distinct().withColumn("distance", F.lit(1).cast("bigint")))
+    paths = newest = stored(edges.select("upstream", "downstream").distinct().withColumn("distance", F.lit(1).cast("bigint")), "paths")
     step = 1
-    while not (reach := paths.where(F.col("distance") == step)).isEmpty():
+    while not (reach := newest.where(F.col("distance") == step)).isEmpty():
         head = reach.select("upstream", F.col("downstream").alias("_mid"))
         tail = paths.select(F.col("upstream").alias("_mid"), "downstream", (F.col("distance") + step).alias("distance"))
         longer = head.join(tail, "_mid").select("upstream", "downstream", "distance")
-        paths = cut(paths.unionByName(longer).groupBy("upstream", "downstream").agg(F.min("distance").alias("distance")))
+        shortest = paths.unionByName(longer).groupBy("upstream", "downstream").agg(F.min("distance").alias("distance"))
+        newest = stored(shortest.where(F.col("distance") > step), "paths")
+        paths = paths.unionByName(newest)
         step *= 2
     return paths
 

@@ -214,3 +214,15 @@ def test_histogram_trees_learn_weekdays_and_flag_a_spike(spark):
     others = [r for r in found if r["institution_id"] != "i2"]
     assert len(others) == 5 * 7 and all(abs(r["y"] - r["forecast"]) < 10_000 for r in others)  # cents; weekends move by 50,000
     assert anomaly.detect_histogram(daily.limit(0), "2024-03-31 00:00:00").count() == 0
+
+
+def test_closure_writes_each_pair_once(spark, monkeypatch):
+    written, stored = [], ops.stored
+    def counted(df, label):
+        out = stored(df, label)
+        written.append(out.count())
+        return out
+    monkeypatch.setattr(ops, "stored", counted, raising=False)
+    edges = spark.createDataFrame([(str(i), str(i + 1)) for i in range(9)] + [("0", "5"), ("9", None), ("4", "0")], "upstream string, downstream string")
+    got = {(r[0], r[1]): r[2] for r in ops.lineage_closure(edges).collect()}
+    assert sum(written) == len(got) and got[("0", "9")] == 5 and got[("0", None)] == 6 and got[("0", "0")] == 5
