@@ -14,6 +14,9 @@ B = 0.75
 
 MAX_SHARED_ROWS = 500_000
 
+# Scored (query, word, document) rows of one task, on average.
+TASK_ROWS = 2_000_000
+
 
 def alerts_for_search(alerts: DataFrame) -> DataFrame:
     return alerts.select("alert_id", "member_id", "institution_id", "alert_type", "severity", "description",
@@ -36,7 +39,8 @@ def text_topk(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query
 
     Each text is turned into one row per distinct word with its count and the text's length; only words of some query
     stay. Counted words are then placed by document, so scores add up inside a task and only ``k`` rows per query and
-    task meet for the final ranking; query and document pairs are never shuffled. Query words are sent to all tasks
+    task meet for the final ranking; query and document pairs are never shuffled. The number of tasks follows from the number
+    of rows that the words of all queries will give, so a task holds as many however many documents there are. Query words are sent to all tasks
     only while they are few; beyond that both joins are by word, where adaptive execution splits frequent words.
     """
     asked = cut(queries.select(query_id, F.explode(F.array_distinct(terms(F.col(query_text)))).alias("term")))
@@ -51,13 +55,15 @@ def text_topk(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query
     n, avg_len = F.lit(sizes["docs"]), F.lit(sizes["avg_len"])
     spread = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
     rarity = F.ln(1.0 + (n - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
-    weighted = cut(asked.join(spread, "term").select(query_id, "term", rarity.alias("_w")))
+    weighted = cut(asked.join(spread, "term").select(query_id, "term", rarity.alias("_w"), "_df"))
+    tasks = -(-(weighted.agg(F.sum("_df")).head()[0] or 1) // TASK_ROWS)
 
     damp = F.col("_tf") + F.lit(K1) * (F.lit(1.0 - B) + F.lit(B) * F.col("_len") / avg_len)
     # Whole billionths add up to the same sum in any order.
     part = F.round(F.col("_w") * F.col("_tf") * F.lit(K1 + 1.0) / damp * F.lit(1e9)).cast("bigint")
-    by_doc = postings.repartition(F.col(doc_id))
-    scored = by_doc.join(shared_if_few(weighted), "term").groupBy(query_id, doc_id).agg(F.sum(part).alias("_s"))
+    spark = docs.sparkSession
+    by_doc = postings.repartition(max(tasks, spark.sparkContext.defaultParallelism), F.col(doc_id))
+    scored = by_doc.join(shared_if_few(weighted.drop("_df")), "term").groupBy(query_id, doc_id).agg(F.sum(part).alias("_s"))
     w = Window.partitionBy(query_id).orderBy(F.desc("_s"), F.asc(doc_id))
     return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select(query_id, doc_id, F.round(F.col("_s").cast("double") / F.lit(1e9), 6).alias("score"),
