@@ -47,7 +47,7 @@ def keep_features(stream: DataFrame, path: str, checkpoint: str, computed_at: st
         finally:
             batch.unpersist()
 
-    both = states_and_rows(stream, ["member_id"], measures)
+    both = states_and_rows(stream, ["member_id"], measures, columns=["member_id", "channel"])
     return started(both.writeStream.outputMode("update").foreachBatch(sink), checkpoint, seconds)
 
 
@@ -61,6 +61,8 @@ def current_features(spark: SparkSession, path: str) -> DataFrame:
 PANE_MEASURES = ("event_count", "total_spend", "max_risk_score", "last_activity_time")
 # Hourly panes: state is let go so long after the newest event's time.
 PANE_DELAY = "2 days"
+# Windows of panes in one task, on average.
+WINDOW_ROWS = 4_000_000
 
 
 def _pane_measures() -> list[Column]:
@@ -87,7 +89,10 @@ def fold_late(spark: SparkSession, base: str, history: DataFrame) -> None:
 
 def sliding_windows(panes: DataFrame, hours: int = 24) -> DataFrame:
     """Measures per member and sliding window of ``hours``, one window per hour, open windows included. Each member and hour
-    enters its windows as one row, however many events it holds."""
+    enters its windows as one row, however many events it holds. Panes are moved to their member's task before they are
+    repeated, so the windows themselves are not shuffled; the number of tasks follows from the number of panes."""
+    least = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    panes = panes.repartition(max(least, -(-panes.count() * hours // WINDOW_ROWS)), "member_id")
     back = F.explode(F.sequence(F.lit(0), F.lit(hours - 1))).alias("_back")
     placed = panes.select("*", back).withColumn("window_start", F.col(PANE) - F.make_dt_interval(hours=F.col("_back")))
     return placed.groupBy("window_start", "member_id").agg(

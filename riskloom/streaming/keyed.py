@@ -44,8 +44,10 @@ def same(left: str, right: str, keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
 
-def states_and_rows(stream: DataFrame, keys: Sequence[str], measures: Sequence[Column], panes: Panes | None = None) -> DataFrame:
-    """The new state of each touched key (``_state``) and the batch's own rows (``_row``), in one stream."""
+def states_and_rows(stream: DataFrame, keys: Sequence[str], measures: Sequence[Column], panes: Panes | None = None,
+                    columns: Sequence[str] | None = None) -> DataFrame:
+    """The new state of each touched key (``_state``) and the batch's own rows (``_row``; all their columns, or the given ones),
+    in one stream."""
     rows = stream
     if panes:
         rows = rows.withColumn("_at", F.col(panes.time).cast("timestamp")).withWatermark("_at", panes.delay)
@@ -55,7 +57,7 @@ def states_and_rows(stream: DataFrame, keys: Sequence[str], measures: Sequence[C
     else:
         found = rows.groupBy(*keys).agg(*measures)
     states = found.select(F.struct(*found.columns).alias("_state"))
-    own = rows.select(F.struct(*stream.columns).alias("_row"), *([F.col("_pane")] if panes else []))
+    own = rows.select(F.struct(*(columns or stream.columns)).alias("_row"), *([F.col("_pane")] if panes else []))
     return states.unionByName(own, allowMissingColumns=True)
 
 

@@ -161,3 +161,12 @@ def test_late_events_change_their_windows(spark, tmp_path):
 def test_latency_report(spark):
     r = checks.e2e_latency(_table(spark, BURST[:100])).head()
     assert r["sample_size"] == 100 and r["assessment"].startswith("GOOD")
+
+
+def test_windows_are_not_shuffled(spark):
+    panes = spark.createDataFrame([("m", NOW, 1, 5), ("m", NOW + timedelta(hours=1), 2, 7)], "member_id string, pane timestamp_ntz, event_count bigint, v int")
+    panes = panes.withColumns({"total_spend": F.lit(1).cast("decimal(18,2)"), "max_risk_score": F.lit(0).cast("decimal(5,2)"), "last_activity_time": F.col("pane")})
+    got = features.sliding_windows(panes)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hash") == 1 and "Exchange hashpartitioning(member_id" in plan
+    assert got.count() == 25 and got.agg(F.sum("event_count")).head()[0] == 72
