@@ -133,6 +133,29 @@ def test_daily_summary_sends_each_row_once(spark):
     assert "Expand" not in daily._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_daily_summary_keeps_no_table_of_sets(spark):
+    """Rows are folded group by group: a table of sets falls back to a sort of wide partial results beyond 128 groups."""
+    df = spark.range(400).selectExpr(
+        "CASE WHEN id % 7 > 0 THEN concat('m', id % 5) END AS member_id", "CASE WHEN id % 3 > 0 THEN 'f' END AS institution_id",
+        "CASE WHEN id % 11 > 0 THEN TIMESTAMP_NTZ '2024-01-01 05:00:00' + make_interval(0, 0, 0, CAST(id % 3 AS INT)) END AS txn_timestamp",
+        "CAST(CASE WHEN id % 4 > 0 THEN id - 150 END AS DECIMAL(15,2)) AS amount", "CASE id % 3 WHEN 0 THEN 'DEBIT' WHEN 1 THEN 'CREDIT' END AS txn_type",
+        "CASE WHEN id % 6 > 0 THEN concat('c', id % 6) END AS channel", "concat('k', id % 9) AS merchant_category",
+        "CAST(CASE WHEN id % 5 > 0 THEN id % 100 / 100 END AS DECIMAL(5,2)) AS risk_score")
+    df.createOrReplaceTempView("days_of_rows")
+    plain = spark.sql("""SELECT member_id, institution_id, to_date(txn_timestamp) AS txn_date, count(*) AS txn_count, count_if(txn_type = 'DEBIT') AS debit_count,
+        count_if(txn_type = 'CREDIT') AS credit_count, CAST(sum(amount) AS DECIMAL(18,2)) AS total_amount,
+        CAST(sum(CASE WHEN amount > 0 THEN amount ELSE 0 END) AS DECIMAL(18,2)) AS total_credits,
+        CAST(sum(CASE WHEN amount < 0 THEN -amount ELSE 0 END) AS DECIMAL(18,2)) AS total_debits, min(amount) AS min_amount,
+        count(DISTINCT merchant_category) AS unique_merchant_categories, CAST(sum(amount) AS DOUBLE) / nullif(count(amount), 0) AS avg_amount,
+        max(amount) AS max_amount, count(DISTINCT channel) AS unique_channels, max(risk_score) AS max_risk_score,
+        CAST(sum(risk_score) AS DOUBLE) / nullif(count(risk_score), 0) AS avg_risk_score FROM days_of_rows GROUP BY 1, 2, 3""")
+    daily = gold.daily_member_summary(df)
+    assert daily.dtypes == plain.dtypes and rows(daily) == rows(plain)
+    slim = gold.daily_member_summary(df, slim=True)
+    assert rows(slim) == rows(plain.select(*slim.columns))
+    assert "ObjectHashAggregate" not in daily._jdf.queryExecution().executedPlan().toString()
+
+
 def test_policies(spark):
     df = spark.createDataFrame([("a@x.com", "EAST"), ("bob@y.org", "WEST")], "email string, region string")
     analyst, admin = masking.Access("ANALYST", "EAST"), masking.Access("ADMIN")
