@@ -23,6 +23,7 @@ from riskloom.functions.expressions import ago
 from riskloom.operators.latest import keep_latest
 from riskloom.plans.medallion import PART, _drop_parts, _exists, with_part
 from riskloom.plans.silver import TXN_TIES, cleanse_transactions
+from riskloom.session import stored
 from riskloom.sources.tables import exists, replace, replace_partitions
 from riskloom.streaming.keyed import same, upsert
 
@@ -86,7 +87,9 @@ class Zone:
         if not _exists(self.spark, path):
             new = with_part(cleanse_transactions(raw), "txn_timestamp", "month")
             if exists(self.spark, self.path("index")):
-                old = self.replaced(new.select("txn_id"))
+                # Both are read several times: made once, neither Bronze nor Silver is gone through again.
+                new = stored(new, "load")
+                old = stored(self.replaced(new.select("txn_id")), "replaced")
                 best = keep_latest(old.withColumn("_old", F.lit(True)).unionByName(new.withColumn("_old", F.lit(False))),
                                    ["txn_id"], ["_loaded_at"], TXN_TIES)
                 new = best.where("NOT _old").drop("_old")
@@ -107,19 +110,38 @@ class Zone:
         return self.silver().where(F.col(PART).isin(parts)).join(ids, "txn_id", "left_semi")
 
     def _silver(self, signed: DataFrame) -> None:
+        """Rows are written by the task that holds them, as in ``write_parts``."""
         path = self.path("silver")
         new = signed.where("sign > 0").drop(SIGN)
-        parts = [r[0] for r in signed.select(PART).distinct().collect()]
         emptied: list = []
         if exists(self.spark, path):
-            stored = self.silver().where(F.col(PART).isin(parts))
-            rest = stored.join(signed.select("txn_id"), "txn_id", "left_anti")
-            held = rest.select(PART).union(new.select(PART)).distinct()
-            emptied = sorted(set(parts) - {r[0] for r in held.collect()})
-            new = new.unionByName(rest)
-        replace_partitions(new, path, (PART,))
+            parts, emptied = self._unmerged(signed)
+            rest = self.silver().where(F.col(PART).isin(parts)).join(new.select("txn_id"), "txn_id", "left_anti")
+            new = new.where(F.col(PART).isin(parts)).unionByName(rest)
+            if not parts:
+                return
+        replace_partitions(new, path, (PART,), spread=False)
         _drop_parts(self.spark, path, emptied)
 
+    def _unmerged(self, signed: DataFrame) -> tuple[list, list]:
+        """Partitions whose rows are not yet those that the load leaves there, and which of them it leaves empty. Only ids,
+        partitions and a hash of each row are joined. A repeated load finds that it is in Silver already."""
+        parts = [r[0] for r in signed.select(PART).distinct().collect()]
+        columns = sorted(c for c in signed.columns if c not in (PART, SIGN))
+        def brief(df: DataFrame) -> DataFrame:
+            return df.select("txn_id", PART, F.xxhash64(*columns).alias("_hash"))
+        held = brief(self.silver().where(F.col(PART).isin(parts))).alias("s")
+        new = brief(signed.where("sign > 0"))
+        loaded = F.col("n.txn_id").isNotNull()
+        as_new = loaded & (F.col(f"s.{PART}") == F.col(f"n.{PART}")) & (F.col("s._hash") == F.col("n._hash"))
+        found = held.join(new.alias("n"), F.col("s.txn_id") == F.col("n.txn_id"), "left").groupBy(F.col(f"s.{PART}").alias(PART)).agg(
+            F.count_if(~loaded).alias("rest"), F.count_if(as_new).alias("same"), F.count_if(loaded & ~as_new).alias("stale"))
+        wanted = new.groupBy(PART).agg(F.count(F.lit(1)).alias("rows"))
+        # One row per calendar month.
+        state = wanted.join(found, PART, "full_outer").na.fill(0).collect()
+        open_ = [r[PART] for r in state if r["stale"] or r["same"] != r["rows"]]
+        return open_, [r[PART] for r in state if r[PART] in open_ and not r["rest"] and not r["rows"]]
+
     # --- totals -----------------------------------------------------------------------------------
 
     def apply(self, t: Totals, signed: DataFrame, number: int) -> None:

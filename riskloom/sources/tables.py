@@ -25,13 +25,17 @@ def append(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None
     _spread(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def replace(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    _spread(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
+def replace(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), spread: bool = True) -> None:
+    """Overwrite a table. Without ``spread`` rows stay in their task, so there is no shuffle, but up to one file per task and
+    output partition."""
+    df = _spread(df, partition_by) if spread else df
+    df.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
-    """Overwrite only the partitions that ``df`` has rows for."""
-    _spread(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...], spread: bool = True) -> None:
+    """Overwrite only the partitions that ``df`` has rows for; ``spread`` as in ``replace``."""
+    df = _spread(df, partition_by) if spread else df
+    df.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -379,6 +379,44 @@ def test_a_load_that_stopped_between_its_steps(spark, tmp_path, monkeypatch):
     assert [(r["n"], str(r["amount"])) for r in zone.held(contributions.INSTITUTION_TOTALS).collect()] == [(1, "1.00")]
 
 
+def _two_loads(spark):
+    first = [_txn("a", "m", "pos", "2024-01-20", "2024-01-21", "5.00"), _txn("b", "m", "pos", "2023-12-20", "2023-12-21"),
+             _txn("c", "m", "pos", "2023-11-20", "2023-11-21"), _txn("e", "m", "pos", "2023-10-20", "2023-10-21")]
+    second = [_txn("a", "m", "web", "2023-12-30", "2024-01-25", "6.00"), _txn("d", "m", "pos", "2024-01-29", "2024-01-30"),
+              _txn("e", "n", "pos", "2023-09-20", "2024-01-30")]
+    return [spark.createDataFrame(x, TXN_COLUMNS) for x in (first, second)]
+
+
+def test_a_repeated_load_writes_only_what_is_missing(spark, tmp_path):
+    """Silver that holds a load already keeps its files; a folder that is as before the load is written again."""
+    import shutil
+    loads, zone = _two_loads(spark), contributions.Zone(spark, str(tmp_path / "z"), "2024-01-31 00:00:00")
+    files = lambda: {p.parent.name: p.name for p in Path(zone.path("silver")).glob("*/*.parquet")}
+    zone.load(loads[0], 1)
+    shutil.copytree(tmp_path / "z/silver/part_date=2023-12-01", tmp_path / "old")
+    zone.load(loads[1], 2)
+    done, want = files(), rows(zone.silver())
+    assert set(done) == {f"part_date={m}-01" for m in ("2023-09", "2023-11", "2023-12", "2024-01")}
+    zone.load(loads[1], 2)
+    assert files() == done
+    shutil.rmtree(tmp_path / "z/silver/part_date=2023-12-01")
+    shutil.copytree(tmp_path / "old", tmp_path / "z/silver/part_date=2023-12-01")
+    zone.load(loads[1], 2)
+    again = files()
+    assert rows(zone.silver()) == want and {k for k in done if again[k] != done[k]} == {"part_date=2023-12-01"}
+
+
+def test_a_load_goes_through_bronze_once(spark, tmp_path, monkeypatch):
+    """The rows of a load and those that they replace are stored before they are compared."""
+    loads, zone, plans = _two_loads(spark), contributions.Zone(spark, str(tmp_path / "z"), "2024-01-31 00:00:00"), []
+    zone.load(loads[0], 1)
+    real = contributions.keep_latest
+    monkeypatch.setattr(contributions, "keep_latest", lambda df, *a: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, *a))
+    zone.load(loads[1], 2)
+    assert len(plans) == 1 and "Join" not in plans[0] and "Window" not in plans[0]
+    assert rows(zone.silver().drop("part_date")) == rows(silver.cleanse_transactions(loads[0].unionByName(loads[1])))
+
+
 def test_a_breach_keeps_the_earlier_state(spark, tmp_path):
     shape, path = "id string, v int", str(tmp_path / "t")
     first = spark.createDataFrame([("a", 1), ("b", 2)], shape)
