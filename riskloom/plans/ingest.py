@@ -13,6 +13,12 @@ from riskloom.sources.files import BLOCK, FILE, PLACE, RECORD, parse_time
 from riskloom.sources.formats import Contract, Field
 
 
+def good_rows(checked: DataFrame) -> DataFrame:
+    """Rows without an error, in the columns of the target."""
+    # The ordinal keeps the filter above the conversions; without it they would run once more inside the filter.
+    return checked.where((F.size("errors") == 0) & (F.col("_row_number") >= 0)).drop("errors", RECORD, "_row_number", BLOCK, PLACE)
+
+
 @dataclass(frozen=True)
 class Load:
     """Outcome of one load. ``checked`` holds every row with its ``errors``; the two views split it."""
@@ -20,18 +26,14 @@ class Load:
     checked: DataFrame
     contract: Contract
 
-    def _rows(self, cond: Column) -> DataFrame:
-        # The ordinal keeps the filter above the conversions; without it they would run once more inside the filter.
-        return self.checked.where(cond & (F.col("_row_number") >= 0))
-
     @property
     def good(self) -> DataFrame:
-        return self._rows(F.size("errors") == 0).drop("errors", RECORD, "_row_number", BLOCK, PLACE)
+        return good_rows(self.checked)
 
     @property
     def rejects(self) -> DataFrame:
         keep = [c for c in (FILE, "_row_number", RECORD, "errors", BLOCK, PLACE) if c in self.checked.columns]
-        return self._rows(F.size("errors") > 0).select(*keep)
+        return self.checked.where((F.size("errors") > 0) & (F.col("_row_number") >= 0)).select(*keep)
 
 
 def _convert(f: Field, pattern: str) -> Column:

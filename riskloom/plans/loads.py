@@ -1,7 +1,8 @@
 """A batch load from landing folder to target, once per file.
 
-``run_load`` lists the landing prefix, takes the files that no committed load has, parses them once, and stores good rows,
-dead letters and the audit of that pass. The ledger of files is written last and is the commit: readers see only loads that
+``run_load`` lists the landing prefix, takes the files that no committed load has, parses them once, and stores the checked
+rows, dead letters and the audit of that pass. The good rows are those of the checked ones without an error: they are stored
+once, without the text of their record, which only rejects need. The ledger of files is written last and is the commit: readers see only loads that
 are in it. A load is named by its files, so a load that failed is written over by the next one with the same files, and
 what a failed load left behind is never read.
 """
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.plans import ingest
-from riskloom.sources.files import list_landing, pending_files
+from riskloom.sources.files import RECORD, list_landing, pending_files
 from riskloom.sources.formats import Contract
 from riskloom.sources.tables import replace
 
@@ -25,7 +26,8 @@ Reader = Callable[[list[str]], DataFrame]
 
 @dataclass
 class LoadStore:
-    """Tables ``good``, ``dead_letter``, ``audit`` and ``ledger`` of one target, in one folder per load."""
+    """Tables ``checked``, ``dead_letter``, ``audit`` and ``ledger`` of one target, in one folder per load, and the good rows
+    (``good``) of the first."""
 
     spark: SparkSession
     root: str
@@ -44,6 +46,9 @@ class LoadStore:
 
     def read(self, table: str) -> DataFrame | None:
         """Rows of all committed loads; None before the first."""
+        if table == "good":
+            rows = self.read("checked")
+            return None if rows is None else ingest.good_rows(rows)
         parts = [self._part(table, i) for i in self.committed()]
         return self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*parts) if parts else None
 
@@ -64,9 +69,8 @@ def run_load(store: LoadStore, landing: str, contract: Contract, reader: Reader,
         return {LOAD: None, "files": 0, "rows_loaded": 0, "rows_rejected": 0}
     load_id = spark.range(1).select(F.sha2(F.lit("\n".join(paths)), 256)).head()[0][:24]
     load = ingest.load_batch(reader(paths), contract, now)
-    checked = store.write("checked", load_id, load.checked)
+    checked = store.write("checked", load_id, load.checked.withColumn(RECORD, F.when(F.size("errors") > 0, F.col(RECORD))))
     once = ingest.Load(checked, contract)
-    store.write("good", load_id, once.good)
     store.write("dead_letter", load_id, ingest.dead_letter(once.rejects, contract.table, now))
     counts = store.write("audit", load_id, ingest.load_audit(once, now)).agg(
         F.sum("rows_loaded").alias("rows_loaded"), F.sum("rows_rejected").alias("rows_rejected")).head()

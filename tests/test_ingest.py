@@ -150,6 +150,21 @@ def test_run_load_takes_each_file_once_and_survives_a_failure(spark, tmp_path, m
     assert store.read("dead_letter").count() == 1 and store.read("audit").count() == 3
 
 
+def test_good_rows_are_stored_once(spark, tmp_path):
+    """They are the checked rows without an error; the text of a record is kept for rejects alone."""
+    landing, store = tmp_path / "in", LoadStore(spark, str(tmp_path / "store"))
+    landing.mkdir()
+    lines = ["FI1|One|BANK|1|c|OCC|NY|WEST|LARGE|2001-01-01|ACTIVE", "|x", "FI2|Two|BANK|1|c|OCC|NY|WEST|LARGE|2001-01-01|ACTIVE"]
+    (landing / "a.psv").write_text("\n".join(["|".join(fm.INSTITUTIONS.names), *lines]) + "\n")
+    reader = lambda paths: files.read_delimited(spark, paths, fm.PIPE, fm.INSTITUTIONS.names)
+    run_load(store, str(landing), fm.INSTITUTIONS, reader, at(AS_OF))
+    direct = ingest.load_batch(reader([str(landing)]), fm.INSTITUTIONS, at(AS_OF))
+    assert rows(store.read("good").drop("load_id")) == rows(direct.good)
+    assert store.read("dead_letter").select("rejected_record").distinct().collect() == [("|x",)]
+    assert [r[0] for r in store.read("checked").select(files.RECORD).where(f"{files.RECORD} IS NOT NULL").collect()] == ["|x"]
+    assert not (tmp_path / "store/good").exists()
+
+
 def test_lines_are_those_of_the_file(spark, tmp_path):
     """Files that are cut in several splits, with blank lines and without a last line break."""
     fmt, names = fm.PIPE, ["a", "b"]
