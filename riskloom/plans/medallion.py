@@ -111,7 +111,9 @@ def with_part(df: DataFrame, time: str, grain: str) -> DataFrame:
 
 
 def write_parts(df: DataFrame, path: str, time: str, grain: str = "day") -> None:
-    replace(with_part(df, time, grain), path, (PART,))
+    """A whole table in folders by date. Each task sorts its rows by folder and writes them where they are: bringing a
+    folder's rows together would send the whole table once more, which costs more than the additional files."""
+    replace(with_part(df, time, grain), path, (PART,), spread=False)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

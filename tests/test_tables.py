@@ -156,6 +156,17 @@ def test_daily_summary_keeps_no_table_of_sets(spark):
     assert "ObjectHashAggregate" not in daily._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_whole_table_is_not_sent_again_to_be_written(spark, tmp_path, monkeypatch):
+    from riskloom.sources import tables
+    spread = []
+    monkeypatch.setattr(tables, "_spread", lambda df, by: spread.append(by) or df)
+    df = spark.range(90).selectExpr("id", "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_interval(0, 0, 0, CAST(id AS INT)) AS t")
+    medallion.write_parts(df, str(tmp_path / "t"), "t", "month")
+    assert spread == []
+    assert {p.name for p in Path(tmp_path / "t").glob("part_date=*")} == {f"part_date=2024-0{m}-01" for m in (1, 2, 3)}
+    assert rows(spark.read.parquet(str(tmp_path / "t")).drop("part_date")) == rows(df)
+
+
 def test_policies(spark):
     df = spark.createDataFrame([("a@x.com", "EAST"), ("bob@y.org", "WEST")], "email string, region string")
     analyst, admin = masking.Access("ANALYST", "EAST"), masking.Access("ADMIN")
