@@ -120,7 +120,7 @@ class Zone:
             new = new.where(F.col(PART).isin(parts)).unionByName(rest)
             if not parts:
                 return
-        replace_partitions(new, path, (PART,), spread=False)
+        replace_partitions(new, path, (PART,))
         _drop_parts(self.spark, path, emptied)
 
     def _unmerged(self, signed: DataFrame) -> tuple[list, list]:
@@ -156,7 +156,7 @@ class Zone:
         columns = [*t.keys, *t.sums, *t.largest, LOAD, BUCKET]
         try:
             if not exists(self.spark, self.path(t.name)):
-                replace_partitions(change.select(*columns), self.path(t.name), (BUCKET,))
+                replace_partitions(change.select(*columns), self.path(t.name), (BUCKET,), spread=True)
                 return
             touched = [r[0] for r in change.select(BUCKET).distinct().collect()]
             old = self.spark.read.schema(change.select(*columns).schema).parquet(self.path(t.name)).where(F.col(BUCKET).isin(touched))
@@ -170,7 +170,7 @@ class Zone:
                            (gone & ~held).alias("_again"))
             new = self._largest_again(t, new) if t.largest else new.drop("_again")
             rest = old.alias("o").join(change.alias("n"), same("o", "n", t.keys), "left_anti")
-            replace_partitions(new.select(*columns).unionByName(rest), self.path(t.name), (BUCKET,))
+            replace_partitions(new.select(*columns).unionByName(rest), self.path(t.name), (BUCKET,), spread=True)
         finally:
             change.unpersist()
 

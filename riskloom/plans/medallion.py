@@ -7,13 +7,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.latest import keep_latest
+from riskloom.operators.latest import newest_first
 from riskloom.plans.gold import daily_member_summary
 from riskloom.plans.silver import TXN_TIES, cleanse_transactions
-from riskloom.session import cut, stored
+from riskloom.session import cut, held, released, remove
 from riskloom.sources.tables import append, replace, replace_partitions, write_text
 
 PART = "part_date"
@@ -122,11 +122,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def _drop_parts(spark: SparkSession, path: str, parts: list) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path
     for d in parts:
@@ -142,34 +137,44 @@ def refresh_daily(spark: SparkSession, silver_path: str, gold_path: str, delta_r
     stored before the first write and removed after the last, so a run that follows a failed one also mends the
     partitions which that one had begun. Returns the affected partitions.
 
-    The delta is the only table of rows that is kept beside Silver and Gold. Replaced rows are looked for by id and
-    partition alone; rows are then read from the affected partitions only, and Gold is made from these once they are written.
+    The delta is the only table of rows that is kept beside Silver and Gold, until Silver has it. Replaced rows are looked for
+    by id and partition alone; rows are then read from the affected partitions only, and Gold is made from these once they
+    are written. Rows of Silver and of the delta meet in one shuffle and are written by the task in which they met.
     """
     journal = gold_path.rstrip("/") + "_unfinished"
     silver = spark.read.parquet(silver_path)
-    delta = stored(with_part(cleanse_transactions(delta_raw), "txn_timestamp", grain), "delta")
-    ids = delta.select("txn_id")
-    parts = silver.select("txn_id", PART).join(ids, "txn_id", "left_semi").select(PART).union(delta.select(PART))
-    if _exists(spark, journal):
-        parts = parts.union(spark.read.parquet(journal).select(PART))
-    parts = cut(parts.distinct())
-    replace(parts, journal)
-    # One row per calendar partition: a list the driver can hold.
-    affected = [r[0] for r in parts.collect()]
-    if not affected:
-        _remove(spark, journal)
-        return parts
-    before = silver.where(F.col(PART).isin(affected))
-    kept = before.join(ids, "txn_id", "left_anti")
-    merged = keep_latest(before.join(ids, "txn_id", "left_semi").unionByName(delta), ["txn_id"], ["_loaded_at"], TXN_TIES)
-    seen = Observation()
-    fresh = kept.unionByName(merged).observe(seen, F.concat_ws(",", F.collect_set(F.col(PART).cast("string"))).alias("parts"))
-    replace_partitions(fresh, silver_path, (PART,))
-    held = set(seen.get["parts"].split(","))
-    emptied = [d for d in affected if str(d) not in held]
+    with held(with_part(cleanse_transactions(delta_raw), "txn_timestamp", grain), "delta") as delta:
+        replaced = silver.select("txn_id", PART).join(delta.select("txn_id"), "txn_id", "left_semi")
+        parts = replaced.select(PART).union(delta.select(PART))
+        if _exists(spark, journal):
+            parts = parts.union(spark.read.parquet(journal).select(PART))
+        with released(spark):
+            parts = cut(parts.distinct())
+        replace(parts, journal)
+        # One row per calendar partition: a list the driver can hold.
+        affected = [r[0] for r in parts.collect()]
+        if not affected:
+            remove(spark, journal)
+            return parts
+        seen = Observation()
+        fresh = _merged(silver.where(F.col(PART).isin(affected)), delta).observe(
+            seen, F.concat_ws(",", F.collect_set(F.col(PART).cast("string"))).alias("parts"))
+        replace_partitions(fresh, silver_path, (PART,))
+    present = set(seen.get["parts"].split(","))
+    emptied = [d for d in affected if str(d) not in present]
     _drop_parts(spark, silver_path, emptied)
     after = spark.read.schema(silver.schema).parquet(silver_path).where(F.col(PART).isin(affected))
     replace_partitions(with_part(daily_member_summary(after), "txn_date", grain), gold_path, (PART,))
     _drop_parts(spark, gold_path, emptied)
-    _remove(spark, journal)
+    remove(spark, journal)
     return parts
+
+
+def _merged(silver: DataFrame, delta: DataFrame) -> DataFrame:
+    """Rows of both, the newest one of each id that the delta brings; other ids stay as they are in Silver. Both sides hold an
+    id once, so no rows are dropped before the shuffle: that would take another sort."""
+    rows = silver.withColumn("_new", F.lit(False)).unionByName(delta.withColumn("_new", F.lit(True)))
+    one = Window.partitionBy("txn_id")
+    ranked = rows.withColumns({"_rank": F.row_number().over(one.orderBy(*newest_first(["_loaded_at", *TXN_TIES]))),
+                               "_touched": F.max("_new").over(one)})
+    return ranked.where((F.col("_rank") == 1) | ~F.col("_touched")).drop("_new", "_rank", "_touched")

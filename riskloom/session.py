@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app: str = "riskloom", master: str | None = None, shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -49,9 +53,40 @@ def cut(df):
     return df.checkpoint()
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a write in this block go when the write has ended. Otherwise Spark keeps them until the driver happens
+    to collect its garbage, so a query of several writes holds the shuffles of all of them."""
+    before = spark.conf.get(RELEASE, "false")
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(RELEASE, before)
+
+
+def _store(df, path: str):
+    with released(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored(df, label: str = "stored"):
     """Materialise ``df`` once as compressed columns in the scratch folder and drop its lineage. For wide or many rows this
     takes a fraction of the disk of ``cut``, which keeps rows as they are in memory but also how they are distributed."""
+    return _store(df, new_path(df.sparkSession, label))
+
+
+@contextmanager
+def held(df, label: str = "held") -> Iterator:
+    """``stored`` rows that are needed in this block only; their folder goes at its end."""
     path = new_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    try:
+        yield _store(df, path)
+    finally:
+        remove(df.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -8,6 +8,8 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.session import released
+
 SNAPSHOT = "snapshot_ts"
 
 
@@ -28,14 +30,18 @@ def append(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None
 def replace(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), spread: bool = True) -> None:
     """Overwrite a table. Without ``spread`` rows stay in their task, so there is no shuffle, but up to one file per task and
     output partition."""
-    df = _spread(df, partition_by) if spread else df
-    df.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
+    _overwrite(df, path, partition_by, spread, "static")
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...], spread: bool = True) -> None:
+def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...], spread: bool = False) -> None:
     """Overwrite only the partitions that ``df`` has rows for; ``spread`` as in ``replace``."""
+    _overwrite(df, path, partition_by, spread, "dynamic")
+
+
+def _overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...], spread: bool, mode: str) -> None:
     df = _spread(df, partition_by) if spread else df
-    df.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    with released(df.sparkSession):
+        df.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", mode).partitionBy(*partition_by).parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -65,7 +71,7 @@ def snapshot(df: DataFrame, path: str, ts: str | datetime | date) -> None:
 def snapshot_each(df: DataFrame, path: str, time: str) -> None:
     """Several snapshots in one write, one per value of the column ``time``."""
     keyed = df.withColumn(SNAPSHOT, F.date_format(time, "yyyy-MM-dd'T'HH-mm-ss.SSSSSS"))
-    replace_partitions(keyed, path, (SNAPSHOT,))
+    replace_partitions(keyed, path, (SNAPSHOT,), spread=True)
 
 
 def snapshots(spark: SparkSession, path: str) -> list[str]:

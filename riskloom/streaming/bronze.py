@@ -47,10 +47,10 @@ def bronze_stream(spark: SparkSession, src: str, out: str, errors: str, checkpoi
             good = rows.where(F.size("errors") == 0).select(
                 *[c for c in rows.columns if c not in ("errors", RECORD)], now.alias("_ingest_time"), F.lit(channel).alias("_channel_name"),
                 F.concat_ws(":", F.lit(batch_id), F.element_at(F.split(FILE, "/"), -1)).alias("_offset_token"), number)
-            replace_partitions(good, out, (BATCH,))
+            replace_partitions(good, out, (BATCH,), spread=True)
             bad = rows.select(FILE, RECORD, F.explode("errors").alias("_e")).select(
                 FILE, RECORD, F.col("_e.column_name").alias("error_column_name"), F.col("_e.error").alias("error_message"), number)
-            replace_partitions(bad, errors, (BATCH,))
+            replace_partitions(bad, errors, (BATCH,), spread=True)
         finally:
             rows.unpersist()
 

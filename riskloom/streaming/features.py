@@ -84,7 +84,7 @@ def fold_late(spark: SparkSession, base: str, history: DataFrame) -> None:
     days = [r[0] for r in late.select(F.col("event_time").cast("date").alias("day")).distinct().collect()]
     rows = history.where(F.col("event_time").cast("date").isin(days))
     panes = rows.groupBy("member_id", F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias(PANE)).agg(*_pane_measures())
-    replace_partitions(panes.withColumn("_day", F.col(PANE).cast("date")), f"{base}/table", ("_day",))
+    replace_partitions(panes.withColumn("_day", F.col(PANE).cast("date")), f"{base}/table", ("_day",), spread=True)
 
 
 def sliding_windows(panes: DataFrame, hours: int = 24) -> DataFrame:

@@ -79,7 +79,7 @@ def upsert(rows: DataFrame, path: str, part: str, keys: Sequence[str], merge: Ca
         new = merge(rows, old) if merge else rows
         rest = old.alias("o").join(rows.select(*keys).alias("n"), same("o", "n", keys), "left_anti")
         rows = new.unionByName(rest)
-    replace_partitions(rows, path, (part,))
+    replace_partitions(rows, path, (part,), spread=True)
 
 
 def keep_states(stream: DataFrame, base: str, checkpoint: str, keys: Sequence[str], measures: Sequence[Column], panes: Panes,
@@ -91,7 +91,7 @@ def keep_states(stream: DataFrame, base: str, checkpoint: str, keys: Sequence[st
         try:
             states = batch.where("_state IS NOT NULL").select("_state.*")
             late = late_of(batch, states, keys)
-            replace_partitions(late.withColumn(BATCH, F.lit(number).cast("bigint")), f"{base}/late", (BATCH,))
+            replace_partitions(late.withColumn(BATCH, F.lit(number).cast("bigint")), f"{base}/late", (BATCH,), spread=True)
             upsert(states.withColumn("_day", F.col(PANE).cast("date")), f"{base}/table", "_day", [*keys, PANE])
         finally:
             batch.unpersist()

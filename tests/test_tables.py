@@ -12,8 +12,10 @@ from riskloom.functions.expressions import percent_text, risk_band
 from riskloom.plans import contributions, features, gold, medallion, quality, silver
 from riskloom.plans.nodes import BRONZE_INPUTS, lineage, standard_nodes
 from riskloom.plans.semantic import FRAUD_MODEL
+from riskloom.session import RELEASE, held, stored
 from riskloom.sources import tables
 from tests.conftest import AS_OF, rows
+from tests.disk import scratch_folders, shuffle_ids, soon
 
 
 def test_snapshots(spark, tmp_path):
@@ -122,6 +124,56 @@ def test_daily_refresh_keeps_no_copy_of_the_affected_rows(spark, tmp_path, monke
     assert rows(spark.read.parquet(g).select(*full.columns)) == rows(full)
 
 
+def test_daily_refresh_leaves_neither_shuffles_nor_its_delta(spark, tmp_path):
+    from datetime import datetime as d
+    raw = spark.createDataFrame([("a", d(2024, 1, 1), d(2024, 2, 1)), ("b", d(2024, 1, 2), d(2024, 2, 1)), ("a", d(2024, 1, 2), d(2024, 2, 2))],
+                                "txn_id string, txn_timestamp timestamp_ntz, _loaded_at timestamp_ntz")
+    null = {c: F.lit(None).cast("string") for c in ("currency_code txn_type channel merchant_category merchant_name merchant_country status auth_code "
+                                                   "card_last_four ip_address device_fingerprint _source_file institution_id").split()}
+    raw = raw.withColumns({**null, "member_id": F.lit("m"), "amount": F.lit(1).cast("decimal(15,2)"), "risk_score": F.lit(0).cast("decimal(5,2)")})
+    s, g, late = str(tmp_path / "s"), str(tmp_path / "g"), F.col("_loaded_at") >= "2024-02-02"
+    shuffles, kept = shuffle_ids(spark), scratch_folders(spark)
+    medallion.write_parts(silver.cleanse_transactions(raw.where(~late)), s, "txn_timestamp")
+    medallion.write_parts(gold.daily_member_summary(spark.read.parquet(s)), g, "txn_date")
+    medallion.refresh_daily(spark, s, g, raw.where(late))
+    assert scratch_folders(spark) == kept
+    assert soon(lambda: not shuffle_ids(spark) - shuffles)
+    full = gold.daily_member_summary(silver.cleanse_transactions(raw))
+    assert rows(spark.read.parquet(g).select(*full.columns)) == rows(full)
+
+
+def test_refreshed_rows_are_sent_once(spark):
+    """Ids that the delta does not bring stay as they are, whatever they look like; the newest version of the others wins."""
+    ties = "txn_timestamp timestamp_ntz, amount int, txn_type string, status string, risk_score int, _source_file string"
+    def table(*found):
+        return spark.createDataFrame([(i, n, datetime(2024, 1, load), None, n, None, None, None, None) for i, n, load in found],
+                                     f"txn_id string, n int, _loaded_at timestamp_ntz, {ties}")
+    old = table(("kept", 1, 1), ("twice", 2, 1), ("twice", 3, 2), (None, 4, 1), (None, 5, 1), ("older", 6, 1), ("newer", 7, 9), ("same", 8, 3))
+    merged = medallion._merged(old, table(("older", 16, 2), ("newer", 17, 2), ("same", 9, 3), ("added", 18, 2)))
+    assert merged.columns == old.columns
+    assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    found = [r["n"] for r in merged.collect()]
+    # of two versions that are alike in all that is compared, one stays
+    assert len(found) == 9 and {n for n in found if n != 8} | {9} == {1, 2, 3, 4, 5, 16, 7, 9, 18}
+
+
+def test_written_rows_leave_no_shuffle(spark, tmp_path):
+    shuffles, setting = shuffle_ids(spark), spark.conf.get(RELEASE)
+    df = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    tables.replace(df, str(tmp_path / "a"))
+    tables.replace_partitions(df, str(tmp_path / "b"), ("k",), spread=True)
+    kept = stored(df)
+    with held(df) as some:
+        assert rows(some) == rows(kept) == rows(spark.read.parquet(str(tmp_path / "a")))
+        path = Path(some.inputFiles()[0].removeprefix("file://")).parent
+        assert path.exists()
+    assert not path.exists() and spark.conf.get(RELEASE) == setting
+    assert soon(lambda: not shuffle_ids(spark) - shuffles)
+    with pytest.raises(Exception):
+        tables.replace(df.select(F.raise_error(F.lit("boom"))), str(tmp_path / "d"))
+    assert spark.conf.get(RELEASE) == setting
+
+
 def test_daily_summary_sends_each_row_once(spark):
     df = spark.createDataFrame([("m", "f", None, "c1"), ("m", "f", "pos", "c2"), ("m", "f", "pos", "c1"), ("m", None, None, None)],
                                "member_id string, institution_id string, channel string, merchant_category string")
