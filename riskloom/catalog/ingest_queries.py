@@ -12,7 +12,7 @@ from riskloom.functions.expressions import at
 from riskloom.plans import ingest
 from riskloom.plans.lake import Lake
 from riskloom.plans.loads import LoadStore, run_load
-from riskloom.session import new_path, stored
+from riskloom.session import held, new_path, released, remove, stored
 from riskloom.sources import files
 from riskloom.sources import formats as fm
 
@@ -26,7 +26,8 @@ def write_lines(lake: Lake, rows: DataFrame, header: str | None = None, bucket:
     out = rows.select(F.col("line").alias(header or "line"), *([F.col(bucket).alias(BUCKET)] if bucket else []))
     w = out.write.option("header", str(header is not None).lower()).option("sep", "\u0001").option("quote", "")
     w = w.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").option("compression", compression)
-    (w.partitionBy(BUCKET) if bucket else w).csv(path)
+    with released(lake.spark):
+        (w.partitionBy(BUCKET) if bucket else w).csv(path)
     return path
 
 
@@ -81,11 +82,15 @@ bad AS (SELECT *, unnest([CASE WHEN k % 61 = 0 THEN 'txn_id' END, CASE WHEN k %
   CASE WHEN k % 53 = 0 THEN 'amount' END]) AS error_column_name FROM numbered)
 SELECT _source_file AS source_name, row_number, line AS rejected_record, error_column_name FROM bad WHERE error_column_name IS NOT NULL""")
 def reject_lines(lake: Lake):
-    """Rejects with their line in the landing file, the header being the first."""
-    rows = lake.raw("landing_transactions").repartitionByRange("_source_file", "txn_id", "line").sortWithinPartitions("_source_file", "txn_id", "line")
-    parts = write_lines(lake, rows, bucket="_source_file", compression="gzip")
+    """Rejects with their line in the landing file, the header being the first. The lines are made once, before they are
+    sorted by ranges; of each step only what the next one reads is kept."""
+    order = ["_source_file", "txn_id", "line"]
+    with held(lake.raw("landing_transactions").select(*order), "lines") as lines:
+        rows = lines.repartitionByRange(*order).sortWithinPartitions(*order)
+        parts = write_lines(lake, rows, bucket="_source_file", compression="gzip")
     path = new_path(lake.spark, "landing")
     files.join_parts(lake.spark, parts, path, "|".join(fm.TRANSACTIONS.names))
+    remove(lake.spark, parts)
     text = files.read_numbered(lake.spark, path, fm.PIPE, fm.TRANSACTIONS.names)
     rejects = files.line_numbers(ingest.load_batch(text, fm.TRANSACTIONS, at(lake.as_of)).rejects, lake.spark, path)
     dead = ingest.dead_letter(rejects, fm.TRANSACTIONS.table, at(lake.as_of))

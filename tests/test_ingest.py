@@ -13,6 +13,7 @@ from riskloom.plans.loads import LoadStore, run_load
 from riskloom.sources import files
 from riskloom.sources import formats as fm
 from tests.conftest import AS_OF, rows
+from tests.disk import scratch_folders, shuffle_ids, soon
 
 GOOD = "T1|m1|fi1|2024-01-05 10:00:00.000 +0100|12.50|usd|debit|pos| cat ||us|completed|A1|0001|10.0.0.1|fp|0.50"
 
@@ -257,3 +258,31 @@ def test_parts_become_one_file_in_their_order(spark, tmp_path):
     files.join_parts(spark, str(tmp_path / "in"), str(tmp_path / "out"), "head")
     got = {p.parent.name: p.read_text() for p in (tmp_path / "out").rglob("*.csv")}
     assert got == {"_src=a": "head\na0\na1\na2\n", "_src=b": "head\nb0\nb1\n"}
+
+
+def test_reject_lines_keeps_the_landing_files_only(spark, monkeypatch):
+    """Rows of two sources in mixed order, some with faults. When their lines are joined, the shuffles that sorted them and the
+    unsorted rows are gone; later the sorted parts as well."""
+    from riskloom.catalog.ingest_queries import reject_lines
+
+    class Source:
+        as_of = AS_OF
+
+        def raw(self, name):
+            ids = [f"T{n:02d}" for n in (5, 3, 9, 1, 7, 3)]
+            found = [(f"{s}.psv", i, _line(txn_id=i, amount="abc" if i in bad else "1.00")) for s, bad in (("a", ("T05",)), ("b", ("T01", "T09"))) for i in ids]
+            return spark.createDataFrame(found, "_source_file string, txn_id string, line string").repartition(3)
+
+    lake, join = Source(), files.join_parts
+
+    def joined(*args):
+        assert [f.split("-")[0] for f in scratch_folders(spark) - folders] == ["landing"]
+        assert soon(lambda: not shuffle_ids(spark) - shuffles)
+        join(*args)
+
+    monkeypatch.setattr(files, "join_parts", joined)
+    lake.spark, shuffles, folders = spark, shuffle_ids(spark), scratch_folders(spark)
+    found = reject_lines(lake)
+    assert [f.split("-")[0] for f in scratch_folders(spark) - folders] == ["landing"]
+    got = {(r["source_name"], r["row_number"], r["rejected_record"].split("|")[0], r["error_column_name"]) for r in found.collect()}
+    assert got == {("a.psv", 5, "T05", "amount"), ("b.psv", 2, "T01", "amount"), ("b.psv", 7, "T09", "amount")}
